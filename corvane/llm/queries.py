@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import decontaminate as _decontaminate
+from corvane.llm import language as _language
+from corvane.llm import mixing as _mixing
+from corvane.llm import quality as _quality
+from corvane.llm import sharding as _sharding
 from corvane.llm import simhash as _simhash
-from corvane.llm.common import table
+from corvane.llm import vectors as _vectors
+from corvane.llm.common import crc_mod, stored, table
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,14 +31,133 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Temperature 0.5 over the sources, as many rows as the table has on average."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return _mixing.shuffled(_mixing.replicated(docs))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = _language.learn(docs)
+    held_out = F.coalesce(crc_mod("doc_id", _language.FOLDS) == _language.HELD_OUT, F.lit(False))
+    found = docs.select("doc_id", held_out.alias("held_out"), _language.predicted(spark, model, F.col("text")).alias("p"))
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vectors.vector_components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of all texts are made once and stored; fitting and scoring read those."""
+    features = stored(_quality.features_of(table(spark, sf_dir, "documents")), "features")
+    model = _quality.fit_on(features, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(crc_mod("doc_id", _quality.FOLDS) == 0, F.lit(False))
+    scored = features.select("doc_id", held_out.alias("held_out"), _quality.score_of_features(model, F.col("features")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= _quality.THRESHOLD).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
+    "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
+    "op5_language": op5_language,
+    "op7_sharding": op7_sharding,
+    "op8_vectors": op8_vectors,
+    "op9_quality": op9_quality,
 }
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op2_decontamination"] = r"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS l, array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS p
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM item WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT l FROM win),
+doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+spot AS (
+  SELECT doc_id, l, i, array_to_string(list_slice(w, i, i + l - 1), ' ') AS p
+  FROM (SELECT doc_id, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i FROM doc, lens WHERE len(w) >= l)),
+occ AS (SELECT spot.doc_id, spot.i, spot.l, win.item_id FROM spot JOIN win ON spot.p = win.p AND spot.l = win.l),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + l - 1)) AS pos FROM occ) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ks FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM occ) GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ks, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+ORACLE["op3_mixing"] = """
+WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+w AS (SELECT source, n, pow(CAST(n AS DOUBLE), 0.5) AS w FROM c),
+r AS (SELECT source, round(w * (SELECT sum(n) FROM w) / ((SELECT sum(w) FROM w) * n), 6) AS rate FROM w),
+p AS (SELECT source, rate, greatest(CAST(ceil(rate / 32.0) AS INTEGER), 1) AS parts FROM r),
+k AS (SELECT source, rate, parts, rate / parts AS mean, unnest(generate_series(0, 250)) AS k FROM p),
+cdf AS (
+  SELECT source, k, sum(CASE WHEN mean = 0 THEN CASE WHEN k = 0 THEN 1.0 ELSE 0.0 END ELSE exp(-mean + k * ln(mean) - lgamma(k + 1.0)) END)
+         OVER (PARTITION BY source ORDER BY k) AS c
+  FROM k),
+u AS (
+  SELECT doc_id, source, rate, CAST(CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(part AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
+  FROM (SELECT doc_id, d.source, rate, unnest(generate_series(1, parts)) AS part FROM documents d JOIN p ON d.source IS NOT DISTINCT FROM p.source)),
+n AS (
+  SELECT u.doc_id, u.source, u.rate, count(*) AS n FROM u JOIN cdf ON u.source IS NOT DISTINCT FROM cdf.source AND cdf.c <= u.u
+  GROUP BY u.doc_id, u.source, u.rate)
+SELECT doc_id, source, rate, CAST(replica AS INTEGER) AS replica,
+       md5('17-order:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(replica AS VARCHAR)) AS shuffle_key
+FROM (SELECT doc_id, source, rate, unnest(generate_series(0, n - 1)) AS replica FROM n)
+"""
+
+ORACLE["op7_sharding"] = """
+WITH RECURSIVE jump(doc_id, n, b, j, k) AS (
+  SELECT doc_id, n, CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST(coalesce(doc_id, 0) AS UHUGEINT)
+  FROM documents, (VALUES (8), (9)) AS v(n)
+  UNION ALL
+  SELECT doc_id, n, j, CAST(floor(CAST(j + 1 AS DOUBLE) * (2147483648.0::DOUBLE / CAST((k2 >> 33) + 1 AS DOUBLE))) AS BIGINT), k2
+  FROM (SELECT doc_id, n, j, (k * 2862933555777941757::UHUGEINT + 1::UHUGEINT) % 18446744073709551616::UHUGEINT AS k2 FROM jump WHERE j < n)),
+placed AS (SELECT doc_id, CAST(max(b) FILTER (n = 8) AS INTEGER) AS shard, CAST(max(b) FILTER (n = 9) AS INTEGER) AS grown_shard FROM jump GROUP BY doc_id),
+step(i, b, c) AS (
+  SELECT i, 0, i FROM (SELECT unnest(generate_series(0, 255)) AS i)
+  UNION ALL
+  SELECT i, b + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM step WHERE b < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM step WHERE b = 8),
+hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+byte AS (SELECT doc_id, list_transform(generate_series(1, len(h) // 2), lambda k: CAST('0x' || substr(h, 2 * k - 1, 2) AS BIGINT)) AS l FROM hexed),
+sized AS (
+  SELECT doc_id, CAST(len(l) + 1 AS BIGINT) AS size,
+         xor(list_reduce(l, lambda c, x: xor(t[xor(c % 256, x) + 1], c >> 8), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32
+  FROM byte, tab)
+SELECT s.doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY s.doc_id, text_crc32) - 1 AS slot, grown_shard
+FROM sized s JOIN placed p ON s.doc_id IS NOT DISTINCT FROM p.doc_id
+"""
+
+ORACLE["op8_vectors"] = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (
+  SELECT vec_id, e FROM v
+  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM v LEFT JOIN low ON vec_id = low.a LEFT JOIN n ON vec_id = n.a
+"""
