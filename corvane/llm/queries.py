@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corvane.llm import decontaminate as _decontaminate
 from corvane.llm import language as _language
 from corvane.llm import mixing as _mixing
+from corvane.llm import personal as _personal
 from corvane.llm import quality as _quality
 from corvane.llm import sharding as _sharding
 from corvane.llm import simhash as _simhash
@@ -50,6 +51,13 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def op6_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts are those of the base spans; ``spans`` also has what the bootstrapping found."""
+    found = _personal.personal_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.expr(f"size(filter(base, m -> m.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in _personal.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_personal.digest("base"), 256).alias("base_sha256"), _personal.digest("all").alias("spans"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -72,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
     "op5_language": op5_language,
+    "op6_personal": op6_personal,
     "op7_sharding": op7_sharding,
     "op8_vectors": op8_vectors,
     "op9_quality": op9_quality,
