@@ -14,8 +14,9 @@ from corvane.llm import personal as _personal
 from corvane.llm import quality as _quality
 from corvane.llm import sharding as _sharding
 from corvane.llm import simhash as _simhash
+from corvane.llm import token_packs as _token_packs
 from corvane.llm import vectors as _vectors
-from corvane.llm.common import crc_mod, stored, table
+from corvane.llm.common import crc_mod, scratch, stored, table
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +76,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= _quality.THRESHOLD).cast("int"))
 
 
+def op10_token_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs are written to the shared folder, and the result is made of what is read back."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packs = _token_packs.write_packs(docs, scratch(spark, "packs"), public_tokenizers.path("word_bpe_49k.json"))
+    read = _token_packs.read_documents(spark, packs).select("doc_id", "part", "pack", "before", "n_tokens", _token_packs.crc32_of("ids").alias("ids_crc32"))
+    return read.join(_token_packs.pack_starts(spark, packs), ["part", "pack"]).select(
+        "doc_id", (F.col("at") + F.col("before")).cast("long").alias("start"), "n_tokens", "ids_crc32"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
@@ -84,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": op7_sharding,
     "op8_vectors": op8_vectors,
     "op9_quality": op9_quality,
+    "op10_token_packs": op10_token_packs,
 }
 
 ORACLE: dict[str, str] = {}
