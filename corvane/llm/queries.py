@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corvane.llm import decontaminate as _decontaminate
 from corvane.llm import language as _language
 from corvane.llm import mixing as _mixing
+from corvane.llm import pages as _pages
 from corvane.llm import personal as _personal
 from corvane.llm import quality as _quality
 from corvane.llm import sharding as _sharding
@@ -19,6 +20,11 @@ from corvane.llm import vectors as _vectors
 from corvane.llm.common import crc_mod, scratch, stored, table
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _pages.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_outside", "n_repeated")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = _decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
@@ -89,6 +95,7 @@ def op10_token_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
