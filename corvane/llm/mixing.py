@@ -73,6 +73,26 @@ def poisson_tables(rates: DataFrame) -> DataFrame:
     )
 
 
+def _replicas(docs: DataFrame, doc_id: str, source: str, weights, temperature: float, size: float | None, seed: int) -> DataFrame:
+    """All columns of ``docs``, and __rate, __replica and __key, for each copy."""
+    tables = poisson_tables(source_rates(docs, source, weights, temperature, size)).select(
+        F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("parts").alias("__parts"), F.col("cdf").alias("__cdf")
+    )
+    drawn = F.aggregate(
+        F.sequence(F.lit(1), F.col("__parts")),
+        F.lit(0),
+        lambda total, part: total + F.size(F.filter("__cdf", lambda c: c <= uniform(seed, doc_id, part))),
+    )
+    place = F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("__replica").cast("string"))
+    return (
+        docs.join(tables, F.col(source).eqNullSafe(F.col("__source")))
+        .withColumn("__n", drawn)
+        .where("__n > 0")
+        .withColumn("__replica", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
+        .withColumn("__key", F.md5(place.cast("binary")))
+    )
+
+
 def replicated(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -89,22 +109,9 @@ def replicated(
     names. The table of sources isn't broadcast by a hint, as their number has no
     bound; Spark does so where it is small.
     """
-    tables = poisson_tables(source_rates(docs, source, weights, temperature, size)).select(
-        F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("parts").alias("__parts"), F.col("cdf").alias("__cdf")
-    )
-    drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col("__parts")),
-        F.lit(0),
-        lambda total, part: total + F.size(F.filter("__cdf", lambda c: c <= uniform(seed, doc_id, part))),
-    )
     plain = [c for c in docs.columns if c not in ("rate", "replica", "shuffle_key")]
-    out = (
-        docs.join(tables, F.col(source).eqNullSafe(F.col("__source")))
-        .withColumn("__n", drawn)
-        .where("__n > 0")
-        .select(*plain, F.col("__rate").alias("rate"), F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("replica"))
-    )
-    return out.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("replica").cast("string")).cast("binary")))
+    out = _replicas(docs, doc_id, source, weights, temperature, size, seed)
+    return out.select(*plain, F.col("__rate").alias("rate"), F.col("__replica").alias("replica"), F.col("__key").alias("shuffle_key"))
 
 
 def shuffled(rows: DataFrame, key: str = "shuffle_key") -> DataFrame:
@@ -118,6 +125,14 @@ def shuffled(rows: DataFrame, key: str = "shuffle_key") -> DataFrame:
     return rows.repartitionById(n, place).sortWithinPartitions(key)
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The replicated rows in shuffled order, with the columns of ``docs`` alone."""
-    return shuffled(replicated(docs, **options)).select(*docs.columns)
+def mixed(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    source: str = "source",
+    weights: dict[str | None, float] | None = None,
+    temperature: float = 0.5,
+    size: float | None = None,
+    seed: int = SEED,
+) -> DataFrame:
+    """The copies in shuffled order, with the columns of ``docs`` as they are."""
+    return shuffled(_replicas(docs, doc_id, source, weights, temperature, size, seed), "__key").select(*docs.columns)
