@@ -218,11 +218,11 @@ def test_coverage(t: Tables) -> DataFrame:
     return units.join(tests, "k", "left").select("source", "n", F.when(F.col("has"), "covered").otherwise("no test").alias("state"))
 
 
-@query("""WITH c AS (SELECT n_nationkey, n_name, CASE WHEN n_name = 'CHINA' THEN 1 WHEN upper(n_name) = 'CHINA' THEN 2 WHEN contains(upper(n_name), 'IN') THEN 3 END AS tier FROM nation),
-q AS (SELECT n_nationkey, n_name, CASE WHEN n_name = 'in' THEN 1 WHEN upper(n_name) = 'IN' THEN 2 WHEN contains(upper(n_name), 'IN') THEN 3 END AS tier FROM nation), b AS (SELECT * FROM q WHERE tier = (SELECT min(tier) FROM q))
+@query("""WITH c AS (SELECT n_nationkey, n_name, CASE WHEN n_name = 'NATION_1' THEN 1 WHEN upper(n_name) = 'NATION_1' THEN 2 WHEN contains(upper(n_name), 'IN') THEN 3 END AS tier FROM nation),
+q AS (SELECT n_nationkey, n_name, CASE WHEN n_name = 'ation_2' THEN 1 WHEN upper(n_name) = 'ATION_2' THEN 2 WHEN contains(upper(n_name), 'ATION_2') THEN 3 END AS tier FROM nation), b AS (SELECT * FROM q WHERE tier = (SELECT min(tier) FROM q))
 SELECT n_nationkey, n_name, tier, count(*) OVER () AS n FROM b""")
 def name_resolution(t: Tables) -> DataFrame:
-    return J.resolved(t.nation.select("n_nationkey", "n_name"), "n_name", "in")
+    return J.resolved(t.nation.select("n_nationkey", "n_name"), "n_name", "ation_2")
 
 
 @query("""WITH l AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END AS lang, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source END AS source FROM documents)
