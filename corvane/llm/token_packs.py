@@ -195,7 +195,7 @@ def write_packs(
         .mapInArrow(packed, "part int, pack int, dictionary_sha256 string, doc_ids array<bigint>, ends array<bigint>, counts array<bigint>, frames binary")
     )
     # the index of a pack is small beside its frames; the range of ids lets Parquet skip whole packs
-    packs.withColumns({"first_id": F.element_at("doc_ids", 1), "last_id": F.element_at("doc_ids", -1), "n_ids": F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)}).write.option(
+    packs.withColumns({"first_id": F.array_min("doc_ids"), "last_id": F.array_max("doc_ids"), "n_ids": F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)}).write.option(
         "compression", "uncompressed"
     ).option("parquet.block.size", 16 * pack_bytes).parquet(f"{path}/packs")
     return TokenPacks(path, sha, encoder(tokenizer, end_id).kind.str)
