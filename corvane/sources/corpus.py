@@ -17,7 +17,7 @@ def read_units(spark: SparkSession, path: str, glob: str = "*.m", root: str = ""
         F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("unit"),
         F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("grp"),
         F.col("length").alias("byte_size"),
-        F.decode("content", F.lit("UTF-8")).alias("text"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
     )
 
 
