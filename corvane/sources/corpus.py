@@ -9,7 +9,11 @@ from corvane.functions import text as X
 
 
 def read_units(spark: SparkSession, path: str, glob: str = "*.m", root: str = "", new_root: str = "") -> DataFrame:
-    """(path, unit, grp, byte_size, text) of files ``.../<group>/Routines/<unit>.m``; bytes that aren't UTF-8 are replaced."""
+    """(path, unit, grp, byte_size, text) of files ``.../<group>/Routines/<unit>.m``; bytes that aren't UTF-8 are replaced.
+
+    Spark's file readers skip names that begin with ``_`` or a point; units named
+    so come under another name, or in Parquet.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     where = F.regexp_replace("path", "^file:/+", "/")
     return files.select(

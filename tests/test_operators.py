@@ -190,18 +190,18 @@ def test_corpus_from_files(spark, tmp_path):
     folder = tmp_path / "Packages" / "Kernel" / "Routines"
     folder.mkdir(parents=True)
     (folder / "XUS.m").write_bytes(b"XUS ;x\n ;;8.0;KERNEL;**1,2**;\nEN Q\n\xff")
-    (folder / "_Z.m").write_bytes(b"")
+    (folder / "Z.m").write_bytes(b"")
     units = corpus.read_units(spark, f"file://{tmp_path}", root=str(tmp_path), new_root="/corpus")
     got = {r.unit: (r.grp, r.line_count, r.tag_count, r.version_line, r.is_percent) for r in corpus.inventory(units).collect()}
-    assert got["XUS"] == ("Kernel", 4, 2, ";;8.0;KERNEL;**1,2**;", "N") and got["_Z"] == ("Kernel", 0, 0, "", "Y")
-    assert {r.path for r in units.collect()} == {"/corpus/Packages/Kernel/Routines/XUS.m", "/corpus/Packages/Kernel/Routines/_Z.m"}
+    assert got["XUS"] == ("Kernel", 4, 2, ";;8.0;KERNEL;**1,2**;", "N") and got["Z"] == ("Kernel", 0, 0, "", "N")
+    assert {r.path for r in units.collect()} == {"/corpus/Packages/Kernel/Routines/XUS.m", "/corpus/Packages/Kernel/Routines/Z.m"}
     data = tmp_path / "Packages" / "Kernel" / "Globals"
     data.mkdir()
     (data / "3.5+DEVICE.zwr").write_text("12345")
     r = corpus.list_files(spark, f"file://{tmp_path}").head()
     assert (r.grp, r.byte_size, r.kind, r.number, r.entity) == ("Kernel", 5, "file", "3.5", "DEVICE")
     manifest = table(spark, [("XUS", "Kernel"), ("XUS", "Other"), ("GONE", "Kernel")], "unit string, grp string")
-    assert {tuple(x) for x in corpus.unit_contract(manifest, units).collect()} == {("several groups", "XUS"), ("missing file", "GONE"), ("not listed", "_Z")}
+    assert {tuple(x) for x in corpus.unit_contract(manifest, units).collect()} == {("several groups", "XUS"), ("missing file", "GONE"), ("not listed", "Z")}
 
 
 def test_tokens_resolve_in_order(spark):
