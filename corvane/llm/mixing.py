@@ -14,9 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.session import cut
+
 #: A rate above this is met by the sum of several independent Poisson numbers.
 PART_RATE = 32.0
 SEED = 17
+#: Sources whose tables (about a kilobyte each) are broadcast; with more, documents and tables meet in a shuffle.
+BROADCAST_SOURCES = 10_000
 
 
 def uniform(seed: int, *parts: Column | str) -> Column:
@@ -75,14 +79,16 @@ def poisson_tables(rates: DataFrame) -> DataFrame:
 
 def _replicas(docs: DataFrame, doc_id: str, source: str, weights, temperature: float, size: float | None, seed: int) -> DataFrame:
     """All columns of ``docs``, and __rate, __replica and __key, for each copy."""
-    tables = poisson_tables(source_rates(docs, source, weights, temperature, size)).select(
-        F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("parts").alias("__parts"), F.col("cdf").alias("__cdf")
-    )
-    drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col("__parts")),
-        F.lit(0),
-        lambda total, part: total + F.size(F.filter("__cdf", lambda c: c <= uniform(seed, doc_id, part))),
+    tables = cut(
+        poisson_tables(source_rates(docs, source, weights, temperature, size)).select(
+            F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("parts").alias("__parts"), F.col("cdf").alias("__cdf")
+        )
     )
+    if tables.count() <= BROADCAST_SOURCES:
+        tables = F.broadcast(tables)
+    # the numbers first: each is hashed once and not per entry of the table
+    numbers = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda part: uniform(seed, doc_id, part))
+    drawn = F.aggregate(numbers, F.lit(0), lambda total, u: total + F.size(F.filter("__cdf", lambda c: c <= u)))
     place = F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("__replica").cast("string"))
     return (
         docs.join(tables, F.col(source).eqNullSafe(F.col("__source")))
@@ -106,8 +112,8 @@ def replicated(
 
     Rows of equal id share their number. A null id is hashed as empty text. An
     empty table stays empty. The three added columns replace columns of their
-    names. The table of sources isn't broadcast by a hint, as their number has no
-    bound; Spark does so where it is small.
+    names. The table of sources is broadcast up to BROADCAST_SOURCES of them, and
+    joined beyond.
     """
     plain = [c for c in docs.columns if c not in ("rate", "replica", "shuffle_key")]
     out = _replicas(docs, doc_id, source, weights, temperature, size, seed)
