@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,13 +23,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def as_bytes(column: pa.Array) -> list[bytes]:
-    """UTF-8 of each text of an Arrow column; null is empty."""
-    return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
+def as_bytes(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 of each text of an Arrow column, one at a time; null is empty."""
+    return (x.as_py() or b"" for x in column.cast(pa.binary()))
 
 
-def as_texts(column: pa.Array) -> list[str]:
-    return ["" if x is None else x for x in column.to_pylist()]
+def as_texts(column: pa.Array) -> Iterator[str]:
+    """Each text of an Arrow column, one at a time; null is empty."""
+    return (x.as_py() or "" for x in column)
+
+
+#: Bytes of texts that go to a Python worker at once.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches for whole texts, unless the session has its own bound below Spark's default."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, "64m").lower().strip()
+    digits = now.rstrip("bkmgt")
+    unit = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[len(digits) :][:1], 1 << 30)
+    if int(digits) * unit > BATCH_BYTES or int(digits) < 0:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
 def crc_mod(doc_id: str, modulus: int) -> Column:

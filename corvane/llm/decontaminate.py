@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from corvane.llm.common import WORD_BYTES, as_bytes
+from corvane.llm.common import WORD_BYTES, as_bytes, bounded_batches
 
 WINDOW = 10
 #: Windows whose tables are held in a task at once. Larger benchmarks are searched block by block.
@@ -167,6 +167,7 @@ def benchmark_hits(
     item without words or with a null id matches nothing; repeated items each
     count by their id.
     """
+    bounded_batches(docs.sparkSession)
     windows = pattern_windows(benchmark, item_id, item_text, window)
     n_blocks = max(1, -(-windows.count() // max_windows))
     found = []

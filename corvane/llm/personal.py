@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from corvane.llm.common import as_texts, stored
+from corvane.llm.common import as_texts, bounded_batches, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Rounds of scoring, distinct seed instances that a pattern needs, and the score from which either counts.
@@ -190,6 +190,7 @@ def personal_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Every text is read once; its mentions are stored, and the rounds work on
     those. Repeated ids keep a row each.
     """
+    bounded_batches(docs.sparkSession)
     rows = stored(
         docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), mentions(F.col(text)).alias("found")), "mentions"
     )

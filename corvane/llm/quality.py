@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from corvane.llm.common import as_bytes, crc_mod
+from corvane.llm.common import as_bytes, bounded_batches, crc_mod
 
 FOLDS = 5
 THRESHOLD = 0.3
@@ -202,6 +202,7 @@ def score_of_text(model: Discriminant, text: Column) -> Column:
 
 def features_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, features) of every row."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), statistics(F.col(text)).alias("features"))
 
 
@@ -216,5 +217,6 @@ def fit_on(features: DataFrame, labels: DataFrame, label: str = "quality") -> Di
 
 def accepted(docs: DataFrame, model: Discriminant, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``. Columns stay as they are."""
+    bounded_batches(docs.sparkSession)
     name = "__score"
     return docs.withColumn(name, score_of_text(model, F.col(text))).where(F.col(name) >= threshold).drop(name)

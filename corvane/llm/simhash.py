@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from corvane.llm.common import LOWER_ASCII, as_bytes, connected_components, cut
+from corvane.llm.common import LOWER_ASCII, as_bytes, bounded_batches, connected_components, cut
 
 SHINGLE = 3
 SEED = 42
@@ -124,6 +124,7 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     with its class but names none; a class of null ids alone stays by itself
     with a null component. Repeated rows each give a row.
     """
+    bounded_batches(docs.sparkSession)
     prints = cut(docs.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprint(F.col(text)).alias("fp")))
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
     named = classes.where(F.col("node").isNotNull())
