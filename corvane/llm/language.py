@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from corvane.llm.common import as_texts, crc_mod
+from corvane.llm.common import as_texts, bounded_batches, crc_mod, cut
 
 FOLDS, HELD_OUT = 3, 1
 UNDETERMINED = "und"
 GRAM = 5
 #: Rows of a language that n-grams are learned from: those with the smallest hashes of their ids.
 SAMPLE_ROWS = 2000
+#: Languages up to which their row counts and sampled ids are broadcast; with more, they meet the documents in a shuffle.
+BROADCAST_LANGUAGES = 200
 #: The least share of a language's n-grams that puts one into the filter; so at most 1 / MIN_SHARE are.
 MIN_SHARE = 1e-5
 SLOT_BITS = 20
@@ -90,10 +92,18 @@ class LanguageFilter:
 
 def sampled(docs: DataFrame, doc_id: str, lang: str, rows: int) -> DataFrame:
     """Ids of at most ``rows`` training rows of each language, those with the smallest hashes."""
-    known = docs.where(F.col(lang).isNotNull() & (F.coalesce(crc_mod(doc_id, FOLDS), F.lit(0)) != HELD_OUT))
+    known = docs.where(F.col(lang).isNotNull() & (F.coalesce(crc_mod(doc_id, FOLDS), F.lit(0)) != HELD_OUT)).select(
+        F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id)).alias("hash")
+    )
+    # a share of the hashes that holds somewhat more rows than wanted, so that what is ranked is bounded too
+    sizes = cut(known.groupBy("lang").agg(F.count("*").alias("n")))
+    if sizes.count() <= BROADCAST_LANGUAGES:
+        sizes = F.broadcast(sizes)
+    low = (F.col("hash") / float(1 << 64) + 0.5) * F.col("n") <= rows + 10 * rows**0.5
     place = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id"))
     return (
-        known.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id)).alias("hash"))
+        known.join(sizes, "lang")
+        .where(low)
         .withColumn("place", place)
         .where(F.col("place") <= rows)
         .select("lang", "doc_id")
@@ -113,9 +123,12 @@ def learn(
     languages are left out; without any training row there are no languages, and
     all predictions are undetermined.
     """
-    chosen = sampled(docs, doc_id, lang, rows)
+    bounded_batches(docs.sparkSession)
+    chosen = cut(sampled(docs, doc_id, lang, rows))
+    if chosen.count() <= BROADCAST_LANGUAGES * rows:
+        chosen = F.broadcast(chosen)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), ["doc_id", "lang"], "left_semi"
+        chosen, ["doc_id", "lang"], "left_semi"
     )
 
     def counted(batches):
@@ -160,6 +173,7 @@ _TYPE = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField(
 
 def predicted(spark, model: LanguageFilter, text: Column) -> Column:
     """A struct column: lang_pred and score (0 to 1) of each whole text. Null or without a letter: und, 0."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @arrow_udf(_TYPE)
