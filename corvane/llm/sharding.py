@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 N_SHARDS = 8
 #: Rows of a shard that are numbered in one task.
-ROWS_PER_RANGE = 250_000
+ROWS_PER_RANGE = 20_000
 
 #: Fixed value: the generator's multiplier.
 MULTIPLIER = 2862933555777941757
@@ -74,14 +74,14 @@ def sharded(
     """``docs`` with size, text_crc32, law, shard, slot and grown_shard (which replace columns of their names).
 
     The law is ``key``: id and number of shards decide. size is the UTF-8 bytes of
-    the text plus 1, a null text has none and crc 0. Slots run from 0 in each
-    shard in the order of id (null as 0) and text_crc32; between rows that are equal in
-    both, chance decides.
-
-    Numbering needs no shard in one task. Quantiles of the ids (one pass over
-    that column, reduced to a bounded list) cut them into ranges; an id that
-    fills several quantiles is cut further by its text_crc32. Each range of a
-    shard is numbered by itself and begins at the sum of the counts before it.
+    the text plus 1, a null text has none and crc 0. A null id counts as 0.
+
+    Slots run from 0 in each shard. No shard is numbered in one task: a hash of id
+    and text_crc32 cuts it into ranges of about ``rows_per_range`` rows, whatever
+    the distribution of the ids, each is numbered by itself in the order of id and
+    text_crc32, and begins at the sum of the counts before it. Up to
+    ``rows_per_range`` rows a shard that is one range. Rows that repeat both id and
+    text are interchangeable and stay in one range.
     """
     added = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
     key = shard_key(docs, doc_id)
@@ -94,20 +94,10 @@ def sharded(
             "grown_shard": jump_hash(F.col("__id"), n_shards + 1),
         }
     )
-    ids = docs.select(key.alias("__id"))
-    n_rows = ids.count()
-    n_ranges = max(1, -(-n_rows // (n_shards * rows_per_range)))
-    cuts = []
-    if n_ranges > 1:
-        shares = ", ".join(repr(i / n_ranges) for i in range(1, n_ranges))
-        cuts = ids.agg(F.expr(f"approx_percentile(__id, array({shares}), {20 * n_ranges})").alias("q")).head().q
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.expr("cast(array() as array<bigint>)")
-    same = F.size(F.filter(bounds, lambda x: x == F.col("__id")))
-    place = F.struct(
-        F.size(F.filter(bounds, lambda x: x <= F.col("__id"))).alias("range"),
-        F.when(same > 0, F.floor(F.col("text_crc32") * same / float(1 << 32))).otherwise(n_ranges).cast("int").alias("part"),
-    )
-    rows = rows.withColumn("__place", place)
+    n_ranges = max(1, -(-docs.count() // (n_shards * rows_per_range)))
+    # the hash's upper bits as a share of all, so that ranges need no bounds
+    share = F.shiftrightunsigned(F.xxhash64("__id", "text_crc32"), 11) / float(1 << 53)
+    rows = rows.withColumn("__place", F.floor(share * n_ranges).cast("int"))
     counts = rows.groupBy("shard", "__place").agg(F.count("*").alias("n"))
     offsets = counts.withColumn(
         "__before", F.expr("coalesce(sum(n) over (partition by shard order by __place rows between unbounded preceding and 1 preceding), 0)")

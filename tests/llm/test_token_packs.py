@@ -18,18 +18,18 @@ def plain_ids(text):
     return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 2]
 
 
-@pytest.mark.parametrize("text", ["", "a<|endoftext|>b", "  \t a b\nc  ", "É ́e", "ΣΑΣ ΟΔΟΣ.", "don't DON'T", "\U0001f600 x‍y", "\x1c a\x1fb", "a  b c", "x" * 5000])
+@pytest.mark.parametrize("text", ["", "a<|endoftext|>b", "  \t a b\nc  ", "É ́e", "ΣΑΣ ΟΔΟΣ.", "don't DON'T", "\U0001f600 x‍y", "\x1c a\x1fb", "a  b c", "x" * 5000, "ÀÉ×÷ß_^~`|{}", "İstanbul ſtraße Ǆ ŉ", "A.b,C...d--e!!?!", "mix\u2026. o'clock 's ''ll"])
 def test_words_end_to_end_equal_the_text(text):
     e = K.WordEncoder(PATH)
     assert np.frombuffer(e.encode(text), e.kind).tolist() == plain_ids(text)
 
 
-def test_remembered_words_are_bounded(monkeypatch):
-    monkeypatch.setattr(K, "REMEMBERED_WORDS", 3)
+def test_remembered_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(K, "REMEMBERED_PIECES", 3)
     e = K.WordEncoder(PATH)
     for k in range(20):
-        e.encode(f"a{k} b{k}")
-    assert len(e.known) <= 3 + 3
+        assert np.frombuffer(e.encode(f"a{k} b{k} it's"), e.kind).tolist() == plain_ids(f"a{k} b{k} it's")
+    assert len(e.pieces) <= 3 + 12
 
 
 def test_round_trip(spark, make_docs, hard_rows):
@@ -71,3 +71,21 @@ def test_query(spark, sf):
         if d % 10 == 0:
             assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d, start, len(ids), zlib.crc32(ids.tobytes()))
         start += r.n_tokens
+
+
+def test_all_plain_characters():
+    e = K.WordEncoder(PATH)
+    letters = [chr(c) for c in range(0x21, 0x180) if K._PLAIN.fullmatch(chr(c))]
+    text = " ".join(a + b for a in letters for b in "aZ9.!é") + " ".join(letters) + "".join(letters)
+    assert np.frombuffer(e.encode(text), e.kind).tolist() == plain_ids(text)
+
+
+def test_batches_with_nulls_slices_and_special_tokens(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(K, "GATHER_WORDS", 4)
+    texts = ["drop", None, "", "a b  c", "x <|endoftext|> y", "one two three four five six", "it's", "\u00e9t\u00e9\nz", "last"]
+    e = K.WordEncoder(PATH)
+    got = [np.frombuffer(b, e.kind).tolist() for b in e.encode_texts(pa.array(texts)[1:])]
+    assert got == [plain_ids(t) for t in texts[1:]]
+    assert list(e.encode_texts(pa.array([], pa.string()))) == []
