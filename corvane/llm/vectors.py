@@ -15,7 +15,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,16 +43,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(vec_id, v, dim) of vectors without null or non-finite components and not zero."""
-    v = F.col("v")
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return (
-        vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"))
-        .where(v.isNotNull() & (F.size(v) > 0))
-        .where(fine)
-        .withColumn("dim", F.size(v))
-    )
+def is_usable(v: Column) -> Column:
+    """Whether a vector has components, none of them null or non-finite and not all zero; null has none."""
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce((F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
 def choose_pivots(sample: np.ndarray, n_rows: int, radius: float) -> np.ndarray:
@@ -203,14 +197,15 @@ def vector_components(
     members and, with all of them, to the classes linked to its own. Vectors that
     are null, empty, zero, or hold null or non-finite components link with
     nothing, and so do vectors of different dimensions. Repeated ids are joined
-    into one component; a null id counts as a link but names no component.
+    into one component. A null id counts as a member of its class but names no
+    component; a class of null ids alone is linked with no other.
     """
     kind = vectors.schema[embedding].dataType
     element = "float" if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else "double"
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast(f"array<{element}>").alias("v"))
-    good = usable(rows, "vec_id", "v")
+    good = rows.where(is_usable(F.col("v")))
     classes = stored(
-        good.groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("dim").alias("dim")), "vectors"
+        good.groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first(F.size("v")).alias("dim")), "vectors"
     )
     dims = [r.dim for r in classes.select("dim").distinct().collect()]
     partial = None
@@ -225,8 +220,6 @@ def vector_components(
     named = classes.join(summed, "node", "left").join(labels, "node", "left").select(
         F.col("v").alias("__v"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id")
     )
-    ok = usable(rows, "vec_id", "v").select("vec_id", "v").join(named, F.col("v") == F.col("__v")).select("vec_id", "n_links", "component_id")
-    bad = rows.join(good.select(F.col("v").alias("__v")).distinct(), F.col("v") == F.col("__v"), "left_anti").select(
-        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
-    )
+    ok = good.join(named, F.col("v") == F.col("__v")).select("vec_id", "n_links", "component_id")
+    bad = rows.where(~is_usable(F.col("v"))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return ok.unionByName(bad).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
