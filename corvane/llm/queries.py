@@ -88,7 +88,7 @@ def op10_token_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     packs = _token_packs.write_packs(docs, scratch(spark, "packs"), public_tokenizers.path("word_bpe_49k.json"))
-    read = _token_packs.read_documents(spark, packs).select("doc_id", "part", "pack", "before", "n_tokens", _token_packs.crc32_of("ids").alias("ids_crc32"))
+    read = _token_packs.read_documents(spark, packs, checksums=True)
     return read.join(_token_packs.pack_starts(spark, packs), ["part", "pack"]).select(
         "doc_id", (F.col("at") + F.col("before")).cast("long").alias("start"), "n_tokens", "ids_crc32"
     )

@@ -12,59 +12,144 @@ output, so a lost executor leaves no half-written pack, and any store works.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from corvane.llm.common import as_texts
+from corvane.llm.common import BATCH_BYTES, bounded_batches, stored
 
 END_ID = 2
 #: Documents (whole) that the dictionary is trained on, those with the smallest hashes of their ids, and its size.
 TRAINING_DOCUMENTS, DICTIONARY_BYTES = 512, 65_536
 LEVEL = 3
 #: Bytes of frames after which a pack is closed.
-PACK_BYTES = 1 << 20
+PACK_BYTES = 1 << 18
 #: Documents in an id range, which one task orders and packs.
 DOCUMENTS_PER_RANGE = 20_000
-#: Words whose ids a worker remembers before it starts over.
-REMEMBERED_WORDS = 400_000
+#: Pieces of words whose ids a worker remembers before it drops the older half.
+REMEMBERED_PIECES = 200_000
+#: Distinct words that are looked up, and words whose ids are put in place, at once.
+DISTINCT_WORDS, GATHER_WORDS = 50_000, 100_000
+#: Pieces that are encoded in one call.
+CALL_PIECES = 2_000
 
+#: Precomposed Latin letters whose lower case is one letter of them, ASCII digits and marks other than the apostrophe:
+#: in words of these the tokenizer parts letters, single digits and runs of marks, and nothing else.
+_LETTERS = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_MARKS = r"\x21-\x26\x28-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e"
+_PLAIN = re.compile(rf"[{_LETTERS}0-9{_MARKS}\n]*")
+_PIECES = re.compile(rf"[{_LETTERS}]+|[0-9]|[{_MARKS}]+|\n")
 
-class WordEncoder:
-    """Ids of whole texts as bytes, with the ids of words remembered.
 
-    The tokenizer drops white space and never joins pieces across it, so a text's
-    ids are those of its words end to end. Only words that the worker hasn't met
-    are encoded.
+def _halved(known: dict, limit: int) -> None:
+    if len(known) > limit:
+        for key in list(islice(known, len(known) // 2)):
+            del known[key]
+
+
+class WordEncoder:
+    """Ids of whole texts as bytes, made from the distinct words of a batch, with the ids of pieces remembered.
+
+    The tokenizer drops white space and never joins tokens across it, nor across
+    the edges of a plain word's pieces, so a text's ids are those of its pieces
+    end to end. Only pieces that the worker hasn't met are encoded, many in a
+    call; the last id of a piece is one that ends a piece, which parts them
+    again. Words of other characters are encoded as they are, and texts that may
+    hold special tokens as a whole.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        wide = self.tokenizer.get_vocab_size() > 1 << 16 or end_id >= 1 << 16
-        self.kind = np.dtype("<u4" if wide else "<u2")
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        top = max(vocabulary.values(), default=0)
+        self.kind = np.dtype("<u4" if max(top, end_id) >= 0xFF00 else "<u2")
+        self.end_id = end_id
+        #: Between words: no id has a high byte of 255, so it is found nowhere else.
+        self.gap = b"\xff" * self.kind.itemsize
+        self.ends_piece = np.zeros(top + 1, bool)
+        self.ends_piece[[k for word, k in vocabulary.items() if word.endswith("</w>")]] = True
+        self.pieces: dict[str, bytes] = {}
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        known, width = self.pieces, self.kind.itemsize
+        for k in range(0, len(pieces), CALL_PIECES):
+            part = pieces[k : k + CALL_PIECES]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ends = (np.nonzero(self.ends_piece[ids])[0] + 1) * width
+            if len(ends) != len(part):  # not a vocabulary of this kind
+                known.update((p, self._encoded(p)) for p in part)
+                continue
+            data, begin = ids.tobytes(), 0
+            for piece, end in zip(part, ends.tolist(), strict=True):
+                known[piece] = data[begin:end]
+                begin = end
+
+    def _ids_of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
+        plain, joined, other = words, "\n".join(words), {}
+        if not _PLAIN.fullmatch(joined):
+            other = {w: self._encoded(w) for w in words if not _PLAIN.fullmatch(w)}
+            plain = [w for w in words if w not in other]
+            joined = "\n".join(plain)
+        _halved(self.pieces, REMEMBERED_PIECES)
+        known = self.pieces
+        known["\n"] = self.gap
+        pieces = _PIECES.findall(joined.lower())
+        self._learn_pieces([p for p in set(pieces) if p not in known])
+        found = b"".join(map(known.__getitem__, pieces)).split(self.gap) if plain else []
+        if not other:
+            return found
+        ids = dict(zip(plain, found, strict=True)) | other
+        return [ids[w] for w in words]
+
+    def encode_texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, ``end_id`` last; null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        special = np.asarray(pc.match_substring(texts, "<|"))
+        plain = pc.if_else(pa.array(special), "", texts) if special.any() else texts
+        split = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
+        begins = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values[begins[0] : begins[-1]].dictionary_encode()
+        begins -= begins[0]
+        ids: list[bytes] = []
+        for k in range(0, len(coded.dictionary), DISTINCT_WORDS):
+            ids += self._ids_of_words(coded.dictionary[k : k + DISTINCT_WORDS].to_pylist())
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        starts = np.cumsum(lengths) - lengths
+        store, at = np.frombuffer(b"".join(ids), self.kind), coded.indices.to_numpy()
+        row = 0
+        while row < len(texts):  # a few texts at a time, so that the index of ids stays small
+            stop = max(row + 1, int(np.searchsorted(begins, begins[row] + GATHER_WORDS, "right")) - 1)
+            words = at[begins[row] : begins[stop]]
+            n = lengths[words]
+            ends = np.cumsum(n)
+            placed = store[np.repeat(starts[words] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+            cuts = np.concatenate([[0], ends])[begins[row : stop + 1] - begins[row]]
+            for k in range(row, stop):
+                if special[k]:
+                    yield self._encoded(texts[k].as_py()) + np.array([self.end_id], self.kind).tobytes()
+                else:
+                    yield np.append(placed[cuts[k - row] : cuts[k - row + 1]], self.kind.type(self.end_id)).tobytes()
+            row = stop
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        known = self.known
-        if missing := [w for w in set(words) if w not in known]:
-            for k in range(0, len(missing), 10_000):
-                part = missing[k : k + 10_000]
-                for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                    known[word] = np.array(found.ids, self.kind).tobytes()
-        return b"".join(map(known.__getitem__, words)) + self.end
+        return next(self.encode_texts(pa.array([text], pa.string())))
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
@@ -96,7 +181,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str, en
     @arrow_udf(T.BinaryType())
     def serialized(texts: pa.Array) -> pa.Array:
         enc = encoder(tokenizer, end_id)
-        return pa.array([enc.encode(t) for t in as_texts(texts)], pa.binary())
+        return pa.array(list(enc.encode_texts(texts)), pa.binary())
 
     sample = docs.where(F.col(doc_id).isin(ids)).dropDuplicates([doc_id]).orderBy(doc_id).select(serialized(F.col(text)).alias("b"))
     samples = [bytes(r.b) for r in sample.toLocalIterator()]
@@ -123,12 +208,13 @@ def write_packs(
     """Encodes every whole text (null: empty), appends ``end_id`` and writes packs in ascending order of the id.
 
     ``doc_id`` is a whole number; null ids come first, and repeated ids follow
-    each other. Texts are encoded and compressed where they are read, and only
-    frames move. Quantiles of the ids cut them into ranges of about
-    ``documents_per_range`` rows, so no sampling pass encodes anything twice; a
-    range is ordered by one task and leaves it pack by pack.
+    each other. Texts are encoded and compressed where they are read. The frames
+    are stored, so that the sampling of ranges reads ids alone and encodes nothing
+    twice; then a range sort by id orders them, and each task leaves its range
+    pack by pack. Rows of one id may fall into several ranges.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     dictionary = train_dictionary(docs, tokenizer, doc_id, text, end_id)
     sha = hashlib.sha256(dictionary).hexdigest()
     shared = spark.sparkContext.broadcast(dictionary)
@@ -140,23 +226,14 @@ def write_packs(
     def framed(texts: pa.Array) -> pa.Array:
         enc = encoder(tokenizer, end_id)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shared.value))
-        bodies = [enc.encode(t) for t in as_texts(texts)]
-        return pa.StructArray.from_arrays(
-            [pa.array([press.compress(b) for b in bodies], pa.binary()), pa.array([len(b) // enc.kind.itemsize for b in bodies], pa.int64())],
-            ["frame", "n"],
-        )
+        frames, counts = [], []
+        for body in enc.encode_texts(texts):
+            frames.append(press.compress(body))
+            counts.append(len(body) // enc.kind.itemsize)
+        return pa.StructArray.from_arrays([pa.array(frames, pa.binary()), pa.array(counts, pa.int64())], ["frame", "n"])
 
-    n_rows = docs.count()
-    n_ranges = max(1, -(-n_rows // documents_per_range))
-    cuts: list[int] = []
-    if n_ranges > 1:
-        shares = ", ".join(repr(k / n_ranges) for k in range(1, n_ranges))
-        q = docs.agg(F.expr(f"approx_percentile(cast(`{doc_id}` as bigint), array({shares}), {20 * n_ranges})").alias("q")).head().q
-        cuts = sorted(set(q or []))
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.expr("cast(array() as array<bigint>)")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), framed(F.col(text)).alias("f")).select(
-        "doc_id", F.size(F.filter(bounds, lambda b: b <= F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))).alias("part"), "f.frame", "f.n"
-    )
+    rows = stored(docs.select(F.col(doc_id).cast("long").alias("doc_id"), framed(F.col(text)).alias("f")).select("doc_id", "f.frame", "f.n", F.xxhash64("f.frame").alias("tie")), "frames")
+    n_ranges = max(1, -(-rows.count() // documents_per_range))
 
     def packed(batches):
         ids: list = []
@@ -188,9 +265,11 @@ def write_packs(
         if frames:
             yield pack()
 
-    by_range = rows.repartition(n_ranges, "part") if n_ranges > 1 else rows.coalesce(1)
+    order = ("doc_id", "tie")
     packs = (
-        by_range.sortWithinPartitions("part", "doc_id", F.xxhash64("frame"))
+        rows.repartitionByRange(n_ranges, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("part", F.spark_partition_id())
         .select("part", "doc_id", "frame", "n")
         .mapInArrow(packed, "part int, pack int, dictionary_sha256 string, doc_ids array<bigint>, ends array<bigint>, counts array<bigint>, frames binary")
     )
@@ -208,48 +287,49 @@ def _load_dictionary(spark: SparkSession, packs: TokenPacks) -> bytes:
     return data
 
 
-def read_documents(spark: SparkSession, packs: TokenPacks, doc_ids: list[int] | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, packs: TokenPacks, doc_ids: list[int] | None = None, checksums: bool = False) -> DataFrame:
     """(doc_id, part, pack, before, n_tokens, ids binary) of all documents, or of those with the given ids.
 
-    ``before`` counts the ids of the pack's earlier documents. For given ids only packs whose range may hold them are read, and only the
-    frames at their offsets are decompressed. ids are little-endian unsigned
-    32-bit integers.
+    ``before`` counts the ids of the pack's earlier documents. For given ids only
+    packs whose range may hold them are read, and only the frames at their
+    offsets are decompressed. ids are little-endian unsigned 32-bit integers;
+    ``checksums`` gives ids_crc32 (unsigned, of all those bytes) in their place.
     """
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(_load_dictionary(spark, packs))
-    stored = spark.read.parquet(f"{packs.path}/packs")
+    packed = spark.read.parquet(f"{packs.path}/packs")
     wanted = None if doc_ids is None else frozenset(doc_ids)
     if doc_ids is not None:
         hit = F.lit(False)
         for d in doc_ids:
             hit = hit | ((F.col("first_id") <= d) & (F.col("last_id") >= d))
-        stored = stored.where(hit)
-    kind = packs.id_type
+        packed = packed.where(hit)
+    last = pa.field("ids_crc32", pa.int64()) if checksums else pa.field("ids", pa.binary())
+    schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("pack", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()), last])
 
     def unpacked(batches):
         press = zstandard.ZstdDecompressor(dict_data=_dictionary(shared.value))
         for batch in batches:
             for r in range(batch.num_rows):
-                part, number, sha, ids, ends, counts, frames = (batch.column(k)[r] for k in range(7))
-                if sha.as_py() != packs.dictionary_sha256:
+                part, number, sha, ids, ends, counts = (batch.column(k)[r].as_py() for k in range(6))
+                if sha != packs.dictionary_sha256:
                     raise ValueError("a pack names another dictionary")
-                body, begin, before, out, held = memoryview(frames.as_buffer()), 0, 0, [], 0
-                listed = list(zip(ids.as_py(), ends.as_py(), counts.as_py(), strict=True))
-                for place, (d, end, n) in enumerate(listed):
+                body, begin, before, rows, held = memoryview(batch.column(6)[r].as_buffer()), 0, 0, [], 0
+                for d, end, n in zip(ids, ends, counts, strict=True):
                     if wanted is None or d in wanted:
-                        data = np.frombuffer(press.decompress(body[begin:end]), kind).astype("<u4").tobytes()
-                        out.append((d, before, n, data))
-                        held += len(data)
+                        data = np.frombuffer(press.decompress(body[begin:end]), packs.id_type).astype("<u4").tobytes()
+                        rows.append((d, part, number, before, n, zlib.crc32(data) if checksums else data))
+                        held += 0 if checksums else len(data)
                     begin, before = end, before + n
-                    if held > 1 << 23 or place == len(listed) - 1:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([o[0] for o in out], pa.int64()), pa.array([part.as_py()] * len(out), pa.int32()), pa.array([number.as_py()] * len(out), pa.int32()),
-                             pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.binary())],
-                            ["doc_id", "part", "pack", "before", "n_tokens", "ids"],
-                        )
-                        out, held = [], 0
+                    if held > BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                        rows, held = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     columns = ["part", "pack", "dictionary_sha256", "doc_ids", "ends", "counts", "frames"]
-    return stored.select(*columns).mapInArrow(unpacked, "doc_id bigint, part int, pack int, before bigint, n_tokens bigint, ids binary")
+    kind = "ids_crc32 bigint" if checksums else "ids binary"
+    return packed.select(*columns).mapInArrow(unpacked, f"doc_id bigint, part int, pack int, before bigint, n_tokens bigint, {kind}")
 
 
 def pack_starts(spark: SparkSession, packs: TokenPacks) -> DataFrame:
@@ -264,8 +344,3 @@ def pack_starts(spark: SparkSession, packs: TokenPacks) -> DataFrame:
     )
     inside = F.expr("coalesce(sum(n_ids) over (partition by part order by pack rows between unbounded preceding and 1 preceding), 0)")
     return index.withColumn("pack_at", inside).join(before, "part").select("part", "pack", (F.col("range_at") + F.col("pack_at")).alias("at"))
-
-
-@arrow_udf(T.LongType())
-def crc32_of(ids: pa.Array) -> pa.Array:
-    return pa.array([zlib.crc32(x) for x in ids.to_pylist()], pa.int64())
