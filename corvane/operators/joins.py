@@ -131,3 +131,8 @@ def resolved_tokens(lines: DataFrame, keys: list[str], line: str, units: DataFra
         F.when((F.col("before") != "") & F.col("is_unit"), "tag call").when((F.col("after") == "(") & F.col("is_store"), "store").when(F.col("is_unit"), "unit").when(F.col("is_store"), "store").otherwise("unknown")
     )
     return found.join(u, "token", "left").join(s, "token", "left").select(*keys, "token", kind.alias("kind")).distinct()
+
+
+def same_name(left: DataFrame, right: DataFrame, name: str, other: str) -> DataFrame:
+    """Rows of both sides whose names are equal in upper case; null names match nothing."""
+    return left.join(right, F.upper(F.col(name)) == F.upper(F.col(other)))

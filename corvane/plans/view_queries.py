@@ -246,3 +246,31 @@ def wide_export(t: Tables) -> DataFrame:
     return rows.select(
         "l_orderkey", "l_linenumber", "o_orderstatus", "o_orderpriority", "c_name", "c_mktsegment", "customer_nation", "p_name", "p_brand", "s_name", "supplier_nation", (F.col("c_nationkey") != F.col("s_nationkey")).alias("crossing")
     )
+
+
+@query("""SELECT n_nationkey, lower(n_name) AS grp, c.customers FROM nation JOIN (SELECT n_name AS reg, count(*) AS customers FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1) c ON upper(c.reg) = upper(n_name)""")
+def name_join(t: Tables) -> DataFrame:
+    """Groups in lower case against a registry in upper case."""
+    groups = t.nation.select("n_nationkey", F.lower("n_name").alias("grp"))
+    registry = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.upper("n_name").alias("reg")).agg(F.count("*").alias("customers"))
+    return J.same_name(groups, registry, "grp", "reg").select("n_nationkey", "grp", "customers")
+
+
+@query("""WITH x AS (SELECT c_custkey, coalesce(n, 0) AS ptr_in, c_nationkey % 3 AS ptr_out, coalesce(n, 0) * 100 AS records, c_nationkey % 5 AS audited, c_acctbal < -500 AS no_delete, c_nationkey % 4 AS depth, c_custkey % 4 AS word_fields
+  FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey)
+SELECT c_custkey, CASE WHEN ptr_in = 0 AND ptr_out = 0 AND records < 100 THEN 'H-19' WHEN audited >= 3 THEN 'H-24' WHEN no_delete THEN 'H-26' WHEN audited = 0 AND records < 500 THEN 'H-29' WHEN depth >= 3 THEN 'H-30'
+  WHEN word_fields >= 3 THEN 'H-31' WHEN records < 5000 THEN 'H-44' WHEN c_custkey < 2 THEN 'H-49' END AS method,
+  CASE WHEN ptr_in = 0 AND ptr_out = 0 AND records < 100 THEN 'S' WHEN audited >= 3 THEN 'P' WHEN no_delete THEN 'P' WHEN audited = 0 AND records < 500 THEN 'K' WHEN depth >= 3 THEN 'P'
+  WHEN word_fields >= 3 THEN 'P' WHEN records < 5000 THEN 'K' WHEN c_custkey < 2 THEN 'S' END AS label FROM x""")
+def specified_rule_cascade(t: Tables) -> DataFrame:
+    """Customers as record types: the rules that are specified alone, over derived features."""
+    n = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
+    none, zero = F.lit(False), F.lit(0)
+    made = t.customer.join(n, "c_custkey", "left").select(
+        "c_custkey", F.col("c_custkey").cast("string").alias("number"), F.coalesce("n", zero).alias("ptr_in"), (F.col("c_nationkey") % 3).alias("ptr_out"), (F.coalesce("n", zero) * 100).alias("records"),
+        (F.col("c_nationkey") % 5).alias("audited"), (F.col("c_acctbal") < -500).alias("no_delete"), (F.col("c_nationkey") % 4).alias("depth"), (F.col("c_custkey") % 4).alias("word_fields"),
+        *[none.alias(c) for c in ("first_is_date", "is_subfile", "created", "no_write", "dinum", "trigger_to_p", "open_laygo")],
+        *[zero.alias(c) for c in ("computed", "print_templates", "input_templates", "forms")],
+        F.lit(0.0).alias("set_share"), F.lit(0.0).alias("p_referrers"), F.lit(10).alias("fields"), F.array(F.lit("B")).alias("xrefs"), F.lit("").alias("write_access"), F.lit("").alias("delete_access"),
+    )
+    return R.labelled(made, R.specified_rules()).select("c_custkey", "method", "label")
