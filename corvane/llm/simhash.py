@@ -146,5 +146,7 @@ def near_duplicates_removed(docs: DataFrame, doc_id: str = "doc_id", text: str =
         .select(F.col("doc_id").alias("__keep"))
         .distinct()
     )
-    kept = docs.join(keep, F.col(doc_id).cast("long").eqNullSafe(F.col("__keep")), "left_semi")
-    return kept.dropDuplicates([doc_id])
+    # a plain equi-join on the id, whose shuffle also serves the removal of repeats; null ids go apart
+    named = docs.join(keep.withColumnRenamed("__keep", doc_id), doc_id, "left_semi")
+    unnamed = docs.where(F.col(doc_id).isNull()).join(F.broadcast(keep.where("__keep is null").limit(1).select(F.lit(1))), F.lit(True), "left_semi")
+    return named.dropDuplicates([doc_id]).unionByName(unnamed.dropDuplicates([doc_id]))
