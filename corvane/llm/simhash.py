@@ -115,38 +115,50 @@ def close_fingerprints(prints: DataFrame, fp: str, node: str, segments: int = SE
     )
 
 
+def class_components(classes: DataFrame, segments: int = SEGMENTS) -> DataFrame:
+    """(fp, component) of each row of ``classes``, which has a row per distinct fingerprint.
+
+    A component is named by its smallest fingerprint, so neither a missing id nor
+    a repeated one can part or join classes.
+    """
+    linked = connected_components(close_fingerprints(classes, "fp", "fp", segments)).withColumnRenamed("node", "fp")
+    return classes.select("fp").join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", segments: int = SEGMENTS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp (signed long), component_id.
 
-    Rows with equal fingerprints form a class, named by its smallest id; only
-    classes are joined, so groups of copies never become pairs. Null and wordless
-    texts have fingerprint zero and link like any other. A null id takes part
-    with its class but names none; a class of null ids alone stays by itself
-    with a null component. Repeated rows each give a row.
+    Rows with equal fingerprints form a class; only classes are joined, so groups
+    of copies never become pairs. Null and wordless texts have fingerprint zero
+    and link like any other. component_id is the smallest id of the component;
+    rows without an id link like any other, and a component of such rows alone
+    has a null component_id. Rows that share an id but no close text stay in
+    components of their own, which may then bear the same id. Repeated rows each
+    give a row.
     """
     bounded_batches(docs.sparkSession)
     prints = cut(docs.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprint(F.col(text)).alias("fp")))
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    named = classes.where(F.col("node").isNotNull())
-    # an id that names several classes (repeated ids) joins them into one component
-    links = close_fingerprints(named, "fp", "node", segments)
-    labels = connected_components(links)
-    classes = classes.join(labels, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    labels = cut(class_components(classes, segments))
+    lowest = classes.join(labels, "fp").groupBy("component").agg(F.min("low").alias("component_id"))
+    return prints.join(labels.join(lowest, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def near_duplicates_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id.
+    """``docs`` with one row of each component, with or without ids.
 
-    Of rows that repeat that id, one stays. Columns stay as they are.
+    It is the one with the smallest id, a missing id last; ties go by the
+    fingerprint and then by a digest of the row, so that a rerun keeps the same.
+    Rows that are equal in all columns count as one. Columns stay as they are.
     """
-    keep = (
-        simhash_components(docs, doc_id, text)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("__keep"))
-        .distinct()
-    )
-    # a plain equi-join on the id, whose shuffle also serves the removal of repeats; null ids go apart
-    named = docs.join(keep.withColumnRenamed("__keep", doc_id), doc_id, "left_semi")
-    unnamed = docs.where(F.col(doc_id).isNull()).join(F.broadcast(keep.where("__keep is null").limit(1).select(F.lit(1))), F.lit(True), "left_semi")
-    return named.dropDuplicates([doc_id]).unionByName(unnamed.dropDuplicates([doc_id]))
+    bounded_batches(docs.sparkSession)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    body = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    digest = F.unhex(F.sha2(F.concat(F.to_json(F.struct(*rest)), F.col(text).isNull().cast("string"), body), 256))
+    prints = cut(docs.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprint(F.col(text)).alias("fp"), digest.alias("row")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    classes = cut(prints.groupBy("fp").agg(first))
+    best = F.min(F.struct("first.unnamed", "first.doc_id", "fp", "first.row"))
+    keep = classes.join(class_components(classes), "fp").groupBy("component").agg(best.alias("best")).select(F.col("best.row").alias("__row"))
+    # a plain equi-join on the digest, whose shuffle also serves the removal of repeats
+    return docs.withColumn("__row", digest).join(keep, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")

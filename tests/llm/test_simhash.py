@@ -80,6 +80,26 @@ def test_removal_keeps_one_of_each(spark, make_docs, hard_rows):
     assert ids.count(None) == 1  # the null id alone of its class
 
 
+def test_removal_loses_no_text_without_an_id_or_under_a_repeated_one(spark, make_docs):
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(500)]
+    texts = [" ".join(rng.choices(words, k=30)) for _ in range(14)]
+    rows = [(None, t) for t in texts[:10]] + [(None, texts[0]), (None, texts[12])]
+    rows += [(5, texts[10]), (5, texts[11]), (3, texts[11]), (7, texts[12]), (8, texts[12]), (9, texts[13]), (9, texts[13])]
+    want = sorted([(None, t) for t in texts[:10]] + [(5, texts[10]), (3, texts[11]), (7, texts[12]), (9, texts[13])], key=str)
+    for order in (rows, rows[::-1]):
+        kept = S.near_duplicates_removed(make_docs(order).repartition(3))
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == want
+    labels = {(r.doc_id, r.component_id) for r in S.simhash_components(make_docs(rows)).collect()}
+    assert labels == {(None, None), (None, 7), (5, 5), (5, 3), (3, 3), (7, 7), (8, 7), (9, 9)}
+
+
+def test_close_texts_without_ids_leave_one(spark, make_docs):
+    base = " ".join(f"w{k}" for k in range(2000))
+    close = next(t for t in (base + f" z{k}" for k in range(2000)) if 0 < (brute_fingerprint(base) ^ brute_fingerprint(t)).bit_count() <= 2)
+    assert S.near_duplicates_removed(make_docs([(None, base), (None, close)])).count() == 1
+
+
 def test_star_with_a_hub_and_a_chain(spark):
     edges = [(0, k) for k in range(1, 300)] + [(1000 + k, 1001 + k) for k in range(60)] + [(7, 7), (None, 3)]
     got = dict(connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
