@@ -54,6 +54,29 @@ def test_bootstrapping_discovers_what_context_shows(spark, make_docs):
     assert found[9001] == [] and len(found[9000]) == len(P.base_spans("room 4000111122223330 today is free"))
 
 
+def test_bootstrapping_discovers_unseen_forms(spark, make_docs):
+    texts = [f"for help phone me under +1 (743) 555-{k:04d} until noon" for k in range(40)] + [f"or mail our clerk n{k}@host.org for more" for k in range(40)]
+    unseen = {
+        100: ("phone", "(743) 555-3824", "for help phone me under {} until noon"),
+        101: ("phone", "555-3824", "for help phone me under {}, until noon"),
+        102: ("email", "name[at]host.com", "or mail our clerk {} for more"),
+        103: ("email", "name at host dot com", "or mail our clerk {} for more"),
+    }
+    none = [(200, "chapter (743) 555-3824 ended"), (201, "look at host dot com"), (202, "for help phone me under 12 until noon")]
+    docs = make_docs([*enumerate(texts), *((k, form.format(said)) for k, (_, said, form) in unseen.items()), *none])
+    rows = {r.doc_id: r for r in P.personal_spans(docs).collect()}
+    for k, text in enumerate(texts):
+        assert rows[k]["all"] == rows[k].base and len(rows[k].base) == 1, text
+    for k, (kind, said, form) in unseen.items():
+        at = form.index("{")
+        assert [tuple(s) for s in rows[k]["all"]] == [(kind, at, at + len(said))], said
+    assert all(rows[k]["all"] == [] for k, _ in none)
+
+
+def test_zeros_beyond_the_digits_of_int():
+    assert P.base_spans("0" * 5000 + ".1.2.3") == [("ip", 0, 5006)]
+
+
 def test_hard_rows(spark, make_docs, hard_rows):
     docs = make_docs([*hard_rows, (8, "a@b.co"), (8, "a@b.co")]).withColumn("kind", F.lit("x")).withColumn("row", F.lit(0))
     rows = P.personal_spans(docs).collect()
