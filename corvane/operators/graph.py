@@ -14,7 +14,8 @@ def nearest_labelled(tree: DataFrame, labels: DataFrame, max_depth: int = 64) ->
     ``tree`` is (id, parent), ``labels`` (id, label). The open nodes climb one
     level a round; settled ones leave the loop, so work shrinks with depth. A
     node whose parent is null, absent or itself is a root. Equal to the
-    sequential pass wherever a parent's number is below its child's.
+    sequential pass wherever a parent's number is below its child's. Nodes that
+    are open after ``max_depth`` levels raise an error.
     """
     tree, labels = cut(tree.select("id", "parent")), cut(labels.select("id", "label"))
     own = labels.select(F.col("id").alias("at"), "label")
@@ -27,11 +28,13 @@ def nearest_labelled(tree: DataFrame, labels: DataFrame, max_depth: int = 64) ->
         open_ = cut(seen.where(F.col("label").isNull()).select("id", "at").join(up, "at").where("next is not null and next <> at").select("id", F.col("next").alias("at")))
         if open_.isEmpty():
             break
+    else:
+        raise RuntimeError(f"nodes are still open after {max_depth} levels: the tree is deeper or has a cycle")
     return done
 
 
 def top_ancestor(tree: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(id, top): the root of each node's tree."""
+    """(id, top): the root of each node's tree. Nodes that are open after ``max_depth`` levels raise an error."""
     tree = cut(tree.select("id", "parent"))
     up = tree.select(F.col("id").alias("at"), F.col("parent").alias("next"))
     done, open_ = None, tree.select("id", F.col("id").alias("at"))
@@ -43,6 +46,8 @@ def top_ancestor(tree: DataFrame, max_depth: int = 64) -> DataFrame:
         open_ = cut(seen.where(~over).select("id", F.col("next").alias("at")))
         if open_.isEmpty():
             break
+    else:
+        raise RuntimeError(f"nodes are still open after {max_depth} levels: the tree is deeper or has a cycle")
     return done
 
 

@@ -80,6 +80,15 @@ def test_propagation_rules(spark):
     assert got[9] == ("S", "H-39", 1) and 8 not in got
 
 
+def test_deeper_trees_raise(spark):
+    tree = table(spark, [(1, None), *((k, k - 1) for k in range(2, 7))], "id bigint, parent bigint")
+    labels = table(spark, [(1, "x")], "id bigint, label string")
+    for climb in (lambda n: G.nearest_labelled(tree, labels, n), lambda n: G.top_ancestor(tree, n)):
+        assert climb(6).count() == 6
+        with pytest.raises(RuntimeError):
+            climb(4)
+
+
 def test_reachability_depths(spark):
     edges = table(spark, [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5)], "source bigint, target bigint")
     got = {(r.node, r.depth) for r in G.reachable(edges, table(spark, [(1,)], "node bigint"), 3).collect()}
