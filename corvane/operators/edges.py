@@ -83,9 +83,9 @@ def degrees(edges: DataFrame, source: str, target: str, weight: str | None = Non
     return out.join(into, "node", "full").select("node", *zero)
 
 
-def callers_of(edges: DataFrame, target: Column, source: str, part: str, weight: Column) -> DataFrame:
-    """(source, total, parts): who refers to the chosen targets, with the references by part in one text."""
-    by_part = edges.where(target).groupBy(source, part).agg(F.sum(weight).alias("n"))
+def callers_of(edges: DataFrame, targets: list[str], source: str, part: str, weight: Column) -> DataFrame:
+    """(targets, source, total, parts): who refers to each target, with the references by part in one text."""
+    by_part = edges.groupBy(*targets, source, part).agg(F.sum(weight).alias("n"))
     listed = F.array_join(
         F.transform(
             F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col(part).alias("p"), F.col("n").alias("n")))),
@@ -93,7 +93,7 @@ def callers_of(edges: DataFrame, target: Column, source: str, part: str, weight:
         ),
         ",",
     )
-    return by_part.groupBy(source).agg(F.sum("n").alias("total"), listed.alias("parts"))
+    return by_part.groupBy(*targets, source).agg(F.sum("n").alias("total"), listed.alias("parts"))
 
 
 def top_k(rows: DataFrame, within: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -1,91 +1,121 @@
-"""Loops over hierarchies and graphs. Each round ends in a reliable checkpoint; bounded rounds and an empty delta stop it."""
+"""Loops over hierarchies and graphs. Each round ends in a reliable checkpoint and an empty delta stops it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.session import cut
 
 
-def nearest_labelled(tree: DataFrame, labels: DataFrame, max_depth: int = 64) -> DataFrame:
+def _climbed(tree: DataFrame, stops: DataFrame) -> DataFrame:
+    """(id, stop, depth, value): the nearest node at or above each node that ``stops`` (id, value) names; a line without one gives null.
+
+    Pointer doubling: an open node points to an ancestor, and all nodes in
+    between are open. If that ancestor has stopped or ended, so has the node;
+    else the node takes over the ancestor's pointer, so distances double a round
+    and depth d takes log2(d) rounds. A pointer that is longer than the number of
+    nodes goes around a cycle without a stop, which ends nowhere. Each round
+    writes the nodes that settle in it, once, and those still open.
+    """
+    up = tree.select("id", F.when(F.col("parent") != F.col("id"), F.col("parent")).alias("next"))
+    state = cut(
+        up.join(stops, "id", "left").join(up.select(F.col("id").alias("next"), F.lit(True).alias("is_node")), "next", "left").select(
+            "id", "value", F.when(F.col("value").isNull() & F.col("is_node"), F.col("next")).alias("next"), F.lit(1).cast("long").alias("steps")
+        )
+    )
+    first = state.where("next is null").select("id", F.when(F.col("value").isNotNull(), F.col("id")).alias("stop"), F.lit(0).cast("long").alias("depth"), "value")
+    settled, open_ = [first], state.where("next is not null").select("id", "next", "steps")
+    limit, reach = state.count(), 1
+    while not open_.isEmpty() and reach <= limit:
+        done = reduce(DataFrame.unionByName, settled).select(F.col("id").alias("next"), "stop", F.col("depth").alias("more"), "value", F.lit(True).alias("ended"))
+        ahead = open_.select(F.col("id").alias("next"), F.col("next").alias("beyond"), F.col("steps").alias("further"))
+        step = cut(open_.join(done, "next", "left").join(ahead, "next", "left"))
+        settled.append(step.where("ended").select("id", "stop", (F.col("steps") + F.col("more")).alias("depth"), "value"))
+        open_ = step.where("ended is null").select("id", F.col("beyond").alias("next"), (F.col("steps") + F.col("further")).alias("steps"))
+        reach *= 2
+    around = open_.select("id", F.lit(None).cast(state.schema["id"].dataType).alias("stop"), F.lit(None).cast("long").alias("depth"), F.lit(None).cast(state.schema["value"].dataType).alias("value"))
+    return reduce(DataFrame.unionByName, [*settled, around])
+
+
+def nearest_labelled(tree: DataFrame, labels: DataFrame) -> DataFrame:
     """(id, label, from_id, depth): every node's own label, else that of its nearest labelled ancestor; unlabelled lines give no row.
 
-    ``tree`` is (id, parent), ``labels`` (id, label). The open nodes climb one
-    level a round; settled ones leave the loop, so work shrinks with depth. A
-    node whose parent is null, absent or itself is a root. Equal to the
-    sequential pass wherever a parent's number is below its child's. Nodes that
-    are open after ``max_depth`` levels raise an error.
+    ``tree`` is (id, parent) with a row per id, ``labels`` (id, label), null
+    labels counting as none. A node whose parent is null, absent or itself is a
+    root. A line that runs into a cycle without a label gives no row. Any depth is
+    reached. Equal to the sequential pass wherever a parent's number is below its
+    child's.
     """
-    tree, labels = cut(tree.select("id", "parent")), cut(labels.select("id", "label"))
-    own = labels.select(F.col("id").alias("at"), "label")
-    up = tree.select(F.col("id").alias("at"), F.col("parent").alias("next"))
-    done, open_ = None, tree.select("id", F.col("id").alias("at"))
-    for depth in range(max_depth):
-        seen = open_.join(own, "at", "left")
-        hit = seen.where(F.col("label").isNotNull()).select("id", "label", F.col("at").alias("from_id"), F.lit(depth).alias("depth"))
-        done = cut(hit if done is None else done.unionByName(hit))
-        open_ = cut(seen.where(F.col("label").isNull()).select("id", "at").join(up, "at").where("next is not null and next <> at").select("id", F.col("next").alias("at")))
-        if open_.isEmpty():
-            break
-    else:
-        raise RuntimeError(f"nodes are still open after {max_depth} levels: the tree is deeper or has a cycle")
-    return done
-
-
-def top_ancestor(tree: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(id, top): the root of each node's tree. Nodes that are open after ``max_depth`` levels raise an error."""
-    tree = cut(tree.select("id", "parent"))
-    up = tree.select(F.col("id").alias("at"), F.col("parent").alias("next"))
-    done, open_ = None, tree.select("id", F.col("id").alias("at"))
-    for _ in range(max_depth):
-        seen = open_.join(up, "at", "left")
-        over = F.col("next").isNull() | (F.col("next") == F.col("at"))
-        hit = seen.where(over).select("id", F.col("at").alias("top"))
-        done = cut(hit if done is None else done.unionByName(hit))
-        open_ = cut(seen.where(~over).select("id", F.col("next").alias("at")))
-        if open_.isEmpty():
-            break
-    else:
-        raise RuntimeError(f"nodes are still open after {max_depth} levels: the tree is deeper or has a cycle")
-    return done
+    found = _climbed(tree.select("id", "parent"), labels.where("label is not null").select("id", F.col("label").alias("value")))
+    return found.where("stop is not null").select("id", F.col("value").alias("label"), F.col("stop").alias("from_id"), F.col("depth").cast("int").alias("depth"))
+
+
+def top_ancestor(tree: DataFrame) -> DataFrame:
+    """(id, top): the root of each node's tree; null where the line runs into a cycle. Any depth is reached."""
+    tree = tree.select("id", "parent")
+    known = tree.select(F.col("id").alias("parent"), F.lit(True).alias("is_node")).distinct()
+    over = F.col("is_node").isNull() | (F.col("parent") == F.col("id"))
+    roots = tree.join(known, "parent", "left").where(over).select("id", F.lit(True).alias("value"))
+    return _climbed(tree, roots).select("id", F.col("stop").alias("top"))
 
 
 def propagate(nodes: DataFrame, edges: DataFrame, labels: DataFrame, majority: str, spread: str, rounds: int = 6, share: float = 0.7) -> DataFrame:
-    """(id, label, method, round): labels spread against the direction of edges, in synchronous rounds.
-
-    ``edges`` is (id, target). Per round a node without a label looks at its
-    labelled targets: no edges at all in or out is an orphan (``S``, H-39); two or
-    more labelled targets of three or more labels give ``majority`` (H-38); more
-    than ``share`` of them labelled ``majority`` too (H-36); two or more all
-    labelled ``spread`` give that (H-40). Labels of a round count from the next.
-    Synchronous rounds needn't equal an in-place pass over the nodes in order.
+    """(id, label, method, confidence, evidence, round): labels spread against the direction of edges, in synchronous rounds.
+
+    ``edges`` is (id, target), a row per pointer; repeated ones count each. Per
+    round a node without a label looks at its labelled targets. No edges at all in
+    or out is an orphan (``S``, H-39). Otherwise two labelled targets are needed:
+    three or more labels among them give ``majority`` (H-38); more than ``share``
+    of them labelled ``majority`` too (H-36); all labelled ``spread`` give that
+    (H-40). Labels of a round count from the next. Seeds have neither confidence
+    nor evidence here. Synchronous rounds needn't equal an in-place pass over the
+    nodes in order. A round writes its own labels only.
     """
-    nodes, edges, known = cut(nodes.select("id")), cut(edges.select("id", "target")), cut(labels.select("id", "label"))
+    edges = cut(edges.select("id", "target"))
+    known = cut(labels.where("label is not null").select("id", "label"))
+    text = F.lit(None).cast("string")
+    parts = [known.select("id", "label", F.lit("seed").alias("method"), text.alias("confidence"), text.alias("evidence"), F.lit(0).alias("round"))]
     linked = edges.select("id").unionByName(edges.select(F.col("target").alias("id"))).distinct()
-    result = known.select("id", "label", F.lit("seed").alias("method"), F.lit(0).alias("round"))
-    alone = nodes.join(known, "id", "left_anti").join(linked, "id", "left_anti").select("id", F.lit("S").alias("label"), F.lit("H-39").alias("method"), F.lit(1).alias("round"))
-    result = cut(result.unionByName(alone))
+    alone = cut(nodes.select("id").distinct().join(known, "id", "left_anti").join(linked, "id", "left_anti"))
+    # fixed values: confidence and the texts of evidence
+    parts.append(
+        alone.select("id", F.lit("S").alias("label"), F.lit("H-39").alias("method"), F.lit("moderate").alias("confidence"), F.lit("orphan: 0 ptrs in, 0 ptrs out").alias("evidence"), F.lit(1).alias("round"))
+    )
+    have = [known]
     for k in range(1, rounds + 1):
-        have = result.where(F.col("round") < k).select(F.col("id").alias("target"), "label")
+        seen = reduce(DataFrame.unionByName, have)
         counts = (
-            edges.join(result.select("id"), "id", "left_anti").join(have, "target")
+            edges.join(seen.select("id"), "id", "left_anti").join(seen.withColumnRenamed("id", "target"), "target")
             .groupBy("id")
             .agg(
                 F.count("*").alias("n"), F.count_distinct("label").alias("kinds"), F.count_if(F.col("label") == majority).alias("major"),
                 F.count_if(F.col("label") == spread).alias("same"),
             )
+            .where("n >= 2")
         )
+
+        def says(label: str, method: str, *evidence: Column) -> Column:
+            return F.struct(F.lit(label).alias("label"), F.lit(method).alias("method"), F.concat(*[e.cast("string") for e in evidence]).alias("evidence"))
+
         rule = (
-            F.when((F.col("n") >= 2) & (F.col("kinds") >= 3), F.struct(F.lit(majority).alias("label"), F.lit("H-38").alias("method")))
-            .when(F.col("major") / F.col("n") > share, F.struct(F.lit(majority).alias("label"), F.lit("H-36").alias("method")))
-            .when((F.col("same") >= 2) & (F.col("same") == F.col("n")), F.struct(F.lit(spread).alias("label"), F.lit("H-40").alias("method")))
+            F.when(F.col("kinds") >= 3, says(majority, "H-38", F.lit("targets span "), F.col("kinds"), F.lit(" PIKS categories")))
+            .when(F.col("major") / F.col("n") > share, says(majority, "H-36", F.col("major"), F.lit("/"), F.col("n"), F.lit(f" targets classified {majority}")))
+            .when(F.col("same") == F.col("n"), says(spread, "H-40", F.col("same"), F.lit(f" targets all classified {spread}")))
         )
-        new = cut(counts.withColumn("r", rule).where(F.col("r").isNotNull()).select("id", "r.label", "r.method", F.lit(k).alias("round")))
+        new = cut(
+            counts.withColumn("r", rule).where(F.col("r").isNotNull())
+            .select("id", "r.label", "r.method", F.lit("moderate").alias("confidence"), "r.evidence", F.lit(k).alias("round"))
+        )
+        if k == 1:
+            have.append(alone.select("id", F.lit("S").alias("label")))
         if new.isEmpty():
             break
-        result = cut(result.unionByName(new))
-    return result
+        parts.append(new)
+        have.append(new.select("id", "label"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def reachable(edges: DataFrame, starts: DataFrame, depth: int) -> DataFrame:
@@ -95,12 +125,12 @@ def reachable(edges: DataFrame, starts: DataFrame, depth: int) -> DataFrame:
     with the edges and drops what is reached already.
     """
     edges = cut(edges.select("source", "target").distinct())
-    seen = cut(starts.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")).distinct())
-    frontier = seen
+    frontier = cut(starts.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")).distinct())
+    parts = [frontier]
     for k in range(1, depth + 1):
         step = frontier.join(edges, F.col("node") == F.col("source")).select("start", F.col("target").alias("node")).distinct()
-        frontier = cut(step.join(seen, ["start", "node"], "left_anti").withColumn("depth", F.lit(k)))
+        frontier = cut(step.join(reduce(DataFrame.unionByName, parts), ["start", "node"], "left_anti").withColumn("depth", F.lit(k)))
         if frontier.isEmpty():
             break
-        seen = cut(seen.unionByName(frontier))
-    return seen
+        parts.append(frontier)
+    return reduce(DataFrame.unionByName, parts)

@@ -195,13 +195,11 @@ def top_hubs(t: Tables) -> DataFrame:
     return E.top_k(rows, ["nation"], [F.desc("customers"), F.col("source")], 10).select("nation", F.col("source").alias("supplier"), "customers", "rank")
 
 
-@query("""WITH e AS (SELECT l_suppkey, l_partkey, sum(CAST(l_quantity AS BIGINT)) AS n FROM lineitem WHERE l_suppkey = (SELECT min(l_suppkey) FROM lineitem) GROUP BY 1, 2),
-c AS (SELECT o_custkey AS customer, l_partkey AS p, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey = (SELECT min(l_suppkey) FROM lineitem) GROUP BY 1, 2)
-SELECT customer, CAST(sum(n) AS BIGINT) AS total, string_agg(p || ':' || n, ',' ORDER BY n DESC, p) AS parts FROM c GROUP BY customer""")
+@query(f"""WITH c AS (SELECT source, target, part AS p, count(*) AS n FROM ({_SUPPLY}) GROUP BY 1, 2, 3)
+SELECT source AS supplier, target AS customer, CAST(sum(n) AS BIGINT) AS total, string_agg(p || ':' || n, ',' ORDER BY n DESC, p) AS parts FROM c GROUP BY 1, 2""")
 def callers(t: Tables) -> DataFrame:
-    """Who buys from one supplier (the first), with the references by part."""
-    first = t.supply().join(F.broadcast(t.lineitem.agg(F.min("l_suppkey").alias("source"))), "source", "left_semi")
-    return E.callers_of(first.withColumnRenamed("target", "customer"), F.lit(True), "customer", "part", F.lit(1))
+    """Who buys from each supplier, with the references by part; one supplier is a filter on this."""
+    return E.callers_of(t.supply().toDF("supplier", "customer", "quantity", "part"), ["supplier"], "customer", "part", F.lit(1))
 
 
 @query(f"""WITH u AS (SELECT part, source AS u, count(*) AS n FROM ({_SUPPLY}) GROUP BY 1, 2),
@@ -279,9 +277,10 @@ def top_ancestors(t: Tables) -> DataFrame:
     return G.top_ancestor(_tree(t))
 
 
-_PROP_ROUND = """SELECT e.id, {k} AS round, CASE WHEN count(*) >= 2 AND count(DISTINCT label) >= 3 THEN 'P|H-38' WHEN CAST(count(*) FILTER (label = 'P') AS DOUBLE) / count(*) > 0.7 THEN 'P|H-36'
-  WHEN count(*) FILTER (label = 'K') >= 2 AND count(*) FILTER (label = 'K') = count(*) THEN 'K|H-40' END AS r
-  FROM e JOIN ({known}) h ON h.id = e.target WHERE e.id NOT IN (SELECT id FROM ({known})) GROUP BY e.id"""
+_PROP_ROUND = """SELECT id, {k} AS round, CASE WHEN kinds >= 3 THEN 'P|H-38|targets span ' || kinds || ' PIKS categories' WHEN CAST(p AS DOUBLE) / n > 0.7 THEN 'P|H-36|' || p || '/' || n || ' targets classified P'
+  WHEN k = n THEN 'K|H-40|' || k || ' targets all classified K' END AS r
+  FROM (SELECT e.id, count(*) AS n, count(DISTINCT label) AS kinds, count(*) FILTER (label = 'P') AS p, count(*) FILTER (label = 'K') AS k
+    FROM e JOIN ({known}) h ON h.id = e.target WHERE e.id NOT IN (SELECT id FROM ({known})) GROUP BY e.id) WHERE n >= 2"""
 
 
 @query(f"""WITH e AS (SELECT DISTINCT l_suppkey + 1000000 AS id, l_partkey AS target FROM lineitem UNION ALL SELECT DISTINCT 2000000 + o_custkey, l_suppkey + 1000000 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > 45),
@@ -294,8 +293,8 @@ k1 AS (SELECT id, label FROM k0 UNION ALL SELECT id, 'S' FROM alone UNION ALL SE
 r2 AS ({_PROP_ROUND.format(k=2, known="SELECT id, label FROM k1")}),
 k2 AS (SELECT id, label FROM k1 UNION ALL SELECT id, split_part(r, '|', 1) FROM r2 WHERE r IS NOT NULL),
 r3 AS ({_PROP_ROUND.format(k=3, known="SELECT id, label FROM k2")})
-SELECT id, label, 'seed' AS method, 0 AS round FROM seed UNION ALL SELECT id, 'S', 'H-39', 1 FROM alone
-UNION ALL SELECT id, split_part(r, '|', 1), split_part(r, '|', 2), round FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3) WHERE r IS NOT NULL""")
+SELECT id, label, 'seed' AS method, NULL AS confidence, NULL AS evidence, 0 AS round FROM seed UNION ALL SELECT id, 'S', 'H-39', 'moderate', 'orphan: 0 ptrs in, 0 ptrs out', 1 FROM alone
+UNION ALL SELECT id, split_part(r, '|', 1), split_part(r, '|', 2), 'moderate', split_part(r, '|', 3), round FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3) WHERE r IS NOT NULL""")
 def propagate_labels(t: Tables) -> DataFrame:
     """Customers, suppliers and parts as record types; pointers are large purchases and deliveries."""
     s, c = F.col("source") + 1_000_000, F.col("target") + 2_000_000
@@ -345,13 +344,14 @@ def property_inference(t: Tables) -> DataFrame:
     return t.customer.join(n, "c_custkey", "left").select("c_custkey", *[c.alias(k) for k, c in made.items()])
 
 
-@query("""WITH e AS (SELECT DISTINCT o_custkey AS source, l_partkey + 1000000 AS target FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 48 UNION SELECT DISTINCT l_partkey + 1000000, l_suppkey + 9000000 FROM lineitem WHERE l_quantity >= 48),
+@query("""WITH e AS (SELECT DISTINCT o_custkey AS source, l_partkey + 1000000 AS target FROM lineitem JOIN orders ON l_orderkey = o_orderkey UNION SELECT DISTINCT l_partkey + 1000000, l_suppkey + 9000000 FROM lineitem),
 d0 AS (SELECT c_custkey AS start, c_custkey AS node FROM customer), d1 AS (SELECT DISTINCT start, target AS node FROM d0 JOIN e ON source = node), d2 AS (SELECT DISTINCT start, target AS node FROM d1 JOIN e ON source = node)
 SELECT start, node, min(depth) AS depth FROM (SELECT *, 0 AS depth FROM d0 UNION ALL SELECT *, 1 FROM d1 UNION ALL SELECT *, 2 FROM d2) GROUP BY 1, 2""")
 def reachability(t: Tables) -> DataFrame:
-    big = t.supply().where("quantity >= 48")
-    buys = big.select(F.col("target").alias("s"), (F.col("part") + 1_000_000).alias("d"))
-    made = big.select((F.col("part") + 1_000_000).alias("s"), (F.col("source") + 9_000_000).alias("d"))
+    """What each customer reaches: the parts it buys, and the suppliers of those."""
+    all_ = t.supply()
+    buys = all_.select(F.col("target").alias("s"), (F.col("part") + 1_000_000).alias("d"))
+    made = all_.select((F.col("part") + 1_000_000).alias("s"), (F.col("source") + 9_000_000).alias("d"))
     return G.reachable(buys.unionByName(made).toDF("source", "target"), t.customer.select(F.col("c_custkey").alias("node")), 2)
 
 

@@ -2,34 +2,91 @@
 
 from __future__ import annotations
 
+from fnmatch import fnmatchcase
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions import text as X
 
 
+_LISTED = "path string, name string, grp string, byte_size bigint"
+
+
+def _file_system(path: str):
+    """The store of a path or URI, the place within it, and what makes a place there a path again."""
+    if "://" not in path:
+        path = "file://" + path.removeprefix("file:")
+    store, place = fs.FileSystem.from_uri(path)
+    return store, place, "" if path.startswith("file:") else path.removesuffix(place)
+
+
+def listed(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """(path, name, grp, byte_size) of all files below ``path`` whose names match ``glob``; grp is the folder above the file's.
+
+    Spark's own readers leave out empty files and names that begin with ``_`` or a
+    point, so the store is listed here: its first level by the driver, what is
+    below in tasks. Local paths are plain, others keep their scheme.
+    """
+    store, place, prefix = _file_system(path)
+    first = [(x.path, x.type == fs.FileType.Directory, x.size) for x in store.get_file_info(fs.FileSelector(place))]
+    schema = pa.schema([("path", pa.string()), ("name", pa.string()), ("grp", pa.string()), ("byte_size", pa.int64())])
+
+    def below(batches):
+        for batch in batches:
+            for where, is_folder, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if is_folder:
+                    found = [(x.path, x.size) for x in _file_system(path)[0].get_file_info(fs.FileSelector(where, recursive=True)) if x.type == fs.FileType.File]
+                else:
+                    found = [(where, size)]
+                rows = [(prefix + p, p.rsplit("/", 1)[-1], (p.split("/")[-3:-2] or [""])[0], n) for p, n in found if fnmatchcase(p.rsplit("/", 1)[-1], glob)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    # a row a folder, dealt out one by one
+    folders = spark.createDataFrame(first, "path string, is_folder boolean, size bigint").repartition(max(1, min(len(first), 1000)))
+    return folders.mapInArrow(below, _LISTED)
+
+
+def _contents(rows: DataFrame) -> DataFrame:
+    """``rows`` of listed() with their files' contents, read in tasks."""
+    schema = pa.schema([("path", pa.string()), ("name", pa.string()), ("grp", pa.string()), ("byte_size", pa.int64()), ("content", pa.binary())])
+
+    def read(batches):
+        for batch in batches:
+            for k, path in enumerate(batch.column(0).to_pylist()):
+                store, place, _ = _file_system(path)
+                with store.open_input_stream(place) as f:
+                    yield pa.RecordBatch.from_arrays([*(batch.slice(k, 1).columns), pa.array([f.read()], pa.binary())], schema=schema)
+
+    return rows.mapInArrow(read, f"{_LISTED}, content binary")
+
+
 def read_units(spark: SparkSession, path: str, glob: str = "*.m", root: str = "", new_root: str = "") -> DataFrame:
     """(path, unit, grp, byte_size, text) of files ``.../<group>/Routines/<unit>.m``; bytes that aren't UTF-8 are replaced.
 
-    Spark's file readers skip names that begin with ``_`` or a point; units named
-    so come under another name, or in Parquet.
+    Empty units have empty text. Contents come from Spark's file reader, but those
+    of names that it skips (``_`` marks percent units), which tasks read.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    where = F.regexp_replace("path", "^file:/+", "/")
+    names = listed(spark, path, glob)
+    skipped = F.col("name").rlike(r"^[_.]")
+    plain = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).where("length > 0").select(
+        F.regexp_replace("path", "^file:/+", "/").alias("path"), F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("grp"),
+        F.col("length").alias("byte_size"), "content",
+    )
+    empty = names.where("byte_size = 0").withColumn("content", F.lit(b""))
+    files = plain.where(~skipped).unionByName(empty).unionByName(_contents(names.where(skipped & (F.col("byte_size") > 0))))
     return files.select(
-        (X.moved_path(where, root, new_root) if root else where).alias("path"),
-        F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("unit"),
-        F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("grp"),
-        F.col("length").alias("byte_size"),
+        (X.moved_path(F.col("path"), root, new_root) if root else F.col("path")).alias("path"), F.regexp_extract("name", r"^(.+)\.[^.]+$", 1).alias("unit"), "grp", "byte_size",
         F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
-    )
+    )
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.zwr") -> DataFrame:
-    """(path, name, grp, byte_size, kind, number, chunk, entity): the content column is pruned, so nothing is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    named = files.select("path", F.regexp_extract(F.url_decode("path"), r"([^/]+)$", 1).alias("name"), F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("grp"), F.col("length").alias("byte_size"))
-    return named.withColumn("c", X.file_class(F.col("name"))).select("path", "name", "grp", "byte_size", "c.*")
+    """(path, name, grp, byte_size, kind, number, chunk, entity) by names and sizes alone: no file is read."""
+    return listed(spark, path, glob).withColumn("c", X.file_class(F.col("name"))).select("path", "name", "grp", "byte_size", "c.*")
 
 
 def lines(units: DataFrame, unit: str = "unit", text: str = "text", breaks: str = "\n", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -72,21 +72,28 @@ def test_nearest_and_top_ancestor(spark, seed):
 
 
 def test_propagation_rules(spark):
-    nodes_ = table(spark, [(k,) for k in range(10)], "id bigint")
+    nodes_ = table(spark, [(k,) for k in range(11)], "id bigint")
     seeds = table(spark, [(0, "P"), (1, "I"), (2, "K"), (3, "K")], "id bigint, label string")
-    edges = table(spark, [(4, 0), (4, 1), (4, 2), (5, 0), (6, 2), (6, 3), (7, 5), (8, 0), (8, 1)], "id bigint, target bigint")
-    got = {r.id: (r.label, r.method, r.round) for r in G.propagate(nodes_, edges, seeds, "P", "K").collect()}
-    assert got[4] == ("P", "H-38", 1) and got[5] == ("P", "H-36", 1) and got[6] == ("K", "H-40", 1) and got[7] == ("P", "H-36", 2)
-    assert got[9] == ("S", "H-39", 1) and 8 not in got
-
-
-def test_deeper_trees_raise(spark):
-    tree = table(spark, [(1, None), *((k, k - 1) for k in range(2, 7))], "id bigint, parent bigint")
-    labels = table(spark, [(1, "x")], "id bigint, label string")
-    for climb in (lambda n: G.nearest_labelled(tree, labels, n), lambda n: G.top_ancestor(tree, n)):
-        assert climb(6).count() == 6
-        with pytest.raises(RuntimeError):
-            climb(4)
+    edges = table(spark, [(4, 0), (4, 1), (4, 2), (5, 0), (5, 0), (6, 2), (6, 3), (7, 5), (7, 0), (8, 0), (8, 1), (10, 0)], "id bigint, target bigint")
+    got = {r.id: (r.label, r.method, r.round, r.confidence, r.evidence) for r in G.propagate(nodes_, edges, seeds, "P", "K").collect()}
+    assert got[4] == ("P", "H-38", 1, "moderate", "targets span 3 PIKS categories") and got[5] == ("P", "H-36", 1, "moderate", "2/2 targets classified P")
+    assert got[6] == ("K", "H-40", 1, "moderate", "2 targets all classified K") and got[7] == ("P", "H-36", 2, "moderate", "2/2 targets classified P")
+    assert got[9] == ("S", "H-39", 1, "moderate", "orphan: 0 ptrs in, 0 ptrs out")
+    assert 8 not in got and 10 not in got  # a tie, and a single labelled target
+
+
+def test_deep_chains_and_cycles(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(G, "cut", lambda df: calls.append(1) or df.checkpoint())
+    chain = [(k, k - 1 if k else None) for k in range(1000)]
+    odd = [(2000, 2001), (2001, 2000), (2002, 2001), (2003, 2003), (2004, 2005), (2005, 2006), (2006, 2005), (2007, 9999)]
+    tree = table(spark, chain + odd, "id bigint, parent bigint")
+    labels = table(spark, [(0, "x"), (500, "y"), (2006, "z"), (9999, "no node")], "id bigint, label string")
+    got = {r.id: (r.label, r.from_id, r.depth) for r in G.nearest_labelled(tree, labels).collect()}
+    want = {k: ("y", 500, k - 500) if k >= 500 else ("x", 0, k) for k in range(1000)}
+    assert got == want | {2004: ("z", 2006, 2), 2005: ("z", 2006, 1), 2006: ("z", 2006, 0)} and len(calls) <= 12
+    tops = {r.id: r.top for r in G.top_ancestor(tree).collect()}
+    assert tops == {k: 0 for k in range(1000)} | {k: None for k in (2000, 2001, 2002, 2004, 2005, 2006)} | {2003: 2003, 2007: 2007}
 
 
 def test_reachability_depths(spark):
@@ -200,17 +207,25 @@ def test_corpus_from_files(spark, tmp_path):
     folder.mkdir(parents=True)
     (folder / "XUS.m").write_bytes(b"XUS ;x\n ;;8.0;KERNEL;**1,2**;\nEN Q\n\xff")
     (folder / "Z.m").write_bytes(b"")
+    (folder / "_ZIS.m").write_bytes(b"%ZIS ;y\n Q\n")
+    (folder / "_E.m").write_bytes(b"")
     units = corpus.read_units(spark, f"file://{tmp_path}", root=str(tmp_path), new_root="/corpus")
     got = {r.unit: (r.grp, r.line_count, r.tag_count, r.version_line, r.is_percent) for r in corpus.inventory(units).collect()}
     assert got["XUS"] == ("Kernel", 4, 2, ";;8.0;KERNEL;**1,2**;", "N") and got["Z"] == ("Kernel", 0, 0, "", "N")
-    assert {r.path for r in units.collect()} == {"/corpus/Packages/Kernel/Routines/XUS.m", "/corpus/Packages/Kernel/Routines/Z.m"}
+    assert got["_ZIS"][1] == 2 and got["_ZIS"][4] == "Y" and got["_E"] == ("Kernel", 0, 0, "", "Y") and len(got) == 4
+    assert {r.path for r in units.collect()} == {f"/corpus/Packages/Kernel/Routines/{n}.m" for n in ("XUS", "Z", "_ZIS", "_E")}
     data = tmp_path / "Packages" / "Kernel" / "Globals"
     data.mkdir()
     (data / "3.5+DEVICE.zwr").write_text("12345")
-    r = corpus.list_files(spark, f"file://{tmp_path}").head()
-    assert (r.grp, r.byte_size, r.kind, r.number, r.entity) == ("Kernel", 5, "file", "3.5", "DEVICE")
-    manifest = table(spark, [("XUS", "Kernel"), ("XUS", "Other"), ("GONE", "Kernel")], "unit string, grp string")
+    (data / "80-3+ICD DIAGNOSIS.zwr").write_text("")
+    (data / "PRCA.zwr").write_text("1")
+    files = {r.name: (r.grp, r.byte_size, r.kind, r.number, r.chunk, r.entity) for r in corpus.list_files(spark, f"file://{tmp_path}").collect()}
+    assert files == {
+        "3.5+DEVICE.zwr": ("Kernel", 5, "file", "3.5", "", "DEVICE"), "80-3+ICD DIAGNOSIS.zwr": ("Kernel", 0, "file", "80", "3", "ICD DIAGNOSIS"), "PRCA.zwr": ("Kernel", 1, "global", "", "", "PRCA"),
+    }
+    manifest = table(spark, [("XUS", "Kernel"), ("XUS", "Other"), ("GONE", "Kernel"), ("_ZIS", "Kernel"), ("_E", "Kernel")], "unit string, grp string")
     assert {tuple(x) for x in corpus.unit_contract(manifest, units).collect()} == {("several groups", "XUS"), ("missing file", "GONE"), ("not listed", "Z")}
+    assert corpus.read_units(spark, f"file://{data}").count() == 0
 
 
 def test_tokens_resolve_in_order(spark):
