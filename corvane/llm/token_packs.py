@@ -12,7 +12,7 @@ output, so a lost executor leaves no half-written pack, and any store works.
 from __future__ import annotations
 
 import hashlib
-import re
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,26 +30,33 @@ from pyspark.sql.functions import arrow_udf
 from corvane.llm.common import BATCH_BYTES, bounded_batches, stored
 
 END_ID = 2
-#: Documents (whole) that the dictionary is trained on, those with the smallest hashes of their ids, and its size.
-TRAINING_DOCUMENTS, DICTIONARY_BYTES = 512, 65_536
+#: Documents (whole) that the dictionary is trained on, those with the smallest hashes of their ids, as far as their
+#: bytes fit, and its size.
+TRAINING_DOCUMENTS, TRAINING_BYTES, DICTIONARY_BYTES = 512, 32 << 20, 65_536
 LEVEL = 3
 #: Bytes of frames after which a pack is closed.
 PACK_BYTES = 1 << 18
-#: Documents in an id range, which one task orders and packs.
-DOCUMENTS_PER_RANGE = 20_000
-#: Pieces of words whose ids a worker remembers before it drops the older half.
-REMEMBERED_PIECES = 200_000
-#: Distinct words that are looked up, and words whose ids are put in place, at once.
-DISTINCT_WORDS, GATHER_WORDS = 50_000, 100_000
-#: Pieces that are encoded in one call.
-CALL_PIECES = 2_000
-
-#: Precomposed Latin letters whose lower case is one letter of them, ASCII digits and marks other than the apostrophe:
-#: in words of these the tokenizer parts letters, single digits and runs of marks, and nothing else.
-_LETTERS = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
-_MARKS = r"\x21-\x26\x28-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e"
-_PLAIN = re.compile(rf"[{_LETTERS}0-9{_MARKS}\n]*")
-_PIECES = re.compile(rf"[{_LETTERS}]+|[0-9]|[{_MARKS}]+|\n")
+#: Bytes of frames in an id range, which one task orders and packs.
+RANGE_BYTES = 16 << 20
+#: Pieces whose ids a worker remembers before it drops the older half: about 60 MB.
+REMEMBERED_PIECES = 300_000
+#: Bytes of texts that are parted into pieces at once (one text at least), and pieces that are encoded in one call.
+PARTED_BYTES, CALL_PIECES = 3 << 20, 2_000
+
+# The settings of a tokenizer under which texts may be encoded piece by piece.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PRETOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+#: Precomposed Latin letters whose lower case is one letter of them, ASCII digits, marks and white space: in texts of
+#: these alone, what the normalizers and _SPLIT do is to lower, to set off _SET_OFF and to part at white space.
+_LETTERS = r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}"
+_MARKS = r"\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e"
+_NOT_PLAIN = rf"[^{_LETTERS}0-9{_MARKS}\t-\r ]"
+_SET_OFF = rf"('(?:s|t|re|ve|m|ll|d)|[0-9]|[{_MARKS}]+)"
 
 
 def _halved(known: dict, limit: int) -> None:
@@ -58,15 +65,15 @@ def _halved(known: dict, limit: int) -> None:
             del known[key]
 
 
-class WordEncoder:
-    """Ids of whole texts as bytes, made from the distinct words of a batch, with the ids of pieces remembered.
+class PieceEncoder:
+    """Ids of whole texts as bytes, with the ids of pieces remembered.
 
-    The tokenizer drops white space and never joins tokens across it, nor across
-    the edges of a plain word's pieces, so a text's ids are those of its pieces
-    end to end. Only pieces that the worker hasn't met are encoded, many in a
+    Where the tokenizer's own settings are those above, it never joins tokens
+    across the edges of pieces, so a plain text's ids are those of its pieces end
+    to end, and only pieces that the worker hasn't met are encoded, many in a
     call; the last id of a piece is one that ends a piece, which parts them
-    again. Words of other characters are encoded as they are, and texts that may
-    hold special tokens as a whole.
+    again. Texts with other characters, texts that hold an added token, and all
+    texts of other tokenizers are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -75,93 +82,90 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         top = max(vocabulary.values(), default=0)
-        self.kind = np.dtype("<u4" if max(top, end_id) >= 0xFF00 else "<u2")
-        self.end_id = end_id
-        #: Between words: no id has a high byte of 255, so it is found nowhere else.
-        self.gap = b"\xff" * self.kind.itemsize
+        self.kind = np.dtype("<u4" if max(top, end_id) > 0xFFFF else "<u2")
+        self.end = np.array([end_id], self.kind).tobytes()
+        settings = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"] for t in settings["added_tokens"]]
+        model, suffix = settings["model"], settings["model"].get("end_of_word_suffix")
+        self.by_piece = (
+            (settings["normalizer"] or {}).get("normalizers") == _NORMALIZERS
+            and (settings["pre_tokenizer"] or {}).get("pretokenizers") == _PRETOKENIZERS
+            and model.get("type") == "BPE" and bool(suffix) and not model.get("dropout")
+        )
         self.ends_piece = np.zeros(top + 1, bool)
-        self.ends_piece[[k for word, k in vocabulary.items() if word.endswith("</w>")]] = True
+        if self.by_piece:
+            self.ends_piece[[k for word, k in vocabulary.items() if word.endswith(suffix)]] = True
         self.pieces: dict[str, bytes] = {}
 
-    def _encoded(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        known, width = self.pieces, self.kind.itemsize
+    def _learn(self, pieces: list[str]) -> None:
+        width = self.kind.itemsize
         for k in range(0, len(pieces), CALL_PIECES):
             part = pieces[k : k + CALL_PIECES]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
-            ends = (np.nonzero(self.ends_piece[ids])[0] + 1) * width
-            if len(ends) != len(part):  # not a vocabulary of this kind
-                known.update((p, self._encoded(p)) for p in part)
-                continue
-            data, begin = ids.tobytes(), 0
-            for piece, end in zip(part, ends.tolist(), strict=True):
-                known[piece] = data[begin:end]
-                begin = end
-
-    def _ids_of_words(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct words."""
-        plain, joined, other = words, "\n".join(words), {}
-        if not _PLAIN.fullmatch(joined):
-            other = {w: self._encoded(w) for w in words if not _PLAIN.fullmatch(w)}
-            plain = [w for w in words if w not in other]
-            joined = "\n".join(plain)
+            data = self._whole([" ".join(part)])[0]
+            ends = ((np.nonzero(self.ends_piece[np.frombuffer(data, self.kind)])[0] + 1) * width).tolist()
+            if len(ends) != len(part):
+                raise ValueError("a piece has no single id that ends it")
+            self.pieces.update(zip(part, map(data.__getitem__, map(slice, [0, *ends], ends)), strict=True))
+
+    def _by_pieces(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of plain texts, from their distinct pieces."""
+        parted = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), _SET_OFF, r" \1 "))
+        at = parted.offsets.to_numpy()
+        coded = parted.values[at[0] : at[-1]].dictionary_encode()
+        # one text of all distinct pieces is much cheaper to hand over than each by itself
+        distinct = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), "\n")[0].as_py().split("\n")
         _halved(self.pieces, REMEMBERED_PIECES)
         known = self.pieces
-        known["\n"] = self.gap
-        pieces = _PIECES.findall(joined.lower())
-        self._learn_pieces([p for p in set(pieces) if p not in known])
-        found = b"".join(map(known.__getitem__, pieces)).split(self.gap) if plain else []
-        if not other:
-            return found
-        ids = dict(zip(plain, found, strict=True)) | other
-        return [ids[w] for w in words]
+        known[""] = b""
+        self._learn([p for p in distinct if p not in known])
+        ids = [known[p] for p in distinct]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        starts, store = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(ids), self.kind)
+        which = coded.indices.to_numpy()
+        n = lengths[which]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        index = np.int32 if max(len(store), ends[-1]) < 1 << 31 else np.int64
+        place = np.repeat((starts[which] - ends[:-1]).astype(index), n)
+        place += np.arange(ends[-1], dtype=index)
+        return np.split(store[place], ends[at[1:-1] - at[0]])
 
     def encode_texts(self, texts: pa.Array) -> Iterator[bytes]:
-        """The ids of each text, ``end_id`` last; null counts as empty."""
+        """The ids of each text, the end id last; null counts as empty."""
         texts = pc.fill_null(texts, "")
-        special = np.asarray(pc.match_substring(texts, "<|"))
-        plain = pc.if_else(pa.array(special), "", texts) if special.any() else texts
-        split = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
-        begins = split.offsets.to_numpy().astype(np.int64)
-        coded = split.values[begins[0] : begins[-1]].dictionary_encode()
-        begins -= begins[0]
-        ids: list[bytes] = []
-        for k in range(0, len(coded.dictionary), DISTINCT_WORDS):
-            ids += self._ids_of_words(coded.dictionary[k : k + DISTINCT_WORDS].to_pylist())
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
-        starts = np.cumsum(lengths) - lengths
-        store, at = np.frombuffer(b"".join(ids), self.kind), coded.indices.to_numpy()
-        row = 0
-        while row < len(texts):  # a few texts at a time, so that the index of ids stays small
-            stop = max(row + 1, int(np.searchsorted(begins, begins[row] + GATHER_WORDS, "right")) - 1)
-            words = at[begins[row] : begins[stop]]
-            n = lengths[words]
-            ends = np.cumsum(n)
-            placed = store[np.repeat(starts[words] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-            cuts = np.concatenate([[0], ends])[begins[row : stop + 1] - begins[row]]
-            for k in range(row, stop):
-                if special[k]:
-                    yield self._encoded(texts[k].as_py()) + np.array([self.end_id], self.kind).tobytes()
-                else:
-                    yield np.append(placed[cuts[k - row] : cuts[k - row + 1]], self.kind.type(self.end_id)).tobytes()
-            row = stop
+        apart = pc.match_substring_regex(texts, _NOT_PLAIN) if self.by_piece else pa.array([True] * len(texts), pa.bool_())
+        for token in self.added:
+            apart = pc.or_(apart, pc.match_substring(texts, token))
+        plain = texts.filter(pc.invert(apart))
+        sizes = np.cumsum(pc.binary_length(plain).to_numpy(zero_copy_only=False))
+
+        def by_pieces():
+            row = 0
+            while row < len(plain):
+                stop = max(row + 1, int(np.searchsorted(sizes, (sizes[row - 1] if row else 0) + PARTED_BYTES, "right")))
+                yield from self._by_pieces(plain.slice(row, stop - row))
+                row = stop
+
+        done = by_pieces()
+        for k, is_apart in enumerate(apart.to_pylist()):
+            yield (self._whole([texts[k].as_py()])[0] if is_apart else next(done).tobytes()) + self.end
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_texts(pa.array([text], pa.string())))
 
 
-_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
 
 
-def encoder(path: str, end_id: int) -> WordEncoder:
+def encoder(path: str, end_id: int) -> PieceEncoder:
     """The worker's encoder; the tokenizer's own threads stay off, as Spark's tasks use the cores."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if (path, end_id) not in _ENCODERS:
-        _ENCODERS[path, end_id] = WordEncoder(path, end_id)
+        _ENCODERS[path, end_id] = PieceEncoder(path, end_id)
     return _ENCODERS[path, end_id]
 
 
@@ -175,8 +179,13 @@ class TokenPacks:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str, end_id: int = END_ID) -> bytes:
-    """A dictionary from a bounded sample of whole documents; empty where there is too little to train on."""
-    ids = [r[0] for r in docs.where(F.col(doc_id).isNotNull()).select(doc_id).distinct().orderBy(F.xxhash64(doc_id), doc_id).limit(TRAINING_DOCUMENTS).collect()]
+    """A dictionary from a sample bounded in rows and bytes; empty where there is too little to train on."""
+    sizes = docs.where(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(F.coalesce(F.octet_length(F.col(text)), F.lit(0))).alias("n"))
+    ids, held = [], 0
+    for r in sizes.orderBy(F.xxhash64(doc_id), doc_id).limit(TRAINING_DOCUMENTS).collect():
+        if held + r.n <= TRAINING_BYTES:
+            ids.append(r[0])
+            held += r.n
 
     @arrow_udf(T.BinaryType())
     def serialized(texts: pa.Array) -> pa.Array:
@@ -202,7 +211,7 @@ def write_packs(
     doc_id: str = "doc_id",
     text: str = "text",
     end_id: int = END_ID,
-    documents_per_range: int = DOCUMENTS_PER_RANGE,
+    range_bytes: int = RANGE_BYTES,
     pack_bytes: int = PACK_BYTES,
 ) -> TokenPacks:
     """Encodes every whole text (null: empty), appends ``end_id`` and writes packs in ascending order of the id.
@@ -233,7 +242,7 @@ def write_packs(
         return pa.StructArray.from_arrays([pa.array(frames, pa.binary()), pa.array(counts, pa.int64())], ["frame", "n"])
 
     rows = stored(docs.select(F.col(doc_id).cast("long").alias("doc_id"), framed(F.col(text)).alias("f")).select("doc_id", "f.frame", "f.n", F.xxhash64("f.frame").alias("tie")), "frames")
-    n_ranges = max(1, -(-rows.count() // documents_per_range))
+    n_ranges = max(1, -(-(rows.agg(F.sum(F.octet_length("frame"))).head()[0] or 0) // range_bytes))
 
     def packed(batches):
         ids: list = []

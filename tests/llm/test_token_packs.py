@@ -1,6 +1,9 @@
 import zlib
+from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -12,21 +15,26 @@ from corvane.llm.queries import op10_token_packs  # noqa: E402
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-def plain_ids(text):
+@cache
+def library():
     from tokenizers import Tokenizer
 
-    return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 2]
+    return Tokenizer.from_file(PATH)
+
+
+def plain_ids(text):
+    return [*library().encode(text or "", add_special_tokens=False).ids, 2]
 
 
 @pytest.mark.parametrize("text", ["", "a<|endoftext|>b", "  \t a b\nc  ", "É ́e", "ΣΑΣ ΟΔΟΣ.", "don't DON'T", "\U0001f600 x‍y", "\x1c a\x1fb", "a  b c", "x" * 5000, "ÀÉ×÷ß_^~`|{}", "İstanbul ſtraße Ǆ ŉ", "A.b,C...d--e!!?!", "mix\u2026. o'clock 's ''ll"])
 def test_words_end_to_end_equal_the_text(text):
-    e = K.WordEncoder(PATH)
+    e = K.PieceEncoder(PATH)
     assert np.frombuffer(e.encode(text), e.kind).tolist() == plain_ids(text)
 
 
 def test_remembered_pieces_are_bounded(monkeypatch):
     monkeypatch.setattr(K, "REMEMBERED_PIECES", 3)
-    e = K.WordEncoder(PATH)
+    e = K.PieceEncoder(PATH)
     for k in range(20):
         assert np.frombuffer(e.encode(f"a{k} b{k} it's"), e.kind).tolist() == plain_ids(f"a{k} b{k} it's")
     assert len(e.pieces) <= 3 + 12
@@ -34,8 +42,8 @@ def test_remembered_pieces_are_bounded(monkeypatch):
 
 def test_round_trip(spark, make_docs, hard_rows):
     docs = make_docs([*hard_rows, *((k, f"text number {k} " * (k % 9)) for k in range(100, 400))])
-    for ranges, pack in ((20_000, 1 << 20), (40, 300)):
-        packs = K.write_packs(docs, scratch(spark, "packs"), PATH, documents_per_range=ranges, pack_bytes=pack)
+    for ranges, pack in ((64 << 20, 1 << 20), (2_000, 300)):
+        packs = K.write_packs(docs, scratch(spark, "packs"), PATH, range_bytes=ranges, pack_bytes=pack)
         read = K.read_documents(spark, packs).join(K.pack_starts(spark, packs), ["part", "pack"]).collect()
         assert len(read) == docs.count()
         read.sort(key=lambda r: r["at"] + r.before)
@@ -74,18 +82,43 @@ def test_query(spark, sf):
 
 
 def test_all_plain_characters():
-    e = K.WordEncoder(PATH)
-    letters = [chr(c) for c in range(0x21, 0x180) if K._PLAIN.fullmatch(chr(c))]
+    e = K.PieceEncoder(PATH)
+    letters = [chr(c) for c in range(0x21, 0x180) if not pc.match_substring_regex(pa.array([chr(c)]), K._NOT_PLAIN)[0].as_py()]
     text = " ".join(a + b for a in letters for b in "aZ9.!é") + " ".join(letters) + "".join(letters)
     assert np.frombuffer(e.encode(text), e.kind).tolist() == plain_ids(text)
 
 
 def test_batches_with_nulls_slices_and_special_tokens(monkeypatch):
-    import pyarrow as pa
-
-    monkeypatch.setattr(K, "GATHER_WORDS", 4)
+    monkeypatch.setattr(K, "CALL_PIECES", 4)
     texts = ["drop", None, "", "a b  c", "x <|endoftext|> y", "one two three four five six", "it's", "\u00e9t\u00e9\nz", "last"]
-    e = K.WordEncoder(PATH)
+    e = K.PieceEncoder(PATH)
     got = [np.frombuffer(b, e.kind).tolist() for b in e.encode_texts(pa.array(texts)[1:])]
     assert got == [plain_ids(t) for t in texts[1:]]
     assert list(e.encode_texts(pa.array([], pa.string()))) == []
+
+
+def test_other_settings_are_encoded_whole(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    settings = json.load(open(PATH))
+    settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
+    settings["added_tokens"].append({**settings["added_tokens"][0], "id": 49408, "content": "two words"})
+    (path := tmp_path / "other.json").write_text(json.dumps(settings))
+    e, whole = K.PieceEncoder(str(path)), Tokenizer.from_file(str(path))
+    texts = ["room 101b, two words", "it's 12:30", "a two  words"]
+    assert not e.by_piece and K.PieceEncoder(PATH).by_piece
+    got = [np.frombuffer(b, e.kind).tolist() for b in e.encode_texts(pa.array(texts))]
+    assert got == [[*whole.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_random_texts_equal_the_library():
+    import random
+
+    rng = random.Random(3)
+    alphabet = "abcdefgxyzABZ0189 ''.,-!\n\t\u00e9\u00c9\u0301\u0130\u0131\u03a3\u4e2d\U0001f600\x1c\xa0<|>stmdlrve"
+    texts = ["".join(rng.choice(alphabet[: rng.choice((24, 30, len(alphabet)))]) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    e = K.PieceEncoder(PATH)
+    for text, got in zip(texts, e.encode_texts(pa.array(texts)), strict=True):
+        assert np.frombuffer(got, e.kind).tolist() == plain_ids(text)
