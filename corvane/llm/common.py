@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, with underscores in front until no column has them (upper and lower case alike)."""
+    known = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in known:
+            name = f"_{name}"
+        known.add(name.lower())
+        out.append(name)
+    return out
+
+
 def as_bytes(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 of each text of an Arrow column, one at a time; null is empty."""
     return (x.as_py() or b"" for x in column.cast(pa.binary()))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.common import free_names
 from corvane.session import cut
 
 #: A rate above this is met by the sum of several independent Poisson numbers.
@@ -77,26 +78,28 @@ def poisson_tables(rates: DataFrame) -> DataFrame:
     )
 
 
-def _replicas(docs: DataFrame, doc_id: str, source: str, weights, temperature: float, size: float | None, seed: int) -> DataFrame:
-    """All columns of ``docs``, and __rate, __replica and __key, for each copy."""
+def _replicas(docs: DataFrame, doc_id: str, source: str, weights, temperature: float, size: float | None, seed: int) -> tuple[DataFrame, list[str]]:
+    """All columns of ``docs`` and three more for each copy, and the names of those: its rate, replica and key."""
+    name, rate, parts, cdf, n, replica, key = free_names(docs.columns, "of_source", "rate", "parts", "cdf", "n", "replica", "key")
     tables = cut(
         poisson_tables(source_rates(docs, source, weights, temperature, size)).select(
-            F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("parts").alias("__parts"), F.col("cdf").alias("__cdf")
+            F.col("source").alias(name), F.col("rate").alias(rate), F.col("parts").alias(parts), F.col("cdf").alias(cdf)
         )
     )
     if tables.count() <= BROADCAST_SOURCES:
         tables = F.broadcast(tables)
     # the numbers first: each is hashed once and not per entry of the table
-    numbers = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda part: uniform(seed, doc_id, part))
-    drawn = F.aggregate(numbers, F.lit(0), lambda total, u: total + F.size(F.filter("__cdf", lambda c: c <= u)))
-    place = F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("__replica").cast("string"))
-    return (
-        docs.join(tables, F.col(source).eqNullSafe(F.col("__source")))
-        .withColumn("__n", drawn)
-        .where("__n > 0")
-        .withColumn("__replica", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
-        .withColumn("__key", F.md5(place.cast("binary")))
+    numbers = F.transform(F.sequence(F.lit(1), F.col(parts)), lambda part: uniform(seed, doc_id, part))
+    drawn = F.aggregate(numbers, F.lit(0), lambda total, u: total + F.size(F.filter(cdf, lambda c: c <= u)))
+    place = F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col(replica).cast("string"))
+    out = (
+        docs.join(tables, F.col(source).eqNullSafe(F.col(name)))
+        .withColumn(n, drawn)
+        .where(F.col(n) > 0)
+        .withColumn(replica, F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
+        .withColumn(key, F.md5(place.cast("binary")))
     )
+    return out, [rate, replica, key]
 
 
 def replicated(
@@ -116,8 +119,8 @@ def replicated(
     joined beyond.
     """
     plain = [c for c in docs.columns if c not in ("rate", "replica", "shuffle_key")]
-    out = _replicas(docs, doc_id, source, weights, temperature, size, seed)
-    return out.select(*plain, F.col("__rate").alias("rate"), F.col("__replica").alias("replica"), F.col("__key").alias("shuffle_key"))
+    out, (rate, replica, key) = _replicas(docs, doc_id, source, weights, temperature, size, seed)
+    return out.select(*[F.col(f"`{c}`") for c in plain], F.col(rate).alias("rate"), F.col(replica).alias("replica"), F.col(key).alias("shuffle_key"))
 
 
 def shuffled(rows: DataFrame, key: str = "shuffle_key") -> DataFrame:
@@ -141,4 +144,5 @@ def mixed(
     seed: int = SEED,
 ) -> DataFrame:
     """The copies in shuffled order, with the columns of ``docs`` as they are."""
-    return shuffled(_replicas(docs, doc_id, source, weights, temperature, size, seed), "__key").select(*docs.columns)
+    out, (_, _, key) = _replicas(docs, doc_id, source, weights, temperature, size, seed)
+    return shuffled(out, key).select(*[F.col(f"`{c}`") for c in docs.columns])

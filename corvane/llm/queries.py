@@ -172,7 +172,7 @@ sized AS (
          xor(list_reduce(l, lambda c, x: xor(t[xor(c % 256, x) + 1], c >> 8), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32
   FROM byte, tab)
 SELECT s.doc_id, size, text_crc32, 'key' AS law, shard,
-       row_number() OVER (PARTITION BY shard ORDER BY s.doc_id, text_crc32) - 1 AS slot, grown_shard
+       row_number() OVER (PARTITION BY shard ORDER BY md5(coalesce(CAST(s.doc_id AS VARCHAR), '') || ':' || CAST(text_crc32 AS VARCHAR)), coalesce(s.doc_id, 0), text_crc32) - 1 AS slot, grown_shard
 FROM sized s JOIN placed p ON s.doc_id IS NOT DISTINCT FROM p.doc_id
 """
 

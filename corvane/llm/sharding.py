@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvane.llm.common import free_names
+
 N_SHARDS = 8
 #: Rows of a shard that are numbered in one task.
 ROWS_PER_RANGE = 20_000
@@ -76,33 +78,35 @@ def sharded(
     The law is ``key``: id and number of shards decide. size is the UTF-8 bytes of
     the text plus 1, a null text has none and crc 0. A null id counts as 0.
 
-    Slots run from 0 in each shard. No shard is numbered in one task: a hash of id
-    and text_crc32 cuts it into ranges of about ``rows_per_range`` rows, whatever
-    the distribution of the ids, each is numbered by itself in the order of id and
-    text_crc32, and begins at the sum of the counts before it. Up to
-    ``rows_per_range`` rows a shard that is one range. Rows that repeat both id and
-    text are interchangeable and stay in one range.
+    Slots run from 0 in each shard, in the order of an MD5 of id and text_crc32
+    (then of both), whatever the number of rows. No shard is numbered in one task:
+    the MD5's leading digits cut it into ranges of about ``rows_per_range`` rows,
+    whatever the distribution of the ids; each is numbered by itself and begins at
+    the sum of the counts before it. Rows that repeat both id and text are
+    interchangeable and stay in one range. An empty table gives no rows.
     """
     added = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
-    key = shard_key(docs, doc_id)
-    rows = docs.select(*[c for c in docs.columns if c not in added], key.alias("__id")).withColumns(
+    plain = [c for c in docs.columns if c not in added]
+    key, order, place, number, before, s, p = free_names([*plain, *added], "key", "order", "place", "number", "before", "s", "p")
+    rows = docs.select(*[F.col(f"`{c}`") for c in plain], F.col(f"`{text}`").alias(number), shard_key(docs, doc_id).alias(key), F.col(f"`{doc_id}`").cast("string").alias(s))
+    rows = rows.withColumns(
         {
-            "size": (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long"),
-            "text_crc32": F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0).cast("long")),
+            "size": (F.coalesce(F.octet_length(F.col(number)), F.lit(0)) + 1).cast("long"),
+            "text_crc32": F.coalesce(F.crc32(F.col(number).cast("binary")), F.lit(0).cast("long")),
             "law": F.lit("key"),
-            "shard": jump_hash(F.col("__id"), n_shards),
-            "grown_shard": jump_hash(F.col("__id"), n_shards + 1),
+            "shard": jump_hash(F.col(key), n_shards),
+            "grown_shard": jump_hash(F.col(key), n_shards + 1),
         }
-    )
+    ).drop(number)
+    rows = rows.withColumn(order, F.md5(F.concat_ws(":", F.coalesce(F.col(s), F.lit("")), F.col("text_crc32").cast("string")).cast("binary"))).drop(s)
     n_ranges = max(1, -(-docs.count() // (n_shards * rows_per_range)))
-    # the hash's upper bits as a share of all, so that ranges need no bounds
-    share = F.shiftrightunsigned(F.xxhash64("__id", "text_crc32"), 11) / float(1 << 53)
-    rows = rows.withColumn("__place", F.floor(share * n_ranges).cast("int"))
-    counts = rows.groupBy("shard", "__place").agg(F.count("*").alias("n"))
-    offsets = counts.withColumn(
-        "__before", F.expr("coalesce(sum(n) over (partition by shard order by __place rows between unbounded preceding and 1 preceding), 0)")
-    ).select(F.col("shard").alias("__s"), F.col("__place").alias("__p"), "__before")
-    numbered = rows.withColumn("__n", F.expr("row_number() over (partition by shard, __place order by __id, text_crc32) - 1"))
-    out = numbered.join(offsets, (F.col("shard") == F.col("__s")) & (F.col("__place") == F.col("__p")))
-    plain = [c for c in docs.columns if c not in added]
-    return out.select(*plain, "size", "text_crc32", "law", "shard", (F.col("__n") + F.col("__before")).cast("long").alias("slot"), "grown_shard")
+    # leading digits as a share of all, so that ranges need no bounds
+    rows = rows.withColumn(place, F.floor(F.conv(F.substring(order, 1, 8), 16, 10).cast("double") / float(1 << 32) * n_ranges).cast("int"))
+    counts = rows.groupBy("shard", place).agg(F.count("*").alias(number))
+    sums = F.expr(f"coalesce(sum({number}) over (partition by shard order by {place} rows between unbounded preceding and 1 preceding), 0)")
+    offsets = counts.select(F.col("shard").alias(s), F.col(place).alias(p), sums.alias(before))
+    numbered = rows.withColumn(number, F.expr(f"row_number() over (partition by shard, {place} order by {order}, {key}, text_crc32) - 1"))
+    out = numbered.join(offsets, (F.col("shard") == F.col(s)) & (F.col(place) == F.col(p)))
+    return out.select(
+        *[F.col(f"`{c}`") for c in plain], "size", "text_crc32", "law", "shard", (F.col(number) + F.col(before)).cast("long").alias("slot"), "grown_shard"
+    )

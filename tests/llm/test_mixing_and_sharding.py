@@ -1,7 +1,9 @@
+import hashlib
 import math
 import zlib
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from corvane.llm import mixing as M
@@ -42,10 +44,10 @@ def test_large_rates_add_up_parts(spark, make_docs):
 
 
 def test_mix_is_repeatable_and_keeps_columns(spark, make_docs, hard_rows):
-    docs = make_docs(hard_rows).withColumn("rate", F.lit("mine"))
+    docs = make_docs(hard_rows).withColumn("rate", F.lit("mine")).withColumn("__n", F.lit(5)).withColumn("key", F.lit("k")).withColumn("N", F.lit("n"))
     a, b = M.mixed(docs, size=100), M.mixed(docs.repartition(7), size=100)
     assert a.columns == docs.columns
-    assert {r.rate for r in a.collect()} == {"mine"}
+    assert {(r.rate, r["__n"], r.key, r.N) for r in a.collect()} == {("mine", 5, "k", "n")}
     assert Counter(r.doc_id for r in a.collect()) == Counter(r.doc_id for r in b.collect())
     assert M.mixed(docs.limit(0)).count() == 0
     keys = [r.shuffle_key for r in M.shuffled(M.replicated(docs, size=500)).collect()]
@@ -61,23 +63,40 @@ def test_jump_hash_equals_the_published_algorithm(spark):
 
 
 def test_shards(spark, make_docs, hard_rows):
-    docs = make_docs([*hard_rows, *((k, f"text {k}") for k in range(100, 900))]).withColumn("slot", F.lit("old"))
+    docs = make_docs([*hard_rows, *((k, f"text {k}") for k in range(100, 900))]).withColumn("slot", F.lit("old")).withColumn("__id", F.lit("mine")).withColumn("place", F.lit("here"))
+    placed = []
     for rows_per_range in (10**6, 10):
-        rows = H.sharded(docs, rows_per_range=rows_per_range).collect()
+        found = H.sharded(docs, rows_per_range=rows_per_range)
+        assert found.columns == [*(c for c in docs.columns if c != "slot"), "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+        rows = found.collect()
         assert len(rows) == docs.count()
         slots = {}
         for r in rows:
             assert r.shard == jump(r.doc_id or 0, 8) and r.grown_shard in (r.shard, 8) and r.law == "key"
+            assert r["__id"] == "mine" and r.place == "here"
             data = (r.text or "").encode()
             assert r.size == len(data) + 1 and r.text_crc32 == zlib.crc32(data)
-            slots.setdefault(r.shard, []).append((r.slot, r.doc_id or 0, r.text_crc32))
-        for found in slots.values():
-            assert sorted(s for s, _, _ in found) == list(range(len(found)))
-            if rows_per_range == 10**6:
-                assert [x[1:] for x in sorted(found)] == sorted(x[1:] for x in found)
+            order = hashlib.md5(f"{'' if r.doc_id is None else r.doc_id}:{r.text_crc32}".encode()).hexdigest()
+            slots.setdefault(r.shard, []).append((r.slot, order, r.doc_id or 0, r.text_crc32))
+        for rows_of_shard in slots.values():
+            assert sorted(s for s, *_ in rows_of_shard) == list(range(len(rows_of_shard)))
+            assert [x[1:] for x in sorted(rows_of_shard)] == sorted(x[1:] for x in rows_of_shard)
+        placed.append({k: sorted(v) for k, v in slots.items()})
+    assert placed[0] == placed[1]
     assert H.sharded(docs.limit(0)).count() == 0
 
 
+def test_slots_in_many_ranges_equal_the_sql(spark, sf):
+    duckdb = pytest.importorskip("duckdb")
+    from corvane.llm.queries import ORACLE
+
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    want = {r[0]: r[1:] for r in c.execute(f"select doc_id, shard, slot from ({ORACLE['op7_sharding']})").fetchall()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert {r.doc_id: (r.shard, r.slot) for r in H.sharded(docs, rows_per_range=3).collect()} == want
+
+
 def test_sharding_plan_has_no_python(spark, make_docs):
     plan = H.sharded(make_docs([(1, "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
