@@ -27,9 +27,9 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = _decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    found = _decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"))
     items = F.array_join(F.array_sort(F.transform("found.items", lambda i: i.cast("string"))), ",")
-    return docs.select("doc_id", hits.alias("found")).select(
+    return found.select(
         "doc_id",
         "found.n_words",
         F.size("found.hits").cast("long").alias("n_hit"),
