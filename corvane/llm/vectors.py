@@ -5,8 +5,10 @@ at most r. Pivots cut them into cells of nearest pivot. By the triangle
 inequality a vector that has a partner in another cell is at most 2 r farther
 from that cell's pivot than from its own, so it is replicated to just those
 cells; each pair of cells is served from one side. Cells join independently, in
-blocks of bounded size, by a single-precision product with a margin and then an
-exact check in double precision.
+blocks of bounded size: a projection on a few orthonormal directions never
+lengthens a distance, so pairs that are too far apart there are dropped by a small
+single-precision product with a margin, and the rest is checked in double
+precision.
 """
 
 from __future__ import annotations
@@ -24,19 +26,32 @@ from corvane.llm.common import connected_components, stored
 THRESHOLD = 0.9
 #: Rows that pivots are drawn from and the replication is estimated on: those with the smallest hashes.
 SAMPLE_ROWS = 2048
-PIVOT_CHOICES = (8, 32, 128, 512)
+PIVOT_CHOICES = (1, 8, 32, 128, 512)
 #: Numbers in either side of a block of a cell: 16,384 rows of 64 dimensions.
 BLOCK_VALUES = 1 << 20
+#: Directions of largest spread in the sample that pairs are first compared in.
+DIRECTIONS = 32
 #: Above the error of a product in single precision.
 MARGIN = 1e-4
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    """The vectors of an array column as rows."""
     flat = np.asarray(column.flatten().to_numpy(zero_copy_only=False), float)
     return flat.reshape(len(column), -1)
 
 
+def _packed(values: np.ndarray, kind: str) -> pa.Array:
+    """Rows as bytes, which pass through joins and shuffles without a step per number."""
+    data = np.ascontiguousarray(values, kind)
+    ends = np.arange(len(data) + 1, dtype=np.int32) * (data.shape[1] * data.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _unpacked(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.concatenate([np.frombuffer(b"".join(c.to_pylist()), kind).reshape(len(c), -1) for c in column.chunks if len(c)]).astype(float)
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     big = np.abs(x).max(axis=1, keepdims=True)
     x = x / big
@@ -72,6 +87,12 @@ def choose_pivots(sample: np.ndarray, n_rows: int, radius: float) -> np.ndarray:
     return best
 
 
+def directions(sample: np.ndarray, n: int = DIRECTIONS) -> np.ndarray:
+    """Orthonormal columns along which the sample spreads most; any such columns give right results."""
+    _, _, rows = np.linalg.svd(sample, full_matrices=False)
+    return np.ascontiguousarray(rows[:n].T)
+
+
 def _flat(root: np.ndarray) -> np.ndarray:
     while (up := root[root]) is not None and (up != root).any():
         root = up
@@ -91,18 +112,23 @@ def _join_roots(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return _flat(root)
 
 
-def block_links(node: np.ndarray, copies: np.ndarray, unit: np.ndarray, left: np.ndarray, same: bool, threshold: float):
+def block_links(node: np.ndarray, copies: np.ndarray, unit: np.ndarray, left: np.ndarray, same: bool, threshold: float, basis: np.ndarray):
     """Links of the left rows with the others (``same``: among all rows): counted copies and smallest node reached, per row.
 
     ``node`` ascends, so the smallest position of a component is its smallest node.
     """
     a = np.arange(len(node)) if same else np.nonzero(left)[0]
     b = a if same else np.nonzero(~left)[0]
-    low = unit.astype(np.float32)
+    shadow = unit @ basis
+    half, one = np.square(shadow).sum(axis=1, keepdims=True) / 2, np.ones((len(unit), 1))
+    # the product of these two is minus half the squared distance of the shadows
+    here = np.hstack([shadow, -half, one]).astype(np.float32)
+    there = np.ascontiguousarray(np.hstack([shadow, one, -half]).astype(np.float32)[b].T)
     counts, root = np.zeros(len(node), np.int64), np.arange(len(node))
     for s in range(0, len(a), 512):
-        i, j = np.nonzero(low[a[s : s + 512]] @ low[b].T >= threshold - MARGIN)
-        i, j = a[s + i], b[j]
+        first = s if same else 0  # pairs of earlier rows are done
+        i, j = np.divmod(np.flatnonzero((here[a[s : s + 512]] @ there[:, first:]).ravel() >= threshold - 1 - MARGIN), len(b) - first)
+        i, j = a[s + i], b[first + j]
         if same:
             i, j = i[i < j], j[i < j]
         for p in range(0, len(i), 1 << 16):  # a dense cell has many pairs; they are checked piece by piece
@@ -128,14 +154,18 @@ def linked(vectors: DataFrame, dim: int, element: str, threshold: float = THRESH
     block_rows = max(1, block_values // dim)
     n_rows = vectors.count()
     drawn = vectors.orderBy(F.xxhash64("node"), "node").select("v").limit(SAMPLE_ROWS).collect()
-    pivots = spark.sparkContext.broadcast(choose_pivots(_unit(np.array([r.v for r in drawn], float)), n_rows, radius))
+    sample = _unit(np.array([r.v for r in drawn], float)) if drawn else np.eye(1, dim)
+    kind = "<f4" if element == "float" else "<f8"
+    pivots = spark.sparkContext.broadcast(choose_pivots(sample, n_rows, radius))
+    basis = spark.sparkContext.broadcast(directions(sample))
 
     def placed(batches):
         """Each vector in its own cell, and in each later cell that may hold a partner."""
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = np.sqrt(np.maximum(0.0, 2 - 2 * _unit(_matrix(batch.column(2))) @ pivots.value.T))
+            values = _matrix(batch.column(2))
+            near = np.sqrt(np.maximum(0.0, 2 - 2 * _unit(values) @ pivots.value.T))
             home = near.argmin(axis=1)
             goes = near - near.min(axis=1, keepdims=True) <= 2 * radius
             row, cell = np.nonzero(goes & (np.arange(near.shape[1])[None, :] > home[:, None]))
@@ -143,13 +173,13 @@ def linked(vectors: DataFrame, dim: int, element: str, threshold: float = THRESH
             cells = np.concatenate([home, cell]).astype(np.int32)
             at_home = np.arange(len(take)) < len(home)
             for s in range(0, len(take), block_rows):
-                part = pa.array(take[s : s + block_rows])
-                columns = [batch.column(k).take(part) for k in range(3)]
-                columns += [pa.array(cells[s : s + block_rows]), pa.array(at_home[s : s + block_rows])]
+                part = take[s : s + block_rows]
+                columns = [batch.column(k).take(pa.array(part)) for k in range(2)]
+                columns += [_packed(values[part], kind), pa.array(cells[s : s + block_rows]), pa.array(at_home[s : s + block_rows])]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "copies", "v", "cell", "home"])
 
     spread = vectors.select("node", "copies", "v").mapInArrow(
-        placed, f"node bigint, copies bigint, v array<{element}>, cell int, home boolean"
+        placed, "node bigint, copies bigint, v binary, cell int, home boolean"
     )
     sizes = spread.groupBy("cell").agg(
         F.ceil(F.count_if("home") / block_rows).cast("int").alias("h"), F.ceil(F.count_if(~F.col("home")) / block_rows).cast("int").alias("g")
@@ -181,7 +211,7 @@ def linked(vectors: DataFrame, dim: int, element: str, threshold: float = THRESH
         _, s, t, own = (k.as_py() for k in key)
         node, copies = np.asarray(rows.column("node")), np.asarray(rows.column("copies"))
         left = np.asarray(rows.column("is_left").to_pylist(), bool)
-        counts, root = block_links(node, copies, _unit(_matrix(rows.column("v"))), left, own and s == t, threshold)
+        counts, root = block_links(node, copies, _unit(_unpacked(rows.column("v"), kind)), left, own and s == t, threshold, basis.value)
         hit = np.nonzero(counts)[0]
         return pa.table({"node": node[hit], "n": counts[hit], "root": root[hit]})
 
@@ -204,8 +234,10 @@ def vector_components(
     element = "float" if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else "double"
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast(f"array<{element}>").alias("v"))
     good = rows.where(is_usable(F.col("v")))
+    # the hash spares sorting whole vectors; equality decides
+    good = good.withColumn("h", F.xxhash64("v"))
     classes = stored(
-        good.groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first(F.size("v")).alias("dim")), "vectors"
+        good.groupBy("h", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first(F.size("v")).alias("dim")), "vectors"
     )
     dims = [r.dim for r in classes.select("dim").distinct().collect()]
     partial = None
@@ -218,8 +250,8 @@ def vector_components(
     labels = connected_components(partial.select(F.col("node").alias("a"), F.col("root").alias("b")))
     summed = partial.groupBy("node").agg(F.sum("n").alias("n"))
     named = classes.join(summed, "node", "left").join(labels, "node", "left").select(
-        F.col("v").alias("__v"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id")
+        F.col("h").alias("class_h"), F.col("v").alias("class_v"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id")
     )
-    ok = good.join(named, F.col("v") == F.col("__v")).select("vec_id", "n_links", "component_id")
+    ok = good.join(named, (F.col("h") == F.col("class_h")) & (F.col("v") == F.col("class_v"))).select("vec_id", "n_links", "component_id")
     bad = rows.where(~is_usable(F.col("v"))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return ok.unionByName(bad).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
