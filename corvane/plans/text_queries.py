@@ -10,7 +10,7 @@ from corvane.operators import edges as E
 from corvane.operators import joins as J
 from corvane.operators import profile as P
 from corvane.plans.base import Tables, query
-from corvane.session import shared_dir
+from corvane.session import scratch
 from corvane.sources import corpus, tables
 
 #: Lines of a text as a DuckDB list, without the empty piece after a final line break.
@@ -235,9 +235,7 @@ def fill_blank(t: Tables) -> DataFrame:
 @query("""SELECT n_nationkey, n_name, n_regionkey, 'csv' AS dialect FROM nation UNION ALL SELECT n_nationkey, n_name, n_regionkey, 'raw' FROM nation""")
 def tsv_dialects(t: Tables) -> DataFrame:
     """A round trip of a table through both dialects of tab-separated files."""
-    from uuid import uuid4
-
-    folder = f"{shared_dir(t.spark)}/tsv-{uuid4().hex}"
+    folder = scratch(t.spark, "tsv")
     out = None
     for dialect in ("csv", "raw"):
         tables.write_table(t.nation, f"{folder}/{dialect}", ["n_nationkey"], dialect)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,21 +25,43 @@ def build_session(master: str | None = None, app: str = "corvane", **conf: str)
     return builder.getOrCreate()
 
 
+#: Paths that scratch() has given out, per session folder.
+_SCRATCH: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (local tests) a folder of this machine is made and registered.
+    The cluster names it in ``spark.checkpoint.dir``; without that setting a
+    cluster is an error. Only in local mode a folder of this machine is made and
+    registered.
     """
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = "file://" + tempfile.mkdtemp(prefix="spark-corvane-", dir=os.environ.get("TMPDIR"))
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path in the shared folder."""
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Deletes what this process has written under scratch(): for when no DataFrame made with it is needed any more."""
+    context = spark.sparkContext
+    while _SCRATCH:
+        path = context._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
