@@ -23,8 +23,8 @@ from pyspark.sql.functions import arrow_udf
 from corvane.llm.common import as_texts, bounded_batches, stored
 
 KINDS = ("email", "ip", "card", "phone")
-#: Rounds of scoring, distinct seed instances that a pattern needs, and the score from which either counts.
-ROUNDS, SUPPORT, CONFIDENCE = 3, 3, 0.8
+#: Distinct seed instances that a pattern needs, and the score from which either counts.
+SUPPORT, CONFIDENCE = 3, 0.8
 #: Characters of an identifier-like token.
 TOKEN_CHARS = (4, 64)
 
@@ -184,13 +184,15 @@ def mentions(texts: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.struct([("kind", pa.string()), ("first", pa.int32()), ("last", pa.int32()), ("surface", pa.string()), ("fits", pa.list_(pa.string())), ("contexts", pa.list_(pa.string()))])))
 
 
-def discovered(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+def discovered(found: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(row, kind, first, last) of new spans, from ``found`` (row, kind or null, first, last, surface, fits, contexts).
 
     An edge joins a pattern (context) and an instance (surface) for a kind that
     the instance is or could be of. Edges are distinct, so common contexts are
     reduced before any join. A candidate takes the kind it scores best in (ties:
-    the first listed); of spans inside one another the widest stays.
+    the first listed); of spans inside one another the widest stays. Rounds end
+    when no pattern passes that hadn't before: scores only grow, so each but the
+    last adds one at least, and there are as many as steps from the seeds.
     """
     edges = stored(
         found.select(F.explode("contexts").alias("context"), "surface", "fits", F.col("kind").isNotNull().alias("seed"))
@@ -203,8 +205,8 @@ def discovered(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, c
     open_edges = edges.where("not seed").select("pattern", "instance", "kind")
     sizes = edges.groupBy("pattern", "kind").agg(F.count("*").alias("all"))
     known = seeds
-    good = None
-    for _ in range(rounds):
+    good, before = None, -1
+    while True:
         sums = known.groupBy("pattern", "kind").agg(F.sum("score").alias("known"), F.count("*").alias("n"))
         good = (
             sums.where(F.col("n") >= support)
@@ -213,6 +215,9 @@ def discovered(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, c
             .where(F.col("score") >= confidence)
         )
         good = stored(good, "patterns")
+        if (n := good.count()) <= before:
+            break
+        before = n
         scores = open_edges.join(good, ["pattern", "kind"]).groupBy("instance", "kind").agg(F.max("score").alias("score"))
         spread = open_edges.join(scores, ["instance", "kind"])
         known = seeds.unionByName(spread.select("pattern", "instance", "kind", "score"))

@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -73,6 +74,28 @@ def test_bootstrapping_discovers_unseen_forms(spark, make_docs):
     assert all(rows[k]["all"] == [] for k, _ in none)
 
 
+def test_recall_of_planted_unseen_identifiers(spark, make_docs):
+    """Two steps from the seeds: forms without + stand in contexts of seeds, and share others with forms that seeds never show."""
+    rng = random.Random(5)
+    near, far = [f"call desk {k} under" for k in range(6)], [f"or ask line {k} via" for k in range(6)]
+    number = lambda k: f"(743) 555-{k:04d}"
+    rows, planted = [], {}
+    for k in range(1500):
+        kind = k % 10  # 0 to 5 seeds, 6 unseen beside seeds, 7 mostly the same elsewhere, 8 and 9 decoys
+        lead = rng.choice(near if kind < 7 else far if kind == 7 else ["row", "sum of", "in chapter"])
+        said = f"+1 {number(k)}" if kind < 6 else number(k - 1 if kind == 7 and k % 300 != 7 else k)
+        filler = " ".join(f"w{rng.randrange(50)}" for _ in range(rng.randrange(3, 9)))
+        text = f"{filler} {lead} {said} {filler}"
+        rows.append((k, text))
+        if kind in (6, 7):
+            planted[k] = ("phone", text.index(said), text.index(said) + len(said))
+    found = {r.doc_id: [tuple(s) for s in r["all"]] for r in P.personal_spans(make_docs(rows)).collect()}
+    assert all(len(found[k]) == 1 for k in range(1500) if k % 10 < 6)
+    recall = {kind: sum(found[k] == [planted[k]] for k in planted if k % 10 == kind) / 150 for kind in (6, 7)}
+    assert recall[6] >= 0.9 and recall[7] >= 0.9
+    assert not any(found[k] for k in range(1500) if k % 10 > 7)
+
+
 def test_zeros_beyond_the_digits_of_int():
     assert P.base_spans("0" * 5000 + ".1.2.3") == [("ip", 0, 5006)]
 
