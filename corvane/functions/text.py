@@ -80,6 +80,11 @@ def line_class(line: Column) -> Column:
     return F.when(line.rlike(r"^[A-Za-z0-9%]"), "label").when(line.rlike(r"^[ \t]*;"), "comment").otherwise("other")
 
 
+def is_label_line(line: Column) -> Column:
+    """Lines that begin with neither a blank nor a semicolon; an empty line doesn't count."""
+    return (line != "") & ~line.rlike(r"^[ \t;]")
+
+
 def shortened(c: Column, n: int = 120) -> Column:
     return F.when(F.char_length(c) > n, F.concat(F.substring(c, 1, n - 3), F.lit("..."))).otherwise(c)
 
@@ -155,6 +160,7 @@ def pointer_target(spec: Column, decimals: bool = False) -> Column:
 
 def data_type(spec: Column) -> Column:
     """The field's type by the first of the letters, in this order, that the specification holds."""
+    # fixed values, in the order in which the letters are tried
     names = {
         "P": "POINTER", "V": "VARIABLE-POINTER", "C": "COMPUTED", "D": "DATE", "S": "SET", "N": "NUMERIC", "W": "WORD-PROCESSING",
         "M": "MUMPS", "F": "FREE-TEXT",
@@ -189,3 +195,23 @@ def normalised(text: Column) -> Column:
 
 def tags_of_line(line: Column) -> Column:
     return F.regexp_extract(line, r"^([A-Za-z%][A-Za-z0-9]*)", 1)
+
+
+def line_head(line: Column) -> Column:
+    """What stands before the first parenthesis, space or tab; blank for lines that begin with a blank or a semicolon."""
+    return F.when(line.rlike(r"^[ \t;]"), F.lit("")).otherwise(F.regexp_extract(line, r"^([^( \t]*)", 1))
+
+
+def structural_label(line: Column) -> Column:
+    """Whether a label line is one that needs no documentation."""
+    return tags_of_line(line).isin("STARTUP", "SHUTDOWN")  # fixed values
+
+
+def test_name(unit: Column) -> Column:
+    """The name of a unit's test unit: T before it, cut to 8 characters."""
+    return F.substring(F.concat(F.lit("T"), unit), 1, 8)
+
+
+def entry_point(tag: Column, unit: Column) -> Column:
+    """``TAG^UNIT``, or the unit alone without a tag."""
+    return F.when(F.coalesce(tag, F.lit("")) != "", F.concat(tag, F.lit("^"), F.coalesce(unit, F.lit("")))).otherwise(F.coalesce(unit, F.lit("")))

@@ -35,13 +35,6 @@ def run_log(result: DataFrame, mode: str, label: str = "label") -> DataFrame:
     )
 
 
-def coverage_snapshot(result: DataFrame, label: str = "label") -> DataFrame:
-    """One row with a JSON text: total, labelled and unlabelled rows, and counts per label."""
-    counts = result.groupBy(F.coalesce(F.col(label), F.lit("none")).alias("l")).agg(F.count("*").alias("n"))
-    by_label = F.map_from_entries(F.array_sort(F.collect_list(F.struct("l", "n"))))
-    return counts.agg(F.to_json(F.struct(F.sum("n").alias("total"), F.sum(F.when(F.col("l") != "none", F.col("n")).otherwise(0)).alias("labelled"), by_label.alias("by_label"))).alias("snapshot"))
-
-
 def compared(a: DataFrame, b: DataFrame, key: str, label: str = "label", method: str = "method") -> DataFrame:
     """(key, a_label, b_label, scenario): two systems' labels of the same keys."""
     x = a.select(key, F.col(label).alias("a_label"), F.col(method).alias("am"), F.lit(1).alias("ina"))

@@ -80,16 +80,38 @@ def fill_blank(left: DataFrame, right: DataFrame, key: str, columns: list[str])
     return left.join(other, key, "left").select(*rest, *[F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"__{c}")).alias(c) for c in columns])
 
 
-def resolved(candidates: DataFrame, name: str, query: str) -> DataFrame:
-    """The candidates of the best tier that matches: exact (1), equal but for case (2), containing (3); with the tier's size.
-
-    A tier-3 result with more than one row is ambiguous.
+def resolved(queries: DataFrame, query: str, names: DataFrame, name: str, members: DataFrame, member: str, grp: str, least: float = 0.4) -> DataFrame:
+    """(query, tier, name, n): what each distinct query names, by the first tier that answers; none gives no row.
+
+    1: exactly; 2: the only name equal but for case; 3: the only name that
+    contains it but for case, or with n > 1 all that do (ambiguous); 4: where no
+    name contains it, the group with the most ``members`` that begin with the
+    query in upper case, if it has ``least`` of those (ties: the smallest group).
+    Parts of names as long as some query meet the queries in an equi-join, and so
+    do the beginnings of members.
     """
-    c = F.col(name)
-    tier = F.when(c == query, 1).when(F.upper(c) == query.upper(), 2).when(F.upper(c).contains(query.upper()), 3)
-    found = candidates.withColumn("tier", tier).where(F.col("tier").isNotNull())
-    best = found.agg(F.min("tier").alias("best"))
-    return found.join(F.broadcast(best), F.col("tier") == F.col("best")).drop("best").withColumn("n", F.count("*").over(Window.partitionBy("tier")))
+    asked = queries.select(F.col(query).alias("query")).where("query <> ''").distinct().withColumn("u", F.upper("query"))
+    known = names.select(F.col(name).alias("name")).where("name is not null").distinct().withColumn("nu", F.upper("name"))
+    lengths = F.broadcast(asked.agg(F.collect_set(F.char_length("u")).alias("lengths")))  # as many as the longest query at most
+
+    def cut_out(rows: DataFrame, of: str, starts: Column) -> DataFrame:
+        fit = F.filter("lengths", lambda k: k <= F.char_length(of))
+        return rows.crossJoin(lengths).select(*rows.columns, F.explode(fit).alias("k")).select(*rows.columns, F.explode(starts).alias("at"), "k").select(*rows.columns, F.substring(F.col(of), F.col("at"), F.col("k")).alias("u")).distinct()
+
+    holds = asked.join(cut_out(known, "nu", F.sequence(F.lit(1), F.char_length("nu") - F.col("k") + 1)), "u")
+    found = holds.select("query", "name", F.when(F.col("query") == F.col("name"), 1).when(F.col("u") == F.col("nu"), 2).otherwise(3).alias("tier"))
+    per = found.groupBy("query").agg(
+        F.max(F.when(F.col("tier") == 1, F.col("name"))).alias("exact"), F.count_if(F.col("tier") <= 2).alias("n_equal"), F.max(F.when(F.col("tier") == 2, F.col("name"))).alias("equal"), F.count("*").alias("n_holding")
+    )
+    one = F.when(F.col("exact").isNotNull(), F.struct(F.lit(1).alias("tier"), F.col("exact").alias("name"))).when(F.col("n_equal") == 1, F.struct(F.lit(2).alias("tier"), F.col("equal").alias("name")))
+    per = per.withColumn("one", one)
+    direct = per.where("one is not null").select("query", "one.tier", "one.name", F.lit(1).cast("long").alias("n"))
+    several = per.where("one is null").select("query", "n_holding").join(found, "query").select("query", F.lit(3).alias("tier"), "name", F.col("n_holding").alias("n"))
+    rest = asked.join(per, "query", "left_anti")
+    begins = cut_out(members.select(F.col(member).alias("m"), F.col(grp).alias("g")).where("m is not null"), "m", F.sequence(F.lit(1), F.lit(1)))
+    counts = rest.join(begins, "u").groupBy("query", "g").agg(F.count("*").alias("c"))
+    owner = counts.groupBy("query").agg(F.sum("c").alias("of"), F.min(F.struct((-F.col("c")).alias("o"), "g", "c")).alias("b")).where(F.col("b.c") / F.col("of") >= least)
+    return direct.unionByName(several).unionByName(owner.select("query", F.lit(4).alias("tier"), F.col("b.g").cast("string").alias("name"), F.lit(1).cast("long").alias("n")))
 
 
 def bridge(unit_store: DataFrame, store_record: DataFrame, labels: DataFrame, unit: str, store: str, record: str, label: str) -> DataFrame:
@@ -109,6 +131,12 @@ def ownership(refs: DataFrame, owners: DataFrame, grp: str, item: str) -> DataFr
     )
 
 
+def named(items: DataFrame, item: str, names: DataFrame, key: str, name: str) -> DataFrame:
+    """``items`` with each item's name; ``(unknown)`` where it has none."""
+    dim = names.select(F.col(key).alias(item), F.col(name).alias("name"))
+    return items.join(dim, item, "left").withColumn("name", F.coalesce("name", F.lit("(unknown)")))
+
+
 def cards(sections: dict[str, DataFrame], entity: str, k: int) -> DataFrame:
     """(entity, section, rank, item, n): the ``k`` heaviest items of each section for every entity, from (entity, item, n) tables."""
     rows = [d.select(entity, F.lit(s).alias("section"), F.col("item").cast("string").alias("item"), F.col("n").cast("long").alias("n")) for s, d in sections.items()]

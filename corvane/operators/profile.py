@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.session import cut
+
 
 def histogram(rows: DataFrame, by: list[Column], empty: str = "(empty)") -> DataFrame:
     """(by ..., n, share): blanks and nulls as ``(empty)``; shares of all rows."""
@@ -34,14 +36,17 @@ def prefixes(names: DataFrame, keys: list[str], name: str, lengths: list[int]) -
     return names.select(*keys, name, F.explode(parts).alias("p")).select(*keys, name, "p.length", "p.prefix")
 
 
-def dominant_prefix(names: DataFrame, grp: str, name: str, lengths: list[int], share: float) -> DataFrame:
+def dominant_prefix(names: DataFrame, grp: str, name: str, lengths: list[int], share: float, order: str | None = None) -> DataFrame:
     """(grp, prefix, share): the prefix with the largest share of a group's names, if at least ``share``.
 
-    Ties: the longer prefix, then the smaller one.
+    Blank names and those that begin with % are left out. Ties go to the prefix
+    that is seen first: with the least ``order`` (by default the name itself),
+    and of one name the longest.
     """
-    totals = names.groupBy(grp).agg(F.count("*").alias("all"))
-    counts = prefixes(names, [grp], name, lengths).groupBy(grp, "length", "prefix").agg(F.count("*").alias("n"))
-    best = counts.groupBy(grp).agg(F.min(F.struct((-F.col("n")).alias("o"), (-F.col("length")).alias("l"), "prefix", "n")).alias("b"))
+    rows = names.where((F.col(name) != "") & ~F.col(name).startswith("%")).withColumn("seen", F.col(order or name))
+    totals = rows.groupBy(grp).agg(F.count("*").alias("all"))
+    counts = prefixes(rows, [grp, "seen"], name, lengths).groupBy(grp, "prefix").agg(F.count("*").alias("n"), F.min(F.struct("seen", -F.col("length"))).alias("first"))
+    best = counts.groupBy(grp).agg(F.min(F.struct((-F.col("n")).alias("o"), "first", "prefix", "n")).alias("b"))
     return best.join(totals, grp).select(grp, "b.prefix", (F.col("b.n") / F.col("all")).alias("share")).where(F.col("share") >= share)
 
 
@@ -53,9 +58,22 @@ def prefix_clusters(names: DataFrame, name: str, lengths: list[int], least: int)
 
 
 def within_budget(rows: DataFrame, grp: str, order: list[Column], size: Column, budget: int) -> DataFrame:
-    """Rows of each group in order while their running size stays within the budget; the first overflow ends the group."""
-    window = Window.partitionBy(grp).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("used", F.sum(size).over(window)).where(F.col("used") <= budget)
+    """Rows of each group in order while their running size stays within the budget, with that size (used).
+
+    The first overflow ends the group; sizes aren't negative, a null one counts as
+    0. Rows are dealt into ranges of group and order, so a large group is many
+    tasks: sums of its ranges say where each begins, and only ranges that begin
+    within the budget are summed row by row.
+    """
+    spark = rows.sparkSession
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = cut(rows.withColumn("used", F.coalesce(size, F.lit(0))).repartitionByRange(ranges, F.col(grp), *order).withColumn("range_no", F.spark_partition_id()))
+    sums = dealt.groupBy(grp, "range_no").agg(F.sum("used").alias("in_range"))
+    begins = sums.withColumn("begin", F.coalesce(F.sum("in_range").over(Window.partitionBy(grp).orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("begin") <= budget)
+    inside = Window.partitionBy(grp, "range_no").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    same = (F.col("r." + grp).eqNullSafe(F.col("b." + grp))) & (F.col("r.range_no") == F.col("b.range_no"))
+    found = dealt.alias("r").join(begins.alias("b"), same).select("r.*", "b.begin").withColumn("used", F.col("begin") + F.sum("used").over(inside))
+    return found.where(F.col("used") <= budget).drop("range_no", "begin")
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -86,14 +104,17 @@ def structure_rules(line: Column, line_no: Column) -> dict[str, Column]:
     }
 
 
-def undocumented_labels(lines: DataFrame, unit: str, line_no: str, is_label: Column, is_comment: Column, has_marker: Column, own_marker: Column) -> DataFrame:
+def undocumented_labels(
+    lines: DataFrame, unit: str, line_no: str, is_label: Column, is_comment: Column, has_marker: Column, own_marker: Column, exempt: Column | None = None
+) -> DataFrame:
     """(unit, line_no) of label lines without a marker in the comment lines right above or in their own trailing comment.
 
     Gaps and islands: comment lines that touch form a run, numbered by the other
     lines before it; the line after a run sees whether the run had a marker. Line
-    1 is exempt.
+    1 is exempt, and so are labels for which ``exempt`` holds (see X.structural_label).
     """
     order = Window.partitionBy(unit).orderBy(line_no)
+    is_label = is_label & ~F.coalesce(exempt, F.lit(False)) if exempt is not None else is_label
     marked = lines.select(unit, line_no, is_label.alias("label"), is_comment.alias("comment"), has_marker.alias("marker"), own_marker.alias("own"))
     runs = marked.withColumn("run", F.sum(F.when(F.col("comment"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     seen = runs.withColumn("m", F.max(F.col("comment") & F.col("marker")).over(Window.partitionBy(unit, "run")))
@@ -116,12 +137,13 @@ def reconciled(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 
 
 def sample_share(rows: DataFrame, key: str, item: str, reference: DataFrame, k: int, least: float) -> DataFrame:
-    """(key, sampled, share, verdict): of the first ``k`` items of each key, the share in ``reference``; above ``least`` is YES, none N/A."""
+    """(key, sampled, share, verdict): of the first ``k`` items of each key, the share in ``reference``; above ``least`` is YES.
+
+    A key whose items are all null has none: sampled 0, a null share, N/A.
+    """
     window = Window.partitionBy(key).orderBy(item)
-    first = rows.select(key, item).distinct().withColumn("r", F.row_number().over(window)).where(F.col("r") <= k)
+    first = rows.select(key, item).where(F.col(item).isNotNull()).distinct().withColumn("r", F.row_number().over(window)).where(F.col("r") <= k)
     known = reference.select(F.col(reference.columns[0]).alias(item)).distinct().withColumn("hit", F.lit(1))
-    return (
-        first.join(known, item, "left").groupBy(key)
-        .agg(F.count("*").alias("sampled"), F.avg(F.coalesce("hit", F.lit(0))).alias("share"))
-        .withColumn("verdict", F.when(F.col("sampled") == 0, "N/A").when(F.col("share") > least, "YES").otherwise("NO"))
-    )
+    shares = first.join(known, item, "left").groupBy(key).agg(F.count("*").alias("sampled"), F.avg(F.coalesce("hit", F.lit(0))).alias("share"))
+    verdict = F.when(F.col("sampled") == 0, "N/A").when(F.col("share") > least, "YES").otherwise("NO")
+    return rows.select(key).distinct().join(shares, key, "left").withColumn("sampled", F.coalesce("sampled", F.lit(0))).withColumn("verdict", verdict)

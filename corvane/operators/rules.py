@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from corvane.config import labels as L
 from corvane.functions import text as X
+from corvane.operators.graph import nearest_labelled
+from corvane.session import cut
 
 
 @dataclass
@@ -43,16 +45,17 @@ def record_type_rules() -> list[Rule]:
     number = F.col("number").try_cast("double")
     store = X.store_name(F.col("root"))
     at = F.concat(F.lit("global="), F.col("root"))
+    # fixed values: the texts of evidence
     rules = [
         Rule("H-01", F.col("root") == "^DPT(", "P", "certain", at),
         Rule("H-02", F.col("root") == "^DD(", "S", "certain", at),
         Rule("H-02", (number >= 0) & (number < 2), "S", "certain", F.concat(F.lit("file#="), F.col("number"))),
-        Rule("H-03", number == 2, "P", "certain", F.lit("the patient file")),
-        Rule("H-04", number == 4, "I", "certain", F.lit("the institution file")),
-        Rule("H-04b", number == 200, "I", "certain", F.lit("the person file")),
+        Rule("H-03", number == 2, "P", "certain", F.lit("file=2 PATIENT")),
+        Rule("H-04", number == 4, "I", "certain", F.lit("file=4 INSTITUTION")),
+        Rule("H-04b", number == 200, "I", "certain", F.lit("file=200 NEW PERSON (staff/provider PII, RF-008)")),
         Rule("H-06", F.col("to_2") > 0, "P", "high", F.concat(F.lit("field="), F.col("last_to_2"), F.lit(" points to file 2"))),
-        Rule("H-08", F.col("to_4") > 0, "I", "high", F.lit("points to file 4, not to file 2")),
-        Rule("H-09", F.col("to_200") > 0, "I", "low", F.lit("points to file 200, not to files 2 or 4")),
+        Rule("H-08", F.col("to_4") > 0, "I", "high", F.lit("has ptr to file 4; no ptr to file 2")),
+        Rule("H-09", F.col("to_200") > 0, "I", "low", F.lit("has ptr to file 200 (staff/provider); no ptr to file 2 or 4")),
     ]
     for method, (label, names) in zip(("H-10", "H-11", "H-12", "H-13"), L.STORES.items(), strict=True):
         rules.append(Rule(method, store.isin(names), label, "high", F.concat(at, F.lit(f" in {label}-list"))))
@@ -122,21 +125,33 @@ def store_rules() -> list[Rule]:
     return rules
 
 
-def inherited(cascaded: DataFrame, nearest: DataFrame, parent: str = "parent") -> DataFrame:
-    """Types without a certain or high label take that of the nearest labelled ancestor, as H-05, certain.
+def inherited(cascaded: DataFrame) -> DataFrame:
+    """Types without a certain or high label take the label of the types above them, as H-05, certain.
 
-    ``cascaded`` has id, parent, label, method, confidence and evidence;
-    ``nearest`` is (id, label, from_id) over labelled ancestors other than itself.
+    ``cascaded`` has id, parent, label, method, confidence and evidence. From the
+    root down, a weak or missing label gives way to whatever its parent ends up
+    with. That is the label of the nearest certain or high one above, and where
+    none is, that of the uppermost labelled one; so both are found by climbing,
+    in rounds that grow with the logarithm of the depth. A line that runs into a
+    cycle counts as far as the cycle's first return.
     """
-    up = nearest.select("id", F.col("label").alias("up"))
-    weak = ~F.coalesce(F.col("confidence").isin("certain", "high"), F.lit(False)) & F.col("up").isNotNull()
+    tree = cut(cascaded.select("id", "parent", "label", F.coalesce(F.col("confidence").isin("certain", "high"), F.lit(False)).alias("strong")))
+    named = tree.where("label is not null").select("id", "label")
+    near = nearest_labelled(tree, named).select(F.col("id").alias("parent"), F.col("label").alias("over"))
+    uppermost = tree.where("label is not null").join(near, "parent", "left").where("over is null or parent = id").select("id", "label")
+    by_strong = nearest_labelled(tree, tree.where("strong and label is not null").select("id", "label")).select("id", F.col("label").alias("of_strong"), F.col("from_id").alias("strong_id"))
+    by_top = nearest_labelled(tree, uppermost).select("id", F.col("label").alias("of_top"), F.col("from_id").alias("top_id"))
+    found = tree.select("id", "strong").join(by_strong, "id", "left").join(by_top, "id", "left").select(
+        "id", F.when(~F.col("strong"), F.coalesce(F.when(F.col("strong_id") != F.col("id"), F.col("of_strong")), F.when(F.col("top_id") != F.col("id"), F.col("of_top")))).alias("up")
+    )
+    weak = F.col("up").isNotNull()
     new = {
         "label": F.when(weak, F.col("up")).otherwise(F.col("label")),
-        "evidence": F.when(weak, F.concat(F.lit("inherits from "), F.col(parent).cast("string"))).otherwise(F.col("evidence")),
+        "evidence": F.when(weak, F.concat(F.lit("inherits from "), F.col("parent").cast("string"))).otherwise(F.col("evidence")),
         "method": F.when(weak, F.lit("H-05")).otherwise(F.col("method")),
         "confidence": F.when(weak, F.lit("certain")).otherwise(F.col("confidence")),
     }
-    return cascaded.join(up, "id", "left").withColumns(new).drop("up")
+    return cascaded.join(found, "id", "left").withColumns(new).drop("up")
 
 
 def field_labels(fields: DataFrame, types: DataFrame, tops: DataFrame | None = None) -> DataFrame:

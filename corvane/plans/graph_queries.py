@@ -150,10 +150,13 @@ def population_cohorts(t: Tables) -> DataFrame:
     return both.groupBy("in_documents", "in_labels").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT 'left only' AS side, p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)
-UNION ALL SELECT DISTINCT 'right only', l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)""")
+@query("""SELECT 'left only' AS side, CAST(doc_id AS VARCHAR) AS key FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT DISTINCT 'right only', CAST(doc_id AS VARCHAR) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)
+UNION ALL SELECT DISTINCT 'right only', 'p' || l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25) UNION ALL SELECT 'left only', 'p' || p_partkey FROM part WHERE p_size <= 25 AND p_partkey NOT IN (SELECT l_partkey FROM lineitem)""")
 def population_diff(t: Tables) -> DataFrame:
-    return J.anti_both(t.part.select("p_partkey"), t.lineitem.select(F.col("l_partkey").alias("p_partkey")), "p_partkey")
+    """Documents without labels, and ordered parts that aren't small."""
+    docs = J.anti_both(t.documents.select(F.col("doc_id").cast("string").alias("key")), t.labels.select(F.col("doc_id").cast("string").alias("key")), "key")
+    part = lambda c: F.concat(F.lit("p"), F.col(c).cast("string")).alias("key")
+    return docs.unionByName(J.anti_both(t.part.where("p_size <= 25").select(part("p_partkey")), t.lineitem.select(part("l_partkey")), "key"))
 
 
 @query("""WITH l AS (SELECT DISTINCT l_suppkey AS k, l_partkey AS i FROM lineitem WHERE l_returnflag = 'R'), r AS (SELECT DISTINCT l_suppkey AS k, l_partkey AS i FROM lineitem WHERE l_returnflag = 'A'),
@@ -209,17 +212,25 @@ def consumers(t: Tables) -> DataFrame:
     return E.consumers(t.supply().withColumnRenamed("source", "supplier"), "part", "supplier", F.lit(1), 8)
 
 
-@query(f"""WITH e AS ({_SUPPLY}), s AS (
-  SELECT source AS supplier, 'customers' AS section, CAST(target AS VARCHAR) AS item, count(*) AS n FROM e GROUP BY 1, 3 UNION ALL
+@query(f"""WITH e AS ({_SUPPLY}), c AS (SELECT * FROM customer WHERE c_acctbal >= 0), s AS (
+  SELECT source AS supplier, 'customers' AS section, coalesce(c_name, '(unknown)') || ' ' || target AS item, count(*) AS n FROM e LEFT JOIN c ON c_custkey = target GROUP BY 1, 3 UNION ALL
   SELECT source, 'parts', CAST(part AS VARCHAR), count(*) FROM e GROUP BY 1, 3 UNION ALL
+  SELECT source, 'stores', p_brand, count(*) FROM e JOIN part ON p_partkey = part GROUP BY 1, 3 UNION ALL
+  SELECT l_suppkey, 'findings', 'R ' || l_partkey, count(*) FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 45 GROUP BY 1, 3 UNION ALL
   SELECT source, 'nations', n_name, count(*) FROM e JOIN customer ON c_custkey = target JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 3)
 SELECT supplier, section, item, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY supplier, section ORDER BY n DESC, item) AS r FROM s) WHERE r <= 5""")
 def entity_card(t: Tables) -> DataFrame:
+    """Callers by name (customers in debt have none), parts, stores touched, findings and nations of every supplier."""
     e = t.supply().withColumnRenamed("source", "supplier")
     nations = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("target"), F.col("n_name").alias("item"))
+    callers_ = J.named(e.groupBy("supplier", "target").agg(F.count("*").alias("n")), "target", t.customer.where("c_acctbal >= 0"), "c_custkey", "c_name")
+    brands = t.part.select(F.col("p_partkey").alias("part"), F.col("p_brand").alias("item"))
+    findings = t.lineitem.where("l_returnflag = 'R' and l_quantity >= 45").groupBy(F.col("l_suppkey").alias("supplier"), F.concat(F.lit("R "), F.col("l_partkey").cast("string")).alias("item"))
     sections = {
-        "customers": e.groupBy("supplier", F.col("target").alias("item")).agg(F.count("*").alias("n")),
+        "customers": callers_.select("supplier", F.concat_ws(" ", "name", F.col("target").cast("string")).alias("item"), "n"),
         "parts": e.groupBy("supplier", F.col("part").alias("item")).agg(F.count("*").alias("n")),
+        "stores": e.join(brands, "part").groupBy("supplier", "item").agg(F.count("*").alias("n")),
+        "findings": findings.agg(F.count("*").alias("n")),
         "nations": e.join(nations, "target").groupBy("supplier", "item").agg(F.count("*").alias("n")),
     }
     return J.cards(sections, "supplier", 5)
@@ -378,12 +389,14 @@ def ownership_matrix(t: Tables) -> DataFrame:
     return J.ownership(used, owned, "grp", "item")
 
 
-@query("""WITH i AS (SELECT DISTINCT l_suppkey AS supplier, l_partkey AS p FROM lineitem), r AS (SELECT *, row_number() OVER (PARTITION BY supplier ORDER BY p) AS k FROM i),
-h AS (SELECT supplier, CASE WHEN p IN (SELECT p_partkey FROM part WHERE p_size <= 30) THEN 1.0 ELSE 0.0 END AS x FROM r WHERE k <= 5)
-SELECT supplier, count(*) AS sampled, CAST(avg(x) AS DOUBLE) AS share, CASE WHEN avg(x) > 0.6 THEN 'YES' ELSE 'NO' END AS verdict FROM h GROUP BY 1""")
+@query("""WITH i AS (SELECT DISTINCT l_partkey AS part, l_suppkey AS s FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 45), r AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY s) AS k FROM i),
+h AS (SELECT part, count(*) AS n, avg(CASE WHEN s IN (SELECT s_suppkey FROM supplier WHERE s_nationkey <= 12) THEN 1.0 ELSE 0.0 END) AS share FROM r WHERE k <= 5 GROUP BY 1)
+SELECT p_partkey AS part, CAST(coalesce(n, 0) AS BIGINT) AS sampled, CAST(share AS DOUBLE) AS share, CASE WHEN n IS NULL THEN 'N/A' WHEN share > 0.6 THEN 'YES' ELSE 'NO' END AS verdict FROM part LEFT JOIN h ON h.part = p_partkey""")
 def key_sample(t: Tables) -> DataFrame:
-    rows = t.lineitem.select(F.col("l_suppkey").alias("supplier"), F.col("l_partkey").alias("part"))
-    return P.sample_share(rows, "supplier", "part", t.part.where("p_size <= 30").select("p_partkey"), 5, 0.6)
+    """Parts and the suppliers of large returned lines; a part without such lines has no sample."""
+    lines = t.lineitem.where("l_returnflag = 'R' and l_quantity >= 45").select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
+    rows = t.part.join(lines, "p_partkey", "left").select(F.col("p_partkey").alias("part"), F.col("l_suppkey").alias("supplier"))
+    return P.sample_share(rows, "part", "supplier", t.supplier.where("s_nationkey <= 12").select("s_suppkey"), 5, 0.6)
 
 
 @query("""WITH p AS (SELECT l_partkey AS part, count(*) AS n FROM lineitem GROUP BY 1) SELECT part, n FROM p ORDER BY n DESC, part LIMIT 20""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from corvane.operators import incremental as I
 from corvane.operators import joins as J
 from corvane.operators import profile as P
 from corvane.operators import rules as R
+from corvane.operators import views as V
 from corvane.plans.base import Tables, query
 from corvane.sources import nodes
 
@@ -144,37 +147,69 @@ def group_health(t: Tables) -> DataFrame:
     return J.star(base, "source", [found], zero=["findings", "labelled"])
 
 
-@query(f"""WITH e AS ({_SUPPLY}), s AS (
-  SELECT n_name AS grp, 'suppliers' AS section, s_name AS item, count(*) AS n FROM e JOIN supplier ON s_suppkey = source JOIN nation ON n_nationkey = s_nationkey GROUP BY 1, 3 UNION ALL
-  SELECT n_name, 'customers', c_name, count(*) FROM e JOIN customer ON c_custkey = target JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 3 UNION ALL
-  SELECT n_name, 'brands', p_brand, count(*) FROM e JOIN supplier ON s_suppkey = source JOIN nation ON n_nationkey = s_nationkey JOIN part ON p_partkey = part GROUP BY 1, 3)
-SELECT grp, section, item, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY grp, section ORDER BY n DESC, item) AS r FROM s) WHERE r <= 5""")
+@query(f"""WITH e AS (SELECT s_suppkey, s_name, c_custkey, c_name, x.n_name AS grp, y.n_name AS other, p_brand, p_type, source FROM ({_SUPPLY}) JOIN supplier ON s_suppkey = source JOIN customer ON c_custkey = target
+  JOIN nation x ON x.n_nationkey = s_nationkey JOIN nation y ON y.n_nationkey = c_nationkey JOIN part ON p_partkey = part),
+p AS (SELECT n_name AS grp, left(s_name, l) AS prefix, count(*) AS n, min((s_name, -l)) AS seen FROM supplier JOIN nation ON n_nationkey = s_nationkey, (VALUES (2), (3), (4)) v(l) GROUP BY 1, 2),
+s AS (
+  SELECT n_name AS grp, 'summary' AS section, 'units' AS item, count(*) AS n FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY 1 UNION ALL
+  SELECT grp, 'summary', 'edges', count(*) FROM e GROUP BY 1 UNION ALL SELECT grp, 'summary', 'stores', count(DISTINCT p_brand) FROM e GROUP BY 1 UNION ALL
+  SELECT grp, 'summary', 'registry', count(DISTINCT c_custkey) FROM e WHERE grp = other GROUP BY 1 UNION ALL
+  SELECT grp, 'prefix', arg_min(prefix, (-n, seen)), max(n) FROM p GROUP BY 1 UNION ALL
+  SELECT grp, 'types', p_type, count(*) FROM e GROUP BY 1, 3 UNION ALL SELECT grp, 'stores', p_brand, count(*) FROM e GROUP BY 1, 3 UNION ALL
+  SELECT grp, 'registry', c_name, count(*) FROM e WHERE grp = other GROUP BY 1, 3 UNION ALL
+  SELECT other, 'inbound', grp, count(*) FROM e WHERE grp <> other GROUP BY 1, 3 UNION ALL SELECT grp, 'outbound', other, count(*) FROM e WHERE grp <> other GROUP BY 1, 3 UNION ALL
+  SELECT grp, 'hubs', s_name || CASE WHEN count(*) >= 10 THEN ' many' ELSE '' END, count(DISTINCT c_custkey) FROM e GROUP BY 1, s_name)
+SELECT grp, section, item, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY grp, section ORDER BY n DESC, item) AS r FROM s) WHERE r <= 10""")
 def group_overview(t: Tables) -> DataFrame:
-    nation = t.nation.select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("grp"))
-    s = t.supplier.select(F.col("s_suppkey").alias("source"), "s_name", F.col("s_nationkey").alias("k")).join(nation, "k")
-    c = t.customer.select(F.col("c_custkey").alias("target"), "c_name", F.col("c_nationkey").alias("k")).join(nation, "k")
-    p = t.part.select(F.col("p_partkey").alias("part"), "p_brand")
-    e = t.supply()
+    """Nations as groups of suppliers: a summary, the names' prefix, record types, stores, registry rows, edges in and out by group, and hubs."""
+    n = F.count("*").alias("n")
+    units = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("grp"), "s_suppkey", "s_name")
+    ends = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("target"), "c_name", F.col("n_name").alias("other"))
+    e = t.supply().join(units, F.col("source") == F.col("s_suppkey")).join(ends, "target").join(t.part.select(F.col("p_partkey").alias("part"), "p_brand", "p_type"), "part")
+    home, away = F.col("grp") == F.col("other"), e.where("grp <> other")
+
+    def summary(rows: DataFrame, item: str, value) -> DataFrame:
+        return rows.groupBy("grp").agg(value.alias("n")).select("grp", F.lit(item).alias("item"), "n")
+
+    facts = [summary(units, "units", F.count("*")), summary(e, "edges", F.count("*")), summary(e, "stores", F.count_distinct("p_brand")), summary(e.where(home), "registry", F.count_distinct("target"))]
+    prefix = P.dominant_prefix(units, "grp", "s_name", [2, 3, 4], 0.0)
+    sizes = units.groupBy("grp").agg(n)
+    hubs = e.groupBy("grp", "s_name", "target").agg(F.count("*").alias("c")).groupBy("grp", "s_name").agg(F.count("*").alias("n"), F.sum("c").alias("c"))
     sections = {
-        "suppliers": e.join(s, "source").groupBy("grp", F.col("s_name").alias("item")).agg(F.count("*").alias("n")),
-        "customers": e.join(c, "target").groupBy("grp", F.col("c_name").alias("item")).agg(F.count("*").alias("n")),
-        "brands": e.join(s, "source").join(p, "part").groupBy("grp", F.col("p_brand").alias("item")).agg(F.count("*").alias("n")),
+        "summary": reduce(DataFrame.unionByName, facts),
+        "prefix": prefix.join(sizes, "grp").select("grp", F.col("prefix").alias("item"), F.round(F.col("share") * F.col("n")).cast("long").alias("n")),
+        "types": e.groupBy("grp", F.col("p_type").alias("item")).agg(n),
+        "stores": e.groupBy("grp", F.col("p_brand").alias("item")).agg(n),
+        "registry": e.where(home).groupBy("grp", F.col("c_name").alias("item")).agg(n),
+        "inbound": away.groupBy(F.col("other").alias("grp"), F.col("grp").alias("item")).agg(n),
+        "outbound": away.groupBy("grp", F.col("other").alias("item")).agg(n),
+        "hubs": hubs.select("grp", F.concat("s_name", F.when(F.col("c") >= 10, " many").otherwise("")).alias("item"), "n"),
     }
-    return J.cards(sections, "grp", 5)
+    return J.cards(sections, "grp", 10)
 
 
-@query("""WITH b AS (SELECT source, doc_id, n_chars, sum(n_chars) OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id ROWS UNBOUNDED PRECEDING) AS used FROM documents)
-SELECT source, 'summary' AS section, CAST(0 AS BIGINT) AS ord, count(*) || ' units' AS item FROM documents GROUP BY source
-UNION ALL SELECT source, 'unit', row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id), CAST(doc_id AS VARCHAR) FROM b WHERE used <= 50000""")
+@query("""WITH b AS (SELECT source, doc_id, n_chars, lang, text, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS k, sum(n_chars) OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id ROWS UNBOUNDED PRECEDING) AS used FROM documents)
+SELECT source AS grp, 'summary' AS section, CAST(1 AS BIGINT) AS ord, 'Units: ' || count(*) AS item FROM documents GROUP BY source UNION ALL SELECT source, 'summary', 2, 'Characters: ' || CAST(sum(n_chars) AS BIGINT) FROM documents GROUP BY source
+UNION ALL SELECT source, 'languages', row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, coalesce(lang, '(none)')), coalesce(lang, '(none)') || ' ' || count(*) FROM documents GROUP BY source, coalesce(lang, '(none)')
+UNION ALL SELECT source, 'inventory', k, doc_id || ' (chars=' || n_chars || ')' FROM b
+UNION ALL SELECT source, 'text', k, md5(text) FROM b WHERE used <= 50000
+UNION ALL SELECT source, 'truncated', 0, count(*) || ' more units omitted; budget 50000' FROM b WHERE used > 50000 GROUP BY source""")
 def context_pack(t: Tables) -> DataFrame:
-    """Sections per group: a summary, and units in rank order within a budget of characters."""
-    from pyspark.sql import Window
-
-    head = t.documents.groupBy("source").agg(F.count("*").alias("n")).select("source", F.lit("summary").alias("section"), F.lit(0).cast("long").alias("ord"), F.concat(F.col("n").cast("string"), F.lit(" units")).alias("item"))
+    """Sections per group: a summary, languages, the ranked inventory of all units, and texts (here their MD5) in that order within a budget."""
+    n = F.count("*")
+    facts = t.documents.groupBy(F.col("source").alias("grp")).agg(n.alias("units"), F.sum("n_chars").alias("chars"))
+    lines = F.array(F.concat(F.lit("Units: "), F.col("units").cast("string")), F.concat(F.lit("Characters: "), F.col("chars").cast("string")))
+    summary = facts.select("grp", F.lit("summary").alias("section"), F.posexplode(lines).alias("at", "item")).select("grp", "section", (F.col("at") + 1).cast("long").alias("ord"), "item")
+    langs = t.documents.groupBy(F.col("source").alias("grp"), F.coalesce("lang", F.lit("(none)")).alias("lang")).agg(n.alias("n"))
+    languages = E.top_k(langs, ["grp"], [F.desc("n"), F.col("lang")], 1 << 30).select("grp", F.lit("languages").alias("section"), F.col("rank").cast("long").alias("ord"), F.concat_ws(" ", "lang", F.col("n").cast("string")).alias("item"))
     order = [F.desc("n_chars"), F.col("doc_id")]
-    body = P.within_budget(t.documents.select("doc_id", "source", "n_chars"), "source", order, F.col("n_chars"), 50_000)
-    rank = F.row_number().over(Window.partitionBy("source").orderBy(*order)).cast("long")
-    return head.unionByName(body.select("source", F.lit("unit").alias("section"), rank.alias("ord"), F.col("doc_id").cast("string").alias("item")))
+    inventory = V.ranked_inventory(t.documents, "source", "doc_id", order, F.format_string("%d (chars=%d)", "doc_id", "n_chars"))
+    chosen = P.within_budget(t.documents.select("doc_id", "source", "n_chars"), "source", order, F.col("n_chars"), 50_000)
+    ranks = E.top_k(chosen, ["source"], order, 1 << 30).select("source", "doc_id", F.col("rank").cast("long").alias("ord"))
+    texts = ranks.join(t.documents.select("source", "doc_id", "text"), ["source", "doc_id"]).select(F.col("source").alias("grp"), F.lit("text").alias("section"), "ord", F.md5(F.col("text").cast("binary")).alias("item"))
+    left = facts.join(ranks.groupBy(F.col("source").alias("grp")).agg(n.alias("shown")), "grp", "left").withColumn("left_out", F.col("units") - F.coalesce("shown", F.lit(0))).where("left_out > 0")
+    truncated = left.select("grp", F.lit("truncated").alias("section"), F.lit(0).cast("long").alias("ord"), F.concat(F.col("left_out").cast("string"), F.lit(" more units omitted; budget 50000")).alias("item"))
+    return reduce(DataFrame.unionByName, [summary, languages, inventory, texts, truncated])
 
 
 @query("""WITH f AS (SELECT p_brand AS store, count(*) AS records, max(p_size) AS hi, min(p_size) AS lo, count(DISTINCT p_type) AS kinds FROM part GROUP BY 1)
@@ -227,11 +262,23 @@ def event_fabric(t: Tables) -> DataFrame:
     return t.events.groupBy("event_type", role.alias("role")).agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
 
 
-@query("""WITH l AS (SELECT coalesce(CAST(quality AS VARCHAR), 'none') AS l, count(*) AS n FROM documents d LEFT JOIN labels b ON b.doc_id = d.doc_id GROUP BY 1)
-SELECT '{"total":' || sum(n) || ',"labelled":' || coalesce(sum(n) FILTER (l <> 'none'), 0) || ',"by_label":{' || string_agg('"' || l || '":' || n, ',' ORDER BY l) || '}}' AS snapshot FROM l""")
+@query("""WITH r AS (SELECT count(*) AS t, count(quality) AS c, count(*) FILTER (d.doc_id % 2 = 0) AS v, count(*) FILTER (d.doc_id % 3 = 0) AS s, count(*) FILTER (quality = 1) AS p, count(*) FILTER (n_chars > 500) AS u,
+  count(*) FILTER (d.doc_id % 6 = 0 AND quality = 1 AND n_chars > 500) AS a, count(*) FILTER (lang = 'en') AS sd, count(*) FILTER (quality = 1 AND d.doc_id % 5 = 0) AS ok, count(*) FILTER (quality = 1) AS lp, count(*) FILTER (quality = 0) AS lk
+  FROM documents d LEFT JOIN labels b ON b.doc_id = d.doc_id),
+f AS (SELECT count(*) AS t, count(*) FILTER (l_linenumber = 1) AS n FROM lineitem), o AS (SELECT count(*) AS t, count(*) FILTER (o_orderstatus = 'F') AS n FROM orders)
+SELECT '{"extraction_date":"2026-01-01T00:00:00Z","piks_classification":{"total_files":' || r.t || ',"classified":' || c || ',"unclassified":' || (r.t - c) || ',"coverage_pct":' || round(c * 100.0::DOUBLE / r.t, 1)
+  || ',"by_category":{"P":' || lp || ',"I":0,"K":' || lk || ',"S":0}},"data_properties":{"volatility_classified":' || v || ',"sensitivity_classified":' || s || ',"portability_classified":' || p || ',"volume_classified":' || u
+  || ',"fully_classified_pct":' || round(a * 100.0::DOUBLE / r.t, 1) || '},"files":{"total":' || r.t || ',"extracted":' || r.t || ',"classified_piks":' || c || ',"classified_properties":' || a || ',"annotated_subdomain":' || sd || ',"verified":' || ok
+  || '},"fields":{"total":' || f.t || ',"extracted":' || f.t || ',"annotated_semantic_type":' || f.n || ',"coverage_pct":' || round(f.n * 100.0::DOUBLE / f.t, 1) || '},"pointers":{"total":' || o.t || ',"extracted":' || o.t || ',"annotated_canonical":' || o.n || ',"coverage_pct":' || round(o.n * 100.0::DOUBLE / o.t, 1) || '}}' AS snapshot FROM r, f, o""")
 def coverage_snapshot(t: Tables) -> DataFrame:
-    rows = t.documents.join(t.labels, "doc_id", "left").select(F.col("quality").cast("string").alias("label"))
-    return I.coverage_snapshot(rows)
+    """Documents as record types, lines as fields and orders as pointers."""
+    k, q = F.col("doc_id"), F.col("quality")
+    records = t.documents.join(t.labels, "doc_id", "left").select(
+        F.when(q == 1, "P").when(q == 0, "K").alias("label"), F.when(k % 2 == 0, "slow").alias("volatility"), F.when(k % 3 == 0, "public").alias("sensitivity"), F.when(q == 1, "universal").alias("portability"),
+        F.when(F.col("n_chars") > 500, "moderate").alias("volume"), F.when(F.col("lang") == "en", "text").alias("subdomain"), ((q == 1) & (k % 5 == 0)).alias("verified"),
+    )
+    fields = t.lineitem.select(F.when(F.col("l_linenumber") == 1, "name").alias("semantic_type"))
+    return V.coverage(records, fields, t.orders.select((F.col("o_orderstatus") == "F").alias("is_canonical")), F.lit("2026-01-01T00:00:00Z"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, o_orderstatus, o_orderpriority, c_name, c_mktsegment, cn.n_name AS customer_nation, p_name, p_brand, s_name, sn.n_name AS supplier_nation, cn.n_nationkey <> sn.n_nationkey AS crossing

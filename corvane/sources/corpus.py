@@ -122,3 +122,27 @@ def unit_contract(manifest: DataFrame, found: DataFrame) -> DataFrame:
     missing = manifest.select("unit").distinct().join(found.select("unit"), "unit", "left_anti").select(F.lit("missing file").alias("check"), "unit")
     extra = found.select("unit").distinct().join(manifest.select("unit"), "unit", "left_anti").select(F.lit("not listed").alias("check"), "unit")
     return several.unionByName(missing).unionByName(extra)
+
+
+def write_units(units: DataFrame, path: str, folder: str = "Routines", suffix: str = ".m") -> int:
+    """Writes each row (unit, grp, text) as ``<path>/<grp>/<folder>/<unit><suffix>``, in tasks, and returns their number. Null texts are empty files.
+
+    A task that runs again writes the same files again.
+    """
+    store, place, _ = _file_system(path)
+    store.create_dir(place, recursive=True)
+
+    def write(batches):
+        for batch in batches:
+            files, top, _ = _file_system(path)
+            made = set()
+            for unit, grp, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                where = f"{top}/{grp}/{folder}"
+                if where not in made:
+                    files.create_dir(where, recursive=True)
+                    made.add(where)
+                with files.open_output_stream(f"{where}/{unit}{suffix}") as f:
+                    f.write((text or "").encode())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return units.select("unit", "grp", "text").mapInArrow(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
