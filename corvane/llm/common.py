@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.session import cut, shared_dir
+from corvane.session import cut, scratch
 
 #: A-Z to a-z on UTF-8 bytes; bytes from 0x80 on belong to other code points and stay.
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -50,7 +49,10 @@ BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bounds Arrow batches for whole texts, unless the session has its own bound below Spark's default."""
+    """Bounds Arrow batches for whole texts, unless the session has its own lower bound.
+
+    Spark reads this setting when a plan runs, so it stays lowered in the session.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key, "64m").lower().strip()
     digits = now.rstrip("bkmgt")
@@ -64,11 +66,6 @@ def crc_mod(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, what: str) -> DataFrame:
     """``df`` written as compressed Parquet in the shared folder and read back.
 

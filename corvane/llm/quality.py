@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from corvane.llm.common import as_bytes, bounded_batches, crc_mod
+from corvane.llm.common import as_bytes, bounded_batches, crc_mod, free_names
 
 FOLDS = 5
 THRESHOLD = 0.3
+#: Labelled rows outside the held-out fold that the discriminant is fitted on, about: those whose ids have the smallest hashes.
+FIT_ROWS = 20_000
 
 #: Words at which a text's features count half: fewer say little about the text.
 HALF_WEIGHT_WORDS = 8
@@ -183,6 +185,8 @@ def fit(labelled: DataFrame, to_pooled: float = 0.3, to_identity: float = 0.05)
 
 
 def score_of_features(model: Discriminant, features: Column) -> Column:
+    """The score of each row's features (see statistics()); those of an empty text are drawn to the centre."""
+
     @arrow_udf(T.DoubleType())
     def score(rows: pa.Array) -> pa.Array:
         x = np.asarray(rows.to_pylist(), float).reshape(len(rows), 1 + len(FEATURES))
@@ -192,6 +196,8 @@ def score_of_features(model: Discriminant, features: Column) -> Column:
 
 
 def score_of_text(model: Discriminant, text: Column) -> Column:
+    """The score of each whole text; null counts as empty, and all empty texts have one score."""
+
     @arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:
         x = np.array([statistics_of(t) for t in as_bytes(texts)], float).reshape(len(texts), 1 + len(FEATURES))
@@ -201,22 +207,43 @@ def score_of_text(model: Discriminant, text: Column) -> Column:
 
 
 def features_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, features) of every row."""
+    """(doc_id, features) of every row; null and empty texts have zeros, repeated rows a row each."""
     bounded_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), statistics(F.col(text)).alias("features"))
 
 
-def fit_on(features: DataFrame, labels: DataFrame, label: str = "quality") -> Discriminant:
-    """Fits on all labelled rows outside the held-out fold (crc32 of the id mod 5 is 0).
+def lessons(labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> DataFrame:
+    """(doc_id, label) of at most about ``rows`` labelled rows outside the held-out fold (crc32 of the id mod 5 is 0).
+
+    Of more, the share with the smallest hashes of their ids is taken. Rows with a
+    null id or a label other than 0 and 1 teach nothing.
+    """
+    known = labels.where((crc_mod("doc_id", FOLDS) != 0) & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
+    n = known.count()
+    return known if n <= rows else known.where(F.xxhash64("doc_id") / float(1 << 64) + 0.5 < rows / n)
+
+
+def fit_on(features: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> Discriminant:
+    """Fits on the features of the rows that lessons() takes, in one broadcast join, as those are bounded.
 
     Repeated ids or labels count once for each matching pair; null ids match none.
     """
-    known = labels.where(crc_mod("doc_id", FOLDS) != 0).select("doc_id", F.col(label).cast("int").alias("label"))
-    return fit(features.join(known, "doc_id").select("label", "features"))
+    return fit(features.join(F.broadcast(lessons(labels, label, rows)), "doc_id").select("label", "features"))
+
+
+def fit_on_texts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", rows: int = FIT_ROWS) -> Discriminant:
+    """As fit_on(), but only the texts that are learned from become features."""
+    bounded_batches(docs.sparkSession)
+    known = F.broadcast(lessons(labels, label, rows))
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(known, "doc_id")
+    return fit(chosen.select("label", statistics(F.col("text")).alias("features")))
 
 
 def accepted(docs: DataFrame, model: Discriminant, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``. Columns stay as they are."""
+    """The rows of ``docs`` that score at least ``threshold``. Columns stay as they are, whatever their names.
+
+    Null and empty texts share one score and so one fate; repeated rows too.
+    """
     bounded_batches(docs.sparkSession)
-    name = "__score"
-    return docs.withColumn(name, score_of_text(model, F.col(text))).where(F.col(name) >= threshold).drop(name)
+    (name,) = free_names(docs.columns, "score")
+    return docs.withColumn(name, score_of_text(model, F.col(f"`{text}`"))).where(F.col(name) >= threshold).drop(name)

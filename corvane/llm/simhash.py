@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from corvane.llm.common import LOWER_ASCII, as_bytes, bounded_batches, connected_components, cut
+from corvane.llm.common import LOWER_ASCII, as_bytes, bounded_batches, connected_components, cut, free_names
 
 SHINGLE = 3
 SEED = 42
@@ -159,6 +159,7 @@ def near_duplicates_removed(docs: DataFrame, doc_id: str = "doc_id", text: str =
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
     classes = cut(prints.groupBy("fp").agg(first))
     best = F.min(F.struct("first.unnamed", "first.doc_id", "fp", "first.row"))
-    keep = classes.join(class_components(classes), "fp").groupBy("component").agg(best.alias("best")).select(F.col("best.row").alias("__row"))
+    (name,) = free_names(docs.columns, "row")
+    keep = classes.join(class_components(classes), "fp").groupBy("component").agg(best.alias("best")).select(F.col("best.row").alias(name))
     # a plain equi-join on the digest, whose shuffle also serves the removal of repeats
-    return docs.withColumn("__row", digest).join(keep, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
+    return docs.withColumn(name, digest).join(keep, name, "left_semi").dropDuplicates([name]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -75,7 +75,7 @@ def test_quality_without_labels_or_with_one(spark):
 
 
 def test_quality_of_hard_rows(spark, make_docs, hard_rows):
-    docs = make_docs(hard_rows).withColumn("features", F.lit("x")).withColumn("label", F.lit(1))
+    docs = make_docs(hard_rows).withColumn("features", F.lit("x")).withColumn("label", F.lit(1)).withColumn("score", F.lit(2)).withColumn("__score", F.lit(3))
     labels = spark.createDataFrame([(1, 0, 0), (4, 1, 0), (7, 1, 1), (None, 1, 0), (4, None, 0)], "doc_id bigint, quality int, toxic int")
     model = Q.fit_on(Q.features_of(docs), labels)
     kept = Q.accepted(docs, model)
@@ -83,6 +83,17 @@ def test_quality_of_hard_rows(spark, make_docs, hard_rows):
     assert Q.accepted(docs.limit(0), model).count() == 0
 
 
+def test_lessons_are_bounded_and_both_fits_are_one(spark, make_docs):
+    docs = make_docs([(k, f"text number {k} " * (1 + k % 7) + "!" * (k % 3)) for k in range(500)])
+    labels = spark.createDataFrame([*((k, k % 2, 0) for k in range(500)), (501, 7, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
+    learned = {r.doc_id for r in Q.lessons(labels).collect()}
+    assert learned == {k for k in range(500) if crc(k, 5)}
+    some = {r.doc_id for r in Q.lessons(labels, rows=100).collect()}
+    assert some < learned and 60 < len(some) < 140
+    a, b = Q.fit_on(Q.features_of(docs), labels, rows=100), Q.fit_on_texts(docs, labels, rows=100)
+    assert np.allclose(a.means, b.means) and np.allclose(a.whiten, b.whiten) and a.bias == pytest.approx(b.bias)
+
+
 def test_quality_holds_out_and_is_right(spark, sf):
     sf = sf.replace("sf0.001", "sf0.01")
     rows = {r.doc_id: r for r in op9_quality(spark, sf).collect()}
