@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +47,30 @@ def test_language_holds_out_and_is_right(spark, sf):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_filter_decides_as_exact_sets_do(spark, sf):
+    """Brute force: the n-grams of each language as a set, without slots, masks or corrections."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = L.learn(docs)
+    rows = docs.collect()
+    sums = {}
+    for r in rows:
+        if r.lang is not None and crc(r.doc_id, 3) != 1 and r.text and L.has_letter(r.text):
+            sums.setdefault(r.lang, Counter()).update(L.grams_of(r.text).tolist())
+    sets = {k: {g for g, n in c.items() if n >= L.MIN_SHARE * c.total()} for k, c in sums.items()}
+    assert model.languages == sorted(sets)
+    same = 0
+    for r in rows:
+        grams = L.grams_of(r.text or "").tolist()
+        exact = np.array([sum(g in sets[k] for g in grams) for k in model.languages], float)
+        counts, n = model.counts(r.text or "")
+        assert n == len(grams)
+        # a set bit is never missing, and false positives are rare and mostly corrected
+        assert (counts >= exact - n * 0.05 - 1).all() and (counts <= exact + n * 0.05 + 3).all()
+        want = L.UNDETERMINED if not L.has_letter(r.text or "") else model.languages[int(exact.argmax())]
+        same += model.predict(r.text or "")[0] == want
+    assert same >= 0.99 * len(rows)
+
+
 def test_discriminant_equals_the_formula(spark):
     rng = np.random.default_rng(3)
     d = len(Q.FEATURES)
