@@ -303,21 +303,31 @@ def name_join(t: Tables) -> DataFrame:
     return J.same_name(groups, registry, "grp", "reg").select("n_nationkey", "grp", "customers")
 
 
-@query("""WITH x AS (SELECT c_custkey, coalesce(n, 0) AS ptr_in, c_nationkey % 3 AS ptr_out, coalesce(n, 0) * 100 AS records, c_nationkey % 5 AS audited, c_acctbal < -500 AS no_delete, c_nationkey % 4 AS depth, c_custkey % 4 AS word_fields
-  FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey)
-SELECT c_custkey, CASE WHEN ptr_in = 0 AND ptr_out = 0 AND records < 100 THEN 'H-19' WHEN audited >= 3 THEN 'H-24' WHEN no_delete THEN 'H-26' WHEN audited = 0 AND records < 500 THEN 'H-29' WHEN depth >= 3 THEN 'H-30'
-  WHEN word_fields >= 3 THEN 'H-31' WHEN records < 5000 THEN 'H-44' WHEN c_custkey < 2 THEN 'H-49' END AS method,
-  CASE WHEN ptr_in = 0 AND ptr_out = 0 AND records < 100 THEN 'S' WHEN audited >= 3 THEN 'P' WHEN no_delete THEN 'P' WHEN audited = 0 AND records < 500 THEN 'K' WHEN depth >= 3 THEN 'P'
-  WHEN word_fields >= 3 THEN 'P' WHEN records < 5000 THEN 'K' WHEN c_custkey < 2 THEN 'S' END AS label FROM x""")
+@query("""WITH x AS (SELECT c_custkey, c_custkey % 29 AS m, CASE WHEN c_custkey % 53 = 0 THEN 0 ELSE coalesce(n, 0) END AS ptr_in, CASE WHEN c_custkey % 53 = 0 THEN 0 ELSE 1 + c_nationkey % 3 END AS ptr_out,
+    CASE c_custkey % 47 WHEN 1 THEN 3 WHEN 2 THEN 0 ELSE 1 END AS audited FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey),
+y AS (SELECT *, ptr_in * 30 AS records FROM x),
+z AS (SELECT c_custkey, CASE WHEN ptr_in = 0 AND ptr_out = 0 AND records < 100 THEN 'H-19' WHEN audited >= 3 THEN 'H-24' WHEN c_custkey % 43 = 1 THEN 'H-25' WHEN c_custkey % 41 = 1 THEN 'H-26' WHEN c_custkey % 37 = 1 THEN 'H-27'
+  WHEN c_custkey % 31 = 1 THEN 'H-28' WHEN audited = 0 AND records < 500 THEN 'H-29' WHEN m = 1 THEN 'H-30' WHEN m = 2 THEN 'H-31' WHEN m = 3 THEN 'H-32' WHEN m = 4 THEN 'H-33' WHEN m = 5 AND records < 1000 THEN 'H-34' WHEN m = 6 THEN 'H-35'
+  WHEN m = 7 THEN 'H-37' WHEN m = 8 THEN 'H-41' WHEN m = 11 THEN 'H-42' WHEN m = 9 THEN 'H-43' WHEN m = 10 AND records < 5000 THEN 'H-44' WHEN m IN (12, 20) THEN 'H-45' WHEN m = 13 AND ptr_in > 5 THEN 'H-46' WHEN m = 14 THEN 'H-47' WHEN m = 15 THEN 'H-48'
+  WHEN m = 16 THEN 'H-49' WHEN m = 17 THEN 'H-50' WHEN m = 18 THEN 'H-51' WHEN m = 19 THEN 'H-52' END AS method FROM y)
+SELECT c_custkey, method, CASE WHEN method IN ('H-29', 'H-32', 'H-34', 'H-37', 'H-44', 'H-46', 'H-48') THEN 'K' WHEN method IN ('H-19', 'H-35', 'H-45', 'H-49') THEN 'S' WHEN method IS NOT NULL THEN 'P' END AS label FROM z""")
 def specified_rule_cascade(t: Tables) -> DataFrame:
-    """Customers as record types: the rules that are specified alone, over derived features."""
+    """Customers as record types: the rules that are specified alone, over derived features that let each one fire."""
     n = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
-    none, zero = F.lit(False), F.lit(0)
-    made = t.customer.join(n, "c_custkey", "left").select(
-        "c_custkey", F.col("c_custkey").cast("string").alias("number"), F.coalesce("n", zero).alias("ptr_in"), (F.col("c_nationkey") % 3).alias("ptr_out"), (F.coalesce("n", zero) * 100).alias("records"),
-        (F.col("c_nationkey") % 5).alias("audited"), (F.col("c_acctbal") < -500).alias("no_delete"), (F.col("c_nationkey") % 4).alias("depth"), (F.col("c_custkey") % 4).alias("word_fields"),
-        *[none.alias(c) for c in ("first_is_date", "is_subfile", "created", "no_write", "dinum", "trigger_to_p", "open_laygo")],
-        *[zero.alias(c) for c in ("computed", "print_templates", "input_templates", "forms")],
-        F.lit(0.0).alias("set_share"), F.lit(0.0).alias("p_referrers"), F.lit(10).alias("fields"), F.array(F.lit("B")).alias("xrefs"), F.lit("").alias("write_access"), F.lit("").alias("delete_access"),
+    k, m = F.col("c_custkey"), F.col("c_custkey") % 29
+    still = k % 53 == 0
+
+    def at(place: int, value, other):
+        return F.when(m == place, value).otherwise(other)
+
+    names = lambda *x: F.array(*[F.lit(v) for v in x])
+    made = t.customer.join(n, "c_custkey", "left").withColumn("ptr_in", F.when(still, 0).otherwise(F.coalesce("n", F.lit(0)))).select(
+        "c_custkey", "ptr_in", F.when(still, 0).otherwise(1 + F.col("c_nationkey") % 3).alias("ptr_out"), (F.col("ptr_in") * 30).alias("records"), F.when(k % 47 == 1, 3).when(k % 47 == 2, 0).otherwise(1).alias("audited"),
+        (k % 43 == 1).alias("first_is_date"), ((k % 43 == 1) | (k % 2 == 0)).alias("is_subfile"), (k % 41 == 1).alias("no_delete"), (k % 37 == 1).alias("created"), (k % 31 == 1).alias("no_write"),
+        at(1, 3, 1).alias("depth"), at(2, 3, 0).alias("word_fields"), at(3, 0.6, 0.1).alias("set_share"), at(4, 60, 10).alias("fields"), (m == 5).alias("dinum"), at(6, 3, 0).alias("computed"), at(7, 0.8, 0.1).alias("p_referrers"),
+        F.when(m == 8, names("B", "DFN")).when(m == 9, names(*"BCDEFGHJ")).when(m == 10, names("B")).otherwise(names("B", "C")).alias("xrefs"), (m == 11).alias("trigger_to_p"),
+        at(12, "@", "").alias("write_access"), at(20, "@", "").alias("delete_access"), (m == 13).alias("open_laygo"),
+        F.when(m == 14, "9000050").when(m == 15, "9999999.5").when(m == 16, "1.5").otherwise((k + 100).cast("string")).alias("number"),
+        at(17, 5, 0).alias("print_templates"), at(18, 2, 0).alias("input_templates"), at(19, 1, 0).alias("forms"),
     )
     return R.labelled(made, R.specified_rules()).select("c_custkey", "method", "label")
