@@ -36,8 +36,9 @@ TRAINING_DOCUMENTS, TRAINING_BYTES, DICTIONARY_BYTES = 512, 32 << 20, 65_536
 LEVEL = 3
 #: Bytes of frames after which a pack is closed.
 PACK_BYTES = 1 << 18
-#: Bytes of frames in an id range, which one task orders and packs.
-RANGE_BYTES = 16 << 20
+#: Bytes of frames in an id range, which one task orders and packs; and the most ranges, beyond which each holds more.
+#: A task sorts its range with spilling and leaves it pack by pack, so its memory doesn't grow with the range.
+RANGE_BYTES, MAX_RANGES = 16 << 20, 20_000
 #: Pieces whose ids a worker remembers before it drops the older half: about 60 MB.
 REMEMBERED_PIECES = 300_000
 #: Bytes of texts that are parted into pieces at once (one text at least), and pieces that are encoded in one call.
@@ -242,7 +243,7 @@ def write_packs(
         return pa.StructArray.from_arrays([pa.array(frames, pa.binary()), pa.array(counts, pa.int64())], ["frame", "n"])
 
     rows = stored(docs.select(F.col(doc_id).cast("long").alias("doc_id"), framed(F.col(text)).alias("f")).select("doc_id", "f.frame", "f.n", F.xxhash64("f.frame").alias("tie")), "frames")
-    n_ranges = max(1, -(-(rows.agg(F.sum(F.octet_length("frame"))).head()[0] or 0) // range_bytes))
+    n_ranges = min(MAX_RANGES, max(1, -(-(rows.agg(F.sum(F.octet_length("frame"))).head()[0] or 0) // range_bytes)))
 
     def packed(batches):
         ids: list = []
