@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.session import spread
+
 Query = Callable[["Tables"], DataFrame]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +23,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def texts(self, name: str, *columns: str) -> DataFrame:
+        """Columns of a table whose texts cost more to work on than to deal out."""
+        return spread(getattr(self, name).select(*columns))
+
     def supply(self) -> DataFrame:
         """Edges of the trade graph: a line item leads from its supplier to its order's customer."""
         return self.lineitem.join(self.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(

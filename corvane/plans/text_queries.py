@@ -19,7 +19,7 @@ _AT = f"SELECT doc_id, unnest(ls) AS line, unnest(generate_series(1, len(ls))) A
 
 
 def _lines(t: Tables) -> DataFrame:
-    return corpus.lines(t.documents, "doc_id").withColumnRenamed("unit", "doc_id")
+    return corpus.lines(t.texts("documents", "doc_id", "text"), "doc_id").withColumnRenamed("unit", "doc_id")
 
 
 @query(f"""WITH d AS (SELECT doc_id AS unit, source AS grp, text, {_LINES} AS ls FROM documents)
@@ -28,12 +28,12 @@ SELECT unit, grp, CAST(len(ls) AS BIGINT) AS line_count, CAST(strlen(text) AS BI
   CAST(len(list_filter(ls, lambda x: regexp_matches(x, '^[A-Za-z0-9%]'))) AS BIGINT) AS tag_count, CAST(len(list_filter(ls, lambda x: regexp_matches(x, '^[ \\t]*;'))) AS BIGINT) AS comment_line_count,
   CASE WHEN starts_with(CAST(unit AS VARCHAR), '_') THEN 'Y' ELSE 'N' END AS is_percent FROM d""")
 def unit_inventory(t: Tables) -> DataFrame:
-    return corpus.inventory(t.documents, "doc_id", "source")
+    return corpus.inventory(t.texts("documents", "doc_id", "source", "text"), "doc_id", "source")
 
 
 @query("""SELECT page_id, target, count(*) AS ref_count FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS target FROM pages) GROUP BY 1, 2""")
 def link_edges(t: Tables) -> DataFrame:
-    return E.pattern_edges(t.pages, ["page_id"], F.col("html"), 'href="([^"]+)"', "target")
+    return E.pattern_edges(t.texts("pages", "page_id", "html"), ["page_id"], F.col("html"), 'href="([^"]+)"', "target")
 
 
 @query(f"""WITH c AS (SELECT doc_id, regexp_replace(line, '"(?:[^"]|"")*(?:"|$)|;.*', '', 'g') AS clean FROM ({_AT}))
@@ -48,7 +48,7 @@ tall AS (SELECT conv_id, turn, 'entry' AS action_kind, entry AS body FROM r UNIO
 SELECT conv_id, action_kind, target, count(*) AS ref_count FROM (SELECT conv_id, action_kind, unnest(regexp_extract_all(body, '[A-Z][a-z]+')) AS target FROM tall) GROUP BY 1, 2, 3""")
 def registry_edges(t: Tables) -> DataFrame:
     user = F.col("role") == "user"
-    registry = t.conversations.select("conv_id", F.when(user, F.col("text")).alias("entry"), F.when(~user, F.col("text")).alias("exit"))
+    registry = t.texts("conversations", "conv_id", "role", "text").select("conv_id", F.when(user, F.col("text")).alias("entry"), F.when(~user, F.col("text")).alias("exit"))
     return E.action_edges(registry, ["conv_id"], {"entry": "entry", "exit": "exit"}, "[A-Z][a-z]+", 0)
 
 
@@ -185,7 +185,7 @@ def key_overlap(t: Tables) -> DataFrame:
 b AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(a, '(?m)^\\t+', ' ', 'g'), '(?m)[ \\t]+$', '', 'g'), '\\n+\\z', '') || chr(10) AS t FROM d)
 SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, t <> text AS changed, md5(t) AS digest FROM b""")
 def text_normalise(t: Tables) -> DataFrame:
-    made = t.documents.select("doc_id", "text", X.normalised(F.col("text")).alias("t"))
+    made = t.texts("documents", "doc_id", "text").select("doc_id", "text", X.normalised(F.col("text")).alias("t"))
     return made.select("doc_id", F.char_length("t").cast("long").alias("n_chars"), (F.col("t") != F.col("text")).alias("changed"), F.md5(F.col("t").cast("binary")).alias("digest"))
 
 

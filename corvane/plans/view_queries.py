@@ -24,7 +24,7 @@ def _code(t: Tables) -> DataFrame:
     """One line of code per line item: a call, a second argument, a function, two stores, a literal and a comment."""
     s, p = F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")
     line = F.concat(F.lit(" D EN^R"), s, F.lit(",T^Q"), s, F.lit(" S X=$$F^P"), p, F.lit("(1),Y=^DPT(1)+^G"), F.col("l_linenumber").cast("string"), F.lit('(2),Z="D ^NO" ; D ^GONE'))
-    return t.lineitem.select((F.col("l_orderkey") % 97).alias("unit"), line.alias("line"))
+    return t.texts("lineitem", "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber").select((F.col("l_orderkey") % 97).alias("unit"), line.alias("line"))
 
 
 @query("""WITH l AS (SELECT l_orderkey % 97 AS unit, l_suppkey AS s, l_partkey AS p FROM lineitem)

@@ -62,6 +62,12 @@ def discard_scratch(spark: SparkSession) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where it comes from fewer files than that, as a small table's scan may be a single task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
