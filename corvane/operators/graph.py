@@ -62,7 +62,9 @@ def top_ancestor(tree: DataFrame) -> DataFrame:
     return _climbed(tree, roots).select("id", F.col("stop").alias("top"))
 
 
-def propagate(nodes: DataFrame, edges: DataFrame, labels: DataFrame, majority: str, spread: str, rounds: int = 6, share: float = 0.7) -> DataFrame:
+def propagate(
+    nodes: DataFrame, edges: DataFrame, labels: DataFrame, majority: str, spread: str, rounds: int = 6, share: float = 0.7, only_nodes: bool = False
+) -> DataFrame:
     """(id, label, method, confidence, evidence, round): labels spread against the direction of edges, in synchronous rounds.
 
     ``edges`` is (id, target), a row per pointer; repeated ones count each. Per
@@ -85,6 +87,8 @@ def propagate(nodes: DataFrame, edges: DataFrame, labels: DataFrame, majority: s
         alone.select("id", F.lit("S").alias("label"), F.lit("H-39").alias("method"), F.lit("moderate").alias("confidence"), F.lit("orphan: 0 ptrs in, 0 ptrs out").alias("evidence"), F.lit(1).alias("round"))
     )
     have = [known]
+    if only_nodes:
+        edges = cut(edges.join(nodes.select("id").distinct(), "id", "left_semi"))
     for k in range(1, rounds + 1):
         seen = reduce(DataFrame.unionByName, have)
         counts = (

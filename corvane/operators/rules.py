@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corvane.config import labels as L
 from corvane.functions import text as X
-from corvane.operators.graph import nearest_labelled
+from corvane.operators.graph import nearest_labelled, propagate
 from corvane.session import cut
 
 
@@ -154,6 +154,28 @@ def inherited(cascaded: DataFrame) -> DataFrame:
     return cascaded.join(found, "id", "left").withColumns(new).drop("up")
 
 
+def classified(features: DataFrame, pointers: DataFrame, rules: list[Rule] | None = None, rounds: int = 6) -> DataFrame:
+    """(id, parent, label, method, confidence, evidence): the four passes over record types.
+
+    The rules in order (the coded ones by default); inheritance; propagation along
+    ``pointers`` (id, target) to types without a parent that are still open; and
+    inheritance by open types from the nearest labelled one above, which says that
+    it came after propagation. ``features`` has id, parent and what the rules read.
+    """
+    columns = ("label", "method", "confidence", "evidence")
+    first = cut(inherited(labelled(features, rules or record_type_rules()).select("id", "parent", *columns)))
+    open_ = first.where("label is null and parent is null").select("id")
+    reached = propagate(open_, pointers, first.select("id", "label"), "P", "K", rounds, only_nodes=True).where("method <> 'seed'")
+    new = reached.select("id", *[F.col(c).alias(f"new_{c}") for c in columns])
+    merged = cut(first.join(new, "id", "left").select("id", "parent", *[F.coalesce(c, f"new_{c}").alias(c) for c in columns]))
+    up = nearest_labelled(merged.select("id", "parent"), merged.select("id", "label")).where("from_id <> id").select("id", F.col("label").alias("up"))
+    late = F.col("label").isNull() & F.col("up").isNotNull()
+    values = {
+        "label": F.col("up"), "method": F.lit("H-05"), "confidence": F.lit("certain"), "evidence": F.concat(F.lit("inherits(prop) from "), F.col("parent").cast("string")),
+    }
+    return merged.join(up, "id", "left").select("id", "parent", *[F.when(late, values[c]).otherwise(F.col(c)).alias(c) for c in columns])
+
+
 def field_labels(fields: DataFrame, types: DataFrame, tops: DataFrame | None = None) -> DataFrame:
     """Fields (record, field, name, spec, target) with their type's label, their target's, a cross flag and a sensitivity flag.
 

@@ -203,14 +203,41 @@ r AS (SELECT id, parent, CASE WHEN root = '^DPT(' THEN 'P|H-01|certain|global=^D
   WHEN name = 'Ward' THEN 'I|H-22|low|name contains I-pattern' WHEN name = 'Patient' THEN 'P|H-23|low|name contains P-pattern' END AS r FROM x)"""
 
 
-@query(f"""WITH RECURSIVE {_FEATURES},
-w(id, label, method, confidence, evidence) AS (SELECT id, nullif(split_part(r, '|', 1), ''), nullif(split_part(r, '|', 2), ''), nullif(split_part(r, '|', 3), ''), nullif(split_part(r, '|', 4), '') FROM r WHERE parent IS NULL
-  UNION ALL SELECT r.id, CASE WHEN weak THEN w.label ELSE nullif(split_part(r, '|', 1), '') END, CASE WHEN weak THEN 'H-05' ELSE nullif(split_part(r, '|', 2), '') END, CASE WHEN weak THEN 'certain' ELSE nullif(split_part(r, '|', 3), '') END,
-    CASE WHEN weak THEN 'inherits from ' || parent ELSE nullif(split_part(r, '|', 4), '') END
-  FROM (SELECT *, coalesce(split_part(r, '|', 3), '') NOT IN ('certain', 'high') AS open FROM r) r JOIN w ON w.id = r.parent, LATERAL (SELECT open AND w.label IS NOT NULL AS weak))
-SELECT * FROM w""")
+_INHERITED = """w(id, parent, label, method, confidence, evidence) AS (SELECT id, parent, nullif(split_part(r, '|', 1), ''), nullif(split_part(r, '|', 2), ''), nullif(split_part(r, '|', 3), ''), nullif(split_part(r, '|', 4), '') FROM r WHERE parent IS NULL
+  UNION ALL SELECT r.id, r.parent, CASE WHEN weak THEN w.label ELSE nullif(split_part(r, '|', 1), '') END, CASE WHEN weak THEN 'H-05' ELSE nullif(split_part(r, '|', 2), '') END, CASE WHEN weak THEN 'certain' ELSE nullif(split_part(r, '|', 3), '') END,
+    CASE WHEN weak THEN 'inherits from ' || r.parent ELSE nullif(split_part(r, '|', 4), '') END
+  FROM (SELECT *, coalesce(split_part(r, '|', 3), '') NOT IN ('certain', 'high') AS open FROM r) r JOIN w ON w.id = r.parent, LATERAL (SELECT open AND w.label IS NOT NULL AS weak))"""
+
+
+@query(f"""WITH RECURSIVE {_FEATURES}, {_INHERITED} SELECT id, label, method, confidence, evidence FROM w""")
 def record_type_labels(t: Tables) -> DataFrame:
     """The coded rules in order over derived features, and then inheritance from the types above."""
+    return R.inherited(R.labelled(_features(t), R.record_type_rules()).select("id", "parent", "label", "method", "confidence", "evidence")).drop("parent")
+
+
+_ROUND = """SELECT id, CASE WHEN kinds >= 3 THEN 'P|H-38|targets span ' || kinds || ' PIKS categories' WHEN CAST(p AS DOUBLE) / n > 0.7 THEN 'P|H-36|' || p || '/' || n || ' targets classified P' WHEN k = n THEN 'K|H-40|' || k || ' targets all classified K' END AS r
+  FROM (SELECT e.id, count(*) AS n, count(DISTINCT h.label) AS kinds, count(*) FILTER (h.label = 'P') AS p, count(*) FILTER (h.label = 'K') AS k FROM e JOIN {known} h ON h.id = e.target WHERE e.id IN (SELECT id FROM free) AND e.id NOT IN (SELECT id FROM {known}) GROUP BY e.id) WHERE n >= 2"""
+
+
+@query(f"""WITH RECURSIVE {_FEATURES}, {_INHERITED},
+e AS (SELECT l_orderkey AS id, l_partkey * 5 AS target FROM lineitem WHERE l_linenumber <= 3), free AS (SELECT id FROM w WHERE label IS NULL AND parent IS NULL),
+alone AS (SELECT id FROM free WHERE id NOT IN (SELECT id FROM e) AND id NOT IN (SELECT target FROM e)), k0 AS (SELECT id, label FROM w WHERE label IS NOT NULL),
+r1 AS ({_ROUND.format(known="k0")}), k1 AS (SELECT * FROM k0 UNION ALL SELECT id, 'S' FROM alone UNION ALL SELECT id, split_part(r, '|', 1) FROM r1 WHERE r IS NOT NULL),
+r2 AS ({_ROUND.format(known="k1")}),
+m AS (SELECT id, label, method, confidence, evidence FROM w WHERE label IS NOT NULL UNION ALL SELECT id, 'S', 'H-39', 'moderate', 'orphan: 0 ptrs in, 0 ptrs out' FROM alone
+  UNION ALL SELECT id, split_part(r, '|', 1), split_part(r, '|', 2), 'moderate', split_part(r, '|', 3) FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2) WHERE r IS NOT NULL),
+z(id, label, method, confidence, evidence) AS (SELECT w.id, m.label, m.method, m.confidence, m.evidence FROM w LEFT JOIN m ON m.id = w.id WHERE parent IS NULL
+  UNION ALL SELECT w.id, coalesce(m.label, z.label), CASE WHEN m.label IS NOT NULL THEN m.method WHEN z.label IS NOT NULL THEN 'H-05' END, CASE WHEN m.label IS NOT NULL THEN m.confidence WHEN z.label IS NOT NULL THEN 'certain' END,
+    CASE WHEN m.label IS NOT NULL THEN m.evidence WHEN z.label IS NOT NULL THEN 'inherits(prop) from ' || w.parent END FROM z JOIN w ON w.parent = z.id LEFT JOIN m ON m.id = w.id)
+SELECT * FROM z""")
+def record_type_passes(t: Tables) -> DataFrame:
+    """All passes: rules, inheritance, two rounds of propagation along the first three lines, and inheritance again."""
+    pointers = t.lineitem.where("l_linenumber <= 3").select(F.col("l_orderkey").alias("id"), (F.col("l_partkey") * 5).alias("target"))
+    return R.classified(_features(t), pointers, rounds=2).drop("parent")
+
+
+def _features(t: Tables) -> DataFrame:
+    """Orders as record types with what the coded rules read."""
     key, s = F.col("o_orderkey"), F.col("l_suppkey")
 
     def chosen(pairs: list[tuple[Column, str]], other: str | None) -> Column:
@@ -230,8 +257,7 @@ def record_type_labels(t: Tables) -> DataFrame:
     base = t.orders.select(
         key.alias("id"), key.cast("string").alias("number"), F.when((key % 5 == 0) & (key > 0), F.floor(key / 3)).alias("parent"), roots.alias("root"), prefix.alias("prefix"), F.concat(F.lit("OWNER "), prefix).alias("owner"), name.alias("name")
     )
-    features = J.star(base, "id", [out, into], zero=["to_2", "to_4", "to_200", "ptr_out", "ptr_in"])
-    return R.inherited(R.labelled(features, R.record_type_rules()).select("id", "parent", "label", "method", "confidence", "evidence")).drop("parent")
+    return J.star(base, "id", [out, into], zero=["to_2", "to_4", "to_200", "ptr_out", "ptr_in"])
 
 
 @query("""WITH n AS (SELECT DISTINCT p_name AS name FROM part), m AS (SELECT upper(s_name) AS m, CASE WHEN s_suppkey % 10 < 5 THEN 'low' ELSE 'g' || s_suppkey % 10 END AS g FROM supplier),
