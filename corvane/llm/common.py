@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.session import cut, scratch
+from corvane.session import cut, scratch, spread
 
 #: A-Z to a-z on UTF-8 bytes; bytes from 0x80 on belong to other code points and stay.
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -19,7 +19,8 @@ WORD_BYTES = bytes(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, over all cores also where it is a file or two."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def free_names(taken: Iterable[str], *names: str) -> list[str]:

@@ -228,7 +228,7 @@ def write_packs(
     dictionary = train_dictionary(docs, tokenizer, doc_id, text, end_id)
     sha = hashlib.sha256(dictionary).hexdigest()
     shared = spark.sparkContext.broadcast(dictionary)
-    spark.createDataFrame([(sha, bytearray(dictionary))], "dictionary_sha256 string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
+    spark.range(1).coalesce(1).select(F.lit(sha).alias("dictionary_sha256"), F.lit(bytearray(dictionary)).alias("dictionary")).write.parquet(f"{path}/dictionary")
 
     frame = T.StructType([T.StructField("frame", T.BinaryType()), T.StructField("n", T.LongType())])
 
