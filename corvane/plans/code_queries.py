@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,7 +119,7 @@ def corpus_files(t: Tables) -> DataFrame:
     files = t.part.select(F.regexp_replace("p_brand", "#", "").alias("grp"), F.concat(F.when(key % 10 == 0, "_P").otherwise("P"), key.cast("string")).alias("unit"), data.alias("data"), text.alias("text"))
     corpus.write_units(files, root)
     corpus.write_units(files.select(F.col("data").alias("unit"), "grp", "text"), root, "Globals", ".zwr")
-    plain = root.removeprefix("file://")
+    plain = re.sub("^file:/+", "/", root)
     units = corpus.read_units(t.spark, root, root=plain, new_root="/corpus").select(F.lit("unit").alias("kind"), "path", F.col("unit").alias("name"), "grp", "byte_size", *[F.lit("").alias(c) for c in ("number", "chunk", "entity")])
     listed = corpus.list_files(t.spark, root).select("kind", X.moved_path(F.col("path"), plain, "/corpus").alias("path"), "name", "grp", "byte_size", "number", "chunk", "entity")
     return units.unionByName(listed)
