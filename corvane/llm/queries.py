@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.llm import bpe_trees as _bpe_trees
 from corvane.llm import decontaminate as _decontaminate
 from corvane.llm import language as _language
 from corvane.llm import mixing as _mixing
@@ -94,6 +95,19 @@ def op10_token_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_bpe_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    found = _bpe_trees.decoded(_bpe_trees.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_decontamination": op2_decontamination,
@@ -105,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vectors": op8_vectors,
     "op9_quality": op9_quality,
     "op10_token_packs": op10_token_packs,
+    "op12_bpe_trees": op12_bpe_trees,
 }
 
 ORACLE: dict[str, str] = {}
