@@ -213,7 +213,7 @@ def encoded(docs: DataFrame, tokenizer: str, text: str = "text", keep: tuple[str
     ones encode each text whole, where it is read.
     """
     bounded_batches(docs.sparkSession)
-    row, leaf, place = free_names([*keep, name], "row", "leaf", "place")
+    row, leaf, place, own = free_names([*docs.columns, name, "inside", "ids"], "row", "leaf", "place", "own")
     kept = [F.col(f"`{c}`") for c in keep]
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     cuts = encoder(tokenizer).by_piece
@@ -247,11 +247,15 @@ def encoded(docs: DataFrame, tokenizer: str, text: str = "text", keep: tuple[str
         return docs.select(*kept, whole(value).alias(name))
     long = F.char_length(value) > leaf_chars
     short_ids = docs.where(~long).select(*kept, whole(value).alias(name))
-    cut = docs.where(long).select(F.monotonically_increasing_id().alias(row), *kept, F.posexplode_outer(halved(value)).alias(place, leaf))
+    numbered = docs.where(long).select(F.monotonically_increasing_id().alias(row), F.struct(*kept).alias(own), halved(value).alias(leaf))
+    cut = numbered.select(row, own, F.posexplode_outer(leaf).alias(place, leaf))
+    # the first leaf takes the row's columns along
+    cut = cut.withColumn(own, F.when(F.coalesce(F.col(place), F.lit(0)) == 0, F.col(own)))
     dealt = cut.repartition(F.col(row), F.col(place))
-    ids = dealt.select(row, *kept, place, F.col(leaf)["inside"].alias("inside"), of_leaf(F.col(leaf)["text"], F.col(leaf)["special"]).alias(leaf))
-    gathered = ids.groupBy(row, *kept).agg(F.array_sort(F.collect_list(F.struct(F.col(place), F.col("inside"), F.col(leaf).alias("ids")))).alias(leaf))
-    return short_ids.unionByName(gathered.select(*kept, together(F.col(leaf)).alias(name)))
+    ids = dealt.select(row, own, place, F.col(leaf)["inside"].alias("inside"), of_leaf(F.col(leaf)["text"], F.col(leaf)["special"]).alias(leaf))
+    parts = F.array_sort(F.collect_list(F.struct(F.col(place), F.col("inside"), F.col(leaf).alias("ids"))))
+    gathered = ids.groupBy(row).agg(F.first(own, ignorenulls=True).alias(own), parts.alias(leaf))
+    return short_ids.unionByName(gathered.select(*[F.col(own)[c].alias(c) for c in keep], together(F.col(leaf)).alias(name)))
 
 
 def decoded(rows: DataFrame, tokenizer: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
