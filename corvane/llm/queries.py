@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import bpe_trees as _bpe_trees
+from corvane.llm import collocations as _collocations
 from corvane.llm import decontaminate as _decontaminate
 from corvane.llm import language as _language
 from corvane.llm import mixing as _mixing
@@ -108,6 +109,10 @@ def op12_bpe_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_decontamination": op2_decontamination,
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_token_packs": op10_token_packs,
     "op12_bpe_trees": op12_bpe_trees,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {}
@@ -206,3 +212,30 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce
        vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
 FROM v LEFT JOIN low ON vec_id = low.a LEFT JOIN n ON vec_id = n.a
 """
+
+ORACLE["op13_collocations"] = r"""
+WITH piece AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+total AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM piece GROUP BY lang),
+f AS (
+  SELECT lang, size, phrase, count(*) AS c
+  FROM (SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase
+        FROM (SELECT lang, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i FROM piece, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE len(w) >= size))
+  GROUP BY lang, size, phrase HAVING count(*) >= 100),
+cand AS (SELECT lang, size, phrase, c, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cut AS (
+  SELECT lang, size, phrase, c, k, array_to_string(list_slice(w, 1, k), ' ') AS lp, array_to_string(list_slice(w, k + 1, size), ' ') AS rp
+  FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM cand)),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.c AS a, k, x.c AS l, y.c AS r, n, (1000::HUGEINT * cut.c * n) // (x.c::HUGEINT * y.c) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = lp JOIN f y ON y.lang = cut.lang AND y.phrase = rp JOIN total ON total.lang = cut.lang),
+low AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+part AS (
+  SELECT lang, array_to_string(list_slice(w, b, b + m - 1), ' ') AS phrase, max(c) AS longer
+  FROM (SELECT *, unnest(generate_series(1, size - m + 1)) AS b FROM (SELECT *, unnest(generate_series(2, size - 1)) AS m FROM cand WHERE size > 2)) GROUP BY 1, 2),
+ranked AS (
+  SELECT low.lang, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, low.phrase) AS rank, low.phrase, a, l, r, n, score
+  FROM low LEFT JOIN part ON part.lang = low.lang AND part.phrase = low.phrase WHERE place = 1 AND (longer IS NULL OR longer < a))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
