@@ -14,6 +14,7 @@ from corvane.llm import language as _language
 from corvane.llm import mixing as _mixing
 from corvane.llm import pages as _pages
 from corvane.llm import personal as _personal
+from corvane.llm import prefix_tries as _prefix_tries
 from corvane.llm import quality as _quality
 from corvane.llm import sharding as _sharding
 from corvane.llm import simhash as _simhash
@@ -96,6 +97,10 @@ def op10_token_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prefix_tries.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_bpe_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -124,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vectors": op8_vectors,
     "op9_quality": op9_quality,
     "op10_token_packs": op10_token_packs,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_bpe_trees": op12_bpe_trees,
     "op13_collocations": op13_collocations,
 }
@@ -213,6 +219,40 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce
 FROM v LEFT JOIN low ON vec_id = low.a LEFT JOIN n ON vec_id = n.a
 """
 
+ORACLE["op11_prefix_trie"] = """
+WITH RECURSIVE step(i, b, c) AS (
+  SELECT i, 0, i FROM (SELECT unnest(generate_series(0, 255)) AS i)
+  UNION ALL
+  SELECT i, b + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM step WHERE b < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM step WHERE b = 8),
+conv AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+hashed AS (
+  SELECT c, xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda s, x: xor(t[xor(s % 256, x) + 1], s >> 8), 4294967295::BIGINT), 4294967295::BIGINT) % 4 AS h
+  FROM conv, tab),
+turn AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+item AS (
+  SELECT h.c, 0 AS own, pos, struct_pack(role := role, text := text) AS v FROM hashed h JOIN turn ON turn.c = h.c - h.c % 20 AND pos < h
+  UNION ALL
+  SELECT h.c, 1, pos, struct_pack(role := role, text := text) FROM hashed h JOIN turn ON turn.c = h.c AND pos >= h),
+seq AS (SELECT conv.c, coalesce(s, []) AS s FROM conv LEFT JOIN (SELECT c, list(v ORDER BY own, pos) AS s FROM item GROUP BY c) x ON x.c = conv.c),
+pre AS (SELECT c, d, sha256(CAST(list_slice(s, 1, d) AS VARCHAR)) AS p, d = len(s) AS ends, CASE WHEN d > 0 THEN len(regexp_extract_all(s[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS w
+        FROM (SELECT c, s, unnest(generate_series(0, len(s))) AS d FROM seq)),
+node AS (SELECT d, p, min(c) AS name, count(*) AS n, any_value(w) AS w, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends) AS e FROM pre GROUP BY d, p),
+named AS (SELECT pre.c, pre.d, node.name FROM pre JOIN node ON pre.d = node.d AND pre.p = node.p),
+full_node AS (SELECT node.*, up.name AS parent FROM node LEFT JOIN named up ON up.c = node.name AND up.d = node.d - 1),
+kids AS (SELECT d - 1 AS d, parent AS name, count(*) AS k FROM full_node WHERE d > 0 GROUP BY 1, 2),
+fact AS (SELECT f.*, coalesce(k, 0) AS k FROM full_node f LEFT JOIN kids ON kids.d = f.d AND kids.name = f.name),
+total AS (
+  SELECT up.d, up.name, count(*) FILTER (x.k = 0) AS n_leaves, sum((x.n - 1) * x.w) AS saved
+  FROM fact x JOIN named up ON up.c = x.name AND up.d <= x.d GROUP BY 1, 2)
+SELECT fact.name AS conv_id, CAST(fact.d AS BIGINT) AS depth, parent AS parent_conv_id, CAST(n AS BIGINT) AS n_convs, CAST(k AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(e, '')) AS ends_sha256
+FROM fact JOIN total ON total.d = fact.d AND total.name = fact.name
+"""
+
 ORACLE["op13_collocations"] = r"""
 WITH piece AS (
   SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
