@@ -63,7 +63,8 @@ def top_ancestor(tree: DataFrame) -> DataFrame:
 
 
 def propagate(
-    nodes: DataFrame, edges: DataFrame, labels: DataFrame, majority: str, spread: str, rounds: int = 6, share: float = 0.7, only_nodes: bool = False
+    nodes: DataFrame, edges: DataFrame, labels: DataFrame, majority: str, spread: str, rounds: int = 6, share: float = 0.7, only_nodes: bool = False,
+    linked: DataFrame | None = None,
 ) -> DataFrame:
     """(id, label, method, confidence, evidence, round): labels spread against the direction of edges, in synchronous rounds.
 
@@ -80,7 +81,8 @@ def propagate(
     known = cut(labels.where("label is not null").select("id", "label"))
     text = F.lit(None).cast("string")
     parts = [known.select("id", "label", F.lit("seed").alias("method"), text.alias("confidence"), text.alias("evidence"), F.lit(0).alias("round"))]
-    linked = edges.select("id").unionByName(edges.select(F.col("target").alias("id"))).distinct()
+    if linked is None:
+        linked = edges.select("id").unionByName(edges.select(F.col("target").alias("id"))).distinct()
     alone = cut(nodes.select("id").distinct().join(known, "id", "left_anti").join(linked, "id", "left_anti"))
     # fixed values: confidence and the texts of evidence
     parts.append(

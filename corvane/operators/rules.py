@@ -154,18 +154,20 @@ def inherited(cascaded: DataFrame) -> DataFrame:
     return cascaded.join(found, "id", "left").withColumns(new).drop("up")
 
 
-def classified(features: DataFrame, pointers: DataFrame, rules: list[Rule] | None = None, rounds: int = 6) -> DataFrame:
+def classified(features: DataFrame, pointers: DataFrame, rules: list[Rule] | None = None, rounds: int = 6, linked: DataFrame | None = None) -> DataFrame:
     """(id, parent, label, method, confidence, evidence): the four passes over record types.
 
     The rules in order (the coded ones by default); inheritance; propagation along
     ``pointers`` (id, target) to types without a parent that are still open; and
     inheritance by open types from the nearest labelled one above, which says that
-    it came after propagation. ``features`` has id, parent and what the rules read.
+    it came after propagation. ``features`` has id, parent and what the rules read;
+    ``linked`` (id) names those that aren't orphans, by default the ends of
+    ``pointers``.
     """
     columns = ("label", "method", "confidence", "evidence")
     first = cut(inherited(labelled(features, rules or record_type_rules()).select("id", "parent", *columns)))
     open_ = first.where("label is null and parent is null").select("id")
-    reached = propagate(open_, pointers, first.select("id", "label"), "P", "K", rounds, only_nodes=True).where("method <> 'seed'")
+    reached = propagate(open_, pointers, first.select("id", "label"), "P", "K", rounds, only_nodes=True, linked=linked).where("method <> 'seed'")
     new = reached.select("id", *[F.col(c).alias(f"new_{c}") for c in columns])
     merged = cut(first.join(new, "id", "left").select("id", "parent", *[F.coalesce(c, f"new_{c}").alias(c) for c in columns]))
     up = nearest_labelled(merged.select("id", "parent"), merged.select("id", "label")).where("from_id <> id").select("id", F.col("label").alias("up"))

@@ -221,21 +221,35 @@ _ROUND = """SELECT id, CASE WHEN kinds >= 3 THEN 'P|H-38|targets span ' || kinds
   FROM (SELECT e.id, count(*) AS n, count(DISTINCT h.label) AS kinds, count(*) FILTER (h.label = 'P') AS p, count(*) FILTER (h.label = 'K') AS k FROM e JOIN {known} h ON h.id = e.target WHERE e.id IN (SELECT id FROM free) AND e.id NOT IN (SELECT id FROM {known}) GROUP BY e.id) WHERE n >= 2"""
 
 
-@query(f"""WITH RECURSIVE {_FEATURES}, {_INHERITED},
-e AS (SELECT l_orderkey AS id, l_partkey * 5 AS target FROM lineitem WHERE l_linenumber <= 3), free AS (SELECT id FROM w WHERE label IS NULL AND parent IS NULL),
-alone AS (SELECT id FROM free WHERE id NOT IN (SELECT id FROM e) AND id NOT IN (SELECT target FROM e)), k0 AS (SELECT id, label FROM w WHERE label IS NOT NULL),
-r1 AS ({_ROUND.format(known="k0")}), k1 AS (SELECT * FROM k0 UNION ALL SELECT id, 'S' FROM alone UNION ALL SELECT id, split_part(r, '|', 1) FROM r1 WHERE r IS NOT NULL),
-r2 AS ({_ROUND.format(known="k1")}),
-m AS (SELECT id, label, method, confidence, evidence FROM w WHERE label IS NOT NULL UNION ALL SELECT id, 'S', 'H-39', 'moderate', 'orphan: 0 ptrs in, 0 ptrs out' FROM alone
-  UNION ALL SELECT id, split_part(r, '|', 1), split_part(r, '|', 2), 'moderate', split_part(r, '|', 3) FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2) WHERE r IS NOT NULL),
-z(id, label, method, confidence, evidence) AS (SELECT w.id, m.label, m.method, m.confidence, m.evidence FROM w LEFT JOIN m ON m.id = w.id WHERE parent IS NULL
-  UNION ALL SELECT w.id, coalesce(m.label, z.label), CASE WHEN m.label IS NOT NULL THEN m.method WHEN z.label IS NOT NULL THEN 'H-05' END, CASE WHEN m.label IS NOT NULL THEN m.confidence WHEN z.label IS NOT NULL THEN 'certain' END,
-    CASE WHEN m.label IS NOT NULL THEN m.evidence WHEN z.label IS NOT NULL THEN 'inherits(prop) from ' || w.parent END FROM z JOIN w ON w.parent = z.id LEFT JOIN m ON m.id = w.id)
-SELECT * FROM z""")
+def passes_sql(edges: str, linked: str, rounds: int = 6) -> str:
+    """The last CTEs of all passes, after w: ``edges`` gives (id, target), ``linked`` ids that are no orphans; z has the labels."""
+    parts = [
+        f"e AS MATERIALIZED ({edges})",
+        "free AS MATERIALIZED (SELECT id FROM w WHERE label IS NULL AND parent IS NULL)",
+        f"alone AS MATERIALIZED (SELECT id FROM free WHERE id NOT IN ({linked}))",
+        "k0 AS MATERIALIZED (SELECT id, label FROM w WHERE label IS NOT NULL)",
+    ]
+    for k in range(1, rounds + 1):
+        parts.append(f"r{k} AS MATERIALIZED ({_ROUND.format(known=f'k{k - 1}')})")
+        orphans = "UNION ALL SELECT id, 'S' FROM alone" if k == 1 else ""
+        parts.append(f"k{k} AS MATERIALIZED (SELECT * FROM k{k - 1} {orphans} UNION ALL SELECT id, split_part(r, '|', 1) FROM r{k} WHERE r IS NOT NULL)")
+    found = " UNION ALL ".join(f"SELECT * FROM r{k}" for k in range(1, rounds + 1))
+    parts.append(f"""m AS MATERIALIZED (SELECT id, label, method, confidence, evidence FROM w WHERE label IS NOT NULL UNION ALL SELECT id, 'S', 'H-39', 'moderate', 'orphan: 0 ptrs in, 0 ptrs out' FROM alone
+  UNION ALL SELECT id, split_part(r, '|', 1), split_part(r, '|', 2), 'moderate', split_part(r, '|', 3) FROM ({found}) WHERE r IS NOT NULL)""")
+    parts.append("""z(id, parent, label, method, confidence, evidence) AS (SELECT w.id, w.parent, m.label, m.method, m.confidence, m.evidence FROM w LEFT JOIN m ON m.id = w.id WHERE parent IS NULL
+  UNION ALL SELECT w.id, w.parent, coalesce(m.label, z.label), CASE WHEN m.label IS NOT NULL THEN m.method WHEN z.label IS NOT NULL THEN 'H-05' END, CASE WHEN m.label IS NOT NULL THEN m.confidence WHEN z.label IS NOT NULL THEN 'certain' END,
+    CASE WHEN m.label IS NOT NULL THEN m.evidence WHEN z.label IS NOT NULL THEN 'inherits(prop) from ' || w.parent END FROM z JOIN w ON w.parent = z.id LEFT JOIN m ON m.id = w.id)""")
+    return ",\n".join(parts)
+
+
+_POINTERS = "SELECT l_orderkey AS id, l_partkey * 5 AS target FROM lineitem"
+
+
+@query(f"""WITH RECURSIVE {_FEATURES}, {_INHERITED}, {passes_sql(_POINTERS, "SELECT id FROM e UNION ALL SELECT target FROM e")} SELECT id, label, method, confidence, evidence FROM z""")
 def record_type_passes(t: Tables) -> DataFrame:
-    """All passes: rules, inheritance, two rounds of propagation along the first three lines, and inheritance again."""
-    pointers = t.lineitem.where("l_linenumber <= 3").select(F.col("l_orderkey").alias("id"), (F.col("l_partkey") * 5).alias("target"))
-    return R.classified(_features(t), pointers, rounds=2).drop("parent")
+    """All passes over all pointers: rules, inheritance, six rounds of propagation, and inheritance again."""
+    pointers = t.lineitem.select(F.col("l_orderkey").alias("id"), (F.col("l_partkey") * 5).alias("target"))
+    return R.classified(_features(t), pointers).drop("parent")
 
 
 def _features(t: Tables) -> DataFrame:
