@@ -140,3 +140,73 @@ def reachable(edges: DataFrame, starts: DataFrame, depth: int) -> DataFrame:
             break
         parts.append(frontier)
     return reduce(DataFrame.unionByName, parts)
+
+
+def reached_masks(edges: DataFrame, own: DataFrame) -> DataFrame:
+    """(node, mask): the bits of every node from which a node with bits is reached, itself included, over any number of steps.
+
+    ``edges`` is (source, target), ``own`` (node, mask) with several rows per node
+    if need be. No pairs of nodes are made: a mask is as large as the number of
+    labels. Lines of nodes with a single successor are folded first, by pointer
+    doubling, and so are the cycles that they form: their bits are those of all
+    nodes on the way. Between the nodes that branch, bits then go back over the
+    edges, in each round only those that a node has newly got, so a node sends on
+    as often as there are labels at most. Rounds end when nothing is new; in
+    cycles, too, as masks only grow. Their number is the length of the longest
+    shortest way between a branching node and a label.
+    """
+    edges = cut(edges.select("source", "target").where("source is not null and target is not null and source <> target").distinct())
+    zero = F.lit(0).cast("long")
+    own = own.where("node is not null").groupBy("node").agg(F.bit_or(F.col("mask").cast("long")).alias("mask"))
+    single = edges.groupBy(F.col("source").alias("node")).agg(F.count("*").alias("n"), F.min("target").alias("next")).where("n = 1").drop("n")
+    single = cut(single.join(own, "node", "left").select("node", "next", F.coalesce("mask", zero).alias("mask")))
+    folded, open_, limit, reach = [], single, single.count(), 1
+    while reach <= 2 * limit and not open_.isEmpty():
+        # an open line goes on at the node where it ends so far, if that one has a single successor
+        ahead = reduce(DataFrame.unionByName, [*folded, open_]).select(F.col("node").alias("next"), F.col("next").alias("beyond"), F.col("mask").alias("more"), F.lit(True).alias("on"))
+        step = cut(open_.join(ahead, "next", "left"))
+        folded.append(step.where("on is null").select("node", "next", "mask"))
+        open_ = step.where("on").select("node", F.col("beyond").alias("next"), F.col("mask").bitwiseOR(F.col("more")).alias("mask"))
+        reach *= 2
+    # what is open still goes around a cycle, all of which it has seen
+    around = open_.select("node", F.lit(None).cast(single.schema["next"].dataType).alias("next"), "mask")
+    lines = cut(reduce(DataFrame.unionByName, [*folded, around]))
+
+    branching = edges.join(single.select(F.col("node").alias("source")), "source", "left_anti")
+    via = lines.select(F.col("node").alias("target"), "next", "mask", F.lit(True).alias("folded"))
+    over = cut(branching.join(via, "target", "left").select("source", F.when(F.col("folded"), F.col("next")).otherwise(F.col("target")).alias("target"), F.coalesce("mask", zero).alias("mask")))
+    back = cut(over.where("target is not null and target <> source").select("source", "target").distinct())
+    ends = own.join(single.select("node"), "node", "left_anti")
+    first = ends.unionByName(over.select(F.col("source").alias("node"), "mask")).groupBy("node").agg(F.bit_or("mask").alias("mask")).where("mask <> 0")
+    new = cut(first)
+    parts = [new]
+    while not new.isEmpty():
+        sent = new.join(back, F.col("node") == F.col("target")).groupBy("source").agg(F.bit_or("mask").alias("got"))
+        known = reduce(DataFrame.unionByName, parts).groupBy("node").agg(F.bit_or("mask").alias("had"))
+        fresh = F.col("got").bitwiseAND(F.bitwise_not(F.coalesce("had", zero)))
+        new = cut(sent.join(known, F.col("source") == F.col("node"), "left").select(F.col("source").alias("node"), fresh.alias("mask")).where("mask <> 0"))
+        parts.append(new)
+    core = cut(reduce(DataFrame.unionByName, parts).groupBy("node").agg(F.bit_or("mask").alias("mask")))
+    told = lines.join(core.select(F.col("node").alias("next"), F.col("mask").alias("more")), "next", "left").select("node", F.col("mask").bitwiseOR(F.coalesce("more", zero)).alias("mask"))
+    return core.unionByName(told.where("mask <> 0"))
+
+
+def label_reach(entries: DataFrame, calls: DataFrame, references: DataFrame, stores: DataFrame, labels: DataFrame, kinds: list[str]) -> DataFrame:
+    """(kind, entry, unit, labels, n_labels): which labels of data each entry point touches in the end.
+
+    ``entries`` is (kind, entry, unit), ``calls`` (source, target) between units,
+    ``references`` (unit, store), ``stores`` (store, record), ``labels`` (record,
+    label). ``labels`` of the result lists those of ``kinds`` (63 at most) that the
+    unit or any unit that it calls, directly or not, reaches through a store, in
+    the order of ``kinds``, joined by commas; blank if none. Units without calls
+    and unknown units have what they touch themselves.
+    """
+    bit = None
+    for k, kind in enumerate(kinds):
+        bit = F.when(F.col("label") == kind, F.lit(1 << k)) if bit is None else bit.when(F.col("label") == kind, F.lit(1 << k))
+    behind = stores.select("store", "record").distinct().join(labels.select("record", bit.cast("long").alias("mask")).where("mask is not null"), "record").groupBy("store").agg(F.bit_or("mask").alias("mask"))
+    own = references.select("unit", "store").distinct().join(behind, "store").groupBy(F.col("unit").alias("node")).agg(F.bit_or("mask").alias("mask"))
+    masks = reached_masks(calls, own).select(F.col("node").alias("unit"), "mask")
+    names = F.array_compact(F.array(*[F.when(F.col("mask").bitwiseAND(F.lit(1 << k)) != 0, F.lit(kind)) for k, kind in enumerate(kinds)]))
+    out = entries.select("kind", "entry", "unit").join(masks, "unit", "left").withColumn("mask", F.coalesce("mask", F.lit(0).cast("long")))
+    return out.select("kind", "entry", "unit", F.array_join(names, ",").alias("labels"), F.bit_count("mask").cast("long").alias("n_labels"))

@@ -481,3 +481,20 @@ SELECT k AS brand, count(*) AS branches, count(*) FILTER (u) AS undeclared, CASE
 def coverage_classes(t: Tables) -> DataFrame:
     rows = t.part.select(F.col("p_brand").alias("brand"), F.col("p_type").alias("type"), "p_size")
     return R.coverage_class(rows, rows.where("p_size >= 20"), "brand", "type")
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS source, l_partkey * 5 AS target FROM lineitem WHERE l_quantity > 44),
+own AS (SELECT DISTINCT l_orderkey AS node, CASE p_size % 5 WHEN 0 THEN 'P' WHEN 1 THEN 'I' WHEN 2 THEN 'K' WHEN 3 THEN 'S' END AS label FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity <= 3 AND p_size % 5 < 4),
+m(node, label) AS (SELECT node, label FROM own UNION SELECT e.source, m.label FROM m JOIN e ON e.target = m.node),
+g AS (SELECT node, string_agg(label, ',' ORDER BY instr('PIKS', label)) AS labels, count(*) AS n FROM m GROUP BY 1)
+SELECT CASE o_orderstatus WHEN 'F' THEN 'call' WHEN 'O' THEN 'option' ELSE 'protocol' END AS kind, 'E' || o_orderkey AS entry, o_orderkey AS unit, coalesce(labels, '') AS labels, coalesce(n, 0) AS n_labels
+FROM orders LEFT JOIN g ON g.node = o_orderkey""")
+def entry_point_labels(t: Tables) -> DataFrame:
+    """Orders as units, each the code of an entry point. A line above 44 pieces calls another order, one of up to 3 refers to its part as a store; the part's size is the record type behind it."""
+    status, n = F.col("o_orderstatus"), F.col("p_size") % 5
+    entries = t.orders.select(F.when(status == "F", "call").when(status == "O", "option").otherwise("protocol").alias("kind"), F.concat(F.lit("E"), F.col("o_orderkey").cast("string")).alias("entry"), F.col("o_orderkey").alias("unit"))
+    calls = t.lineitem.where("l_quantity > 44").select(F.col("l_orderkey").alias("source"), (F.col("l_partkey") * 5).alias("target"))
+    references = t.lineitem.where("l_quantity <= 3").select(F.col("l_orderkey").alias("unit"), F.col("l_partkey").alias("store"))
+    stores = t.part.select(F.col("p_partkey").alias("store"), F.col("p_size").alias("record"))
+    labels = t.part.select(F.col("p_size").alias("record"), F.when(n == 0, "P").when(n == 1, "I").when(n == 2, "K").when(n == 3, "S").alias("label")).distinct()
+    return G.label_reach(entries, calls, references, stores, labels, ["P", "I", "K", "S"])
