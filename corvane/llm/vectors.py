@@ -226,9 +226,10 @@ def vector_components(
     Equal vectors form a class and are compared once; each links with the other
     members and, with all of them, to the classes linked to its own. Vectors that
     are null, empty, zero, or hold null or non-finite components link with
-    nothing, and so do vectors of different dimensions. Repeated ids are joined
-    into one component. A null id counts as a member of its class but names no
-    component; a class of null ids alone is linked with no other.
+    nothing, and so do vectors of different dimensions. Every row is a vector of
+    its own, also where ids repeat or are null: ids join nothing. component_id is
+    the smallest id that is not null among the vectors reached; null if there is
+    none.
     """
     kind = vectors.schema[embedding].dataType
     element = "float" if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else "double"
@@ -236,21 +237,23 @@ def vector_components(
     good = rows.where(is_usable(F.col("v")))
     # the hash spares sorting whole vectors; equality decides
     good = good.withColumn("h", F.xxhash64("v"))
-    classes = stored(
-        good.groupBy("h", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first(F.size("v")).alias("dim")), "vectors"
-    )
+    grouped = good.groupBy("h", "v").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.first(F.size("v")).alias("dim"))
+    # a class has a number of its own, as ids may be null or shared; it is stored, so it stays
+    classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "vectors")
     dims = [r.dim for r in classes.select("dim").distinct().collect()]
     partial = None
     for dim in dims:
-        part = linked(classes.where((F.col("dim") == dim) & F.col("node").isNotNull()), dim, element, threshold, block_values)
+        part = linked(classes.where(F.col("dim") == dim), dim, element, threshold, block_values)
         partial = part if partial is None else partial.unionByName(part)
     if partial is None:
         partial = vectors.sparkSession.createDataFrame([], "node bigint, n bigint, root bigint")
     partial = stored(partial, "links")
     labels = connected_components(partial.select(F.col("node").alias("a"), F.col("root").alias("b")))
     summed = partial.groupBy("node").agg(F.sum("n").alias("n"))
-    named = classes.join(summed, "node", "left").join(labels, "node", "left").select(
-        F.col("h").alias("class_h"), F.col("v").alias("class_v"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id")
+    placed = stored(classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = placed.join(summed, "node", "left").join(lowest, "component").select(
+        F.col("h").alias("class_h"), F.col("v").alias("class_v"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id"
     )
     ok = good.join(named, (F.col("h") == F.col("class_h")) & (F.col("v") == F.col("class_v"))).select("vec_id", "n_links", "component_id")
     bad = rows.where(~is_usable(F.col("v"))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -38,10 +38,31 @@ def test_links_equal_brute_force(spark, dim, spread, block):
     assert got == brute(rows)
 
 
+def brute_rows(rows, threshold=0.9):
+    """(links, smallest id reached) of every row, whatever its id, all rows being vectors of their own."""
+    unit = [np.array(v, float) / np.linalg.norm(v) for _, v in rows]
+    near = [[j for j in range(len(rows)) if j != i and unit[i] @ unit[j] >= threshold - 1e-12] for i in range(len(rows))]
+    out = []
+    for i in range(len(rows)):
+        seen, todo = {i}, [i]
+        while todo:
+            new = [j for j in near[todo.pop()] if j not in seen]
+            seen.update(new)
+            todo += new
+        out.append((rows[i][0], len(near[i]), min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)))
+    return sorted(out, key=str)
+
+
 def test_repeated_and_null_ids(spark):
-    frame = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (None, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [0.0, 1.0])], "vec_id bigint, embedding array<double>")
-    rows = V.vector_components(frame).collect()
-    assert len(rows) == 5 and sum(r.n_links for r in rows) == 1 + 2 + 1 + 2 + 2
+    plain = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (None, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [0.0, 1.0])]
+    bridge = [(None, [1.0, 0.05, 0.0]), (8, [1.0, 0.0, 0.0]), (5, [1.0, 0.4, 0.0]), (None, [0.0, 0.0, 1.0]), (None, [0.0, 0.02, 1.0]), (3, [0.0, 1.0, 0.0]), (3, [0.7, -0.7, 0.1]), (7, [0.0, 1.0, 0.1]), (7, [0.0, 0.1, -1.0])]
+    rng = np.random.default_rng(3)
+    near = [(None if k % 4 == 0 else int(k % 9), (np.eye(6)[k % 3] + 0.18 * rng.normal(size=6)).tolist()) for k in range(60)]
+    for rows in (plain, bridge, near):
+        frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        got = V.vector_components(frame).collect()
+        assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute_rows(rows)
+        assert all(r.kept == (r.vec_id == r.component_id) for r in got)
     assert V.vector_components(frame.limit(0)).count() == 0
 
 
