@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.config import labels as L
 from corvane.functions import text as X
 from corvane.operators import joins as J
 from corvane.operators import rules as R
@@ -21,6 +22,10 @@ from corvane.sources.nodes import piece
 
 #: A number as it is written when it is a subscript: no leading or trailing zeros, no plus sign.
 CANONICAL = r"^-?(?:0|[1-9][0-9]*|(?:[1-9][0-9]*)?\.[0-9]*[1-9])$"
+#: Types that many others point to, and what pointing to them says.
+ANCHORS = ("2", "4", "200", "80")
+#: Roots and pieces of the templates and forms that name a type.
+TEMPLATES = {"print_templates": ("^DIPT", 4), "input_templates": ("^DIE", 4), "forms": ("^DIST(.403", 8)}
 #: Records of a store are counted up to this number.
 MOST_RECORDS = 1_000_000
 
@@ -53,7 +58,7 @@ def record_type_facts(nodes: DataFrame, dd: str = "^DD", dic: str = "^DIC", deci
     id (text), parent (null if none), name, root (its own, blank if none),
     field_count (as declared), ptr_in (types that the index names), ptr_out (fields
     with a target), p_fields (fields whose specification holds a P), to_2, to_4,
-    to_200 (fields to these types), last_to_2 (number and name of the last field to
+    to_200, to_80 (fields to these types), last_to_2 (number and name of the last field to
     type 2), dinum (Y, N, or blank for types that the directory lacks).
 
     Every number under ``dd`` is a type, also one that only the index of pointers
@@ -82,7 +87,7 @@ def record_type_facts(nodes: DataFrame, dd: str = "^DD", dic: str = "^DIC", deci
         F.count_distinct(F.when(d & (n >= 4) & (a == "0") & (b == "PT"), F.col("c"))).alias("ptr_in"),
         F.count_if(F.col("target") != "").alias("ptr_out"),
         F.count_if(F.col("spec").contains("P")).alias("p_fields"),
-        *[F.count_if(F.col("target") == t).alias(f"to_{t}") for t in ("2", "4", "200")],
+        *[F.count_if(F.col("target") == t).alias(f"to_{t}") for t in ANCHORS],
         F.max(to_2).alias("last"),
     )
     dd_0, dic_0 = F.coalesce("dd_0", F.lit("")), F.col("dic_0")
@@ -93,7 +98,7 @@ def record_type_facts(nodes: DataFrame, dd: str = "^DD", dic: str = "^DIC", deci
         F.when(dic_0.isNotNull(), piece(dic_0, 1)).otherwise(piece(dd_0, 1)).alias("name"),
         F.coalesce("root", F.lit("")).alias("root"),
         F.coalesce(declared, F.lit(0).cast("long")).alias("field_count"),
-        "ptr_in", "ptr_out", "p_fields", "to_2", "to_4", "to_200",
+        "ptr_in", "ptr_out", "p_fields", *[f"to_{t}" for t in ANCHORS],
         F.col("last.e").alias("last_to_2"),
         F.when(dic_0.isNull(), "").when(piece(dic_0, 3).contains("D"), "Y").otherwise("N").alias("dinum"),
     )
@@ -183,3 +188,69 @@ def wide_export(nodes: DataFrame, labels: DataFrame, records: DataFrame, decimal
         "file_name", "global_root", "parent_file", "field_count", "pointer_in", "pointer_out", "record_count", "is_dinum", blank(F.col("volume")).alias("volume"),
         blank(F.col("piks_evidence")).alias("piks_evidence"), blank(F.col("target")).alias("pointer_target"), F.coalesce("sensitivity", F.lit("")).alias("sensitivity_flag"),
     )
+
+
+def _depths(facts: DataFrame) -> DataFrame:
+    """(id, depth): of each uppermost type, how many levels of types lie below it."""
+    tops = top_ancestor(facts).where("top is not null")
+    steps = nearest_labelled(facts, facts.join(tops.where("top = id").select("id"), "id", "left_semi").select("id", F.lit(True).alias("label")))
+    return tops.join(steps.select("id", F.col("depth").alias("steps")), "id").groupBy(F.col("top").alias("id")).agg(F.max("steps").alias("depth"))
+
+
+def structure_features(nodes: DataFrame, facts: DataFrame, records: DataFrame, labels: DataFrame | None = None, dd: str = "^DD", dic: str = "^DIC", decimals: bool = False) -> DataFrame:
+    """What the rules that are specified alone read, a row per type of ``facts``: from the same nodes, in one grouping, and from the types below and around.
+
+    id, number, ptr_in, ptr_out, records, fields, audited (fields), first_is_date,
+    is_subfile, no_delete, created, no_write, depth (levels below an uppermost
+    type), word_fields, set_share, dinum, computed, p_referrers (share of the
+    referring types that ``labels`` (id, label) calls P), xrefs (distinct names),
+    trigger_to_p, write_access, delete_access, open_laygo, print_templates,
+    input_templates, forms, dated_subfiles, store_active (the store has nodes).
+    What isn't said is 0, false or blank.
+    """
+    own = nodes.where(F.col("root").isin(dd, dic) & _sub(0).rlike(CANONICAL)).select(
+        _sub(0).alias("id"), (F.col("root") == dd).alias("d"), F.size("subs").alias("n"), _sub(1).alias("a"), _sub(2).alias("b"), _sub(4).alias("e"), "value"
+    )
+    d, n, a, b, value = (F.col(c) for c in ("d", "n", "a", "b", "value"))
+    a_field = d & a.rlike(CANONICAL)
+    is_field = a_field & (n == 3) & (b == "0")
+    is_xref = a_field & (n == 5) & (b == "1") & (F.col("e") == "0")
+    kind = F.when(is_field, X.data_type(piece(value, 2)))
+    said = ~d & (a == "0") & (n == 3)
+
+    def of_kind(*kinds: str) -> Column:
+        return F.count_if(F.col("kind").isin(*kinds))
+
+    def flag(holds: Column) -> Column:
+        return F.coalesce(F.max(holds), F.lit(False))
+
+    own = own.withColumn("kind", kind)
+    made = own.groupBy("id").agg(
+        F.count_if(is_field).alias("fields"), F.count_if(a_field & (n == 3) & (b == "AUDIT") & (value != "")).alias("audited"), flag(is_field & (a == ".01") & (F.col("kind") == "DATE")).alias("first_is_date"),
+        flag(d & (a == "0") & (b == "DEL")).alias("no_delete"), flag(is_field & F.upper(piece(value, 1)).isin("DATE ENTERED", "DATE/TIME ENTERED", "DATE CREATED")).alias("created"),
+        flag((a_field & (n == 3) & (b == "9") & (value != "")) | (said & (b == "WR") & (value != ""))).alias("no_write"), of_kind("WORD-PROCESSING").alias("word_fields"), of_kind("SET").alias("sets"), of_kind("COMPUTED", "MUMPS").alias("computed"),
+        F.collect_set(F.when(is_xref, piece(value, 2))).alias("xrefs"), F.max(F.when(said & (b == "WR"), value)).alias("write_access"), F.max(F.when(said & (b == "DEL"), value)).alias("delete_access"),
+        flag(said & (b == "LAYGO") & (value == "")).alias("open_laygo"),
+    )
+    patient = facts.where(X.store_name(F.col("root")).isin(L.STORES["P"])).select(F.col("id").alias("target"))
+    triggers = own.where(is_xref & (piece(value, 3) == "TRIGGER")).select("id", piece(value, 4).alias("target")).join(patient, "target", "left_semi").select("id", F.lit(True).alias("trigger_to_p")).distinct()
+    out = facts.select("id", F.col("id").alias("number"), "parent", "root", "ptr_in", "ptr_out", (F.col("dinum") == "Y").alias("dinum")).join(made, "id", "left").join(triggers, "id", "left").join(_depths(facts), "id", "left")
+    for name, (root, k) in TEMPLATES.items():
+        found = nodes.where((F.col("root") == root) & (F.size("subs") == 2) & (_sub(1) == "0")).groupBy(piece(value, k).alias("id")).agg(F.count("*").alias(name))
+        out = out.join(found, "id", "left")
+    dated = out.where("first_is_date").groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("dated_subfiles"))
+    out = out.join(dated, "id", "left")
+    out = out.withColumn("place", F.regexp_replace("root", "[,(]$", "")).join(records, "place", "left").withColumn("store_active", F.coalesce(F.col("record_count") > 0, F.lit(False)))
+    if labels is None:
+        out = out.withColumn("p_referrers", F.lit(0.0))
+    else:
+        pairs = fields(nodes, dd, decimals).where("target <> ''").select("id", "target").distinct().join(labels.select("id", "label"), "id", "left")
+        share = pairs.groupBy(F.col("target").alias("id")).agg((F.count_if(F.col("label") == "P") / F.count("*")).alias("p_referrers"))
+        out = out.join(share, "id", "left").withColumn("p_referrers", F.coalesce("p_referrers", F.lit(0.0)))
+    zero = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("fields", "audited", "word_fields", "computed", "depth", "dated_subfiles", *TEMPLATES)}
+    false = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("first_is_date", "no_delete", "created", "no_write", "open_laygo", "trigger_to_p")}
+    rest = {
+        "records": F.coalesce("record_count", F.lit(0)).cast("long"), "is_subfile": F.col("parent").isNotNull(), "set_share": F.coalesce(F.try_divide("sets", "fields"), F.lit(0.0)),
+        "xrefs": F.coalesce("xrefs", F.array().cast("array<string>")), "write_access": X.null_to_blank(F.col("write_access")), "delete_access": X.null_to_blank(F.col("delete_access")),
+    }
+    return out.withColumns(zero | false | rest).drop("place", "record_count", "sets", "parent", "root")

@@ -20,6 +20,11 @@ class Rule:
     label: str
     confidence: str
     evidence: Column
+    second: str | None = None
+
+
+#: From the strongest on, and from the most sensitive on.
+CONFIDENCES, SENSITIVITY = ("certain", "high", "moderate", "low"), ("P", "I", "K", "S")
 
 
 def cascade(rules: list[Rule]) -> Column:
@@ -68,7 +73,7 @@ def record_type_rules() -> list[Rule]:
 
 
 def specified_rules() -> list[Rule]:
-    """Rules that are specified without code, in order of number. Where two labels are named, the first is the default here.
+    """Rules that are specified without code, in order of number. Where two labels are named, the first is the default here and the other one ``second``.
 
     Features: records, ptr_in, ptr_out, audited, first_is_date, is_subfile, no_delete,
     created, no_write, depth, word_fields, set_share, fields, dinum, computed,
@@ -106,7 +111,8 @@ def specified_rules() -> list[Rule]:
         ("H-51", c("input_templates") >= 2, "P", "low", "input templates"),
         ("H-52", c("forms") >= 1, "P", "low", "forms"),
     ]
-    return [Rule(m, w, label, conf, F.lit(e)) for m, w, label, conf, e in rows]
+    second = {"H-27": "I", "H-28": "S", "H-29": "S", "H-33": "I", "H-37": "I", "H-43": "I", "H-50": "I", "H-52": "I"}
+    return [Rule(m, w, label, conf, F.lit(e), second.get(m)) for m, w, label, conf, e in rows]
 
 
 def store_rules() -> list[Rule]:

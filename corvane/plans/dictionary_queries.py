@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.config import labels as L
 from corvane.operators import dictionary as D
+from corvane.operators import rules as R
+from corvane.operators import triage as T
 from corvane.plans.base import Tables, query
 from corvane.plans.code_queries import _INHERITED, passes_sql
+from corvane.session import cut
 
 #: What the nodes say about order k, by the first divisor that k has; (divisor, remainder, text).
 _ROOTS = [(97, 5, "^DPT("), (89, 5, "^DD("), (13, 0, "^LR("), (17, 0, "^SC("), (19, 0, "^PSDRUG("), (23, 0, "^XTV("), (29, 0, "^DGX("), (31, 0, "^PRCQ("), (37, 0, "^LEXA("), (41, 0, "^XUZ("), (43, 0, "^DGBT(")]
@@ -128,7 +133,7 @@ def _records(t: Tables) -> DataFrame:
 def dictionary_features(t: Tables) -> DataFrame:
     """What the rules read, from the nodes of a dictionary."""
     nodes = _nodes(t)
-    return D.record_type_features(D.record_type_facts(nodes), D.groups(nodes)).drop("number", "p_fields")
+    return D.record_type_features(D.record_type_facts(nodes), D.groups(nodes)).drop("number", "p_fields", "to_80")
 
 
 @query(f"WITH RECURSIVE {_LABELS_SQL} SELECT id, parent, label, method, confidence, evidence FROM z")
@@ -160,3 +165,118 @@ def dictionary_export(t: Tables) -> DataFrame:
     """22 columns per field, with the labels that the dictionary itself gives."""
     nodes = _nodes(t)
     return D.wide_export(nodes, D.classified_dictionary(nodes), _records(t))
+
+
+def _structure_nodes(t: Tables) -> DataFrame:
+    """_nodes() and what design says beyond pointers: audits, cross-references, access, templates and forms."""
+    lines, key = t.lineitem, F.col("l_orderkey").cast("string")
+    n = F.col("l_linenumber")
+    field = F.when(n % 2 == 1, F.concat(F.lit(".0"), n.cast("string"))).otherwise(n.cast("string"))
+    names = F.when(n == 1, "B").when((n == 2) & (F.col("l_tax") >= 0.07), "DFN").otherwise(F.concat(F.lit("X"), n.cast("string")))
+    kind = F.when(n == 4, F.concat(F.lit("TRIGGER^"), (F.col("l_partkey") * 5).cast("string"), F.lit("^3"))).otherwise("REGULAR")
+
+    def rows(df: DataFrame, root: str, value: Column | str, *subs: Column | str) -> DataFrame:
+        as_column = lambda x: F.lit(x) if isinstance(x, str) else x
+        return df.select(F.lit(root).alias("root"), F.array(*[as_column(s) for s in subs]).alias("subs"), as_column(value).alias("value"))
+
+    order, c = F.col("o_orderkey").cast("string"), F.col("c_custkey")
+    access = t.orders
+    parts = [
+        _nodes(t),
+        rows(lines.where("l_tax >= 0.06"), "^DD", "y", key, field, "AUDIT"),
+        rows(lines.where("l_discount >= 0.1"), "^DD", "^", key, field, "9"),
+        rows(lines.where("l_linestatus = 'O'"), "^DD", F.concat(key, F.lit("^"), names, F.lit("^"), kind), key, field, "1", "1", "0"),
+        rows(access.where("o_orderpriority like '1%'"), "^DIC", "@", order, "0", "WR"),
+        rows(access.where("o_orderpriority like '2%'"), "^DIC", "", order, "0", "LAYGO"),
+        rows(access.where("o_orderpriority like '5%' and o_orderstatus = 'P'"), "^DIC", "@", order, "0", "DEL"),
+        rows(access.where("o_custkey % 40 = 7"), "^DD", "no", order, "0", "DEL", "1"),
+        rows(t.customer, "^DIPT", F.concat(F.lit("T^^^"), (c % 300).cast("string")), c.cast("string"), "0"),
+        rows(t.supplier, "^DIE", F.concat(F.lit("T^^^"), (F.col("s_suppkey") % 40 * 11).cast("string")), F.col("s_suppkey").cast("string"), "0"),
+        rows(t.part, "^DIST(.403", F.concat(F.lit("F^^^^^^^"), (F.col("p_partkey") * 7).cast("string")), F.col("p_partkey").cast("string"), "0"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_STRUCTURE_SQL = f"""{_FACTS_SQL}, {_ROOT_SQL},
+ln AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, CASE WHEN l_linenumber % 2 = 1 THEN '.0' || l_linenumber ELSE CAST(l_linenumber AS VARCHAR) END AS field, l_linenumber AS k, l_tax, l_discount, l_linestatus, l_partkey FROM lineitem),
+fk AS (SELECT id, count(*) AS fields, count(*) FILTER (kind = 'SET') AS sets, max(CASE WHEN field = '.01' AND kind = 'DATE' THEN 1 ELSE 0 END) = 1 AS first_is_date
+  FROM (SELECT id, field, CASE WHEN contains(spec, 'P') THEN 'POINTER' WHEN contains(spec, 'D') THEN 'DATE' WHEN contains(spec, 'S') THEN 'SET' ELSE 'FREE-TEXT' END AS kind FROM f) GROUP BY 1),
+lk AS (SELECT id, count(*) FILTER (l_tax >= 0.06) AS audited, count(*) FILTER (l_discount >= 0.1) > 0 AS locked, list_sort(list(DISTINCT CASE WHEN k = 1 THEN 'B' WHEN k = 2 AND l_tax >= 0.07 THEN 'DFN' ELSE 'X' || k END) FILTER (l_linestatus = 'O')) AS xrefs FROM ln GROUP BY 1),
+tr AS (SELECT DISTINCT ln.id FROM ln JOIN fact ON fact.id = CAST(l_partkey * 5 AS VARCHAR) WHERE k = 4 AND l_linestatus = 'O' AND regexp_extract(root, '\\^([^(^]*)', 1) IN {_in(L.STORES["P"])}),
+steps(id, top, k) AS (SELECT id, id, 0 FROM fact WHERE parent IS NULL UNION ALL SELECT c.id, steps.top, k + 1 FROM steps JOIN fact c ON c.parent = steps.id), dp AS (SELECT top AS id, max(k) AS depth FROM steps GROUP BY 1),
+dated AS (SELECT parent AS id, count(*) AS dated_subfiles FROM fact JOIN fk ON fk.id = fact.id WHERE first_is_date AND parent IS NOT NULL GROUP BY 1),
+p1 AS (SELECT CAST(c_custkey % 300 AS VARCHAR) AS id, count(*) AS print_templates FROM customer GROUP BY 1), p2 AS (SELECT CAST(s_suppkey % 40 * 11 AS VARCHAR) AS id, count(*) AS input_templates FROM supplier GROUP BY 1), p3 AS (SELECT CAST(p_partkey * 7 AS VARCHAR) AS id, count(*) AS forms FROM part GROUP BY 1),
+sf AS (
+  SELECT x.*, coalesce(fk.fields, 0) AS fields, coalesce(sets, 0) / greatest(coalesce(fk.fields, 0), 1) AS set_share, coalesce(first_is_date, false) AS first_is_date, coalesce(audited, 0) AS audited, coalesce(xrefs, []) AS xrefs, tr.id IS NOT NULL AS trigger_to_p, coalesce(depth, 0) AS depth, coalesce(dated_subfiles, 0) AS dated_subfiles,
+    coalesce(print_templates, 0) AS print_templates, coalesce(input_templates, 0) AS input_templates, coalesce(forms, 0) AS forms, coalesce(rec.c, 0) AS records, coalesce(o.o_custkey % 40 = 7, false) AS no_delete,
+    coalesce(locked, false) OR coalesce(o.o_orderpriority LIKE '1%', false) AS no_write, coalesce(o.o_orderpriority LIKE '1%', false) OR coalesce(o.o_orderpriority LIKE '5%' AND o.o_orderstatus = 'P', false) AS locked_down, coalesce(o.o_orderpriority LIKE '2%', false) AS open_laygo
+  FROM (SELECT feature.*, coalesce(t80, 0) AS to_80 FROM feature LEFT JOIN (SELECT id, count(*) AS t80 FROM f WHERE target = '80' GROUP BY 1) e ON e.id = feature.id) x LEFT JOIN fk ON fk.id = x.id LEFT JOIN lk ON lk.id = x.id LEFT JOIN tr ON tr.id = x.id LEFT JOIN dp ON dp.id = x.id LEFT JOIN dated ON dated.id = x.id
+  LEFT JOIN p1 ON p1.id = x.id LEFT JOIN p2 ON p2.id = x.id LEFT JOIN p3 ON p3.id = x.id LEFT JOIN rec ON rec.root = regexp_replace(x.root, '[,(]$', '') LEFT JOIN orders o ON CAST(o.o_orderkey AS VARCHAR) = x.id)"""
+
+_NUMBER = "CAST(id AS DOUBLE)"
+#: (method, label, second, rank of the confidence, condition) of every rule, in order.
+_ALL_RULES = [
+    ("H-01", "P", None, 0, "root = '^DPT('"), ("H-02", "S", None, 0, "root = '^DD('"), ("H-02", "S", None, 0, f"{_NUMBER} >= 0 AND {_NUMBER} < 2"), ("H-03", "P", None, 0, "id = '2'"), ("H-04", "I", None, 0, "id = '4'"), ("H-04b", "I", None, 0, "id = '200'"),
+    ("H-06", "P", None, 1, "to_2 > 0"), ("H-08", "I", None, 1, "to_4 > 0"), ("H-09", "I", None, 3, "to_200 > 0"),
+    *[(f"H-1{k}", label, None, 1, f"st IN {_in(names)}") for k, (label, names) in enumerate(L.STORES.items())], *[(f"H-1{k + 4}", label, None, 2, f"prefix IN {_in(names)}") for k, (label, names) in enumerate(L.PREFIXES.items())],
+    ("H-18", "K", None, 2, "ptr_in >= 10 AND ptr_out <= 2 AND to_2 = 0"), *[(f"H-2{k}", label, None, 3, f"regexp_matches(upper(name), '{'|'.join(words)}')") for k, (label, words) in enumerate(L.NAME_WORDS.items())],
+    ("H-19", "S", None, 3, "ptr_in = 0 AND ptr_out = 0 AND records < 100"), ("H-24", "P", None, 2, "audited >= 3"), ("H-25", "P", None, 2, "first_is_date AND parent IS NOT NULL"), ("H-26", "P", None, 2, "no_delete"), ("H-28", "P", "S", 3, "no_write"),
+    ("H-29", "K", "S", 3, "audited = 0 AND NOT no_delete AND records < 500"), ("H-30", "P", None, 2, "depth >= 3"), ("H-32", "K", None, 2, "set_share > 0.5"), ("H-33", "P", "I", 3, "fields > 50"), ("H-34", "K", None, 2, "dinum = 'Y' AND records < 1000"),
+    ("H-41", "P", None, 1, "list_contains(xrefs, 'DFN')"), ("H-42", "P", None, 2, "trigger_to_p"), ("H-43", "P", "I", 3, "len(xrefs) >= 8"), ("H-44", "K", None, 3, "xrefs = ['B'] AND records < 5000"), ("H-45", "S", None, 2, "locked_down"), ("H-46", "K", None, 3, "open_laygo AND ptr_in > 5"),
+    ("H-49", "S", None, 0, f"{_NUMBER} >= 0 AND {_NUMBER} < 2"), ("H-50", "P", "I", 3, "print_templates >= 5"), ("H-51", "P", None, 3, "input_templates >= 2"), ("H-52", "P", "I", 3, "forms >= 1"),
+]
+
+
+def _triage_sql(rules: list[tuple]) -> str:
+    fired = " UNION ALL ".join(f"SELECT id, {k} AS ord, '{m}' AS method, '{label}' AS label, {'NULL' if second is None else repr(second)} AS second, {rank} AS rank FROM sf WHERE {when}" for k, (m, label, second, rank, when) in enumerate(rules))
+    return f"""{_STRUCTURE_SQL}, fired AS MATERIALIZED ({fired}),
+strong AS (SELECT id, min(rank) AS rank, string_agg(method, ',' ORDER BY ord) AS methods FROM fired GROUP BY 1),
+lead AS (SELECT fired.* FROM fired JOIN strong w ON w.id = fired.id AND w.rank = fired.rank),
+named AS (SELECT id, list_sort(list(DISTINCT instr('PIKS', label))) AS l FROM lead GROUP BY 1),
+told AS (SELECT n.id, substr('PIKS', l[1], 1) AS label, substr('PIKS', l[2], 1) AS next, len(l) > 1 AS conflict FROM named n),
+res AS (SELECT told.id, told.label, conflict, CASE WHEN conflict THEN next ELSE arg_min(top.second, top.ord) FILTER (top.second IS NOT NULL AND top.second <> told.label) END AS second, arg_min(top.method, top.ord) FILTER (top.label = told.label) AS method FROM told JOIN lead top ON top.id = told.id GROUP BY told.id, told.label, conflict, next),
+dec AS (SELECT 'OWNER ' || n_name AS who, CASE n_regionkey WHEN 0 THEN 'K' ELSE 'S' END AS decided FROM nation WHERE n_regionkey < 2),
+y AS (SELECT sf.*, res.label, res.second, res.method, coalesce(conflict, false) AS conflict, res.id IS NULL AS silent, decided, methods,
+  CASE WHEN to_2 > 0 AND to_80 > 0 THEN 'P' WHEN to_4 > 0 AND to_200 > 0 AND to_2 = 0 THEN 'I' WHEN to_2 + to_4 + to_200 = 0 AND len(xrefs) >= 8 AND dated_subfiles > 0 THEN 'P' END AS answer
+  FROM sf LEFT JOIN res ON res.id = sf.id LEFT JOIN strong w ON w.id = sf.id LEFT JOIN dec ON who = owner),
+c AS (SELECT *, CASE WHEN silent AND records = 0 AND fields < 5 AND print_templates + input_templates + forms = 0 AND len(list_filter(xrefs, lambda x: x <> 'B')) = 0 THEN 'A' WHEN silent AND owner IS NOT NULL THEN 'B' WHEN silent THEN 'E' WHEN conflict AND answer IS NOT NULL THEN 'C' WHEN conflict THEN 'D' ELSE 'matched' END AS category FROM y),
+tri AS (SELECT id, category, CASE WHEN category = 'A' THEN 'S' WHEN category = 'B' THEN decided WHEN category = 'C' THEN answer WHEN category = 'E' THEN 'U' ELSE label END AS label, CASE WHEN category IN ('D', 'matched') THEN second END AS second,
+  CASE WHEN category = 'A' THEN 'manual-vestigial' WHEN category = 'B' THEN CASE WHEN decided IS NOT NULL THEN 'manual-package' END WHEN category = 'E' THEN 'manual-unresolved' ELSE method END AS method, coalesce(methods, '') AS methods FROM c)"""
+
+
+#: H-29 asks for nothing but the absence of signals, so with it nothing is left to sort out; here it isn't among the rules.
+_TRIAGE_RULES = [r for r in _ALL_RULES if r[0] not in ("H-19", "H-29", "H-34")]
+
+
+def _triaged(t: Tables) -> DataFrame:
+    """Every rule but H-19, H-29 and H-34, which leave no type without a rule here; what people decided for the groups of two regions."""
+    nodes = _structure_nodes(t)
+    facts = cut(D.record_type_facts(nodes))
+    features = D.record_type_features(facts, D.groups(nodes)).drop("number", "ptr_in", "ptr_out", "parent", "dinum").join(D.structure_features(nodes, facts, _records(t)), "id")
+    rules = [r for r in [*R.record_type_rules(), *R.specified_rules()] if r.method not in ("H-19", "H-29", "H-34")]
+    region = F.col("n_regionkey")
+    decisions = t.nation.where("n_regionkey < 2").select(F.concat(F.lit("OWNER "), F.col("n_name")).alias("owner"), F.when(region == 0, "K").otherwise("S").alias("label"))
+    return T.triaged(features, rules, decisions)
+
+
+@query(f"WITH RECURSIVE {_triage_sql(_TRIAGE_RULES)} SELECT * FROM tri")
+def dictionary_triage(t: Tables) -> DataFrame:
+    """All rules that hold, one label and maybe a second, and a category for what is left or in conflict."""
+    methods = F.array_join(F.transform("fired", lambda f: f["method"]), ",").alias("methods")
+    return _triaged(t).select("id", "category", "label", "second", "method", methods)
+
+
+@query(f"WITH RECURSIVE {_triage_sql(_TRIAGE_RULES)}, kinds AS (SELECT unnest(['A', 'B', 'C', 'D', 'E', 'matched']) AS category), num AS (SELECT category, count(*) AS n FROM tri GROUP BY 1), whole AS (SELECT count(*) AS al FROM tri) SELECT kinds.category, coalesce(n, 0) AS n, coalesce(n, 0) / al AS share FROM whole, kinds LEFT JOIN num ON num.category = kinds.category UNION ALL SELECT 'all', al, 1.0 FROM whole")
+def triage_counts(t: Tables) -> DataFrame:
+    return T.category_counts(_triaged(t))
+
+
+@query(f"WITH RECURSIVE {_STRUCTURE_SQL} SELECT id, fields, audited, first_is_date, no_delete, no_write, depth, set_share, array_to_string(xrefs, ',') AS xrefs, trigger_to_p, locked_down, open_laygo, print_templates, input_templates, forms, dated_subfiles, records FROM sf")
+def structure_features(t: Tables) -> DataFrame:
+    """What the rules read that are specified alone, from the nodes."""
+    nodes = _structure_nodes(t)
+    found = D.structure_features(nodes, cut(D.record_type_facts(nodes)), _records(t))
+    locked = (F.col("write_access") == "@") | (F.col("delete_access") == "@")
+    return found.withColumn("locked_down", locked).select(
+        "id", "fields", "audited", "first_is_date", "no_delete", "no_write", "depth", "set_share", F.array_join(F.array_sort("xrefs"), ",").alias("xrefs"), "trigger_to_p", "locked_down", "open_laygo", "print_templates", "input_templates", "forms", "dated_subfiles", "records"
+    )
