@@ -10,7 +10,9 @@ costs no second count.
 
 Longer phrases are only built from frequent shorter ones, as no phrase is more
 frequent than its parts. Which parts are frequent is known to the workers by a
-filter of hashed phrases, which never says no to a frequent one; counts are exact.
+filter of hashed phrases, which never says no to a frequent one. Pairs are first
+counted by hash alone, which is cheap to shuffle and never too low; then pairs
+that may be frequent, and longer phrases of such pairs, are counted exactly.
 """
 
 from __future__ import annotations
@@ -115,11 +117,11 @@ class PhraseFilter:
     def __init__(self, bits: np.ndarray | int):
         self.bits = np.zeros(bits >> 3, np.uint8) if isinstance(bits, int) else bits
 
-    def slots(self, *columns: np.ndarray) -> np.ndarray:
-        return _mixed(*columns) >> np.uint64(64 - (len(self.bits) << 3).bit_length() + 1)
+    def of_hashes(self, hashes: np.ndarray) -> np.ndarray:
+        return hashes >> np.uint64(64 - (len(self.bits) << 3).bit_length() + 1)
 
     def has(self, *columns: np.ndarray) -> np.ndarray:
-        slots = self.slots(*columns)
+        slots = self.of_hashes(_mixed(*columns))
         return self.bits[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
@@ -129,25 +131,36 @@ def _lang_hashes(langs: pa.Array) -> np.ndarray:
     return hashes[coded.indices.to_numpy()]
 
 
-def phrase_filter(phrases: DataFrame) -> PhraseFilter:
-    """The filter of (lang, phrase), a row each, all of one number of words: each of a few tasks sets the bits of its share, and the driver merges blocks of fixed number."""
-    n, most = phrases.count(), LEAST_BITS
+def hashed(phrases: DataFrame) -> DataFrame:
+    """(hash) of (lang, phrase), a row each, all of one number of words."""
+
+    def made(batches):
+        for batch in batches:
+            words = Words(batch.column(1))
+            size = words.n // max(batch.num_rows, 1)
+            out = _mixed(_lang_hashes(batch.column(0)), *words.hash.reshape(batch.num_rows, size).T) if size else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], ["hash"])
+
+    return phrases.select("lang", "phrase").mapInArrow(made, "hash bigint")
+
+
+def phrase_filter(hashes: DataFrame) -> PhraseFilter:
+    """The filter of (hash), a row each: each of a few tasks sets the bits of its share, and the driver merges blocks of fixed number."""
+    n, most = hashes.count(), LEAST_BITS
     while most < min(n * BITS_EACH, MOST_BITS):
         most *= 2
 
     def made(batches):
         own = PhraseFilter(most)
         for batch in batches:
-            words = Words(batch.column(1))
-            size = words.n // max(batch.num_rows, 1)
-            slots = own.slots(_lang_hashes(batch.column(0)), *words.hash.reshape(batch.num_rows, size).T) if size else np.zeros(0, np.uint64)
+            slots = own.of_hashes(batch.column(0).to_numpy().view(np.uint64))
             np.bitwise_or.at(own.bits, slots >> np.uint64(3), np.uint8(1) << (slots & np.uint64(7)).astype(np.uint8))
         used = np.flatnonzero(own.bits.reshape(-1, BLOCK).any(axis=1))
         for k in used.tolist():
             yield pa.RecordBatch.from_pydict({"block": [k], "bits": [own.bits[k * BLOCK : (k + 1) * BLOCK].tobytes()]}, schema=pa.schema([("block", pa.int32()), ("bits", pa.binary())]))
 
     whole = PhraseFilter(most)
-    for r in phrases.select("lang", "phrase").repartition(FILTER_TASKS).mapInArrow(made, "block int, bits binary").toLocalIterator():
+    for r in hashes.select("hash").repartition(FILTER_TASKS).mapInArrow(made, "block int, bits binary").toLocalIterator():
         whole.bits[r.block * BLOCK : (r.block + 1) * BLOCK] |= np.frombuffer(r.bits, np.uint8)
     return whole
 
@@ -163,53 +176,74 @@ def _sums(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return order[first], np.add.reduceat(weight[order], first) if len(first) else weight[:0], number
 
 
-def counted(dictionary: DataFrame, sizes: tuple[int, ...], known: PhraseFilter | None = None, known_size: int = 0) -> DataFrame:
-    """(lang, phrase, size, times): how often phrases of the given numbers of words occur, those alone all whose parts of ``known_size`` words pass ``known``.
+class _Chunks:
+    """The words of a batch of the dictionary, with what counting needs of each: language, whether it begins phrases, occurrences."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.words = words = Words(batch.column(1))
+        langs = batch.column(0).dictionary_encode()
+        self.langs, self.lang = langs.dictionary, langs.indices.to_numpy().astype(np.int64)[words.text]
+        self.lang_hash = _lang_hashes(batch.column(0))[words.text]
+        begin = np.searchsorted(words.text, np.arange(batch.num_rows))
+        self.own = batch.column(2).to_numpy()[words.text] > np.arange(words.n) - begin[words.text]
+        self.weight = batch.column(3).to_numpy()[words.text]
+        self.n_distinct = len(words.distinct) + 1
+        #: Each word's number among the words of the batch's languages.
+        self.number = self.lang * self.n_distinct + words.code
+
+
+def frequent_pair_hashes(dictionary: DataFrame, words: PhraseFilter, min_count: int) -> DataFrame:
+    """(hash) of pairs of words that may occur ``min_count`` times: all that do, as pairs that share a hash are counted together."""
+    shared = dictionary.sparkSession.sparkContext.broadcast(words.bits)
+
+    def counts(batches):
+        sieve = PhraseFilter(shared.value)
+        for batch in batches:
+            c = _Chunks(batch)
+            w = c.words
+            passes = sieve.has(c.lang_hash, w.hash)
+            at = np.flatnonzero((w.same_piece & passes & c.own)[:-1] & passes[1:]) if w.n > 1 else np.zeros(0, np.int64)
+            place, sums, _ = _sums(c.number[at] * c.n_distinct + w.code[at + 1], c.weight[at])
+            one = at[place]
+            yield pa.RecordBatch.from_arrays([pa.array(_mixed(c.lang_hash[one], w.hash[one], w.hash[one + 1]).view(np.int64)), pa.array(sums, pa.int64())], ["hash", "times"])
+
+    rows = dictionary.select("lang", "chunk", "own", "times").mapInArrow(counts, "hash bigint, times bigint")
+    return rows.groupBy("hash").agg(F.sum("times").alias("times")).where(F.col("times") >= min_count).select("hash")
+
+
+def counted(dictionary: DataFrame, sizes: tuple[int, ...], pairs: PhraseFilter | None = None) -> DataFrame:
+    """(lang, phrase, size, times): how often phrases of the given numbers of words occur, those of two or more where all pairs in them pass ``pairs``.
 
     A batch's phrases are added up before they leave the worker.
     """
-    shared = dictionary.sparkSession.sparkContext.broadcast(known.bits) if known is not None else None
+    shared = dictionary.sparkSession.sparkContext.broadcast(pairs.bits) if pairs is not None else None
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("times", pa.int64())])
 
     def counts(batches):
         sieve = PhraseFilter(shared.value) if shared is not None else None
         for batch in batches:
-            words = Words(batch.column(1))
-            langs = batch.column(0).dictionary_encode()
-            lang = langs.indices.to_numpy().astype(np.int64)[words.text]
-            begin = np.searchsorted(words.text, np.arange(batch.num_rows))
-            own = batch.column(2).to_numpy()[words.text] > np.arange(words.n) - begin[words.text]
-            weight = batch.column(3).to_numpy()[words.text]
-            lang_hash = _lang_hashes(batch.column(0))[words.text]
-            n_distinct = len(words.distinct) + 1
-            # phrases that begin at ``at``, numbered by ``number`` among the batch's
-            at, number, reach = np.arange(words.n), lang * n_distinct + words.code, 1
-            passes = sieve.has(lang_hash, words.hash) if known_size == 1 else None
-            while True:
+            c = _Chunks(batch)
+            w = c.words
+            # phrases that begin at ``at``, numbered by ``number`` among the batch's; ``joins``: a word and the next are a pair
+            at, number, joins = np.arange(w.n), c.number, w.same_piece
+            if sieve is not None and w.n:
+                joins = joins & np.append(sieve.has(c.lang_hash[:-1], w.hash[:-1], w.hash[1:]), False)
+            for reach in range(1, max(sizes) + 1):
+                if reach > 1:
+                    good = joins[at + reach - 2]
+                    _, _, dense = _sums(number[good], c.weight[at[good]])
+                    at = at[good]
+                    number = dense * c.n_distinct + w.code[at + reach - 1]
                 if reach in sizes:
-                    mine = at[own[at]]
-                    place, sums, _ = _sums(number[own[at]], weight[mine])
+                    mine = at[c.own[at]]
+                    place, sums, _ = _sums(number[c.own[at]], c.weight[mine])
                     one = mine[place]
-                    columns = [words.distinct.take(pa.array(words.code[one + k])) for k in range(reach)]
+                    columns = [w.distinct.take(pa.array(w.code[one + k])) for k in range(reach)]
                     phrase = pc.binary_join_element_wise(*columns, " ") if reach > 1 else columns[0]
-                    yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(lang[one])), phrase, pa.array(np.full(len(one), reach, np.int32)), pa.array(sums, pa.int64())], schema=schema)
-                if reach == max(sizes):
-                    break
-                # one word more, within the piece, where the phrase that it ends passes too
-                more = at + reach
-                good = more < words.n
-                good[good] = words.same_piece[more[good] - 1]
-                if known_size and reach >= known_size:
-                    good &= passes[at]
-                    good[good] &= passes[at[good] + reach - known_size + 1]
-                at, number = at[good], number[good]
-                _, _, dense = _sums(number, weight[at])
-                number, reach = dense * n_distinct + words.code[at + reach], reach + 1
-                if reach == known_size:
-                    passes = np.zeros(words.n, bool)
-                    passes[at] = sieve.has(lang_hash[at], *[words.hash[at + k] for k in range(reach)])
-
-    return dictionary.select("lang", "chunk", "own", "times").mapInArrow(counts, "lang string, phrase string, size int, times bigint").groupBy("lang", "phrase", "size").agg(F.sum("times").alias("times"))
+                    yield pa.RecordBatch.from_arrays([c.langs.take(pa.array(c.lang[one])), phrase, pa.array(np.full(len(one), reach, np.int32)), pa.array(sums, pa.int64())], schema=schema)
+
+    rows = dictionary.select("lang", "chunk", "own", "times").mapInArrow(counts, "lang string, phrase string, size int, times bigint")
+    return rows.groupBy("lang", "phrase", "size").agg(F.sum("times").alias("times"))
 
 
 def frequent_phrases(dictionary: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST) -> DataFrame:
@@ -218,11 +252,8 @@ def frequent_phrases(dictionary: DataFrame, min_count: int = MIN_COUNT, longest:
     ones = stored(counted(dictionary, (1,)).where(enough), "words")
     if longest == 1:
         return ones
-    twos = stored(counted(dictionary, (2,), phrase_filter(ones), 1).where(enough), "pairs")
-    if longest == 2:
-        return ones.unionByName(twos)
-    rest = stored(counted(dictionary, tuple(range(3, longest + 1)), phrase_filter(twos), 2).where(enough), "phrases")
-    return ones.unionByName(twos).unionByName(rest)
+    pairs = stored(frequent_pair_hashes(dictionary, phrase_filter(hashed(ones)), min_count), "pairs")
+    return ones.unionByName(stored(counted(dictionary, tuple(range(2, longest + 1)), phrase_filter(pairs)).where(enough), "phrases"))
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, top: int = TOP, modulus: int = MODULUS, longest: int = LONGEST) -> DataFrame:
