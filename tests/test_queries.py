@@ -6,7 +6,7 @@ import pytest
 
 duckdb = pytest.importorskip("duckdb")
 
-from corvane.plans import code_queries, dictionary_queries, graph_queries, text_queries, view_queries  # noqa: E402, F401
+from corvane.plans import code_queries, dictionary_queries, graph_queries, state_queries, text_queries, view_queries  # noqa: E402, F401
 from corvane.plans.base import ORACLE, QUERIES  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
