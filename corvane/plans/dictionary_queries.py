@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.config import labels as L
+from corvane.operators import census as C
 from corvane.operators import dictionary as D
 from corvane.operators import rules as R
 from corvane.operators import triage as T
@@ -280,3 +281,69 @@ def structure_features(t: Tables) -> DataFrame:
     return found.withColumn("locked_down", locked).select(
         "id", "fields", "audited", "first_is_date", "no_delete", "no_write", "depth", "set_share", F.array_join(F.array_sort("xrefs"), ",").alias("xrefs"), "trigger_to_p", "locked_down", "open_laygo", "print_templates", "input_templates", "forms", "dated_subfiles", "records"
     )
+
+
+def _stores(t: Tables) -> DataFrame:
+    """A store for each nation: its customers are the records, with their orders below, an index by name, and for every fifth nation a node of its own."""
+    root = F.concat(F.lit("^N"), F.col("c_nationkey").cast("string"))
+    c = F.col("c_custkey").cast("string")
+    below = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    parts = [
+        t.customer.select(root.alias("root"), F.array(c, F.lit("0")).alias("subs")),
+        below.select(root.alias("root"), F.array(c, F.lit("P"), F.col("o_orderkey").cast("string"), F.lit("0")).alias("subs")),
+        t.customer.select(root.alias("root"), F.array(F.lit("B"), F.col("c_name"), c).alias("subs")),
+        t.customer.where("c_nationkey % 5 = 0").select(root.alias("root"), F.array(c, F.lit("X")).alias("subs")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _store_dictionary(t: Tables) -> DataFrame:
+    """Types for nations below 20; every other one declares the orders, two of three the index."""
+    k = F.col("n_nationkey")
+    key = k.cast("string")
+    some = t.nation.where("n_nationkey < 20")
+
+    def rows(df: DataFrame, root: str, value: Column, *subs) -> DataFrame:
+        return df.select(F.lit(root).alias("root"), F.array(*[F.lit(s) if isinstance(s, str) else s for s in subs]).alias("subs"), value.alias("value"))
+
+    sub = F.when(k == 0, ".1").otherwise(F.concat(key, F.lit(".1")))
+    parts = [
+        rows(some, "^DD", F.col("n_name"), key, "0"), rows(some, "^DD", F.lit("NAME^RF^^0;1"), key, ".01", "0"), rows(some, "^DIC", F.col("n_name"), key, "0"), rows(some, "^DIC", F.concat(F.lit("^N"), key, F.lit("(")), key, "0", "GL"),
+        rows(some.where("n_nationkey % 2 = 0"), "^DD", F.concat(F.lit("ORDERS^"), sub, F.lit("P^^P;0")), key, "1", "0"), rows(some.where("n_nationkey % 2 = 0"), "^DD", key, sub, "0", "UP"),
+        rows(some.where("n_nationkey % 2 = 0"), "^DD", F.lit("ORDER^F^^0;1"), sub, ".01", "0"), rows(some.where("n_nationkey % 3 < 2"), "^DD", F.concat(key, F.lit("^B")), key, ".01", "1", "1", "0"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _census(t: Tables) -> DataFrame:
+    nodes = _store_dictionary(t)
+    return C.census(_stores(t), nodes, cut(D.record_type_facts(nodes)))
+
+
+_CENSUS_SQL = """s AS (SELECT c_nationkey AS k, count(*) AS customers, count(o.o_custkey) > 0 AS has_orders FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) o ON o.o_custkey = c_custkey GROUP BY 1),
+p AS (SELECT k, customers, unnest(list_filter(['#', '#,#', CASE WHEN has_orders THEN '#,P' END, CASE WHEN has_orders THEN '#,P,#' END, CASE WHEN has_orders THEN '#,P,#,#' END, CASE WHEN k % 5 = 0 THEN '#,X' END, 'B'], lambda x: x IS NOT NULL)) AS path, has_orders FROM s),
+u AS (SELECT k, path FROM p WHERE CASE WHEN k >= 20 THEN path IN ('#', 'B') ELSE path = '#,P' AND k % 2 = 1 OR path = 'B' AND k % 3 = 2 OR path = '#,X' END),
+un AS (SELECT k, count(*) AS n, string_agg(path, '|' ORDER BY path) AS l FROM u GROUP BY 1),
+cen AS (SELECT '^N' || s.k AS store, CASE WHEN s.k < 20 THEN CAST(s.k AS VARCHAR) END AS record_type, CASE WHEN s.k >= 20 THEN 'none' WHEN un.k IS NULL THEN 'full' ELSE 'partial' END AS coverage, (SELECT count(*) FROM p WHERE p.k = s.k) + names + customer_names AS branches, coalesce(n, 0) AS undeclared, coalesce(l, '') AS undeclared_branches,
+  least(s.customers + 1, 1000000) AS record_count, CASE WHEN has_orders THEN 4 ELSE 3 END AS depth, s.k AS k
+  FROM s LEFT JOIN un ON un.k = s.k JOIN (SELECT c_nationkey AS k, count(DISTINCT c_name) AS names, count(DISTINCT c_name) AS customer_names FROM customer GROUP BY 1) m ON m.k = s.k)"""
+
+
+@query(f"WITH {_CENSUS_SQL} SELECT store, record_type, coverage, branches, undeclared, undeclared_branches, record_count, depth FROM cen")
+def store_coverage(t: Tables) -> DataFrame:
+    """Full, partial and none, from node tables alone."""
+    return _census(t).drop("samples")
+
+
+@query(f"""WITH {_CENSUS_SQL}, lab AS (SELECT n_nationkey AS k, CASE n_regionkey WHEN 0 THEN 'P' WHEN 1 THEN 'K' WHEN 2 THEN 'S' END AS label FROM nation),
+ref AS (SELECT DISTINCT c_nationkey AS k, s_nationkey AS g FROM supplier JOIN customer ON c_custkey = s_suppkey), gr AS (SELECT ref.k, count(*) AS groups, max(label) AS label, bool_and(coalesce(label = 'P', false)) AS ns FROM ref JOIN lab ON lab.k = g GROUP BY 1),
+pat AS (SELECT c_nationkey AS k, count(*) FILTER (c_custkey % 10 < 9 AND c_nationkey % 2 = 0 OR c_custkey % 10 < 2) / count(*) > 0.6 AS mine FROM customer GROUP BY 1)
+SELECT substr(store, 2) AS store, coverage, CASE WHEN ns THEN 'G-01' WHEN mine AND coverage = 'none' THEN 'G-02' WHEN mine AND coverage = 'partial' AND contains('|' || undeclared_branches, '|#,') THEN 'G-06' WHEN groups = 1 AND label IS NOT NULL THEN 'G-05' END AS method
+FROM cen LEFT JOIN gr ON gr.k = cen.k LEFT JOIN pat ON pat.k = cen.k""")
+def census_rules(t: Tables) -> DataFrame:
+    """The rules for stores, over features that the census gives. Suppliers are units that refer to the store of the customer of their number."""
+    label = F.when(F.col("n_regionkey") == 0, "P").when(F.col("n_regionkey") == 1, "K").when(F.col("n_regionkey") == 2, "S")
+    refs = t.supplier.join(t.customer, F.col("s_suppkey") == F.col("c_custkey")).select(F.col("s_suppkey").alias("unit"), F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("store"))
+    patients = t.customer.where("c_custkey % 10 < 9 and c_nationkey % 2 = 0 or c_custkey % 10 < 2").select(F.col("c_custkey").alias("id"))
+    features = C.store_features(_census(t), _stores(t), patients, refs, t.supplier.select(F.col("s_suppkey").alias("unit"), F.col("s_nationkey").alias("grp")), t.nation.select(F.col("n_nationkey").alias("grp"), label.alias("label")))
+    return R.labelled(features, R.store_rules()).select("store", "coverage", "method")
