@@ -11,6 +11,7 @@ from corvane.operators import incremental as I
 from corvane.operators import joins as J
 from corvane.operators import profile as P
 from corvane.operators import rules as R
+from corvane.operators.constraints import Check, violation_counts, violations
 from corvane.plans.base import Tables, query
 
 _SUPPLY = "SELECT l_suppkey AS source, o_custkey AS target, l_quantity AS quantity, l_partkey AS part FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
@@ -498,3 +499,41 @@ def entry_point_labels(t: Tables) -> DataFrame:
     stores = t.part.select(F.col("p_partkey").alias("store"), F.col("p_size").alias("record"))
     labels = t.part.select(F.col("p_size").alias("record"), F.when(n == 0, "P").when(n == 1, "I").when(n == 2, "K").when(n == 3, "S").alias("label")).distinct()
     return G.label_reach(entries, calls, references, stores, labels, ["P", "I", "K", "S"])
+
+
+_CHECKS = [
+    Check("line of an order", "reference", "lineitem", ("l_orderkey",), "orders", ("o_orderkey",)), Check("line of a part", "reference", "lineitem", ("l_partkey",), "part", ("p_partkey",)), Check("line of a supplier", "reference", "lineitem", ("l_suppkey",), "supplier", ("s_suppkey",)),
+    Check("order of a customer", "reference", "orders", ("o_custkey",), "customer", ("c_custkey",)), Check("supplier named as a customer", "reference", "customer", ("c_custkey",), "supplier", ("s_suppkey",)), Check("nation of a region", "reference", "nation", ("n_regionkey",), "region", ("r_regionkey",)),
+    Check("line number", "unique", "lineitem", ("l_orderkey", "l_linenumber")), Check("part number", "unique", "part", ("p_partkey",)), Check("part name", "unique", "part", ("p_name",)), Check("lines declared", "count", "lineitem", ("l_partkey",), "part", ("p_partkey",), "p_size"),
+    Check("document's language", "present", "documents", ("source", "lang", "text")), Check("label of a document", "reference", "labels", ("doc_id",), "documents", ("doc_id",)),
+]
+
+
+def _reference_sql(c: Check) -> str:
+    return f"SELECT '{c.name.replace(chr(39), chr(39) * 2)}' AS \"check\", CAST({c.columns[0]} AS VARCHAR) AS key, 0 AS found, 1 AS expected FROM (SELECT DISTINCT {c.columns[0]} FROM {c.table}) WHERE {c.columns[0]} NOT IN (SELECT {c.other_columns[0]} FROM {c.other})"
+
+
+_CHECKS_SQL = " UNION ALL ".join(
+    [
+        *[_reference_sql(c) for c in _CHECKS if c.kind == "reference"],
+        "SELECT 'line number', l_orderkey || '|' || l_linenumber, count(*), 1 FROM lineitem GROUP BY 2 HAVING count(*) > 1", "SELECT 'part number', CAST(p_partkey AS VARCHAR), count(*), 1 FROM part GROUP BY 2 HAVING count(*) > 1",
+        "SELECT 'part name', p_name, count(*), 1 FROM part GROUP BY 2 HAVING count(*) > 1", "SELECT 'lines declared', CAST(p_partkey AS VARCHAR), coalesce(n, 0), p_size FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_partkey = p_partkey WHERE coalesce(n, 0) <> p_size",
+        "SELECT 'document''s language', coalesce(source, ''), count(*), 0 FROM documents WHERE lang IS NULL OR text IS NULL GROUP BY 2",
+    ]
+)
+
+
+def _violations(t: Tables) -> DataFrame:
+    return violations({n: getattr(t, n) for n in ("lineitem", "orders", "part", "supplier", "customer", "nation", "region", "documents", "labels")}, _CHECKS)
+
+
+@query(_CHECKS_SQL)
+def constraint_violations(t: Tables) -> DataFrame:
+    """Every key that breaks one of twelve constraints on nine tables."""
+    return _violations(t)
+
+
+@query(f"""WITH v AS ({_CHECKS_SQL}), c AS (SELECT unnest({[c.name for c in _CHECKS]!r}) AS "check", unnest({[c.kind for c in _CHECKS]!r}) AS kind)
+SELECT c."check", kind, count(v."check") AS violations FROM c LEFT JOIN v ON v."check" = c."check" GROUP BY 1, 2""".replace('"document\'s language"', "'document''s language'"))
+def constraint_counts(t: Tables) -> DataFrame:
+    return violation_counts(_violations(t), _CHECKS)
