@@ -9,6 +9,8 @@ from corvane.operators import rules as R
 from corvane.operators import state as S
 from corvane.plans.base import Tables, query
 from corvane.session import scratch
+from corvane.sources import corpus
+from corvane.sources.lookup import write_lookup
 
 
 def _two_runs(t: Tables) -> tuple[S.StateTable, str]:
@@ -48,3 +50,34 @@ UNION ALL SELECT 'run 2', 'incremental', count(*), count(*) FILTER (r1 IS NULL A
 def stored_runs(t: Tables) -> DataFrame:
     """The log of the two runs."""
     return S.read_log(t.spark, _two_runs(t)[1])
+
+
+@query("""SELECT l_suppkey AS source, o_custkey AS target, count(*) AS refs FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey IN (3, 17, 42, 77, 1000000) GROUP BY 1, 2""")
+def indexed_callers(t: Tables) -> DataFrame:
+    """All edges written to be looked up, and those of five suppliers (one of which doesn't exist) looked up."""
+    edges = t.supply().groupBy("source", "target").agg(F.count("*").alias("refs"))
+    return write_lookup(edges, scratch(t.spark, "edges"), "source", 16).rows_of(t.spark, [3, 17, 42, 77, 1000000])
+
+
+@query("""SELECT p_partkey, p_name, p_brand, p_size FROM part WHERE p_brand IN (SELECT DISTINCT p_brand FROM part WHERE p_size = 1)""")
+def indexed_cards(t: Tables) -> DataFrame:
+    """Cards of parts by brand, and those of the brands that another table asks for."""
+    cards = write_lookup(t.part.select("p_partkey", "p_name", "p_brand", "p_size"), scratch(t.spark, "cards"), "p_brand", 16)
+    return cards.rows_of_all(t.part.where("p_size = 1").select("p_brand")).select("p_partkey", "p_name", "p_brand", "p_size")
+
+
+@query("""WITH m AS (SELECT 'P' || p_partkey AS unit, p_brand AS grp, p_partkey AS k FROM part)
+SELECT 'unit' AS kind, unit AS name, octet_length(encode(body)) AS bytes, md5(body) AS digest FROM (SELECT unit, k, 'P' || p_partkey || ' ;' || repeat(p_name || chr(10), p_size) AS body FROM m JOIN part ON p_partkey = k WHERE k % 50 <> 3)
+UNION ALL SELECT 'missing file', unit, 0, '' FROM m WHERE k % 50 = 3""")
+def manifest_scan(t: Tables) -> DataFrame:
+    """A corpus of parts of very different sizes, read as its manifest lists it; some listed units were never written."""
+    key = F.col("p_partkey").cast("string")
+    text = F.concat(F.lit("P"), key, F.lit(" ;"), F.expr("repeat(p_name || '\\n', p_size)"))
+    units = t.part.select(F.concat(F.lit("P"), key).alias("unit"), F.col("p_brand").alias("grp"), text.alias("text"), "p_partkey")
+    path = scratch(t.spark, "corpus")
+    corpus.write_units(units.where("p_partkey % 50 <> 3"), path)
+    place = path.removeprefix("file://")
+    manifest = units.select("unit", "grp", F.concat(F.lit(place + "/"), "grp", F.lit("/Routines/"), "unit", F.lit(".m")).alias("path"))
+    read = corpus.read_by_manifest(t.spark, manifest, path).select(F.lit("unit").alias("kind"), F.col("unit").alias("name"), F.col("byte_size").alias("bytes"), F.md5(F.col("text").cast("binary")).alias("digest"))
+    broken = corpus.manifest_contract(t.spark, manifest, path).select(F.col("check").alias("kind"), F.col("unit").alias("name"), F.lit(0).cast("long").alias("bytes"), F.lit("").alias("digest"))
+    return read.unionByName(broken)

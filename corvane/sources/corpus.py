@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
+import re
 from fnmatch import fnmatchcase
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as X
+from corvane.session import cut
 
 
 _LISTED = "path string, name string, grp string, byte_size bigint"
 
 
 def _file_system(path: str):
-    """The store of a path or URI, the place within it, and what makes a place there a path again."""
-    if "://" not in path:
-        path = "file://" + path.removeprefix("file:")
-    store, place = fs.FileSystem.from_uri(path)
-    return store, place, "" if path.startswith("file:") else path.removesuffix(place)
+    """The store of a path or URI, the place within it, and what makes a place there a path again.
+
+    Only the scheme and authority are read as a URI, so names may hold ``#``, ``?`` and ``%``.
+    """
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), re.sub("^file:/*", "/", path), ""
+    root, rest = re.fullmatch("([^:]+://[^/]*)(.*)", path, re.S).groups()
+    store, top = fs.FileSystem.from_uri(f"{root}/")
+    place = top.rstrip("/") + rest
+    return store, place, path.removesuffix(place)
 
 
 def listed(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -146,3 +153,53 @@ def write_units(units: DataFrame, path: str, folder: str = "Routines", suffix: s
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     return units.select("unit", "grp", "text").mapInArrow(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+
+
+#: Files of which one task adds up the sizes when they are dealt out.
+FILES_A_RANGE = 20_000
+
+
+def dealt_by_size(files: DataFrame, tasks: int, size: str = "byte_size", key: str = "path") -> DataFrame:
+    """``files`` with ``task`` (from 0): bins of nearly equal sums of sizes, each filled in the order of a hash of ``key``.
+
+    A bin's sum passes the mean by less than the largest file. Sums run over
+    ranges of the hash that are added up on their own and begin at the sum of the
+    ranges before, so no task sees all files. Files without size count as empty.
+    """
+    n_ranges = max(1, -(-files.count() // FILES_A_RANGE))
+    n = F.coalesce(F.col(size), F.lit(0)).cast("long")
+    rows = files.select("*", F.pmod(F.xxhash64(key), F.lit(n_ranges)).alias("range"), n.alias("of_size"))
+    sums = rows.groupBy("range").agg(F.sum("of_size").alias("s"))
+    before = sums.select("range", F.coalesce(F.sum("s").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    total = sums.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("total"))
+    inside = F.coalesce(F.sum("of_size").over(Window.partitionBy("range").orderBy(F.xxhash64(key), key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = rows.withColumn("inside", inside).join(F.broadcast(before), "range").crossJoin(F.broadcast(total))
+    # the middle of a file decides, so that a large one at an edge goes where most of it lies
+    middle = (F.col("before") + F.col("inside") + F.col("of_size") / 2) * tasks / F.greatest("total", F.lit(1))
+    return placed.withColumn("task", F.least(F.floor(middle).cast("int"), F.lit(tasks - 1))).select(*files.columns, "task")
+
+
+def read_by_manifest(spark: SparkSession, manifest: DataFrame, path: str, tasks: int | None = None, glob: str = "*.m") -> DataFrame:
+    """(path, unit, grp, byte_size, text, task) of the files that ``manifest`` (unit, grp, path) lists below ``path``.
+
+    The manifest drives the read: its paths meet what is there, are dealt to
+    ``tasks`` (the session's parallelism by default) by their sizes, and each task
+    reads its files one by one. Paths without a file give no row, nor do files
+    that aren't listed; see manifest_contract().
+    """
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    there = listed(spark, path, glob).select("path", "name", "byte_size")
+    wanted = manifest.select("path", "unit", "grp").dropDuplicates(["path"]).join(there, "path")
+    # sizes are dealt with before anything is read
+    dealt = dealt_by_size(cut(wanted), tasks)
+    rows = dealt.repartitionById(tasks, F.col("task")).select("path", F.to_json(F.struct("unit", "task")).alias("name"), "grp", "byte_size")
+    told = F.from_json("name", "unit string, task int")
+    return _contents(rows).select("path", told["unit"].alias("unit"), "grp", "byte_size", F.make_valid_utf8(F.col("content").cast("string")).alias("text"), told["task"].alias("task"))
+
+
+def manifest_contract(spark: SparkSession, manifest: DataFrame, path: str, glob: str = "*.m") -> DataFrame:
+    """unit_contract() of a manifest (unit, grp, path) and the files below ``path``, without reading them; an extra file is named by its path."""
+    there = listed(spark, path, glob).select("path")
+    units = manifest.select("unit", "path").dropDuplicates(["path"])
+    found = there.join(units, "path", "left").select(F.coalesce("unit", "path").alias("unit"))
+    return unit_contract(manifest, found)
