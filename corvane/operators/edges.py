@@ -121,3 +121,35 @@ def external_share(edges: DataFrame, groups: DataFrame, source: str, target: str
         .agg(F.count("*").alias("total"), F.count_if(~F.col("sg").eqNullSafe(F.col("tg"))).alias("external"))
         .withColumn("share", F.try_divide("external", "total"))
     )
+
+
+def bounded_group_graph(edges: DataFrame, groups: DataFrame, n: int = 50, weight: str | None = None) -> DataFrame:
+    """(grp, kind, source, target, refs): a graph of each group with ``n`` nodes at most, for all groups at once.
+
+    ``edges`` is (source, target) with several rows or a ``weight`` per reference,
+    ``groups`` (node, grp). A group keeps its nodes with the most distinct callers
+    inside the group, other than themselves; ties go to the smaller node, and
+    nodes without such callers come last. ``inside``: references between kept
+    nodes, their own included. ``out`` and ``in``: those of a kept node to and from
+    another group, folded into one node for that group, ``group:`` and its name.
+    References from or to nodes without a group are left out.
+    """
+    refs = F.sum(weight) if weight else F.count("*")
+    counted = edges.where("source is not null and target is not null").groupBy("source", "target").agg(refs.cast("long").alias("refs"))
+    known = groups.select("node", "grp").where("node is not null and grp is not null")
+    both = counted.join(known.select(F.col("node").alias("source"), F.col("grp").alias("from_grp")), "source").join(known.select(F.col("node").alias("target"), F.col("grp").alias("to_grp")), "target")
+    home = F.col("from_grp") == F.col("to_grp")
+    callers = both.where(home & (F.col("source") != F.col("target"))).groupBy(F.col("target").alias("node")).agg(F.count("*").alias("callers"))
+    ranked = top_k(known.join(callers, "node", "left"), ["grp"], [F.coalesce("callers", F.lit(0)).desc(), F.col("node")], n)
+    kept = ranked.select("node")
+    from_kept = both.join(kept.select(F.col("node").alias("source")), "source", "left_semi")
+    to_kept = both.join(kept.select(F.col("node").alias("target")), "target", "left_semi")
+
+    def text(c: str):
+        return F.col(c).cast("string").alias(c)
+
+    folded = lambda c: F.concat(F.lit("group:"), F.col(c).cast("string"))
+    inside = from_kept.where(home).join(kept.select(F.col("node").alias("target")), "target", "left_semi").select(F.col("from_grp").alias("grp"), F.lit("inside").alias("kind"), text("source"), text("target"), "refs")
+    out = from_kept.where(~home).groupBy(F.col("from_grp").alias("grp"), F.lit("out").alias("kind"), text("source"), folded("to_grp").alias("target")).agg(F.sum("refs").alias("refs"))
+    into = to_kept.where(~home).groupBy(F.col("to_grp").alias("grp"), F.lit("in").alias("kind"), folded("from_grp").alias("source"), text("target")).agg(F.sum("refs").alias("refs"))
+    return inside.unionByName(out).unionByName(into)

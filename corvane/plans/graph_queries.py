@@ -537,3 +537,17 @@ def constraint_violations(t: Tables) -> DataFrame:
 SELECT c."check", kind, count(v."check") AS violations FROM c LEFT JOIN v ON v."check" = c."check" GROUP BY 1, 2""".replace('"document\'s language"', "'document''s language'"))
 def constraint_counts(t: Tables) -> DataFrame:
     return violation_counts(_violations(t), _CHECKS)
+
+
+@query("""WITH e AS (SELECT o_custkey AS source, coalesce(o2, 0) AS target, count(*) AS refs FROM (SELECT o.o_custkey, p.o_custkey AS o2 FROM lineitem JOIN orders o ON o.o_orderkey = l_orderkey JOIN orders p ON p.o_orderkey = l_partkey * 5) GROUP BY 1, 2),
+b AS (SELECT e.*, x.c_nationkey AS f, y.c_nationkey AS g FROM e JOIN customer x ON x.c_custkey = source JOIN customer y ON y.c_custkey = target),
+d AS (SELECT target AS node, count(*) AS n FROM b WHERE f = g AND source <> target GROUP BY 1),
+k AS (SELECT c_custkey AS node FROM (SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY coalesce(n, 0) DESC, c_custkey) AS r FROM customer LEFT JOIN d ON node = c_custkey) WHERE r <= 12)
+SELECT f AS grp, 'inside' AS kind, CAST(source AS VARCHAR) AS source, CAST(target AS VARCHAR) AS target, CAST(refs AS BIGINT) AS refs FROM b WHERE f = g AND source IN (SELECT node FROM k) AND target IN (SELECT node FROM k)
+UNION ALL SELECT f, 'out', CAST(source AS VARCHAR), 'group:' || g, CAST(sum(refs) AS BIGINT) FROM b WHERE f <> g AND source IN (SELECT node FROM k) GROUP BY 1, 3, 4
+UNION ALL SELECT g, 'in', 'group:' || f, CAST(target AS VARCHAR), CAST(sum(refs) AS BIGINT) FROM b WHERE f <> g AND target IN (SELECT node FROM k) GROUP BY 1, 3, 4""")
+def bounded_group_graphs(t: Tables) -> DataFrame:
+    """Customers call the customers of the orders that their lines' parts name; a graph of twelve nodes for each nation."""
+    owner = t.orders.select("o_orderkey", "o_custkey")
+    calls = t.lineitem.select("l_orderkey", (F.col("l_partkey") * 5).alias("called")).join(owner.toDF("l_orderkey", "source"), "l_orderkey").join(owner.toDF("called", "target"), "called")
+    return E.bounded_group_graph(calls.select("source", "target"), t.customer_groups(), 12)

@@ -63,3 +63,17 @@ def test_label_reach(spark):
     labels = spark.createDataFrame([("2", "P"), ("80", "K"), ("81", "S"), ("5", "other")], "record string, label string")
     got = {r.entry: (r.labels, r.n_labels) for r in G.label_reach(entries, calls, references, stores, labels, ["P", "I", "K", "S"]).collect()}
     assert got == {"A": ("P,K,S", 3), "B": ("K,S", 2), "C": ("", 0), "D": ("", 0)}
+
+
+def test_bounded_group_graph(spark):
+    from corvane.operators.edges import bounded_group_graph
+
+    groups = spark.createDataFrame([("a", "X"), ("b", "X"), ("c", "X"), ("d", "Y"), ("e", "Y"), (None, "Y"), ("f", None)], "node string, grp string")
+    edges = [("a", "b"), ("a", "b"), ("c", "b"), ("b", "c"), ("a", "a"), ("d", "a"), ("e", "b"), ("d", "b"), ("b", "e"), ("b", "d"), ("c", "d"), ("f", "b"), ("z", "a"), ("a", None)]
+    got = bounded_group_graph(spark.createDataFrame(edges, "source string, target string"), groups, 2).collect()
+    assert sorted(tuple(r) for r in got) == sorted([
+        ("X", "inside", "b", "c", 1), ("X", "inside", "c", "b", 1), ("X", "out", "b", "group:Y", 2), ("X", "out", "c", "group:Y", 1), ("X", "in", "group:Y", "b", 2),
+        ("Y", "out", "d", "group:X", 2), ("Y", "out", "e", "group:X", 1), ("Y", "in", "group:X", "d", 2), ("Y", "in", "group:X", "e", 1),
+    ])
+    weighted = spark.createDataFrame([("a", "b", 5), ("a", "b", 2)], "source string, target string, w int")
+    assert bounded_group_graph(weighted, groups, 3, "w").head().refs == 7
