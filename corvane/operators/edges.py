@@ -12,16 +12,17 @@ def text_edges(lines: DataFrame, source: list[str], line: str = "line", every_ar
     """(source columns, tag, target, kind, ref_count): call and function references of cleaned lines.
 
     A line is cleaned once; both patterns read the same column and their matches
-    are exploded together. Null lines have none.
+    are exploded together. Null lines have none, nor have lines without a caret,
+    which are left out before any pattern is tried.
     """
-    clean = lines.select(*source, X.without_literals(F.col(line)).alias("clean"))
+    clean = lines.where(F.col(line).contains("^")).select(*source, X.without_literals(F.col(line)).alias("clean"))
     found = clean.select(*source, F.explode(X.all_references(F.col("clean"), every_argument)).alias("r"))
     return found.groupBy(*source, F.col("r.tag").alias("tag"), F.col("r.unit").alias("target"), F.col("r.kind").alias("kind")).agg(F.count("*").alias("ref_count"))
 
 
 def store_edges(lines: DataFrame, source: list[str], line: str = "line") -> DataFrame:
-    """(source columns, store, ref_count): store references of cleaned lines."""
-    found = lines.select(*source, F.explode(X.store_references(X.without_literals(F.col(line)))).alias("store"))
+    """(source columns, store, ref_count): store references of cleaned lines that hold a caret."""
+    found = lines.where(F.col(line).contains("^")).select(*source, F.explode(X.store_references(X.without_literals(F.col(line)))).alias("store"))
     return found.groupBy(*source, "store").agg(F.count("*").alias("ref_count"))
 
 

@@ -74,10 +74,20 @@ def longest_prefix(names: DataFrame, name: str, prefixes: DataFrame, prefix: str
 
 
 def fill_blank(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """``left`` with blank or null cells of ``columns`` taken from ``right`` (one row per key)."""
-    other = right.select(key, *[F.col(c).alias(f"__{c}") for c in columns])
+    """``left`` with blank or null cells of ``columns`` taken from ``right``; of rows with one key there, the largest by these columns in order.
+
+    Rows, other columns and their names stay as they are; a null key takes nothing.
+    """
+    given = right.select(F.col(f"`{key}`").alias("k"), F.struct(*[F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(columns)]).alias("v"))
+    best = given.where("k is not null").groupBy("k").agg(F.max("v").alias("v"))
+    one = left.select(F.struct("*").alias("l"), F.col(f"`{key}`").alias("k")).join(best, "k", "left")
+
+    def cell(name: str) -> Column:
+        own = F.col("l")[name]
+        return (F.coalesce(F.nullif(own, F.lit("")), F.col("v")[f"c{columns.index(name)}"]) if name in columns else own).alias(name)
+
     rest = [c for c in left.columns if c not in columns]
-    return left.join(other, key, "left").select(*rest, *[F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"__{c}")).alias(c) for c in columns])
+    return one.select(*[cell(c) for c in [*rest, *columns]])
 
 
 def resolved(queries: DataFrame, query: str, names: DataFrame, name: str, members: DataFrame, member: str, grp: str, least: float = 0.4) -> DataFrame:

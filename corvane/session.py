@@ -55,15 +55,31 @@ def scratch(spark: SparkSession, what: str) -> str:
 
 
 def discard_scratch(spark: SparkSession) -> None:
-    """Deletes what this process has written under scratch(): for when no DataFrame made with it is needed any more."""
+    """Deletes what this process has written under scratch() and its checkpoints: for when no DataFrame made with them is needed any more."""
     context = spark.sparkContext
-    while _SCRATCH:
-        path = context._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    paths = [*_SCRATCH]
+    _SCRATCH.clear()
+    if context.getCheckpointDir():  # Spark gives each application a folder of its own below the shared one
+        top = context._jvm.org.apache.hadoop.fs.Path(context.getCheckpointDir())
+        files = top.getFileSystem(context._jsc.hadoopConfiguration())
+        paths += [x.getPath().toString() for x in (files.listStatus(top) if files.exists(top) else ())]
+    for p in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of a table that may be dealt out anew.
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores where it comes from fewer files than that, as a small table's scan may be a single task."""
+    """``df`` over all cores where it is small and comes from fewer files than that, as a small file may be a single task.
+
+    Larger tables stay as Spark splits them: a shuffle of their texts would cost
+    more than it deals out, and their files aren't listed here.
+    """
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > SPREAD_BYTES:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 

@@ -293,3 +293,33 @@ def test_small_measures(spark):
     assert I.triage(table(spark, [(0, 0, 1), (5, 0, 9), (5, 3, 1)], "records int, refs int, prefix_size int")).select("bucket").collect()[0].bucket == "vestigial"
     pairs = table(spark, [(1, 2)], "source int, target int")
     assert E.skipped_targets(pairs, table(spark, [(1, 1)], "node int, grp int")).head().node == 2
+
+
+def test_fill_blank_with_any_names_and_repeated_keys(spark):
+    left = spark.createDataFrame([(1, "", "x", 7), (2, "kept", None, 8), (3, None, "", 9), (None, "", "y", 10)], "id int, c string, __c string, v int")
+    right = spark.createDataFrame([(1, "a", "q", 0), (1, "b", "p", 0), (3, "d", "e", 0), (None, "no", "no", 0)], "id int, c string, __c string, v int")
+    got = {tuple(r) for r in J.fill_blank(left, right, "id", ["c", "__c"]).select("id", "v", "c", "__c").collect()}
+    assert got == {(1, 7, "b", "x"), (2, 8, "kept", None), (3, 9, "d", "e"), (None, 10, None, "y")}
+
+
+def test_discarding_scratch_takes_checkpoints_along(spark):
+    from pathlib import Path
+
+    from corvane.session import cut, discard_scratch, scratch
+
+    cut(spark.range(5))
+    spark.range(5).write.parquet(path := scratch(spark, "x"))
+    top = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    assert list(top.iterdir())
+    discard_scratch(spark)
+    assert not list(top.iterdir()) and not Path(path.removeprefix("file://")).exists()
+    assert cut(spark.range(3)).count() == 3
+
+
+def test_only_small_tables_are_dealt_out(spark, sf, monkeypatch):
+    from corvane import session
+
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    assert session.spread(table).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(session, "SPREAD_BYTES", 10)
+    assert session.spread(table) is table
