@@ -102,19 +102,7 @@ def propagate(
             )
             .where("n >= 2")
         )
-
-        def says(label: str, method: str, *evidence: Column) -> Column:
-            return F.struct(F.lit(label).alias("label"), F.lit(method).alias("method"), F.concat(*[e.cast("string") for e in evidence]).alias("evidence"))
-
-        rule = (
-            F.when(F.col("kinds") >= 3, says(majority, "H-38", F.lit("targets span "), F.col("kinds"), F.lit(" PIKS categories")))
-            .when(F.col("major") / F.col("n") > share, says(majority, "H-36", F.col("major"), F.lit("/"), F.col("n"), F.lit(f" targets classified {majority}")))
-            .when(F.col("same") == F.col("n"), says(spread, "H-40", F.col("same"), F.lit(f" targets all classified {spread}")))
-        )
-        new = cut(
-            counts.withColumn("r", rule).where(F.col("r").isNotNull())
-            .select("id", "r.label", "r.method", F.lit("moderate").alias("confidence"), "r.evidence", F.lit(k).alias("round"))
-        )
+        new = cut(_told(counts, majority, spread, share, k))
         if k == 1:
             have.append(alone.select("id", F.lit("S").alias("label")))
         if new.isEmpty():
@@ -210,3 +198,67 @@ def label_reach(entries: DataFrame, calls: DataFrame, references: DataFrame, sto
     names = F.array_compact(F.array(*[F.when(F.col("mask").bitwiseAND(F.lit(1 << k)) != 0, F.lit(kind)) for k, kind in enumerate(kinds)]))
     out = entries.select("kind", "entry", "unit").join(masks, "unit", "left").withColumn("mask", F.coalesce("mask", F.lit(0).cast("long")))
     return out.select("kind", "entry", "unit", F.array_join(names, ",").alias("labels"), F.bit_count("mask").cast("long").alias("n_labels"))
+
+
+def propagate_in_place(
+    nodes: DataFrame, edges: DataFrame, labels: DataFrame, majority: str, spread: str, rounds: int = 6, share: float = 0.7, order: str = "bigint", linked: DataFrame | None = None
+) -> DataFrame:
+    """(id, label, method, confidence, evidence, round) of the nodes that get a label, as a pass over them in order gives them.
+
+    As propagate(), but a round goes through the open nodes by number (the id cast
+    to ``order``), and a label that a smaller number has got in the same round
+    counts already. A node waits for the open targets with smaller numbers alone,
+    so a round goes in waves: all nodes at once whose such targets are decided,
+    whether they got a label or not. Waves are as many as the longest line of open
+    nodes with falling numbers; no node is seen twice in a round. ``nodes`` are the
+    open ones that may get a label, ``labels`` (id, label) what is known; pointers
+    of a node to itself and to unknown ids count for nothing.
+    """
+    known = cut(labels.where("label is not null").select("id", "label", F.lit(0).alias("round")))
+    edges = cut(edges.select("id", "target"))
+    open_ = cut(nodes.select("id").distinct().join(known, "id", "left_anti"))
+    if linked is None:
+        linked = edges.select("id").unionByName(edges.select(F.col("target").alias("id"))).distinct()
+    alone = open_.join(linked.select("id").distinct(), "id", "left_anti")
+    # fixed values: confidence and the texts of evidence
+    orphans = cut(alone.select("id", F.lit("S").alias("label"), F.lit("H-39").alias("method"), F.lit("moderate").alias("confidence"), F.lit("orphan: 0 ptrs in, 0 ptrs out").alias("evidence"), F.lit(1).alias("round")))
+    parts = [orphans]
+    open_ = cut(open_.join(orphans, "id", "left_anti"))
+    mine = cut(edges.join(open_, "id", "left_semi"))
+    number = lambda c: F.col(c).try_cast(order)
+    for k in range(1, rounds + 1):
+        pending, fresh = open_, []
+        waits = cut(mine.where(number("target") < number("id")).join(open_.select(F.col("id").alias("target")), "target", "left_semi").join(open_, "id", "left_semi").distinct())
+        while not pending.isEmpty():
+            held = waits.join(pending.select(F.col("id").alias("target")), "target", "left_semi").select("id").distinct()
+            ready = cut(pending.join(held, "id", "left_anti"))
+            seen = reduce(DataFrame.unionByName, [known, *[p.select("id", "label", "round") for p in [*parts, *fresh]]]).select(F.col("id").alias("target"), "label", "round")
+            facts = (
+                mine.join(ready, "id", "left_semi").join(seen, "target").where((F.col("round") < k) | (number("target") < number("id"))).groupBy("id")
+                .agg(F.count("*").alias("n"), F.count_distinct("label").alias("kinds"), F.count_if(F.col("label") == majority).alias("major"), F.count_if(F.col("label") == spread).alias("same"))
+                .where("n >= 2")
+            )
+            new = cut(_told(facts, majority, spread, share, k))
+            if not new.isEmpty():
+                fresh.append(new)
+            pending = cut(pending.join(ready, "id", "left_anti"))
+            waits = waits.join(pending, "id", "left_semi")
+        if not fresh:
+            break
+        parts += fresh
+        open_ = cut(open_.join(reduce(DataFrame.unionByName, fresh), "id", "left_anti"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _told(facts: DataFrame, majority: str, spread: str, share: float, k: int) -> DataFrame:
+    """What the rules say of nodes whose labelled targets are counted in n, kinds, major and same."""
+
+    def says(label: str, method: str, *evidence: Column) -> Column:
+        return F.struct(F.lit(label).alias("label"), F.lit(method).alias("method"), F.concat(*[e.cast("string") for e in evidence]).alias("evidence"))
+
+    rule = (
+        F.when(F.col("kinds") >= 3, says(majority, "H-38", F.lit("targets span "), F.col("kinds"), F.lit(" PIKS categories")))
+        .when(F.col("major") / F.col("n") > share, says(majority, "H-36", F.col("major"), F.lit("/"), F.col("n"), F.lit(f" targets classified {majority}")))
+        .when(F.col("same") == F.col("n"), says(spread, "H-40", F.col("same"), F.lit(f" targets all classified {spread}")))
+    )
+    return facts.withColumn("r", rule).where(F.col("r").isNotNull()).select("id", "r.label", "r.method", F.lit("moderate").alias("confidence"), "r.evidence", F.lit(k).alias("round"))

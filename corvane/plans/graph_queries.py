@@ -551,3 +551,32 @@ def bounded_group_graphs(t: Tables) -> DataFrame:
     owner = t.orders.select("o_orderkey", "o_custkey")
     calls = t.lineitem.select("l_orderkey", (F.col("l_partkey") * 5).alias("called")).join(owner.toDF("l_orderkey", "source"), "l_orderkey").join(owner.toDF("called", "target"), "called")
     return E.bounded_group_graph(calls.select("source", "target"), t.customer_groups(), 12)
+
+
+def _in_place_sql(waves: int) -> str:
+    """One round in place: wave by wave, a node's level being the longest line of open nodes with falling numbers below it."""
+    parts = [
+        "e AS MATERIALIZED (SELECT l_orderkey AS id, l_partkey * 5 AS target FROM lineitem WHERE l_quantity > 44)",
+        "seed AS MATERIALIZED (SELECT o_orderkey AS id, substr('PPKI', 1 + CAST(o_custkey % 4 AS INTEGER), 1) AS label FROM orders WHERE o_orderkey % 3 > 0)",
+        "free AS MATERIALIZED (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 3 = 0)", "alone AS MATERIALIZED (SELECT id FROM free WHERE id NOT IN (SELECT id FROM e UNION ALL SELECT target FROM e))",
+        "deps AS MATERIALIZED (SELECT DISTINCT e.id, target FROM e WHERE target < e.id AND e.id IN (SELECT id FROM free) AND target IN (SELECT id FROM free))",
+        "lv(id, l) AS (SELECT id, 0 FROM free UNION SELECT deps.id, l + 1 FROM lv JOIN deps ON deps.target = lv.id)", "level AS MATERIALIZED (SELECT id, max(l) AS l FROM lv GROUP BY 1)",
+        "k0 AS MATERIALIZED (SELECT id, label, 0 AS round FROM seed UNION ALL SELECT id, 'S', 1 FROM alone)",
+    ]
+    for w in range(waves):
+        parts.append(f"""r{w} AS MATERIALIZED (SELECT id, CASE WHEN kinds >= 3 THEN 'P|H-38|targets span ' || kinds || ' PIKS categories' WHEN CAST(p AS DOUBLE) / n > 0.7 THEN 'P|H-36|' || p || '/' || n || ' targets classified P' WHEN k = n THEN 'K|H-40|' || k || ' targets all classified K' END AS r
+  FROM (SELECT e.id, count(*) AS n, count(DISTINCT h.label) AS kinds, count(*) FILTER (h.label = 'P') AS p, count(*) FILTER (h.label = 'K') AS k FROM e JOIN level ON level.id = e.id AND l = {w} JOIN k{w} h ON h.id = e.target AND (h.round = 0 OR h.id < e.id) WHERE e.id NOT IN (SELECT id FROM alone) GROUP BY e.id) WHERE n >= 2)""")
+        parts.append(f"k{w + 1} AS MATERIALIZED (SELECT * FROM k{w} UNION ALL SELECT id, split_part(r, '|', 1), 1 FROM r{w} WHERE r IS NOT NULL)")
+    found = " UNION ALL ".join(f"SELECT * FROM r{w}" for w in range(waves))
+    return f"""WITH RECURSIVE {", ".join(parts)} SELECT id, split_part(r, '|', 1) AS label, split_part(r, '|', 2) AS method, split_part(r, '|', 3) AS evidence FROM ({found}) WHERE r IS NOT NULL
+UNION ALL SELECT id, 'S', 'H-39', 'orphan: 0 ptrs in, 0 ptrs out' FROM alone"""
+
+
+@query(_in_place_sql(16))
+def in_place_round(t: Tables) -> DataFrame:
+    """One round in place over every third order, which are open; lines above 44 pieces are the pointers, the other orders have labels."""
+    pointers = t.lineitem.where("l_quantity > 44").select(F.col("l_orderkey").alias("id"), (F.col("l_partkey") * 5).alias("target"))
+    k = F.col("o_custkey") % 4
+    seeds = t.orders.where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("id"), F.when(k < 2, "P").when(k == 2, "K").otherwise("I").alias("label"))
+    nodes = t.orders.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"))
+    return G.propagate_in_place(nodes, pointers, seeds, "P", "K", rounds=1).select("id", "label", "method", "evidence")
