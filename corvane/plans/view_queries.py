@@ -118,6 +118,32 @@ def analysis_xrefs(t: Tables) -> DataFrame:
     return nodes.analysis(nested.withColumns(empty))["xrefs"]
 
 
+@query("""WITH e AS (SELECT l_orderkey AS unit, row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(l_linenumber AS VARCHAR), l_linestatus, CAST(l_partkey AS VARCHAR)) - 1 AS i, l_linenumber AS line, l_linestatus AS tag, l_partkey AS t FROM lineitem WHERE l_returnflag = 'R'),
+x AS (SELECT l_orderkey AS unit, CAST(l_suppkey AS VARCHAR) AS ref, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY CAST(l_linenumber AS VARCHAR)) AS places FROM lineitem GROUP BY 1, 2),
+g AS (SELECT l_orderkey AS unit, 'T' || l_partkey AS tag, CAST(max(l_linenumber) AS VARCHAR) AS data FROM lineitem GROUP BY 1, 2),
+u AS (SELECT unit FROM x GROUP BY 1)
+SELECT 'units' AS "table", unit, '' AS key, coalesce(a, 0) || '|' || b || '|' || c AS detail FROM u LEFT JOIN (SELECT unit, count(*) AS a FROM e GROUP BY 1) USING (unit) JOIN (SELECT unit, count(*) AS b FROM x GROUP BY 1) USING (unit) JOIN (SELECT unit, count(*) AS c FROM g GROUP BY 1) USING (unit)
+UNION ALL SELECT 'errors', unit, CAST(i AS VARCHAR), line || '|' || tag || '|' || t FROM e UNION ALL SELECT 'xrefs', unit, ref, places FROM x UNION ALL SELECT 'tags', unit, tag, data FROM g""")
+def analysis_tables(t: Tables) -> DataFrame:
+    """All four tables of a nested analysis per order: returned lines are its findings, suppliers its references, parts its tags."""
+    text = lambda c: F.col(c).cast("string")
+    finding = F.struct(text("l_linenumber").alias("line"), F.col("l_linestatus").alias("tag"), text("l_partkey").alias("text"))
+    lines = t.lineitem.groupBy("l_orderkey", text("l_suppkey").alias("ref")).agg(F.collect_list(text("l_linenumber")).alias("places"))
+    tags = t.lineitem.groupBy("l_orderkey", F.concat(F.lit("T"), text("l_partkey")).alias("tag")).agg(F.max("l_linenumber").cast("string").alias("data"))
+    nested = (
+        t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.when(F.col("l_returnflag") == "R", finding))).alias("errors"))
+        .join(lines.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("ref", "places"))).alias("xrefs")), "l_orderkey")
+        .join(tags.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("tag", "data"))).alias("tags")), "l_orderkey")
+        .withColumnRenamed("l_orderkey", "unit")
+    )
+    found = nodes.analysis(nested)
+    count = lambda *c: F.concat_ws("|", *[text(x) for x in c])
+    parts = {
+        "units": (F.lit(""), count("error_count", "xref_count", "tag_count")), "errors": (text("entry_index"), count("line", "tag", "text")), "xrefs": (F.col("ref"), F.col("location_list")), "tags": (F.col("tag"), F.col("data")),
+    }
+    return reduce(DataFrame.unionByName, [found[name].select(F.lit(name).alias("table"), "unit", key.alias("key"), detail.alias("detail")) for name, (key, detail) in parts.items()])
+
+
 @query("""WITH s AS (SELECT p_name AS store, max(p_partkey) AS record FROM part GROUP BY 1), n AS (SELECT p_name AS store, count(*) AS nodes FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1)
 SELECT n.store, CASE WHEN starts_with(n.store, 'a') THEN 'scratch' WHEN s.record % 2 = 0 THEN 'described' ELSE 'undescribed' END AS state, CASE WHEN s.record % 2 = 0 THEN s.record END AS record, nodes FROM n JOIN s ON s.store = n.store""")
 def store_census(t: Tables) -> DataFrame:
