@@ -96,6 +96,39 @@ def test_recall_of_planted_unseen_identifiers(spark, make_docs):
     assert not any(found[k] for k in range(1500) if k % 10 > 7)
 
 
+def test_recall_of_planted_unseen_forms_of_each_kind(spark, make_docs):
+    """Emails, addresses and cards as well: forms that no base pattern takes, in contexts that seeds have shown."""
+    rng = random.Random(8)
+
+    def card(k, sep):
+        body = f"4{k:014d}"
+        digits = next(body + str(c) for c in range(10) if P.passes_luhn(body + str(c)))
+        return sep.join(digits[i : i + 4] for i in range(0, 16, 4))
+
+    forms = {
+        "email": (lambda k: f"name{k}@host{k % 7}.com", lambda k: f"name{k}[at]host{k % 7}.com", "mail to clerk {} or"),
+        "ip": (lambda k: f"10.20.{k % 200}.{k % 250}", lambda k: f"10-20-{k % 200}-{k % 250}", "server at node {} was"),
+        "card": (lambda k: card(k, " "), lambda k: card(k, "."), "charged on plastic {} in"),
+    }
+    rows, planted = [], {}
+    for k in range(900):
+        kind = ("email", "ip", "card")[k % 3]
+        seed, unseen, lead = forms[kind]
+        step = k // 3 % 8  # 0 to 5 seeds, 6 unseen beside them, 7 decoys
+        if step == 7:
+            rows.append((k, f"w{rng.randrange(50)} chapter {unseen(k)} of w{rng.randrange(50)}"))
+            continue
+        text = f"w{rng.randrange(50)} {lead} w{rng.randrange(50)}".format(said := (unseen if step == 6 else seed)(k))
+        rows.append((k, text))
+        if step == 6:
+            planted[k] = (kind, text.index(said), text.index(said) + len(said))
+    found = {r.doc_id: [tuple(s) for s in r["all"]] for r in P.personal_spans(make_docs(rows)).collect()}
+    for n, kind in enumerate(("email", "ip", "card")):
+        mine = [k for k in planted if k % 3 == n]
+        assert sum(planted[k] in found[k] for k in mine) >= 0.9 * len(mine), kind
+    assert not any(found[k] for k in range(900) if k // 3 % 8 == 7)
+
+
 def test_zeros_beyond_the_digits_of_int():
     assert P.base_spans("0" * 5000 + ".1.2.3") == [("ip", 0, 5006)]
 
