@@ -45,7 +45,7 @@ def graphs():
     yield "loops and nulls", [(1, 1), (2, None), (None, 3), (3, 4), (3, 4), (4, 3)], [(1, 1), (4, 2), (None, 4), (4, 2)]
     yield "nothing", [], []
     yield "labels without edges", [], [(5, 3)]
-    for k in range(4):
+    for k in (1, 3):
         n = 60
         yield f"random {k}", [(random.randrange(n), random.randrange(n)) for _ in range(20 + 25 * k)], [(random.randrange(n), 1 << random.randrange(6)) for _ in range(6)]
 
