@@ -76,6 +76,11 @@ def within_budget(rows: DataFrame, grp: str, order: list[Column], size: Column,
     return found.where(F.col("used") <= budget).drop("range_no", "begin")
 
 
+def ranked(rows: DataFrame, grp: str, order: list[Column], rank: str = "rank") -> DataFrame:
+    """All rows with their place in their group, from 1; make ``order`` total. A large group is many tasks, as in within_budget()."""
+    return within_budget(rows, grp, order, F.lit(1), 1 << 62).withColumnRenamed("used", rank)
+
+
 def first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One whole row per key, the first in ``order``: an aggregate with map-side combine, not a sort of each group."""
     rest = [c for c in rows.columns if c not in keys]

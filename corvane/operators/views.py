@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import text as X
 from corvane.operators.edges import top_k
 from corvane.operators.joins import named, star
+from corvane.operators.profile import ranked
 
 
 def pointers(fields: DataFrame, types: DataFrame) -> DataFrame:
@@ -85,8 +86,8 @@ def unit_health(units: DataFrame, findings: DataFrame, lint: DataFrame) -> DataF
 
 def ranked_inventory(units: DataFrame, grp: str, unit: str, order: list[Column], item: Column) -> DataFrame:
     """(grp, section inventory, ord, item) of all units in rank order."""
-    rank = F.row_number().over(Window.partitionBy(grp).orderBy(*order))
-    return units.select(F.col(grp).alias("grp"), F.lit("inventory").alias("section"), rank.cast("long").alias("ord"), item.alias("item"))
+    found = ranked(units, grp, order, "ord")
+    return found.select(F.col(grp).alias("grp"), F.lit("inventory").alias("section"), F.col("ord").cast("long").alias("ord"), item.alias("item"))
 
 
 def _percent(part: Column, whole: Column) -> Column:

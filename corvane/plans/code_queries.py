@@ -312,4 +312,4 @@ def reference_parts(t: Tables) -> DataFrame:
 def numeric_order(t: Tables) -> DataFrame:
     """Decimal ids as text in numeric order within their groups."""
     rows = t.part.select("p_type", F.concat(F.col("p_partkey").cast("string"), F.lit("."), F.col("p_size").cast("string")).alias("id"))
-    return E.top_k(rows, ["p_type"], [F.col("id").cast("decimal(18,4)"), F.col("id")], 1 << 30)
+    return P.ranked(rows, "p_type", [F.col("id").cast("decimal(18,4)"), F.col("id")])

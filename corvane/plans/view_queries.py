@@ -227,11 +227,11 @@ def context_pack(t: Tables) -> DataFrame:
     lines = F.array(F.concat(F.lit("Units: "), F.col("units").cast("string")), F.concat(F.lit("Characters: "), F.col("chars").cast("string")))
     summary = facts.select("grp", F.lit("summary").alias("section"), F.posexplode(lines).alias("at", "item")).select("grp", "section", (F.col("at") + 1).cast("long").alias("ord"), "item")
     langs = t.documents.groupBy(F.col("source").alias("grp"), F.coalesce("lang", F.lit("(none)")).alias("lang")).agg(n.alias("n"))
-    languages = E.top_k(langs, ["grp"], [F.desc("n"), F.col("lang")], 1 << 30).select("grp", F.lit("languages").alias("section"), F.col("rank").cast("long").alias("ord"), F.concat_ws(" ", "lang", F.col("n").cast("string")).alias("item"))
+    languages = P.ranked(langs, "grp", [F.desc("n"), F.col("lang")]).select("grp", F.lit("languages").alias("section"), F.col("rank").cast("long").alias("ord"), F.concat_ws(" ", "lang", F.col("n").cast("string")).alias("item"))
     order = [F.desc("n_chars"), F.col("doc_id")]
-    inventory = V.ranked_inventory(t.documents, "source", "doc_id", order, F.format_string("%d (chars=%d)", "doc_id", "n_chars"))
+    inventory = V.ranked_inventory(t.documents.select("source", "doc_id", "n_chars"), "source", "doc_id", order, F.format_string("%d (chars=%d)", "doc_id", "n_chars"))
     chosen = P.within_budget(t.documents.select("doc_id", "source", "n_chars"), "source", order, F.col("n_chars"), 50_000)
-    ranks = E.top_k(chosen, ["source"], order, 1 << 30).select("source", "doc_id", F.col("rank").cast("long").alias("ord"))
+    ranks = P.ranked(chosen, "source", order).select("source", "doc_id", F.col("rank").cast("long").alias("ord"))
     texts = ranks.join(t.documents.select("source", "doc_id", "text"), ["source", "doc_id"]).select(F.col("source").alias("grp"), F.lit("text").alias("section"), "ord", F.md5(F.col("text").cast("binary")).alias("item"))
     left = facts.join(ranks.groupBy(F.col("source").alias("grp")).agg(n.alias("shown")), "grp", "left").withColumn("left_out", F.col("units") - F.coalesce("shown", F.lit(0))).where("left_out > 0")
     truncated = left.select("grp", F.lit("truncated").alias("section"), F.lit(0).cast("long").alias("ord"), F.concat(F.col("left_out").cast("string"), F.lit(" more units omitted; budget 50000")).alias("item"))
