@@ -185,7 +185,7 @@ def fit(labelled: DataFrame, to_pooled: float = 0.3, to_identity: float = 0.05)
 
 
 def score_of_features(model: Discriminant, features: Column) -> Column:
-    """The score of each row's features (see statistics()); those of an empty text are drawn to the centre."""
+    """The score of each row's features (see statistics()); those of an empty text are drawn to the centre. No rows give no scores."""
 
     @arrow_udf(T.DoubleType())
     def score(rows: pa.Array) -> pa.Array:
@@ -207,7 +207,7 @@ def score_of_text(model: Discriminant, text: Column) -> Column:
 
 
 def features_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, features) of every row; null and empty texts have zeros, repeated rows a row each."""
+    """(doc_id, features) of every row; null and empty texts have zeros, repeated rows a row each. An empty table gives no rows."""
     bounded_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), statistics(F.col(text)).alias("features"))
 

@@ -128,6 +128,7 @@ def class_components(classes: DataFrame, segments: int = SEGMENTS) -> DataFrame:
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", segments: int = SEGMENTS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp (signed long), component_id.
 
+    ``doc_id`` is a whole number, as text if need be; other texts are an error.
     Rows with equal fingerprints form a class; only classes are joined, so groups
     of copies never become pairs. Null and wordless texts have fingerprint zero
     and link like any other. component_id is the smallest id of the component;
