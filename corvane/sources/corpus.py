@@ -34,11 +34,17 @@ def listed(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """(path, name, grp, byte_size) of all files below ``path`` whose names match ``glob``; grp is the folder above the file's.
 
     Spark's own readers leave out empty files and names that begin with ``_`` or a
-    point, so the store is listed here: its first level by the driver, what is
-    below in tasks. Local paths are plain, others keep their scheme.
+    point, so the store is listed here: level by level by the driver until there
+    are as many folders as tasks, what is below in tasks. Local paths are plain,
+    others keep their scheme.
     """
     store, place, prefix = _file_system(path)
-    first = [(x.path, x.type == fs.FileType.Directory, x.size) for x in store.get_file_info(fs.FileSelector(place))]
+    first, folders = [], [place]
+    while folders and len(folders) < max(2, spark.sparkContext.defaultParallelism):
+        found = [x for f in folders for x in store.get_file_info(fs.FileSelector(f))]
+        first += [(x.path, False, x.size) for x in found if x.type == fs.FileType.File]
+        folders = [x.path for x in found if x.type == fs.FileType.Directory]
+    first += [(f, True, None) for f in folders]
     schema = pa.schema([("path", pa.string()), ("name", pa.string()), ("grp", pa.string()), ("byte_size", pa.int64())])
 
     def below(batches):
