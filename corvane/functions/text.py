@@ -11,11 +11,10 @@ CALL = r"\b(D|DO|G|GOTO|J|JOB)\b(?::\S+)? +([A-Z%][A-Z0-9]*)?\^(%?[A-Z][A-Z0-9]*
 FUNCTION = r"\$\$([A-Z%][A-Z0-9]*)?\^(%?[A-Z][A-Z0-9]*)"
 STORE = r"(?<![A-Z0-9$])\^(%?[A-Z][A-Z0-9]*)\("
 CALL_LIST = r"\b(D|DO|G|GOTO|J|JOB)\b(?::\S+)? +((?:[A-Z%][A-Z0-9]*)?\^%?[A-Z][A-Z0-9]*(?:,(?:[A-Z%][A-Z0-9]*)?\^%?[A-Z][A-Z0-9]*)*)"
-REFERENCE = r"([A-Z%][A-Z0-9]*)?\^(%?[A-Z][A-Z0-9]*)"
 DATA_FILE = r"^(\d+(?:\.\d+)?)(?:-(\d+))?\+(.+)\.zwr$"
 STORE_FILE = r"^([^+]+)\.zwr$"
 ANY_LINE_BREAK = r"\r\n?|[\n\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
-KINDS = {"D": "do", "DO": "do", "G": "goto", "GOTO": "goto", "J": "job", "JOB": "job"}
+KINDS = {"D": "do", "G": "goto", "J": "job"}
 
 
 def blank_to_null(c: Column) -> Column:
@@ -34,41 +33,42 @@ def lines_of(text: Column, pattern: str = "\n") -> Column:
 
 def without_literals(line: Column) -> Column:
     """The line without quoted literals (a doubled quote escapes, an open literal runs to the end) and comment."""
-    return F.regexp_replace(line, LITERAL_OR_COMMENT, "")
+    return F.when(line.contains('"') | line.contains(";"), F.regexp_replace(line, LITERAL_OR_COMMENT, "")).otherwise(line)
 
 
-def call_references(clean: Column, every_argument: bool = False) -> Column:
-    """(tag, unit, kind) of each verb's first argument, or with ``every_argument`` of all in its comma list."""
-    verb = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+def call_texts(clean: Column, every_argument: bool = False) -> Column:
+    """Each verb's first argument, or with ``every_argument`` all in its comma list, as a text: the verb first, and behind the last space ``TAG^UNIT``."""
     if not every_argument:
-        return F.transform(
-            F.regexp_extract_all(clean, F.lit(CALL), F.lit(0)),
-            lambda m: F.struct(
-                F.regexp_extract(m, CALL, 2).alias("tag"), F.regexp_extract(m, CALL, 3).alias("unit"), verb[F.regexp_extract(m, CALL, 1)].alias("kind")
-            ),
-        )
-    return F.flatten(
-        F.transform(
-            F.regexp_extract_all(clean, F.lit(CALL_LIST), F.lit(0)),
-            lambda m: F.transform(
-                F.split(F.regexp_extract(m, CALL_LIST, 2), ","),
-                lambda r: F.struct(
-                    F.regexp_extract(r, REFERENCE, 1).alias("tag"), F.regexp_extract(r, REFERENCE, 2).alias("unit"), verb[F.regexp_extract(m, CALL_LIST, 1)].alias("kind")
-                ),
-            ),
-        )
-    )
+        return F.regexp_extract_all(clean, F.lit(CALL), F.lit(0))
+    lists = F.regexp_extract_all(clean, F.lit(CALL_LIST), F.lit(0))
+    return F.flatten(F.transform(lists, lambda m: F.transform(F.split(F.substring_index(m, " ", -1), ","), lambda r: F.concat(F.substring(m, 1, 1), F.lit(" "), r))))
 
 
-def function_references(clean: Column) -> Column:
-    return F.transform(
-        F.regexp_extract_all(clean, F.lit(FUNCTION), F.lit(0)),
-        lambda m: F.struct(F.regexp_extract(m, FUNCTION, 1).alias("tag"), F.regexp_extract(m, FUNCTION, 2).alias("unit"), F.lit("func").alias("kind")),
-    )
+def function_texts(clean: Column) -> Column:
+    return F.regexp_extract_all(clean, F.lit(FUNCTION), F.lit(0))
+
+
+def reference_parts(m: Column) -> Column:
+    """(tag, unit, kind) of a text that call_texts() or function_texts() gives.
+
+    No pattern is tried a second time: what stands behind the last space or the
+    dollars is the reference, and a verb is known by its first letter.
+    """
+    function = m.startswith("$$")
+    ref = F.when(function, F.substring(m, 3, 1 << 30)).otherwise(F.substring_index(m, " ", -1))
+    kind = F.when(function, F.lit("func"))
+    for letter, name in KINDS.items():
+        kind = kind.when(m.startswith(letter), F.lit(name))
+    return F.struct(F.substring_index(ref, "^", 1).alias("tag"), F.substring_index(ref, "^", -1).alias("unit"), kind.alias("kind"))
+
+
+def call_references(clean: Column, every_argument: bool = False) -> Column:
+    """(tag, unit, kind) of each verb's first argument, or with ``every_argument`` of all in its comma list."""
+    return F.transform(call_texts(clean, every_argument), reference_parts)
 
 
 def all_references(clean: Column, every_argument: bool = False) -> Column:
-    return F.concat(call_references(clean, every_argument), function_references(clean))
+    return F.transform(F.concat(call_texts(clean, every_argument), function_texts(clean)), reference_parts)
 
 
 def store_references(clean: Column) -> Column:

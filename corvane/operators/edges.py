@@ -12,11 +12,13 @@ def text_edges(lines: DataFrame, source: list[str], line: str = "line", every_ar
     """(source columns, tag, target, kind, ref_count): call and function references of cleaned lines.
 
     A line is cleaned once; both patterns read the same column and their matches
-    are exploded together. Null lines have none, nor have lines without a caret,
-    which are left out before any pattern is tried.
+    are exploded together, as texts, which are taken apart by generated code. Null
+    lines have none, nor have lines without a caret, which are left out before any
+    pattern is tried.
     """
     clean = lines.where(F.col(line).contains("^")).select(*source, X.without_literals(F.col(line)).alias("clean"))
-    found = clean.select(*source, F.explode(X.all_references(F.col("clean"), every_argument)).alias("r"))
+    texts = F.concat(X.call_texts(F.col("clean"), every_argument), X.function_texts(F.col("clean")))
+    found = clean.select(*source, F.explode(texts).alias("m")).select(*source, X.reference_parts(F.col("m")).alias("r"))
     return found.groupBy(*source, F.col("r.tag").alias("tag"), F.col("r.unit").alias("target"), F.col("r.kind").alias("kind")).agg(F.count("*").alias("ref_count"))
 
 

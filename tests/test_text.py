@@ -26,6 +26,7 @@ PINNED = [
     (" D  EN^A D EN^A", [("EN", "A", "do"), ("EN", "A", "do")], []),
     (" D 1^NUM", [], []),
     (' I $T(+2^IBX)["9" Q', [], []),
+    (" D:$$F^P  EN^B G:X^Y ^C", [("EN", "B", "do"), ("", "C", "goto"), ("F", "P", "func")], []),
 ]
 
 
