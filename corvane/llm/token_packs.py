@@ -180,10 +180,21 @@ class TokenPacks:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str, end_id: int = END_ID) -> bytes:
-    """A dictionary from a sample bounded in rows and bytes; empty where there is too little to train on."""
-    sizes = docs.where(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(F.coalesce(F.octet_length(F.col(text)), F.lit(0))).alias("n"))
+    """A dictionary from a sample bounded in rows and bytes; empty where there is too little to train on.
+
+    The sample is chosen on the ids alone: those below a bound on their hashes,
+    which about twice as many distinct ids as needed fall under, are made distinct
+    and put in order. Texts are read once, for the chosen ids, and the few that are
+    chosen are stored, so that their sizes and ids come from the same rows.
+    """
+    ids = docs.where(F.col(doc_id).isNotNull()).select(doc_id)
+    share = 2 * TRAINING_DOCUMENTS / max(1, ids.agg(F.approx_count_distinct(doc_id)).head()[0])
+    place = F.xxhash64(doc_id)
+    near = ids.where(place < F.lit(-(1 << 63) + int(share * (1 << 64)))) if share < 1 else ids
+    chosen = [r[0] for r in near.distinct().orderBy(place, doc_id).limit(TRAINING_DOCUMENTS).collect()]
+    few = stored(docs.where(F.col(doc_id).isin(chosen)).select(doc_id, text).dropDuplicates([doc_id]), "sample")
     ids, held = [], 0
-    for r in sizes.orderBy(F.xxhash64(doc_id), doc_id).limit(TRAINING_DOCUMENTS).collect():
+    for r in few.select(doc_id, F.coalesce(F.octet_length(F.col(text)), F.lit(0)).alias("n")).orderBy(place, doc_id).collect():
         if held + r.n <= TRAINING_BYTES:
             ids.append(r[0])
             held += r.n
@@ -193,7 +204,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str, en
         enc = encoder(tokenizer, end_id)
         return pa.array(list(enc.encode_texts(texts)), pa.binary())
 
-    sample = docs.where(F.col(doc_id).isin(ids)).dropDuplicates([doc_id]).orderBy(doc_id).select(serialized(F.col(text)).alias("b"))
+    sample = few.where(F.col(doc_id).isin(ids)).orderBy(doc_id).select(serialized(F.col(text)).alias("b"))
     samples = [bytes(r.b) for r in sample.toLocalIterator()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
