@@ -70,6 +70,18 @@ def test_changed_dictionary_is_noticed(spark, make_docs):
         K.read_documents(spark, other).collect()
 
 
+def test_dictionary_sample_is_bounded_and_stays(spark, make_docs, monkeypatch):
+    """More distinct ids than the sample takes, and one id that holds most rows; texts that don't fit are passed over."""
+    monkeypatch.setattr(K, "TRAINING_DOCUMENTS", 40)
+    rows = [(k, f"text number {k} of the sample " * 20) for k in range(600)]
+    docs = make_docs([*rows, *[(7, rows[7][1])] * 2000, (None, "no id")])
+    one = K.train_dictionary(docs, PATH, "doc_id", "text")
+    assert one and one == K.train_dictionary(docs.repartition(5), PATH, "doc_id", "text")
+    assert one == K.train_dictionary(docs.dropDuplicates(), PATH, "doc_id", "text")
+    monkeypatch.setattr(K, "TRAINING_BYTES", 10)
+    assert K.train_dictionary(docs, PATH, "doc_id", "text") == b""
+
+
 def test_query(spark, sf):
     rows = sorted(op10_token_packs(spark, sf).collect())
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
