@@ -1,12 +1,14 @@
 """Main text of web pages: a suffix array per host finds what pages repeat, and page structure protects the article.
 
 A page is read once into blocks, each inside the article, in doubt there (its
-markup only hints at furniture), open, or outside. The words of all blocks but
-those of the article, in page order with a mark between blocks, are the page's
-token stream. The streams of a host, end to end, are searched for long substrings
-that distinct pages repeat. In this order: text of the article stays; a block that
-repeated runs cover goes; what is left over and unique goes where markup puts it
-outside, and else stays.
+markup only hints at furniture), in marked content, open, or outside. The words of
+all blocks but those of an article that nothing rivals, in page order with a mark
+between blocks, are the page's token stream. The streams of a host, end to end,
+are searched for long substrings that distinct pages repeat. In this order: blocks
+that repeated runs cover are put aside; what they leave decides which marked part
+is the main one; of that part article text stays whole, and content, hints and
+open text lose what was put aside; what is left over and unique goes where markup
+puts it outside.
 
 The suffix array is made by prefix doubling, as in its classic construction, and
 cut off at depth 8: a suffix's name comes from the names of its two halves, so
@@ -40,6 +42,8 @@ from corvane.llm.common import as_texts, bounded_batches, stored
 DEPTH = 8
 #: A repeated substring is boilerplate from so many distinct pages of a host on, however many pages the host has.
 MIN_PAGES = 3
+#: In what markup marks as article or content, where distinct pages also share lines of their own, it must be on more than this share of the host's distinct pages.
+MARKED_SHARE = 0.5
 #: The share of an open block that boilerplate must cover to remove it.
 COVERED = 0.8
 
@@ -88,8 +92,9 @@ _RAW_ENDS = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW_TEXT}
 
 #: What structure says of a block; HINT: in an article, but its markup hints at furniture.
 ARTICLE, CONTENT, OPEN, CHROME, HINT = "a", "c", "o", "x", "h"
-#: Furniture by the name of a wrapper alone, and an article or main part that lies in such a wrapper.
-NAMED, WRAPPED = "n", "w"
+#: Furniture by the name of a wrapper alone. What is marked in such a wrapper has the capital letter of its kind.
+NAMED = "n"
+MARKED = (ARTICLE, HINT, CONTENT)
 
 
 def _says(attributes: str, name: str, inside: bool) -> str | None:
@@ -177,7 +182,8 @@ def blocks_of(source: str) -> tuple[list[tuple[str, str]], bool]:
     open_names: Counter[str] = Counter()
     kinds = {ARTICLE: 0, CONTENT: 0, CHROME: 0, HINT: 0, NAMED: 0}
     silent, nested, spoken = 0, False, False
-    parts: dict[str, list[str]] = {ARTICLE: [], CONTENT: [], OPEN: [], CHROME: [], HINT: [], WRAPPED: []}
+    parts: dict[str, list[str]] = {ARTICLE: [], CONTENT: [], OPEN: [], CHROME: [], HINT: []}
+    parts |= {kind.upper(): [] for kind in MARKED}
 
     def flush() -> None:
         nonlocal spoken
@@ -194,10 +200,9 @@ def blocks_of(source: str) -> tuple[list[tuple[str, str]], bool]:
         nonlocal spoken
         if text and not silent:
             spoken = True
-            if kinds[NAMED] and not kinds[CHROME]:
-                kind = WRAPPED if kinds[ARTICLE] or kinds[CONTENT] else CHROME
-            else:
-                kind = CHROME if kinds[CHROME] else HINT if kinds[HINT] else ARTICLE if kinds[ARTICLE] else CONTENT if kinds[CONTENT] else OPEN
+            kind = CHROME if kinds[CHROME] else HINT if kinds[HINT] else ARTICLE if kinds[ARTICLE] else CONTENT if kinds[CONTENT] else OPEN
+            if kinds[NAMED]:
+                kind = kind.upper() if kind in MARKED else CHROME
             parts[kind].append(text)
 
     def close(depth: int) -> None:
@@ -284,24 +289,54 @@ def blocks_of(source: str) -> tuple[list[tuple[str, str]], bool]:
 STAYS, DECIDED, GOES = 0, 1, 2
 
 
-def split_page(source: str) -> list[tuple[int, str]]:
-    """The page's blocks in order, with what becomes of each.
+def main_part(blocks: list[tuple[str, str]], nested: bool) -> tuple[str, ...]:
+    """The kinds of the main part: of the article where there is one, else of marked content, else of open text.
 
-    The main part is the article where a page marks one, else its marked content,
-    else its open blocks. Content beside an article that is shorter and no part of
-    it is the main part (the article is a teaser).
+    Content beside an article that is shorter and no part of it is the main part
+    (the article is a teaser). All that is marked in wrappers that are furniture by
+    name is the main part if it is longer than all else marked.
     """
-    blocks, nested = blocks_of(source)
     size = Counter()
     for kind, text in blocks:
-        size[ARTICLE if kind == HINT else kind] += len(text)
-    if size[WRAPPED] > size[ARTICLE] + size[CONTENT]:
-        return [(STAYS if k == WRAPPED else GOES, t) for k, t in blocks]
-    main = ARTICLE if size[ARTICLE] else CONTENT if size[CONTENT] else OPEN
-    if main == ARTICLE and not nested and size[CONTENT] > size[ARTICLE]:
-        main = CONTENT
-    decided = {ARTICLE: HINT, OPEN: OPEN}.get(main)
-    return [(DECIDED if k == decided else STAYS if k == main else GOES, t) for k, t in blocks]
+        size[kind] += len(text)
+    if sum(size[kind.upper()] for kind in MARKED) > sum(size[kind] for kind in MARKED):
+        return tuple(kind.upper() for kind in MARKED)
+    article = size[ARTICLE] + size[HINT]
+    if article and (nested or size[CONTENT] <= article):
+        return ARTICLE, HINT
+    return (CONTENT,) if size[CONTENT] else (OPEN,)
+
+
+def settled(blocks: list[tuple[str, str]], nested: bool, repeated: list[bool] | None = None) -> list[int]:
+    """What becomes of each block: by markup alone, or, given which blocks repeated runs cover, in the end (no block is DECIDED then).
+
+    Parts are compared by what is not repeated. Article text of the main part
+    stays even if it is. So does marked content of which repeats would leave
+    nothing.
+    """
+    rivals = any(kind in MARKED for kind, _ in blocks)  # of what is marked in wrappers
+    whole = main_part(blocks, nested)
+    main, emptied = whole, False
+    if repeated:
+        main = main_part([b for b, r in zip(blocks, repeated, strict=True) if not r], nested)
+        emptied = main == (OPEN,) != whole
+        main = whole if emptied else main
+    fates = []
+    for k, (kind, _) in enumerate(blocks):
+        if kind not in main:
+            fates.append(GOES)
+        elif repeated is None:
+            fates.append(STAYS if kind == ARTICLE or kind == ARTICLE.upper() and not rivals else DECIDED)
+        else:
+            kept = kind.lower() == ARTICLE or not repeated[k] or emptied and kind.lower() == CONTENT
+            fates.append(STAYS if kept else GOES)
+    return fates
+
+
+def split_page(source: str) -> list[tuple[int, str]]:
+    """The page's blocks in order, with what markup alone says about each; all that doesn't stay by it meets the host's repeats."""
+    blocks, nested = blocks_of(source)
+    return [(fate, text) for fate, (_, text) in zip(settled(blocks, nested), blocks, strict=True)]
 
 
 def stream_tokens(blocks: list[tuple[int, str]]) -> tuple[list[str], list[tuple[int, int] | None]]:
@@ -344,16 +379,19 @@ def streams(sources: pa.Array) -> pa.Array:
     """Key, page identity and suffix names of each page's stream.
 
     Copies count as one page for repeats: the identity is the hash of the page's
-    whole main text, or of all its open text where it marks none. Pages that
-    share a part of it, such as a byline, are pages of their own, and so are near
-    copies.
+    whole article, or of all its marked text where repeats choose between marked
+    parts, or of all its open text where it marks none. Pages that share a part of
+    it, such as a byline, are pages of their own, and so are near copies.
     """
     keys, pages, names = [], [], []
     for source in as_texts(sources):
-        blocks = split_page(source)
+        read, nested = blocks_of(source)
+        fates = settled(read, nested)
+        blocks = [(fate, text) for fate, (_, text) in zip(fates, read, strict=True)]
         tokens, _ = stream_tokens(blocks)
         found = suffix_names(tokens) if tokens else np.empty(0, np.uint64)
-        kept = [t for fate, t in blocks if fate == STAYS] or [t for fate, t in blocks if fate == DECIDED]
+        kept = [t for fate, t in blocks if fate == STAYS]
+        kept = kept or [t for kind, t in read if kind.lower() in (ARTICLE, CONTENT)] or [t for fate, t in blocks if fate == DECIDED]
         page = xxhash.xxh64_intdigest("\n".join(kept).encode("utf-8", "replace"))
         keys.append(_key(tokens))
         pages.append(page >> 1)
@@ -369,53 +407,63 @@ def parts(sources: pa.Array) -> pa.Array:
     press = zstandard.ZstdCompressor(level=1)
     keys, bodies = [], []
     for source in as_texts(sources):
-        blocks = split_page(source)
-        keys.append(_key(stream_tokens(blocks)[0]))
-        bodies.append(press.compress(json.dumps(blocks, ensure_ascii=False).encode("utf-8", "replace")))
+        read, nested = blocks_of(source)
+        fates = settled(read, nested)
+        keys.append(_key(stream_tokens([(fate, text) for fate, (_, text) in zip(fates, read, strict=True)])[0]))
+        bodies.append(press.compress(json.dumps([nested, fates, read], ensure_ascii=False).encode("utf-8", "replace")))
     return pa.StructArray.from_arrays([pa.array(keys, pa.int64()), pa.array(bodies, pa.binary())], ["key", "body"])
 
 
-_COUNTS = ("n_outside", "n_repeated", "n_by_repeats", "n_by_markup")
+def _covered(starts: list[int] | None, places: list[tuple[int, int] | None], size: int) -> list[int]:
+    """How many words of each block lie in the windows that begin at ``starts``."""
+    if not starts:
+        return [0] * len(places)
+    covered = np.zeros(size + DEPTH, bool)
+    for s in starts:
+        covered[s : s + DEPTH] = True
+    before = [0, *np.cumsum(covered).tolist()]
+    return [before[place[1]] - before[place[0]] if place else 0 for place in places]
+
+
+_COUNTS = ("n_outside", "n_repeated", "n_by_repeats", "n_by_markup", "n_by_both")
 _TEXT = T.StructType([T.StructField("text", T.StringType()), *[T.StructField(c, T.LongType()) for c in _COUNTS]])
 
 
 @arrow_udf(_TEXT)
-def assembled(bodies: pa.Array, starts: pa.Array) -> pa.Array:
-    """The main text, given where repeated runs start in the stream; and what the runs cover and decide."""
+def assembled(bodies: pa.Array, starts: pa.Array, widely: pa.Array) -> pa.Array:
+    """The main text, given where repeated runs start in the stream; and what the runs cover and decide.
+
+    The runs come first; markup then checks what they leave. ``widely`` are the
+    starts that count in marked parts.
+    """
     press = zstandard.ZstdDecompressor()
     texts, counts = [], []
-    for body, found in zip(bodies.to_pylist(), starts.to_pylist(), strict=True):
-        blocks = json.loads(press.decompress(body))
+    for body, found, wide in zip(bodies.to_pylist(), starts.to_pylist(), widely.to_pylist(), strict=True):
+        nested, fates, read = json.loads(press.decompress(body))
+        blocks = [(fate, text) for fate, (_, text) in zip(fates, read, strict=True)]
         tokens, places = stream_tokens(blocks)
-        covered = np.zeros(len(tokens) + DEPTH, bool)
-        for s in found or ():
-            covered[s : s + DEPTH] = True
-        kept, outside, repeated, by_repeats, by_markup = [], 0, 0, 0, 0
-        for (fate, text), place in zip(blocks, places, strict=True):
-            if place is None:
-                kept.append(text)
-                continue
-            words = covered[place[0] : place[1]]
-            outside += len(words)
-            repeated += int(words.sum())
-            if fate == GOES:
-                by_markup += 1
-            elif words.mean() >= COVERED:
-                by_repeats += 1
-            else:
-                kept.append(text)
+        within, within_marked = _covered(found, places, len(tokens)), _covered(wide, places, len(tokens))
+        sizes = [place[1] - place[0] if place else 0 for place in places]
+        decisive = [m if kind.lower() in (ARTICLE, CONTENT) else w for (kind, _), w, m in zip(read, within, within_marked, strict=True)]
+        repeated = [n > 0 and w >= COVERED * n for n, w in zip(sizes, decisive, strict=True)]
+        outcome = settled(read, nested, repeated)
+        kept = [text for fate, (_, text) in zip(outcome, read, strict=True) if fate == STAYS]
+        gone = [(r, fate == GOES) for fate, r, end in zip(fates, repeated, outcome, strict=True) if end == GOES]
+        by_repeats = sum(not by_markup for _, by_markup in gone)
+        both = sum(r and by_markup for r, by_markup in gone)
         texts.append("\n".join(kept))
-        counts.append((outside, repeated, by_repeats, by_markup))
+        counts.append((sum(sizes), sum(within), by_repeats, len(gone) - by_repeats - both, both))
     columns = [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)] if counts else [pa.array([], pa.int64())] * len(_COUNTS)
     return pa.StructArray.from_arrays([pa.array(texts, pa.string()), *columns], ["text", *_COUNTS])
 
 
 def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
-    """One row per row of ``pages``: page_id, url, text, n_outside, n_repeated, n_by_repeats, n_by_markup.
+    """One row per row of ``pages``: page_id, url, text, n_outside, n_repeated, n_by_repeats, n_by_markup, n_by_both.
 
     n_outside counts the words that structure doesn't protect, n_repeated those of
-    them in repeated runs of the host; n_by_markup the blocks that markup puts
-    outside, n_by_repeats the others, which repeated runs alone remove. Null and empty pages have
+    them in repeated runs of the host. Of the blocks removed n_by_repeats are those
+    that markup alone would have kept, n_by_markup those that no repeated runs
+    cover, n_by_both those that runs cover and markup puts outside too. Null and empty pages have
     empty text. A null url, or one without a host, is a host of its own. Repeated
     rows each give a row; as copies of one page they don't repeat anything.
     Malformed pages of any length take time in proportion to it.
@@ -424,14 +472,20 @@ def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "ur
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1), F.lit("")))
     read = stored(pages.select(F.xxhash64(host).alias("host"), streams(F.col(source)).alias("s")).select("host", "s.*"), "streams")
     suffixes = read.select("host", "page", "key", F.posexplode("names").alias("at", "name"))
-    repeated = suffixes.select("host", "name", "page").distinct().groupBy("host", "name").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "name")
+    held = read.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("of"))
+    repeated = suffixes.select("host", "name", "page").distinct().groupBy("host", "name").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    repeated = repeated.join(held, "host").select("host", "name", (F.col("n") > MARKED_SHARE * F.col("of")).alias("widely"))
     once = suffixes.select("host", "key", "name", "at").distinct()
-    starts = once.join(repeated, ["host", "name"]).groupBy("host", "key").agg(F.collect_list("at").alias("starts"))
+    starts = (
+        once.join(repeated, ["host", "name"])
+        .groupBy("host", "key")
+        .agg(F.collect_list("at").alias("starts"), F.collect_list(F.when(F.col("widely"), F.col("at"))).alias("widely"))
+    )
     waiting = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.xxhash64(host).alias("of_host"), parts(F.col(source)).alias("p")
     )
     return (
         waiting.join(starts, (F.col("of_host") == F.col("host")) & (F.col("p.key") == F.col("key")), "left")
-        .select("page_id", "url", assembled(F.col("p.body"), F.col("starts")).alias("a"))
+        .select("page_id", "url", assembled(F.col("p.body"), F.col("starts"), F.col("widely")).alias("a"))
         .select("page_id", "url", "a.*")
     )

@@ -25,7 +25,7 @@ from corvane.llm.common import crc_mod, scratch, stored, table
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _pages.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_outside", "n_repeated", "n_by_repeats", "n_by_markup")
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_outside", "n_repeated", "n_by_repeats", "n_by_markup", "n_by_both")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,6 +167,84 @@ def test_repeats_decide_what_markup_only_hints_at(spark):
         assert (got[k].n_by_repeats, got[k].n_by_markup) == (1, 0)
 
 
+NOTICE = "We use what you read here to choose what we show you on every other page"
+
+
+def texts_of(spark, sources, **options):
+    """Text, n_by_repeats, n_by_markup, n_by_both of each page of one host."""
+    rows = [(k, f"http://a.example/{k}", source) for k, source in enumerate(sources)]
+    found = P.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string"), **options).collect()
+    return [(r.text, r.n_by_repeats, r.n_by_markup, r.n_by_both) for r in sorted(found, key=lambda r: r.page_id)]
+
+
+@pytest.mark.parametrize("wrapper", ["<main>{}</main>", '<div class="content">{}</div>', '<div class="page menu"><main>{}</main></div>'])
+def test_repeats_go_from_marked_content(spark, wrapper):
+    """A main element without an article may hold furniture that no markup names."""
+    found = texts_of(spark, [wrapper.format(f"<p>{NOTICE}</p><p>body of page {k}</p>") for k in range(4)])
+    assert found == [(f"body of page {k}", 1, 0, 0) for k in range(4)]
+
+
+def test_lines_that_some_pages_share_stay_in_marked_content(spark):
+    """Less than half of a host's distinct pages: no furniture there, though it would be in open text."""
+    sources = {w: [w.format((f"<p>{NOTICE}</p>" if k < 4 else "") + f"<p>body of page {k}</p>") for k in range(9)] for w in ("<main>{}</main>", "<div>{}</div>")}
+    assert [NOTICE in t for t, *_ in texts_of(spark, sources["<main>{}</main>"])] == [k < 4 for k in range(9)]
+    assert not any(NOTICE in t for t, *_ in texts_of(spark, sources["<div>{}</div>"]))
+
+
+def test_repeats_never_empty_marked_content(spark):
+    lines = [" ".join(f"l{k}w{i}" for i in range(12)) for k in range(4)]
+    pages = ["".join(f"<p>{line}</p>" for j, line in enumerate(lines) if j != k) for k in range(4)]  # each line is on three distinct pages
+    assert [t for t, *_ in texts_of(spark, [f"<main>{p}</main>" for p in pages])] == ["\n".join(x for j, x in enumerate(lines) if j != k) for k in range(4)]
+    same = texts_of(spark, [f"<main><p>{NOTICE}</p></main>"] * 4)
+    assert same == [(NOTICE, 0, 0, 0)] * 4  # copies are one page
+
+
+@pytest.mark.parametrize("wrapper", ['<div class="content">{}</div>', '<div class="top"><div class="content">{}</div></div>'])
+def test_repeats_choose_between_marked_parts(spark, wrapper):
+    """Neither an article nor content is the main part by the length of what the host repeats."""
+    beside = [f"<article>The story of page {k}</article>{wrapper.format(f'<p>{NOTICE}</p><p>{k}</p>')}" for k in range(4)]
+    assert [t for t, *_ in texts_of(spark, beside)] == [f"The story of page {k}" for k in range(4)]
+    teaser = [f"<article>{NOTICE}</article>{wrapper.format(f'<p>{NOTICE}, and the story of page {k}</p><p>A long end of story {k} that only this page {k} has, in many words: {k} and {k}</p>')}" for k in range(4)]
+    assert all(t.endswith(f"{k} and {k}") and NOTICE + "\n" not in t for k, (t, *_) in enumerate(texts_of(spark, teaser)))
+
+
+def test_repeats_come_before_markup(spark):
+    """What runs cover goes by them; markup checks what they leave, and article text stays though it is repeated."""
+    shared = "A line of the article that many pages of this host have word for word"
+    sources = [f"<nav>{NOTICE}</nav><div class='ad'>advert {k}</div><article><p>{shared}</p><p>body {k}</p></article>" for k in range(4)]
+    assert texts_of(spark, sources) == [(f"{shared}\nbody {k}", 0, 1, 1) for k in range(4)]
+    assert texts_of(spark, sources, min_pages=10**9) == [(f"{shared}\nbody {k}", 0, 2, 0) for k in range(4)]
+
+
+def covered_by_suffix_array(streams, depth, least):
+    """As covered_by_brute_force, by all suffixes in order and the common length of neighbours."""
+    suffixes = sorted((tokens[i:], page, i) for page, tokens in streams for i in range(len(tokens) - depth + 1))
+    common = [0] + [next((k for k, (x, y) in enumerate(zip(a[0], b[0])) if x != y), min(len(a[0]), len(b[0]))) for a, b in zip(suffixes, suffixes[1:])]
+    out, first = set(), 0
+    for end in range(1, len(suffixes) + 1):
+        if end == len(suffixes) or common[end] < depth:
+            group = suffixes[first:end]
+            if len({page for _, page, _ in group}) >= least:
+                shared = min(common[first + 1 : end], default=depth)
+                out.update((page, k) for _, page, i in group for k in range(i, i + shared))
+            first = end
+    return out
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_cut_off_array_covers_what_the_whole_one_does(spark, seed):
+    rng = random.Random(seed)
+    runs = [[rng.choice("abcd") for _ in range(rng.randrange(6, 30))] for _ in range(5)]
+    bodies = [[w for _ in range(3) for w in [f"u{rng.randrange(10**6)}", *rng.choice(runs)[rng.randrange(4) :]]] for _ in range(25)]
+    sources = [f"<article>only page {k}</article><div>{' '.join(b)}</div>" for k, b in enumerate(bodies)]
+    streams = [(k, [*b, *["\n"] * P.DEPTH]) for k, b in enumerate(bodies)]
+    whole = covered_by_suffix_array(streams, P.DEPTH, P.MIN_PAGES)
+    assert whole == covered_by_brute_force(streams, P.DEPTH, P.MIN_PAGES)
+    rows = [(k, f"http://a.example/{k}", source) for k, source in enumerate(sources)]
+    found = {r.page_id: r.n_repeated for r in P.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert found == {k: sum((k, i) in whole for i in range(len(b))) for k, b in enumerate(bodies)} and sum(found.values()) > 200
+
+
 @pytest.mark.parametrize(
     "source",
     ['<a href="x>' * 90_000 + '"', "<a title='>'" * 80_000, "<a " * 330_000, "</p>" * 250_000, "<b>" * 100_000 + "</i>" * 150_000, "<li><ul>" + "<b>" * 50_000 + "<li></li>" * 80_000,
