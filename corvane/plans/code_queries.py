@@ -116,7 +116,7 @@ def corpus_files(t: Tables) -> DataFrame:
     text = F.when(key % 7 == 0, "").otherwise(F.concat(F.lit("P"), key.cast("string"), F.lit(" ;"), F.col("p_name"), F.lit("\n Q")))
     number = F.concat(key.cast("string"), F.lit("."), F.col("p_size").cast("string"))
     data = F.when(key % 3 == 0, F.concat(number, F.lit("+"), "p_name")).when(key % 3 == 1, F.concat(number, F.lit("-3+"), "p_name")).otherwise(F.concat(F.lit("G"), key.cast("string")))
-    files = t.part.select(F.regexp_replace("p_brand", "#", "").alias("grp"), F.concat(F.when(key % 10 == 0, "_P").otherwise("P"), key.cast("string")).alias("unit"), data.alias("data"), text.alias("text"))
+    files = t.texts("part", "p_partkey", "p_name", "p_brand", "p_size").select(F.regexp_replace("p_brand", "#", "").alias("grp"), F.concat(F.when(key % 10 == 0, "_P").otherwise("P"), key.cast("string")).alias("unit"), data.alias("data"), text.alias("text"))
     corpus.write_units(files, root)
     corpus.write_units(files.select(F.col("data").alias("unit"), "grp", "text"), root, "Globals", ".zwr")
     plain = re.sub("^file:/+", "/", root)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from fnmatch import fnmatchcase
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
@@ -34,45 +35,71 @@ def listed(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """(path, name, grp, byte_size) of all files below ``path`` whose names match ``glob``; grp is the folder above the file's.
 
     Spark's own readers leave out empty files and names that begin with ``_`` or a
-    point, so the store is listed here: level by level by the driver until there
-    are as many folders as tasks, what is below in tasks. Local paths are plain,
-    others keep their scheme.
+    point, and keep the list of all files in the driver, so the store is listed in
+    tasks: level by level until there are as many folders as tasks, and then each
+    folder with all that is below. Local paths are plain, others keep their scheme.
     """
-    store, place, prefix = _file_system(path)
-    first, folders = [], [place]
-    while folders and len(folders) < max(2, spark.sparkContext.defaultParallelism):
-        found = [x for f in folders for x in store.get_file_info(fs.FileSelector(f))]
-        first += [(x.path, False, x.size) for x in found if x.type == fs.FileType.File]
-        folders = [x.path for x in found if x.type == fs.FileType.Directory]
-    first += [(f, True, None) for f in folders]
-    schema = pa.schema([("path", pa.string()), ("name", pa.string()), ("grp", pa.string()), ("byte_size", pa.int64())])
-
-    def below(batches):
-        for batch in batches:
-            for where, is_folder, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if is_folder:
-                    found = [(x.path, x.size) for x in _file_system(path)[0].get_file_info(fs.FileSelector(where, recursive=True)) if x.type == fs.FileType.File]
-                else:
-                    found = [(where, size)]
-                rows = [(prefix + p, p.rsplit("/", 1)[-1], (p.split("/")[-3:-2] or [""])[0], n) for p, n in found if fnmatchcase(p.rsplit("/", 1)[-1], glob)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-    # a row a folder, dealt out one by one
-    folders = spark.createDataFrame(first, "path string, is_folder boolean, size bigint").repartition(max(1, min(len(first), 1000)))
-    return folders.mapInArrow(below, _LISTED)
-
-
-def _contents(rows: DataFrame) -> DataFrame:
-    """``rows`` of listed() with their files' contents, read in tasks."""
+    _, place, prefix = _file_system(path)
+    schema = pa.schema([("path", pa.string()), ("is_folder", pa.bool_()), ("byte_size", pa.int64())])
+
+    def found(deep: bool):
+        def inside(batches):
+            store = _file_system(path)[0]
+            for batch in batches:
+                folders = batch.column(0).to_pylist()
+                while folders:
+                    here = store.get_file_info(fs.FileSelector(folders.pop()))
+                    rows = [(x.path, False, x.size) for x in here if x.type == fs.FileType.File and fnmatchcase(x.base_name, glob)]
+                    inner = [x.path for x in here if x.type == fs.FileType.Directory]
+                    if deep:
+                        folders += inner
+                    else:
+                        rows += [(f, True, None) for f in inner]
+                    for k in range(0, len(rows), 10_000):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 10_000], strict=True), schema, strict=True)], schema=schema)
+
+        return inside
+
+    def below(folders: DataFrame, n: int, deep: bool) -> DataFrame:
+        # a row a folder, dealt out one by one
+        return folders.repartition(min(n, 1000)).mapInArrow(found(deep), "path string, is_folder boolean, byte_size bigint")
+
+    folders, n, parts = spark.createDataFrame([(place,)], "path string"), 1, []
+    while 0 < n < max(2, spark.sparkContext.defaultParallelism):
+        level = cut(below(folders, n, False))
+        parts.append(level.where("not is_folder"))
+        folders = level.where("is_folder").select("path")
+        n = folders.count()
+    if n:
+        parts.append(below(folders, n, True))
+    names = F.split("path", "/")
+    return reduce(DataFrame.unionByName, parts).select(
+        F.concat(F.lit(prefix), "path").alias("path"), F.element_at(names, -1).alias("name"), F.coalesce(F.try_element_at(names, F.lit(-3)), F.lit("")).alias("grp"), "byte_size"
+    )
+
+
+#: Files and bytes that a task reads before it passes them on.
+FILES_A_BATCH, BYTES_A_BATCH = 1_000, 8 << 20
+
+
+def _contents(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` of listed() below ``path`` with their files' contents, read in tasks."""
     schema = pa.schema([("path", pa.string()), ("name", pa.string()), ("grp", pa.string()), ("byte_size", pa.int64()), ("content", pa.binary())])
 
+    def content(store, place: str) -> bytes:
+        with store.open_input_stream(place) as f:
+            return f.read()
+
     def read(batches):
+        store, _, prefix = _file_system(path)
         for batch in batches:
-            for k, path in enumerate(batch.column(0).to_pylist()):
-                store, place, _ = _file_system(path)
-                with store.open_input_stream(place) as f:
-                    yield pa.RecordBatch.from_arrays([*(batch.slice(k, 1).columns), pa.array([f.read()], pa.binary())], schema=schema)
+            held, n, at = [], 0, 0
+            for k, (where, size) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True), 1):
+                held.append(b"" if size == 0 else content(store, where.removeprefix(prefix)))
+                n += len(held[-1])
+                if k == batch.num_rows or len(held) == FILES_A_BATCH or n >= BYTES_A_BATCH:
+                    yield pa.RecordBatch.from_arrays([*batch.slice(at, len(held)).columns, pa.array(held, pa.binary())], schema=schema)
+                    held, n, at = [], 0, k
 
     return rows.mapInArrow(read, f"{_LISTED}, content binary")
 
@@ -80,17 +107,12 @@ def _contents(rows: DataFrame) -> DataFrame:
 def read_units(spark: SparkSession, path: str, glob: str = "*.m", root: str = "", new_root: str = "") -> DataFrame:
     """(path, unit, grp, byte_size, text) of files ``.../<group>/Routines/<unit>.m``; bytes that aren't UTF-8 are replaced.
 
-    Empty units have empty text. Contents come from Spark's file reader, but those
-    of names that it skips (``_`` marks percent units), which tasks read.
+    Empty units have empty text. Names that begin with ``_`` (percent units) are
+    read like all others. Files are dealt out by their paths, whatever their
+    folders, and the driver sees none of them.
     """
-    names = listed(spark, path, glob)
-    skipped = F.col("name").rlike(r"^[_.]")
-    plain = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).where("length > 0").select(
-        F.regexp_replace("path", "^file:/+", "/").alias("path"), F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("grp"),
-        F.col("length").alias("byte_size"), "content",
-    )
-    empty = names.where("byte_size = 0").withColumn("content", F.lit(b""))
-    files = plain.where(~skipped).unionByName(empty).unionByName(_contents(names.where(skipped & (F.col("byte_size") > 0))))
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = _contents(listed(spark, path, glob).repartition(tasks, "path"), path)
     return files.select(
         (X.moved_path(F.col("path"), root, new_root) if root else F.col("path")).alias("path"), F.regexp_extract("name", r"^(.+)\.[^.]+$", 1).alias("unit"), "grp", "byte_size",
         F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
@@ -200,7 +222,7 @@ def read_by_manifest(spark: SparkSession, manifest: DataFrame, path: str, tasks:
     dealt = dealt_by_size(cut(wanted), tasks)
     rows = dealt.repartitionById(tasks, F.col("task")).select("path", F.to_json(F.struct("unit", "task")).alias("name"), "grp", "byte_size")
     told = F.from_json("name", "unit string, task int")
-    return _contents(rows).select("path", told["unit"].alias("unit"), "grp", "byte_size", F.make_valid_utf8(F.col("content").cast("string")).alias("text"), told["task"].alias("task"))
+    return _contents(rows, path).select("path", told["unit"].alias("unit"), "grp", "byte_size", F.make_valid_utf8(F.col("content").cast("string")).alias("text"), told["task"].alias("task"))
 
 
 def manifest_contract(spark: SparkSession, manifest: DataFrame, path: str, glob: str = "*.m") -> DataFrame:

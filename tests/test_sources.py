@@ -48,6 +48,25 @@ def test_manifest_drives_the_read(spark, tmp_path):
     assert broken == {("several groups", "A1"), ("missing file", "GONE"), ("not listed", place["A7"])}
 
 
+def test_units_are_listed_and_read_by_tasks_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus, "FILES_A_BATCH", 7)
+    monkeypatch.setattr(corpus, "BYTES_A_BATCH", 300)
+    want = {}
+    for k in range(60):  # files of a folder, of folders of its own each, at several depths
+        folder = tmp_path.joinpath(*[f"d{k % j}" for j in range(2, 2 + k % 5)], f"G {k % 12}", "Routines")
+        folder.mkdir(parents=True, exist_ok=True)
+        name = f"_P{k}" if k % 10 == 0 else f"P{k}"
+        (folder / f"{name}.m").write_text("" if k % 7 == 0 else f"P{k} ;\n" * k)
+        (folder / f"{name}.txt").write_text("x")
+        want[str(folder / f"{name}.m")] = (name, f"G {k % 12}", "" if k % 7 == 0 else f"P{k} ;\n" * k)
+    (tmp_path / "top.m").write_text("T")
+    read = corpus.read_units(spark, f"file://{tmp_path}")
+    assert read.inputFiles() == []  # Spark's reader would hold the list of files in the driver
+    got = {r.path: (r.unit, r.grp, r.text) for r in read.collect()}
+    assert got == want | {str(tmp_path / "top.m"): ("top", str(tmp_path).split("/")[-2], "T")}
+    assert corpus.listed(spark, str(tmp_path), "*.none").count() == 0
+
+
 def scanned(df):
     """(files, rows) that the scan of an executed plan has read."""
     plan = df._jdf.queryExecution().executedPlan()
