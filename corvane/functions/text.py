@@ -207,9 +207,19 @@ def structural_label(line: Column) -> Column:
     return tags_of_line(line).isin("STARTUP", "SHUTDOWN")  # fixed values
 
 
+def whole_test_name(unit: Column) -> Column:
+    """The name of a unit's test before it is cut."""
+    return F.concat(F.lit("T"), unit)
+
+
+def cut_name(name: Column) -> Column:
+    """The 8 characters that a unit's name may have."""
+    return F.substring(name, 1, 8)
+
+
 def test_name(unit: Column) -> Column:
     """The name of a unit's test unit: T before it, cut to 8 characters."""
-    return F.substring(F.concat(F.lit("T"), unit), 1, 8)
+    return cut_name(whole_test_name(unit))
 
 
 def entry_point(tag: Column, unit: Column) -> Column:

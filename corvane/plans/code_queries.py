@@ -92,7 +92,7 @@ def unit_health(t: Tables) -> DataFrame:
         lines, "unit", "line_no", line.rlike(r"^[A-Za-z%]"), line.rlike(r"^\s*;"), line.rlike(marker), F.regexp_extract(line, r"(;.*)", 1).rlike(marker), X.structural_label(line)
     )
     findings = P.violations(lines, ["unit"], P.line_rules(line))
-    return V.unit_health(corpus.inventory(_units(t)).select("unit", "grp", "line_count", "version_line"), findings.select("unit"), lint.select("unit"))
+    return V.unit_health(corpus.inventory(_units(t)).select("unit", "grp", "line_count", "first_line", "version_line"), findings.select("unit"), lint.select("unit"))
 
 
 @query(f"""WITH {_UNITS}, w AS (SELECT unit, unnest(['EN', 'SUB', 'NONE', '']) AS tag FROM u),

@@ -35,3 +35,21 @@ def test_where_tags_sends_no_lines_to_the_driver(spark, sf):
     assert "BroadcastHashJoin" not in rows._jdf.queryExecution().executedPlan().toString()
     rows.collect()
     assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unit_health_of_units_whose_tests_share_a_name(spark, many_digits):
+    check(spark, many_digits, "unit_health")
+
+
+def test_a_test_counts_for_the_unit_that_it_names(spark):
+    from corvane.operators import views as V
+
+    names = {
+        "P100000": "P100000 ;", "P1000001": "P1000001 ;", "P1000004": "P1000004 ;", "TP100000": "TP1000004 ;for one of them",
+        "ABCDEFGH": "ABCDEFGH ;", "ABCDEFGX": "ABCDEFGX ;", "TABCDEFG": "TABCDEFG ;head cut as well, so for both",
+        "Q": "Q ;", "TQ": " no head", "R": "R ;", "TX": "TR ;another file", "S": "S ;", "TS": "",
+    }
+    units = spark.createDataFrame([(u, "g", 1, line, "") for u, line in names.items()], "unit string, grp string, line_count bigint, first_line string, version_line string")
+    none = units.select("unit").limit(0)
+    got = {r.unit for r in V.unit_health(units, none, none).collect() if r.has_test}
+    assert got == {"P1000004", "ABCDEFGH", "ABCDEFGX", "Q", "S"}
