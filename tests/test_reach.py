@@ -77,3 +77,36 @@ def test_bounded_group_graph(spark):
     ])
     weighted = spark.createDataFrame([("a", "b", 5), ("a", "b", 2)], "source string, target string, w int")
     assert bounded_group_graph(weighted, groups, 3, "w").head().refs == 7
+
+
+@pytest.mark.parametrize("a_row", [100_000, 3])
+def test_reachable_from_many_starts(spark, monkeypatch, a_row):
+    monkeypatch.setattr(G, "NODES_A_ROW", a_row)
+    random.seed(7)
+    edges = [(random.randrange(40), random.randrange(40)) for _ in range(70)] + [(3, None), (None, 4), (0, 0)] + [(5, k) for k in range(100, 120)]
+    edges += edges[:9]
+    starts = [*range(0, 40, 3), 5, 77]
+    after = {}
+    for a, b in edges:
+        if a is not None:
+            after.setdefault(a, set()).add(b)
+    for depth in (0, 1, 2, 9):
+        want = set()
+        for s in starts:
+            at = {s: 0}
+            for k in range(1, depth + 1):
+                for b in {b for n, d in at.items() if d == k - 1 for b in after.get(n, ())} - at.keys():
+                    at[b] = k
+            want |= {(s, n, d) for n, d in at.items()}
+        found = G.reachable(spark.createDataFrame(edges, "source bigint, target bigint"), spark.createDataFrame([(s,) for s in [*starts, 5]], "node bigint"), depth)
+        got = [tuple(r) for r in found.collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_reachable_writes_no_pairs_of_its_last_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(G, "cut", lambda df: written.append(df.count()) or df.checkpoint())
+    edges = spark.range(30_000).selectExpr("id % 300 as source", "1000 + id % 299 as target").union(spark.range(30_000).selectExpr("1000 + id % 299 as source", "5000 + id % 200 as target"))
+    found = G.reachable(edges, spark.range(300).toDF("node"), 2)
+    assert found.where("depth = 2").count() == 300 * 200
+    assert sum(written) < 2 * edges.distinct().count()
