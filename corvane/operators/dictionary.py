@@ -17,7 +17,7 @@ from corvane.functions import text as X
 from corvane.operators import joins as J
 from corvane.operators import rules as R
 from corvane.operators.graph import nearest_labelled, top_ancestor
-from corvane.session import cut
+from corvane.session import stored
 from corvane.sources.nodes import piece
 
 #: A number as it is written when it is a subscript: no leading or trailing zeros, no plus sign.
@@ -156,23 +156,27 @@ def referrers(nodes: DataFrame, dd: str = "^DD", decimals: bool = False) -> Data
     return both.groupBy("id").agg(listed("in").alias("pointer_in_files"), listed("out").alias("pointer_out_files"))
 
 
-def classified_dictionary(nodes: DataFrame, rounds: int = 6, decimals: bool = False) -> DataFrame:
-    """(id, parent, label, method, confidence, evidence) of every record type of a node table: features, then the four passes."""
-    facts = cut(record_type_facts(nodes, decimals=decimals))
+def classified_dictionary(nodes: DataFrame, rounds: int = 6, decimals: bool = False, facts: DataFrame | None = None) -> DataFrame:
+    """(id, parent, label, method, confidence, evidence) of every record type of a node table: features, then the four passes.
+
+    ``facts`` are those of record_type_facts() where they are at hand.
+    """
+    facts = stored(record_type_facts(nodes, decimals=decimals)) if facts is None else facts
     features = record_type_features(facts, groups(nodes))
     pointers = fields(nodes, decimals=decimals).where("target <> ''").select("id", "target")
     linked = facts.where("ptr_in > 0 or ptr_out > 0").select("id")
     return R.classified(features, pointers, rounds=rounds, linked=linked)
 
 
-def wide_export(nodes: DataFrame, labels: DataFrame, records: DataFrame, decimals: bool = False) -> DataFrame:
+def wide_export(nodes: DataFrame, labels: DataFrame, records: DataFrame, decimals: bool = False, facts: DataFrame | None = None) -> DataFrame:
     """22 columns, a row per field of every record type, and one with blank field columns for types without fields.
 
     ``labels`` has id, label, method, confidence and evidence. field_piks is the
     type's label, else that of its top ancestor; ref_piks the label of the type
     that the field points to; cross_piks and sensitivity_flag are Y or blank.
+    ``facts`` are those of record_type_facts() where they are at hand.
     """
-    facts = cut(record_type_facts(nodes, decimals=decimals))
+    facts = stored(record_type_facts(nodes, decimals=decimals)) if facts is None else facts
     types = inventory(facts, records).withColumnRenamed("file_number", "record")
     tops = top_ancestor(facts).select(F.col("id").alias("record"), "top")
     named = labels.select(F.col("id").alias("record"), "label", F.col("method").alias("file_piks_method"), F.col("confidence").alias("file_piks_confidence"), F.col("evidence").alias("piks_evidence"))

@@ -1,4 +1,4 @@
-"""Loops over hierarchies and graphs. Each round ends in a reliable checkpoint and an empty delta stops it."""
+"""Loops over hierarchies and graphs. Each round ends in files or a reliable checkpoint in the shared folder, and an empty delta stops it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.session import cut
+from corvane.session import cut, stored
 
 
 def _climbed(tree: DataFrame, stops: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def _climbed(tree: DataFrame, stops: DataFrame) -> DataFrame:
     writes the nodes that settle in it, once, and those still open.
     """
     up = tree.select("id", F.when(F.col("parent") != F.col("id"), F.col("parent")).alias("next"))
-    state = cut(
+    state = stored(
         up.join(stops, "id", "left").join(up.select(F.col("id").alias("next"), F.lit(True).alias("is_node")), "next", "left").select(
             "id", "value", F.when(F.col("value").isNull() & F.col("is_node"), F.col("next")).alias("next"), F.lit(1).cast("long").alias("steps")
         )
@@ -32,7 +32,7 @@ def _climbed(tree: DataFrame, stops: DataFrame) -> DataFrame:
     while not open_.isEmpty() and reach <= limit:
         done = reduce(DataFrame.unionByName, settled).select(F.col("id").alias("next"), "stop", F.col("depth").alias("more"), "value", F.lit(True).alias("ended"))
         ahead = open_.select(F.col("id").alias("next"), F.col("next").alias("beyond"), F.col("steps").alias("further"))
-        step = cut(open_.join(done, "next", "left").join(ahead, "next", "left"))
+        step = stored(open_.join(done, "next", "left").join(ahead, "next", "left"))
         settled.append(step.where("ended").select("id", "stop", (F.col("steps") + F.col("more")).alias("depth"), "value"))
         open_ = step.where("ended is null").select("id", F.col("beyond").alias("next"), (F.col("steps") + F.col("further")).alias("steps"))
         reach *= 2
@@ -77,20 +77,22 @@ def propagate(
     nor evidence here. Synchronous rounds needn't equal an in-place pass over the
     nodes in order. A round writes its own labels only.
     """
-    edges = cut(edges.select("id", "target"))
-    known = cut(labels.where("label is not null").select("id", "label"))
+    mine = nodes.select("id").distinct()
+    if only_nodes and linked is not None:  # all edges are needed for the links alone
+        edges = edges.join(mine, "id", "left_semi")
+    edges = stored(edges.select("id", "target"))
+    known = stored(labels.where("label is not null").select("id", "label"))
     text = F.lit(None).cast("string")
     parts = [known.select("id", "label", F.lit("seed").alias("method"), text.alias("confidence"), text.alias("evidence"), F.lit(0).alias("round"))]
     if linked is None:
         linked = edges.select("id").unionByName(edges.select(F.col("target").alias("id"))).distinct()
-    alone = cut(nodes.select("id").distinct().join(known, "id", "left_anti").join(linked, "id", "left_anti"))
+        edges = stored(edges.join(mine, "id", "left_semi")) if only_nodes else edges
+    alone = stored(mine.join(known, "id", "left_anti").join(linked, "id", "left_anti"))
     # fixed values: confidence and the texts of evidence
     parts.append(
         alone.select("id", F.lit("S").alias("label"), F.lit("H-39").alias("method"), F.lit("moderate").alias("confidence"), F.lit("orphan: 0 ptrs in, 0 ptrs out").alias("evidence"), F.lit(1).alias("round"))
     )
     have = [known]
-    if only_nodes:
-        edges = cut(edges.join(nodes.select("id").distinct(), "id", "left_semi"))
     for k in range(1, rounds + 1):
         seen = reduce(DataFrame.unionByName, have)
         counts = (
@@ -102,7 +104,7 @@ def propagate(
             )
             .where("n >= 2")
         )
-        new = cut(_told(counts, majority, spread, share, k))
+        new = stored(_told(counts, majority, spread, share, k))
         if k == 1:
             have.append(alone.select("id", F.lit("S").alias("label")))
         if new.isEmpty():

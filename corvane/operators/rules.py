@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corvane.config import labels as L
 from corvane.functions import text as X
 from corvane.operators.graph import nearest_labelled, propagate
-from corvane.session import cut
+from corvane.session import stored as cut
 
 
 @dataclass
@@ -141,7 +141,8 @@ def inherited(cascaded: DataFrame) -> DataFrame:
     in rounds that grow with the logarithm of the depth. A line that runs into a
     cycle counts as far as the cycle's first return.
     """
-    tree = cut(cascaded.select("id", "parent", "label", F.coalesce(F.col("confidence").isin("certain", "high"), F.lit(False)).alias("strong")))
+    cascaded = cut(cascaded)
+    tree = cascaded.select("id", "parent", "label", F.coalesce(F.col("confidence").isin("certain", "high"), F.lit(False)).alias("strong"))
     named = tree.where("label is not null").select("id", "label")
     near = nearest_labelled(tree, named).select(F.col("id").alias("parent"), F.col("label").alias("over"))
     uppermost = tree.where("label is not null").join(near, "parent", "left").where("over is null or parent = id").select("id", "label")
@@ -194,7 +195,10 @@ def field_labels(fields: DataFrame, types: DataFrame, tops: DataFrame | None = N
     if tops is not None:
         out = out.join(tops, "record", "left").join(types.select(F.col("record").alias("top"), F.col("label").alias("top_label")), "top", "left")
         out = out.withColumn("own", F.coalesce("own", "top_label")).drop("top", "top_label")
-    out = out.join(types.select(F.col("record").alias("target"), F.col("label").alias("ref_label")), "target", "left")
+    # fields that point nowhere meet no type, and are dealt out by their own record
+    points = X.null_to_blank(F.col("target")) != ""
+    named = types.select(F.col("record").alias("to"), F.lit(True).alias("points"), F.col("label").alias("ref_label"))
+    out = out.withColumns({"points": points, "to": F.when(points, F.col("target")).otherwise(F.col("record"))}).join(named, ["to", "points"], "left").drop("to", "points")
     name = F.upper(F.col("name"))
     says = name.rlike("|".join(L.SENSITIVE)) | (name == "DOB") | ((name == "NAME") & (F.col("field") == ".01"))
     return out.withColumns(

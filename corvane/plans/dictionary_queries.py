@@ -14,7 +14,7 @@ from corvane.operators import rules as R
 from corvane.operators import triage as T
 from corvane.plans.base import Tables, query
 from corvane.plans.code_queries import _INHERITED, passes_sql
-from corvane.session import cut
+from corvane.session import cut, stored
 
 #: What the nodes say about order k, by the first divisor that k has; (divisor, remainder, text).
 _ROOTS = [(97, 5, "^DPT("), (89, 5, "^DD("), (13, 0, "^LR("), (17, 0, "^SC("), (19, 0, "^PSDRUG("), (23, 0, "^XTV("), (29, 0, "^DGX("), (31, 0, "^PRCQ("), (37, 0, "^LEXA("), (41, 0, "^XUZ("), (43, 0, "^DGBT(")]
@@ -165,7 +165,8 @@ FROM inv JOIN z ON z.id = inv.file_number LEFT JOIN tree ON tree.id = z.id LEFT
 def dictionary_export(t: Tables) -> DataFrame:
     """22 columns per field, with the labels that the dictionary itself gives."""
     nodes = _nodes(t)
-    return D.wide_export(nodes, D.classified_dictionary(nodes), _records(t))
+    facts = stored(D.record_type_facts(nodes))
+    return D.wide_export(nodes, D.classified_dictionary(nodes, facts=facts), _records(t), facts=facts)
 
 
 def _structure_nodes(t: Tables) -> DataFrame:

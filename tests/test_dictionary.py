@@ -90,3 +90,21 @@ def test_wide_export_has_22_columns_and_types_without_fields(spark, nodes):
 def test_an_empty_dictionary(spark):
     none = spark.createDataFrame([], "root string, subs array<string>, value string")
     assert D.classified_dictionary(none).collect() == [] and D.referrers(none).collect() == []
+
+
+def test_estimates_do_not_grow_with_the_rounds(spark):
+    from corvane.operators import graph as G
+
+    tree = spark.range(600).selectExpr("id", "case when id > 0 then id - 1 end as parent")
+    found = G.nearest_labelled(tree, spark.range(1).selectExpr("id", "'x' as label"))
+    assert int(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) < 1 << 60
+    assert found.count() == 600
+
+
+def test_fields_that_point_nowhere_are_dealt_out(spark):
+    from corvane.operators import rules as R
+
+    types = spark.createDataFrame([("1", "P"), ("2", "K"), ("", "S")], "record string, label string")
+    fields = spark.createDataFrame([("1", ".01", "A", "F", ""), ("1", "2", "B", "P2'", "2"), ("2", "3", "C", "F", None), ("2", "4", "D", "P9'", "9")], "record string, field string, name string, spec string, target string")
+    told = R.field_labels(fields, types)
+    assert {(r.field, r.own, r.ref_label, r.cross) for r in told.collect()} == {(".01", "P", None, ""), ("2", "P", "K", "Y"), ("3", "K", None, ""), ("4", "K", None, "")}
