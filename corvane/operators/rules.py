@@ -196,7 +196,7 @@ def field_labels(fields: DataFrame, types: DataFrame, tops: DataFrame | None = N
         out = out.join(tops, "record", "left").join(types.select(F.col("record").alias("top"), F.col("label").alias("top_label")), "top", "left")
         out = out.withColumn("own", F.coalesce("own", "top_label")).drop("top", "top_label")
     # fields that point nowhere meet no type, and are dealt out by their own record
-    points = X.null_to_blank(F.col("target")) != ""
+    points = X.null_to_blank(F.col("target").cast("string")) != ""
     named = types.select(F.col("record").alias("to"), F.lit(True).alias("points"), F.col("label").alias("ref_label"))
     out = out.withColumns({"points": points, "to": F.when(points, F.col("target")).otherwise(F.col("record"))}).join(named, ["to", "points"], "left").drop("to", "points")
     name = F.upper(F.col("name"))
